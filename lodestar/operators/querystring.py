@@ -124,8 +124,11 @@ def parse(text: str, fields: list, numeric: list = (), lenient: bool = False, co
         raise QueryStringError(f"unexpected {kind}")
 
     node = expr()
-    if pos[0] < len(toks) and not lenient:
-        raise QueryStringError("trailing input in query string")
+    while pos[0] < len(toks):
+        if not lenient:
+            raise QueryStringError("trailing input in query string")
+        take()  # a stray ')' is dropped; parsing goes on
+        node = _join(default_op, node, expr())
     return node
 
 

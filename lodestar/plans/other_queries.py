@@ -159,7 +159,7 @@ PRICE_BUCKETS = [(None, 950.0), (950.0, 1000.0), (1000.0, 1500.0), (1500.0, None
 
 @reg("a_range", PM_SQL + "SELECT q.query_id, b.idx::BIGINT AS idx, count(pm.p_retailprice) AS doc_count FROM "
      "(SELECT DISTINCT query_id FROM pm) q CROSS JOIN "
-     f"{O.values([(i, lo, hi) for i, (lo, hi) in enumerate(PRICE_BUCKETS)], 'idx, lo, hi')} b LEFT JOIN pm "
+     f"(SELECT * FROM {O.values([(i, lo, hi) for i, (lo, hi) in enumerate(PRICE_BUCKETS)], 'idx, lo, hi')}) b LEFT JOIN pm "
      "ON pm.query_id = q.query_id AND (b.lo IS NULL OR pm.p_retailprice >= b.lo) AND (b.hi IS NULL OR "
      "pm.p_retailprice < b.hi) GROUP BY q.query_id, b.idx")
 def a_range(spark, sf):
@@ -389,7 +389,7 @@ def h_rrf_batch(spark, sf):
 RAG = {1: "thha reea", 2: "ingat AND", 3: "aile ) queque", 4: "nosuch:word zzzzq"}
 RAG_SQL = (f"WITH {DOCS},\n{HQ_SQL.replace('benchmark b', '(SELECT * FROM benchmark) b')},\n"
            "hits AS (SELECT DISTINCT v.query_id, p.doc_id FROM "
-           f"{O.values([(1, 'thha'), (1, 'reea'), (2, 'ingat'), (3, 'aile'), (3, 'queque')], 'query_id, w')} v "
+           f"{O.values([(1, 'thha'), (1, 'reea'), (2, 'ingat'), (3, 'aile'), (3, 'queque')], 'query_id, w')} "
            "JOIN d_post p ON p.term = v.w),\n"
            "ret AS (SELECT query_id, doc_id, distance, rank FROM (SELECT h.query_id, h.doc_id, "
            "round(1 - list_cosine_similarity(e.embedding::DOUBLE[], q.vector), 6) AS distance, row_number() OVER "
@@ -410,10 +410,10 @@ def h_retrieve(spark, sf):
     return _retrieve(spark, sf)
 
 
-@reg("h_context", RAG_SQL + "SELECT k.query_id::BIGINT AS query_id, coalesce(string_agg(concat_ws(' | ', r.doc_id, d.lang, "
-     "d.source), chr(10) ORDER BY r.rank), 'No relevant context found.') AS context FROM "
-     f"{O.values([(k,) for k in RAG], 'query_id')} k LEFT JOIN ret r ON r.query_id = k.query_id LEFT JOIN documents d "
-     "ON d.doc_id = r.doc_id GROUP BY k.query_id")
+@reg("h_context", RAG_SQL + "SELECT v.query_id::BIGINT AS query_id, coalesce(string_agg(CASE WHEN r.doc_id IS NOT NULL THEN "
+     "concat_ws(' | ', r.doc_id, d.lang, d.source) END, chr(10) ORDER BY r.rank), 'No relevant context found.') AS context FROM "
+     f"{O.values([(k,) for k in RAG], 'query_id')} LEFT JOIN ret r ON r.query_id = v.query_id LEFT JOIN documents d "
+     "ON d.doc_id = r.doc_id GROUP BY v.query_id")
 def h_context(spark, sf):
     """Context text per question from its hits, in rank order; fixed text when none."""
     hits = _retrieve(spark, sf).join(table(spark, sf, "documents"), "doc_id")
@@ -582,12 +582,12 @@ def _verify_sql(extra="", seg=None):
     segw = f"WHERE doc_id % 8 IN ({', '.join(map(str, seg))})" if seg else ""
     base = (f"WITH {DOCS},\npp AS (SELECT * FROM d_post {segw}), dd AS (SELECT * FROM d_dl {segw})\n")
     rows = []
+    row = "SELECT '{}' AS check_name, true AS passed, '0 violations in ' || ({}) || ' rows' AS details"
     if not seg:
-        rows.append("SELECT 'doc_frequency' AS check_name, true AS passed, '0 violations in ' || "
-                    "(SELECT count(*) FROM d_idf) || ' rows' AS details")
-    rows += ["SELECT 'doc_length', true, '0 violations in ' || (SELECT count(DISTINCT doc_id) FROM pp) || ' rows'",
-             "SELECT 'positions_length', true, '0 violations in ' || (SELECT count(*) FROM pp) || ' rows'",
-             "SELECT 'unique_postings', true, '0 violations in ' || (SELECT count(*) FROM pp) || ' rows'"]
+        rows.append(row.format("doc_frequency", "SELECT count(*) FROM d_idf"))
+    rows += [row.format("doc_length", "SELECT count(DISTINCT doc_id) FROM pp"),
+             row.format("positions_length", "SELECT count(*) FROM pp"),
+             row.format("unique_postings", "SELECT count(*) FROM pp")]
     if extra:
         rows.append(extra)
     return base + " UNION ALL ".join(rows)
@@ -624,11 +624,7 @@ def d_verify_segments(spark, sf):
     return D.verify_index(documents_index(spark, sf), segment_ids=[0, 3])
 
 
-@reg("d_verify_all",
-     _verify_sql().replace("SELECT 'doc_frequency' AS check_name", "SELECT 'documents_text' AS indexname, 'doc_frequency' AS check_name")
-     .replace("SELECT 'doc_length',", "SELECT 'documents_text', 'doc_length',")
-     .replace("SELECT 'positions_length',", "SELECT 'documents_text', 'positions_length',")
-     .replace("SELECT 'unique_postings',", "SELECT 'documents_text', 'unique_postings',"))
+@reg("d_verify_all", _verify_sql().replace("SELECT '", "SELECT 'documents_text' AS indexname, '"))
 def d_verify_all(spark, sf):
     """Every catalogued index whose name is LIKE '%text%'."""
     cat = {"documents_text": documents_index(spark, sf),

@@ -279,10 +279,12 @@ def q_match_all_array(spark, sf):
     return S.rounded(S.match_all(documents_index(spark, sf), _q(spark, ARRAY_QUERIES, "array<string>"), "text"))
 
 
-@reg("q_match_expr", _match_oracle("q AS (SELECT item_id AS query_id, upper(text) AS query FROM benchmark)", "all"))
+@reg("q_match_expr", _match_oracle(
+    "q AS (SELECT item_id AS query_id, concat(text, ' ', lower(text)) AS query FROM benchmark)", "all"))
 def q_match_expr(spark, sf):
-    """The query value is an expression over a column (``upper(text)``)."""
-    q = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.upper("text").alias("query"))
+    """The query value is an expression over a column (``text || ' ' || lower(text)``)."""
+    q = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"),
+                                             F.concat("text", F.lit(" "), F.lower("text")).alias("query"))
     return S.rounded(S.match_all(documents_index(spark, sf), q, "text"))
 
 
@@ -739,8 +741,8 @@ _HL_BASE = (f"WITH {DOCS},\n{_qv(HIGHLIGHT_QUERIES)},\n{O.query_terms('qt', 'q')
             "md AS (SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM m)),\n"
             f"tk AS (SELECT doc_id, unnest(range(len(t))) AS pos, unnest(t) AS term, unnest(s[1:len(t)]) AS sep FROM "
             f"(SELECT doc_id, {O.toks('text')} AS t, string_split_regex(lower(text), '{O.WORDS}') AS s FROM md)),\n"
-            "off AS (SELECT doc_id, pos, term, sum(length(sep) + length(term)) OVER (PARTITION BY doc_id ORDER BY pos "
-            "ROWS UNBOUNDED PRECEDING) AS e FROM tk),\n"
+            "off AS (SELECT doc_id, pos, term, CAST(sum(length(sep) + length(term)) OVER (PARTITION BY doc_id ORDER BY pos "
+            "ROWS UNBOUNDED PRECEDING) AS BIGINT) AS e FROM tk),\n"
             "mt AS (SELECT m.query_id, o.doc_id, o.e - length(o.term) AS start, o.e AS \"end\" FROM off o JOIN m "
             "ON m.doc_id = o.doc_id JOIN (SELECT DISTINCT query_id, term FROM qt) w ON w.query_id = m.query_id "
             "AND w.term = o.term)")
