@@ -114,31 +114,51 @@ class Tokenizer:
 
     def terms(self, col) -> Column:
         """``array<string>`` of tokens in order (positions not included)."""
-        return F.transform(self.tokens(col), lambda t: t["term"])
+        plain = self.plain_terms(col)
+        return plain if plain is not None else F.transform(self.tokens(col), lambda t: t["term"])
 
-    def tokens(self, col) -> Column:
-        """``array<struct<term string, pos int>>``; NULL input gives NULL."""
+    def plain_terms(self, col) -> Column | None:
+        """``array<string>`` whose index is the position, or None (n-grams).
+
+        This is the fast path: ``posexplode`` of a built-in array stays in
+        generated code, without a per-element lambda.
+        """
         c = F.col(col) if isinstance(col, str) else col
         n = self.name
         if n in ("unicode_words", "simple", "whitespace", "regex_pattern"):
-            words = F.regexp_extract_all(self._norm(c), F.lit(self.word_pattern()), 0)
-            return _indexed(self._stem(words))
+            return self._stem(F.regexp_extract_all(self._norm(c), F.lit(self.word_pattern()), 0))
         if n == "source_code":
             s = F.regexp_replace(c, r"(\p{Ll})(\p{Lu})", "$1 $2")
             s = F.regexp_replace(s, r"(\p{L})(\p{N})", "$1 $2")
             s = F.regexp_replace(s, r"(\p{N})(\p{L})", "$1 $2")
-            words = F.regexp_extract_all(self._norm(s), F.lit(f"[{WORD_CLASS}]+"), 0)
-            return _indexed(self._stem(words))
+            return self._stem(F.regexp_extract_all(self._norm(s), F.lit(f"[{WORD_CLASS}]+"), 0))
         if n == "chinese_compatible":
             s = F.regexp_replace(c, r"(\p{IsHan})", " $1 ")
-            words = F.regexp_extract_all(self._norm(s), F.lit(f"[{WORD_CLASS}]+"), 0)
-            return _indexed(self._stem(words))
+            return self._stem(F.regexp_extract_all(self._norm(s), F.lit(f"[{WORD_CLASS}]+"), 0))
         if n == "literal":
-            return F.when(c.isNotNull(), F.array(F.struct(c.alias("term"), F.lit(0).alias("pos"))))
+            return F.when(c.isNotNull(), F.array(c))
         if n == "literal_normalized":
             v = F.trim(c) if _truthy(self.opt("trim", False)) else c
-            v = self._norm(v)
-            return F.when(c.isNotNull(), F.array(F.struct(v.alias("term"), F.lit(0).alias("pos"))))
+            return F.when(c.isNotNull(), F.array(self._norm(v)))
+        return None
+
+    def is_empty(self, col) -> Column:
+        """True when a non-NULL value has no tokens (cheap test, no extraction)."""
+        c = F.col(col) if isinstance(col, str) else col
+        if self.name in ("unicode_words", "simple", "whitespace", "regex_pattern", "source_code",
+                         "chinese_compatible", "edge_ngram"):
+            return ~self._norm(c).rlike(self.word_pattern() or f"[{WORD_CLASS}]+")
+        if self.name in ("literal", "literal_normalized"):
+            return F.lit(False)
+        return F.size(self.tokens(c)) == 0
+
+    def tokens(self, col) -> Column:
+        """``array<struct<term string, pos int>>``; NULL input gives NULL."""
+        c = F.col(col) if isinstance(col, str) else col
+        n = self.name
+        plain = self.plain_terms(c)
+        if plain is not None:
+            return _indexed(plain)
         if n == "ngram":
             lo, hi = int(self.args[0]), int(self.args[1])
             s = self._norm(c)

@@ -105,12 +105,53 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def token_rows(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
-    """(field, doc_id, toks) for every non-NULL field value of every row."""
+    """(field, doc_id, dl, pos, term): one row per token of every field."""
     docs = spread(docs)
     parts = []
     for f in fields:
+        col = F.col(f.source) if isinstance(f.source, str) else f.source
+        plain = None if f.is_array else f.tokenizer.plain_terms(col)
+        if plain is not None:
+            arr = docs.select(F.lit(f.field_name).alias("field"), F.col(key).alias("doc_id"), plain.alias("a"))
+            parts.append(arr.select("field", "doc_id", F.size("a").cast("int").alias("dl"),
+                                    F.posexplode("a").alias("pos", "term")))
+        else:
+            arr = docs.select(F.lit(f.field_name).alias("field"), F.col(key).alias("doc_id"), field_tokens(f).alias("a"))
+            parts.append(arr.select("field", "doc_id", F.size("a").cast("int").alias("dl"), F.inline("a"))
+                         .select("field", "doc_id", "dl", "pos", "term"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def doc_lengths(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
+    """(field, doc_id, dl) for every non-NULL field value, empty ones included."""
+    parts = []
+    for f in fields:
+        col = F.col(f.source) if isinstance(f.source, str) else f.source
+        plain = None if f.is_array else f.tokenizer.plain_terms(col)
+        arr = plain if plain is not None else field_tokens(f)
         parts.append(docs.select(F.lit(f.field_name).alias("field"), F.col(key).alias("doc_id"),
-                                 field_tokens(f).alias("toks")).where(F.col("toks").isNotNull()))
+                                 F.size(arr).cast("int").alias("dl"), arr.isNull().alias("isnull"))
+                     .where(~F.col("isnull")).drop("isnull"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def empty_values(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
+    """(field, doc_id, dl=0) for non-NULL values without tokens (a cheap scan)."""
+    parts = []
+    for f in fields:
+        col = F.col(f.source) if isinstance(f.source, str) else f.source
+        if f.is_array:
+            cond = col.isNotNull() & (F.size(field_tokens(f)) == 0)
+        else:
+            cond = col.isNotNull() & f.tokenizer.is_empty(col)
+        parts.append(docs.where(cond).select(F.lit(f.field_name).alias("field"), F.col(key).alias("doc_id"),
+                                             F.lit(0).alias("dl")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -136,6 +177,7 @@ class SearchIndex:
         self.name = name
         self.path = path
         self._manifest = manifest
+        self._src = None
 
     # -- tokenizer used on the query side --------------------------------------
     def query_tokenizer(self, field: str) -> Tokenizer:
@@ -171,7 +213,14 @@ class SearchIndex:
         p = self.spark.read.parquet(f"{path}/postings")
         (p.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
          .repartitionByRange(n, "field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
-        self.doclens.write.mode("overwrite").partitionBy("field").parquet(f"{path}/doclens")
+        # document lengths from the written postings (no second tokenising
+        # pass) plus the non-NULL values that have no tokens at all
+        dls = p.groupBy("field", "doc_id").agg(F.max("dl").alias("dl"))
+        if self.docs is not None and self._src is not None:
+            dls = dls.unionByName(empty_values(self._src, self.key, list(self.fields.values())))
+        else:
+            dls = self.doclens
+        dls.write.mode("overwrite").partitionBy("field").parquet(f"{path}/doclens")
         dl = self.spark.read.parquet(f"{path}/doclens")
         _field_stats(dl).coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
         if self.vectors is not None:
@@ -232,11 +281,9 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
     src = docs.where(where) if where is not None else docs
     postings = doclens = terms = stats = None
     if fields:
-        rows = token_rows(src, key, fields)
-        doclens = rows.select("field", "doc_id", F.size("toks").cast("int").alias("dl"))
-        postings = (rows.select("field", "doc_id", F.size("toks").cast("int").alias("dl"),
-                                F.inline("toks"))
-                    .groupBy("field", "term", "doc_id")
+        toks = token_rows(src, key, fields)
+        doclens = doc_lengths(src, key, fields)
+        postings = (toks.groupBy("field", "term", "doc_id")
                     .agg(F.count("*").cast("int").alias("tf"), F.max("dl").alias("dl"),
                          F.sort_array(F.collect_list("pos")).alias("positions")))
         terms = postings.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
@@ -254,8 +301,10 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
         vectors = parts[0]
         for p in parts[1:]:
             vectors = vectors.unionByName(p)
-    return SearchIndex(spark, key, fields, list(vector_fields), postings, terms, stats, doclens, vectors,
-                       docs=docs, search_tokenizer=search_tokenizer, name=name)
+    idx = SearchIndex(spark, key, fields, list(vector_fields), postings, terms, stats, doclens, vectors,
+                      docs=docs, search_tokenizer=search_tokenizer, name=name)
+    idx._src = src
+    return idx
 
 
 def cached_index(spark: SparkSession, name: str, signature: str, build) -> SearchIndex:

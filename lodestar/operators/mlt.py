@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .index import SearchIndex
+from .joins import join_small
 from .search import _union, idf_terms, term_scores
 
 
@@ -70,7 +71,7 @@ def more_like_this_id(index: SearchIndex, sources: DataFrame, o: MltOptions = Ml
     per_field = {}
     for field in _fields(index, o):
         p = index.postings.where(F.col("field") == field).select(F.col("doc_id").alias("src_id"), "term", "tf")
-        src = sources.join(p, "src_id")
+        src = join_small(p, sources.select("query_id", "src_id"), "src_id")
         # each source ranks its own terms; a query's term set is their union
         kept = _select_terms(index, src.withColumn("query_id", F.struct("query_id", "src_id")), field, o)
         kept = kept.select(F.col("query_id.query_id").alias("query_id"), "term").distinct()

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .index import SearchIndex
+from .joins import join_small
 from .search import NOQ, Query, _finish, _union, field_postings, regex_terms
 
 
@@ -83,7 +84,7 @@ def _spans(index: SearchIndex, field: str, expr, qid: int) -> DataFrame:
     if isinstance(expr, Leaf):
         t = _leaf_terms(index, field, expr, qid)
         p = field_postings(index, field).select("term", "doc_id", "positions")
-        return (t.join(p, "term").select("query_id", "doc_id", F.explode("positions").alias("s"))
+        return (join_small(p, t, "term").select("query_id", "doc_id", F.explode("positions").alias("s"))
                 .withColumn("e", F.col("s")).distinct())
     left = _spans(index, field, expr.left, qid)
     right = _spans(index, field, expr.right, qid)

@@ -4,10 +4,11 @@ Every operator takes a :class:`SearchIndex`, a queries DataFrame
 (``query_id`` plus a value column) and a field, and returns
 ``(query_id, doc_id, score)`` — one row per matching document per query.
 Query terms are joined to the vocabulary (``terms``) first, which is small
-per query, then to ``postings`` on (field, term); AQE turns the second join
-into a broadcast when the query side is small at run time and keeps a
-shuffled join otherwise, so postings are never shuffled by term for small
-query batches and hot terms are never collected into one task.
+per query, then to ``postings`` on (field, term).  That second join
+broadcasts the query side only after a count proves it small
+(:func:`lodestar.operators.joins.join_small`), so postings are not shuffled
+for ordinary query batches; bigger batches take a shuffled join where AQE
+splits hot terms instead of sending them to one task.
 
 Scoring follows SURVEY §2.1: BM25 (k1 = 1.2, b = 0.75) summed over matched
 distinct query terms; fuzzy terms score the maximum over the vocabulary terms
@@ -25,6 +26,7 @@ from pyspark.sql.types import ArrayType
 from ..functions.analysis import Tokenizer
 from ..functions.fuzzy import deletion_variants, within_distance
 from .index import SearchIndex
+from .joins import join_small
 
 K1 = 1.2
 B = 0.75
@@ -126,7 +128,8 @@ def term_scores(index: SearchIndex, ex: DataFrame, field: str) -> DataFrame:
     """(query_id, doc_id, qterm, score): BM25 per matched original query term."""
     idf = idf_terms(index, field)
     p = field_postings(index, field).select("term", "doc_id", "tf", "dl")
-    j = ex.join(idf, "term").join(p, "term")
+    qside = ex.join(idf, "term")  # query terms × vocabulary: small per query
+    j = join_small(p, qside, "term")
     s = bm25(F.col("idf"), F.col("tf"), F.col("dl"), F.col("avgdl"))
     return (j.groupBy("query_id", "doc_id", "qterm").agg(F.max(s).alias("score")))
 
@@ -223,7 +226,7 @@ def regex(index: SearchIndex, field: str, patterns: dict, q: Query = NOQ) -> Dat
     """``regex``: documents with a token that full-matches the pattern (score 1)."""
     t = regex_terms(index, field, patterns)
     p = field_postings(index, field).select("term", "doc_id")
-    out = t.join(p, "term").select("query_id", "doc_id").distinct().withColumn("score", F.lit(1.0))
+    out = join_small(p, t, "term").select("query_id", "doc_id").distinct().withColumn("score", F.lit(1.0))
     return _finish(out, q)
 
 
@@ -243,14 +246,17 @@ def all_rows(docs: DataFrame, key: str) -> DataFrame:
 # positions: phrase, slop, phrase prefix, regex phrase
 # ---------------------------------------------------------------------------
 
-def occurrences(index: SearchIndex, qterms: DataFrame, field: str) -> DataFrame:
+def occurrences(index: SearchIndex, qterms: DataFrame, field: str, docs: DataFrame | None = None) -> DataFrame:
     """(query_id, doc_id, qpos, p): each query slot's term at each position.
 
     ``qterms`` has (query_id, qpos, term); a slot may carry several terms
-    (prefix / regex expansion)."""
+    (prefix / regex expansion).  ``docs`` (query_id, doc_id) keeps only
+    candidate documents before positions are exploded."""
     p = field_postings(index, field).select("term", "doc_id", "positions")
-    return (qterms.join(p, "term")
-            .select("query_id", "doc_id", "qpos", F.explode("positions").alias("p")))
+    j = join_small(p, qterms.select("query_id", "qpos", "term"), "term")
+    if docs is not None:
+        j = j.join(docs.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi")
+    return j.select("query_id", "doc_id", "qpos", F.explode("positions").alias("p"))
 
 
 def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
@@ -304,7 +310,7 @@ def phrase(index: SearchIndex, queries: DataFrame, field: str, value: str = "que
         raise ValueError(f"field {field!r} has no positions (tokenizer {tok.describe()})")
     qt = query_terms(index, queries, field, value, q)
     cand = match(index, queries, field, "all", value, q.with_(boost=None, const=None, fuzzy=None))
-    occ = occurrences(index, qt, field).join(cand.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi")
+    occ = occurrences(index, qt, field, cand)
     slots = qt.select("query_id", "qpos", F.col("term").alias("slot_key"))
     hit = slot_match(occ, slots, q.slop)
     return _finish(cand.join(hit, ["query_id", "doc_id"], "left_semi"), q)
@@ -318,10 +324,10 @@ def expanded_phrase(index: SearchIndex, slot_terms: DataFrame, field: str, slop:
     nslots = slot_terms.groupBy("query_id").agg(F.countDistinct("qpos").alias("n"))
     p = field_postings(index, field).select("term", "doc_id")
     # documents having some term of every slot
-    have = (slot_terms.join(p, "term").select("query_id", "doc_id", "qpos").distinct()
+    have = (join_small(p, slot_terms, "term").select("query_id", "doc_id", "qpos").distinct()
             .groupBy("query_id", "doc_id").agg(F.count("*").alias("c"))
             .join(nslots, "query_id").where(F.col("c") == F.col("n")).select("query_id", "doc_id"))
-    occ = occurrences(index, slot_terms, field).join(have, ["query_id", "doc_id"], "left_semi").distinct()
+    occ = occurrences(index, slot_terms, field, have).distinct()
     # slots compete for a position only if they can hold the same term; with
     # expansions we treat every slot as its own key (distinct expansions).
     slots = slot_terms.select("query_id", "qpos", F.col("qpos").cast("string").alias("slot_key")).distinct()

@@ -28,17 +28,20 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
     Uses ``spark.checkpoint.dir`` as configured for the cluster.  Only when it
-    is unset (tests, local runs) a fresh local folder is created and set.
+    is unset (tests, local runs) a fresh local folder is created and made the
+    checkpoint folder of the context.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="lodestar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        sc.setCheckpointDir(d)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return d.rstrip("/")
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d.rstrip("/")
+    cur = sc.getCheckpointDir()
+    if cur:
+        return cur.rstrip("/")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodestar-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
