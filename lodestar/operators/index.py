@@ -3,16 +3,21 @@
 An index is a handful of ordinary tables (see SURVEY §1.3):
 
 * ``postings``  field, term, doc_id, tf, dl, positions — one row per
-  (field, term, document); range-partitioned and sorted by (field, term) when
-  written, so a ``term IN (...)`` lookup prunes Parquet row groups.
+  (field, term, document); a bucketed table: hash-bucketed by doc_id and
+  sorted by term inside each bucket.  A query joins its (broadcast, size
+  checked) terms to the buckets and aggregates per (query, document) with no
+  shuffle, because the bucketing already clusters by document; a hot term is
+  spread over every bucket instead of one task; the term order inside files
+  still lets Parquet statistics prune literal term lookups.
 * ``terms``     field, term, df, cf
 * ``fields``    field, n_docs, avgdl, total_tokens
 * ``doclens``   field, doc_id, dl — every non-NULL row, also empty ones
 * ``vectors``   field, doc_id, embedding (double, cosine rows normalised)
 * ``manifest``  one row per field with its tokenizer, source and metric.
 
-Build is one Spark job: tokenise (narrow), explode, aggregate per
-(field, term, doc) with a map-side partial aggregate, then write.
+Build: the source rows are hash-partitioned by key into the bucket count
+(the only shuffle, of raw rows), then tokenising, the per-(field, term, doc)
+aggregate and the bucketed write all run inside those partitions.
 """
 
 from __future__ import annotations
@@ -91,22 +96,8 @@ def k_nonempty(col: Column) -> Column:
     return F.size(col) > 0
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows when the scan yields fewer splits than cores.
-
-    Large inputs come in many files and are left alone (no shuffle); a
-    single-file table would otherwise be tokenised by one task.
-    """
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
-
-
 def token_rows(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
     """(field, doc_id, dl, pos, term): one row per token of every field."""
-    docs = spread(docs)
     parts = []
     for f in fields:
         col = F.col(f.source) if isinstance(f.source, str) else f.source
@@ -178,6 +169,7 @@ class SearchIndex:
         self.path = path
         self._manifest = manifest
         self._src = None
+        self.buckets = None
 
     # -- tokenizer used on the query side --------------------------------------
     def query_tokenizer(self, field: str) -> Tokenizer:
@@ -205,12 +197,13 @@ class SearchIndex:
     def save(self, path: str, partitions: int | None = None) -> "SearchIndex":
         """Write every table under ``path`` and return the index read back."""
         n = partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        # range bounds on (field, term, doc_id): a hot term is split by doc_id
-        # ranges over several files instead of landing in one task
-        (self.postings.repartitionByRange(n, "field", "term", "doc_id")
-         .sortWithinPartitions("field", "term", "doc_id")
-         .write.mode("overwrite").partitionBy("field").parquet(f"{path}/postings"))
-        p = self.spark.read.parquet(f"{path}/postings")
+        nb = self.buckets or default_buckets(self.spark)
+        table = _postings_table(path)
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        (self.postings.sortWithinPartitions("field", "term", "doc_id")
+         .write.mode("overwrite").partitionBy("field").bucketBy(nb, "doc_id").sortBy("term")
+         .option("path", f"{path}/postings").saveAsTable(table))
+        p = self.spark.table(table)
         (p.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
          .repartitionByRange(n, "field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
         # document lengths from the written postings (no second tokenising
@@ -226,7 +219,7 @@ class SearchIndex:
         if self.vectors is not None:
             self.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
         self.manifest().coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
-        meta = {"name": self.name, "key": self.key,
+        meta = {"name": self.name, "key": self.key, "buckets": nb,
                 "search_tokenizer": _tok_json(self.search_tokenizer),
                 "fields": [{"name": f.field_name, "source": f.source_text(), "is_array": f.is_array,
                             "tokenizer": _tok_json(f.tokenizer)} for f in self.fields.values()],
@@ -244,11 +237,36 @@ class SearchIndex:
         fields = [Field(f["source"], _tok_from(f["tokenizer"]), f["name"], f["is_array"]) for f in meta["fields"]]
         vfs = [VectorField(v["source"], v["metric"], v["name"]) for v in meta["vectors"]]
         vectors = spark.read.parquet(f"{path}/vectors") if vfs else None
-        return SearchIndex(spark, meta["key"], fields, vfs,
-                           spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms"),
+        postings = _attach_postings(spark, path, meta.get("buckets"))
+        idx = SearchIndex(spark, meta["key"], fields, vfs,
+                           postings, spark.read.parquet(f"{path}/terms"),
                            spark.read.parquet(f"{path}/fields"), spark.read.parquet(f"{path}/doclens"), vectors,
                            search_tokenizer=_tok_from(meta["search_tokenizer"]), name=meta["name"], path=path,
                            manifest=spark.read.parquet(f"{path}/manifest"))
+        idx.buckets = meta.get("buckets")
+        return idx
+
+
+def _postings_table(path: str) -> str:
+    return "lodestar_postings_" + hashlib.sha1(path.encode()).hexdigest()[:16]
+
+
+def _attach_postings(spark: SparkSession, path: str, buckets: int | None) -> DataFrame:
+    """The stored postings as a bucketed table of this session's catalog.
+
+    The files carry their bucket ids; declaring the table over the folder
+    (external, nothing is copied) lets the planner use the bucketing.
+    """
+    if not buckets:
+        return spark.read.parquet(f"{path}/postings")
+    table = _postings_table(path)
+    if not spark.catalog.tableExists(table):
+        schema = spark.read.parquet(f"{path}/postings").schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != "field")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, field string) USING parquet PARTITIONED BY (field) "
+                  f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {int(buckets)} BUCKETS LOCATION '{path}/postings'")
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return spark.table(table)
 
 
 def _tok_json(t: Tokenizer | None):
@@ -266,9 +284,13 @@ def _field_stats(doclens: DataFrame) -> DataFrame:
                                         F.sum("dl").alias("total_tokens"))
 
 
+def default_buckets(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fields: list[VectorField] = (),
                 search_tokenizer: Tokenizer | None = None, where: Column | None = None,
-                name: str = "index") -> SearchIndex:
+                name: str = "index", buckets: int | None = None) -> SearchIndex:
     """Declare the index tables over ``docs`` (lazy; ``.save(path)`` writes them).
 
     ``where`` makes a partial index (rows meeting the predicate only).
@@ -279,9 +301,12 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
     if len(set(names)) != len(names):
         raise ValueError(f"duplicate field names {names}")
     src = docs.where(where) if where is not None else docs
+    nb = buckets or default_buckets(spark)
     postings = doclens = terms = stats = None
     if fields:
-        toks = token_rows(src, key, fields)
+        # rows of one key land in one bucket partition: everything after is local
+        keyed = src.repartition(nb, F.col(key))
+        toks = token_rows(keyed, key, fields)
         doclens = doc_lengths(src, key, fields)
         postings = (toks.groupBy("field", "term", "doc_id")
                     .agg(F.count("*").cast("int").alias("tf"), F.max("dl").alias("dl"),
@@ -304,6 +329,7 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
     idx = SearchIndex(spark, key, fields, list(vector_fields), postings, terms, stats, doclens, vectors,
                       docs=docs, search_tokenizer=search_tokenizer, name=name)
     idx._src = src
+    idx.buckets = nb
     return idx
 
 

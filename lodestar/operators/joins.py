@@ -17,9 +17,26 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``big.join(small)`` with ``small`` broadcast only when counted ≤ ``max_rows``."""
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS,
+               materialize: bool = False) -> DataFrame:
+    """``big.join(small)`` with ``small`` broadcast only when counted ≤ ``max_rows``.
+
+    ``materialize``: the small side is costly to compute (it reads index
+    tables itself), so it is checkpointed to the shared checkpoint folder
+    first — counted and joined without being computed twice.
+    """
+    if materialize:
+        small = checkpointed(small)
     n = small.count()
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in ``spark.checkpoint.dir`` (cuts lineage; survives
+    executor loss, unlike a local checkpoint)."""
+    from ..session import work_dir
+
+    work_dir(df.sparkSession)  # make sure a checkpoint folder is set
+    return df.checkpoint(eager=True)

@@ -52,7 +52,7 @@ def _search_terms(index: SearchIndex, per_field: dict) -> DataFrame:
     parts = []
     for field, qt in per_field.items():
         ex = qt.select("query_id", F.col("term").alias("qterm"), "term").distinct()
-        parts.append(term_scores(index, ex, field))
+        parts.append(term_scores(index, ex, field, expanded=False))
     u = _union(parts, "query_id bigint, doc_id bigint, qterm string, score double")
     return u.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
 

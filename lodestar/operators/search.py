@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType
 from ..functions.analysis import Tokenizer
 from ..functions.fuzzy import deletion_variants, within_distance
 from .index import SearchIndex
-from .joins import join_small
+from .joins import checkpointed, join_small
 
 K1 = 1.2
 B = 0.75
@@ -107,8 +107,13 @@ def fuzzy_expand(index: SearchIndex, qd: DataFrame, field: str, d: int, prefix:
     if d < 0 or d > 2:
         raise ValueError("fuzzy distance must be 0, 1 or 2")
     vocab = index.terms.where(F.col("field") == field).select("term")
+    lens = qd.select(F.min(F.length("qterm")).alias("lo"), F.max(F.length("qterm")).alias("hi"))
+    if not prefix:
+        # only terms whose length can be within d of some query term
+        vocab = (vocab.crossJoin(F.broadcast(lens))  # one-row table
+                 .where((F.length("term") >= F.col("lo") - d) & (F.length("term") <= F.col("hi") + d))
+                 .select("term"))
     if prefix:
-        lens = qd.select(F.min(F.length("qterm")).alias("lo"), F.max(F.length("qterm")).alias("hi"))
         vocab = (vocab.crossJoin(F.broadcast(lens))  # one-row table
                  .select("term", F.explode(F.sequence(F.greatest(F.col("lo") - d, F.lit(1)),
                                                       F.least(F.col("hi") + d, F.length("term")))).alias("n"))
@@ -124,13 +129,19 @@ def fuzzy_expand(index: SearchIndex, qd: DataFrame, field: str, d: int, prefix:
     return pairs.select("query_id", "qterm", "term").distinct()
 
 
-def term_scores(index: SearchIndex, ex: DataFrame, field: str) -> DataFrame:
-    """(query_id, doc_id, qterm, score): BM25 per matched original query term."""
+def term_scores(index: SearchIndex, ex: DataFrame, field: str, expanded: bool = True) -> DataFrame:
+    """(query_id, doc_id, qterm, score): BM25 per matched original query term.
+
+    ``expanded``: a query term may stand for several vocabulary terms (fuzzy),
+    so the best of them is kept; otherwise each row is already one term.
+    """
     idf = idf_terms(index, field)
     p = field_postings(index, field).select("term", "doc_id", "tf", "dl")
     qside = ex.join(idf, "term")  # query terms × vocabulary: small per query
     j = join_small(p, qside, "term")
     s = bm25(F.col("idf"), F.col("tf"), F.col("dl"), F.col("avgdl"))
+    if not expanded:
+        return j.select("query_id", "doc_id", "qterm", s.alias("score"))
     return (j.groupBy("query_id", "doc_id", "qterm").agg(F.max(s).alias("score")))
 
 
@@ -148,7 +159,7 @@ def match(index: SearchIndex, queries: DataFrame, field: str, mode: str = "any",
     """``matchAny`` / ``matchAll``: documents with any / all distinct query terms."""
     qt = query_terms(index, queries, field, value, q)
     ex = expand(index, qt, field, q)
-    ts = term_scores(index, ex, field)
+    ts = term_scores(index, ex, field, expanded=bool(q.fuzzy))
     g = ts.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"), F.count("*").alias("n"))
     if mode == "all":
         need = qt.groupBy("query_id").agg(F.countDistinct("term").alias("need"))
@@ -250,12 +261,17 @@ def occurrences(index: SearchIndex, qterms: DataFrame, field: str, docs: DataFra
     """(query_id, doc_id, qpos, p): each query slot's term at each position.
 
     ``qterms`` has (query_id, qpos, term); a slot may carry several terms
-    (prefix / regex expansion).  ``docs`` (query_id, doc_id) keeps only
-    candidate documents before positions are exploded."""
+    (prefix / regex expansion).  With ``docs`` (query_id, doc_id candidates)
+    the pairs (query, candidate document, slot term) are formed first and
+    joined to postings on (term, doc_id), so positions are read only for
+    candidate documents and postings are not shuffled.
+    """
     p = field_postings(index, field).select("term", "doc_id", "positions")
-    j = join_small(p, qterms.select("query_id", "qpos", "term"), "term")
-    if docs is not None:
-        j = j.join(docs.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi")
+    if docs is None:
+        j = join_small(p, qterms.select("query_id", "qpos", "term"), "term")
+    else:
+        want = docs.select("query_id", "doc_id").join(qterms.select("query_id", "qpos", "term"), "query_id")
+        j = join_small(p, want, ["term", "doc_id"], materialize=True)
     return j.select("query_id", "doc_id", "qpos", F.explode("positions").alias("p"))
 
 
@@ -309,7 +325,9 @@ def phrase(index: SearchIndex, queries: DataFrame, field: str, value: str = "que
     if not tok.has_positions:
         raise ValueError(f"field {field!r} has no positions (tokenizer {tok.describe()})")
     qt = query_terms(index, queries, field, value, q)
-    cand = match(index, queries, field, "all", value, q.with_(boost=None, const=None, fuzzy=None))
+    # candidates (documents with every term, BM25-scored) are used twice:
+    # written once to the checkpoint folder instead of computed twice
+    cand = checkpointed(match(index, queries, field, "all", value, q.with_(boost=None, const=None, fuzzy=None)))
     occ = occurrences(index, qt, field, cand)
     slots = qt.select("query_id", "qpos", F.col("term").alias("slot_key"))
     hit = slot_match(occ, slots, q.slop)
