@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .index import SearchIndex
-from .joins import join_small
+from .joins import checkpointed, join_small
 from .search import NOQ, Query, _finish, _union, field_postings, regex_terms
 
 
@@ -92,11 +92,12 @@ def _spans(index: SearchIndex, field: str, expr, qid: int) -> DataFrame:
 
 
 def pair_spans(left: DataFrame, right: DataFrame, d: int, ordered: bool) -> DataFrame:
-    """Spans of (left within d of right); documents are first cut to those with both."""
-    both_docs = left.select("query_id", "doc_id").distinct().join(
-        right.select("query_id", "doc_id").distinct(), ["query_id", "doc_id"])
-    left = left.join(both_docs, ["query_id", "doc_id"], "left_semi")
-    right = right.join(both_docs, ["query_id", "doc_id"], "left_semi")
+    """Spans of (left within d of right).
+
+    Both operands are read twice (right-after and right-before), so each is
+    checkpointed once to the shared folder instead of being recomputed.
+    """
+    left, right = checkpointed(left), checkpointed(right)
     w = d + 1
     r = right.select("query_id", "doc_id", F.col("s").alias("rs"), F.col("e").alias("re"))
     # right after left: rs in [e + 1, e + 1 + d]

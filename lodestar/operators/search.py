@@ -285,16 +285,43 @@ def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
     n = slots.groupBy("query_id").agg(F.countDistinct("qpos").alias("n"))
     s = occ.withColumn("s", F.col("p") - F.col("qpos"))
     if slop == 0:
-        g = (s.groupBy("query_id", "doc_id", "s").agg(F.countDistinct("qpos").alias("c"))
+        # p = s + qpos: one occurrence row per (s, qpos) at most, so a plain
+        # count is the number of distinct slots
+        g = (s.groupBy("query_id", "doc_id", "s").agg(F.count("*").alias("c"))
              .join(n, "query_id").where(F.col("c") == F.col("n")))
         return g.select("query_id", "doc_id").distinct()
     w = slop + 1
+    s = checkpointed(s)  # read as anchors and as members of the windows
     anchors = s.select("query_id", "doc_id", F.col("s").alias("a")).distinct()
     ab = anchors.withColumn("b", F.explode(F.array(F.floor(F.col("a") / w), F.floor(F.col("a") / w) + 1)))
     sb = s.withColumn("b", F.floor(F.col("s") / w))
     j = (ab.join(sb, ["query_id", "doc_id", "b"])
          .where((F.col("s") >= F.col("a")) & (F.col("s") <= F.col("a") + slop)))
-    # positions usable by a slot key inside window a: greedy assignment in slot order
+    # queries whose slots are all different terms: distinct positions are
+    # automatic, a window holding every slot is enough
+    keys = slots.groupBy("query_id").agg(F.countDistinct("slot_key").alias("nk"), F.countDistinct("qpos").alias("n"))
+    # (slots seen in a window as a bit mask when a query has ≤ 62 slots,
+    # else a distinct count)
+    simple_q = keys.where((F.col("nk") == F.col("n")) & (F.col("n") <= 62)).select("query_id", "n")
+    wide_q = keys.where((F.col("nk") == F.col("n")) & (F.col("n") > 62)).select("query_id")
+    repeat_q = keys.where(F.col("nk") < F.col("n")).select("query_id")
+    bit = F.expr("shiftleft(CAST(1 AS BIGINT), qpos)")
+    simple = (j.join(F.broadcast(simple_q), "query_id")  # ≤ one row per query
+              .groupBy("query_id", "doc_id", "a").agg(F.bit_or(bit).alias("m"), F.max("n").alias("n"))
+              .where(F.col("m") == F.expr("shiftleft(CAST(1 AS BIGINT), n) - 1"))
+              .select("query_id", "doc_id").distinct())
+    wide = (j.join(F.broadcast(wide_q), "query_id", "left_semi")
+            .select("query_id", "doc_id", "a", "qpos").distinct()
+            .groupBy("query_id", "doc_id", "a").agg(F.count("*").alias("c"))
+            .join(n, "query_id").where(F.col("c") == F.col("n")).select("query_id", "doc_id").distinct())
+    # which paths are needed at all: one summary row
+    flags = keys.agg(F.max(F.col("n") > 62).alias("wide"), F.max(F.col("nk") < F.col("n")).alias("rep")).first()
+    if flags["wide"]:
+        simple = simple.unionByName(wide)
+    if not flags["rep"]:
+        return simple
+    j = j.join(F.broadcast(repeat_q), "query_id", "left_semi")
+    # repeated terms compete for positions: greedy assignment in slot order
     jk = j.join(slots, ["query_id", "qpos"])
     per_key = jk.groupBy("query_id", "doc_id", "a", "slot_key").agg(
         F.array_sort(F.collect_set("p")).alias("ps"))
@@ -309,10 +336,9 @@ def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
 
     ok = F.aggregate(F.col("qs"), F.struct(F.lit(-1).cast("int").alias("last"), F.lit(True).alias("ok")), step,
                      lambda acc: acc["ok"])
-    keys = slots.groupBy("query_id").agg(F.countDistinct("slot_key").alias("nk"))
     good = (per_key.where(ok).groupBy("query_id", "doc_id", "a").agg(F.count("*").alias("k"))
             .join(keys, "query_id").where(F.col("k") == F.col("nk")))
-    return good.select("query_id", "doc_id").distinct()
+    return simple.unionByName(good.select("query_id", "doc_id").distinct())
 
 
 def phrase(index: SearchIndex, queries: DataFrame, field: str, value: str = "query", q: Query = NOQ) -> DataFrame:
