@@ -333,6 +333,9 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
     return idx
 
 
+_OPENED: dict = {}
+
+
 def cached_index(spark: SparkSession, name: str, signature: str, build) -> SearchIndex:
     """Open the index stored for ``signature`` in the shared work folder, or build it.
 
@@ -342,12 +345,14 @@ def cached_index(spark: SparkSession, name: str, signature: str, build) -> Searc
     """
     h = hashlib.sha1(signature.encode()).hexdigest()[:16]
     path = f"{work_dir(spark)}/lodestar/index/{name}-{h}"
+    memo_key = (spark.sparkContext.applicationId, path)
+    if memo_key in _OPENED:  # stored indexes are immutable: reuse the opened tables
+        return _OPENED[memo_key]
     if path_exists(spark, f"{path}/_DONE"):
         idx = SearchIndex.open(spark, path)
     else:
-        built = build()
-        tmp = f"{path}"
-        idx = built.save(tmp)
+        idx = build().save(path)
         spark.createDataFrame([(uuid.uuid4().hex,)], "v string").coalesce(1).write.mode("overwrite").text(
             f"{path}/_DONE")
+    _OPENED[memo_key] = idx
     return idx

@@ -18,12 +18,12 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS,
-               materialize: bool = False) -> DataFrame:
+               materialize: bool = True) -> DataFrame:
     """``big.join(small)`` with ``small`` broadcast only when counted ≤ ``max_rows``.
 
-    ``materialize``: the small side is costly to compute (it reads index
-    tables itself), so it is checkpointed to the shared checkpoint folder
-    first — counted and joined without being computed twice.
+    ``materialize``: the small side (it often reads the vocabulary itself) is
+    checkpointed to the shared checkpoint folder first, so it is counted and
+    joined without being computed twice.
     """
     if materialize:
         small = checkpointed(small)

@@ -131,6 +131,10 @@ def build_clusters(rows: DataFrame, key: str, vec: str, centroid_ratio: float =
 
     n = rows.where(F.col(vec).isNotNull()).count()
     k = max(1, math.ceil(centroid_ratio * n))
+    dim = rows.select(F.max(F.size(vec))).first()[0] or 1
+    if k * dim > QUERY_BUDGET_FLOATS:
+        # the centroid matrix goes to every assignment task: keep it bounded
+        raise ValueError(f"{k} centroids x {dim} dims exceed the broadcast budget; lower centroid_ratio")
     m = training_samples_per_centroid * k
     src = rows.select(F.col(key).alias("doc_id"), F.col(vec).alias("vec")).where(F.col("vec").isNotNull())
     # deterministic sample: lowest xxhash64 of the key (independent of partitioning)

@@ -33,7 +33,7 @@ class MltOptions:
 
 def _select_terms(index: SearchIndex, src: DataFrame, field: str, o: MltOptions) -> DataFrame:
     """src: (query_id, term, tf) of one field → (query_id, term) kept."""
-    t = src.join(idf_terms(index, field).select("term", "df", "idf"), "term")
+    t = join_small(idf_terms(index, field).select("term", "df", "idf"), src, "term")
     c = (F.col("tf") >= o.min_term_frequency) & (F.col("df") >= o.min_doc_frequency)
     if o.max_doc_frequency is not None:
         c &= F.col("df") <= o.max_doc_frequency

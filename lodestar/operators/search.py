@@ -137,7 +137,9 @@ def term_scores(index: SearchIndex, ex: DataFrame, field: str, expanded: bool =
     """
     idf = idf_terms(index, field)
     p = field_postings(index, field).select("term", "doc_id", "tf", "dl")
-    qside = ex.join(idf, "term")  # query terms × vocabulary: small per query
+    # query terms look up the vocabulary, then the postings; both lookups
+    # broadcast the (counted) query side, so neither index table is shuffled
+    qside = join_small(idf, ex, "term")
     j = join_small(p, qside, "term")
     s = bm25(F.col("idf"), F.col("tf"), F.col("dl"), F.col("avgdl"))
     if not expanded:

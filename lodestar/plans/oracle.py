@@ -37,7 +37,7 @@ def index_ctes(p: str, table: str, key: str, expr: str, pat: str = WORDS, lower:
         f"FROM {p}_tok GROUP BY term, doc_id)",
         f"{p}_dl AS (SELECT {key} AS doc_id, len({le}) AS dl FROM {src} WHERE {expr} IS NOT NULL)",
         f"{p}_st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM {p}_dl)",
-        f"{p}_idf AS (SELECT term, count(*) AS df, sum(tf) AS cf, "
+        f"{p}_idf AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, "
         f"ln(1 + (st.n - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS idf "
         f"FROM {p}_post, {p}_st st GROUP BY term, st.n)",
     ])

@@ -481,7 +481,8 @@ def r_bool(spark, sf):
     return docs.where((F.col("a").isNotNull() | F.col("b").isNotNull()) & F.col("c").isNull()).select("doc_id")
 
 
-@reg("r_join_inner", "SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN labels l ON l.doc_id = d.doc_id")
+@reg("r_join_inner", "SELECT d.doc_id, d.lang, l.quality::BIGINT AS quality, l.toxic::BIGINT AS toxic FROM documents d "
+     "JOIN labels l ON l.doc_id = d.doc_id")
 def r_join_inner(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "lang").join(table(spark, sf, "labels"), "doc_id")
 
@@ -529,29 +530,27 @@ def r_cte(spark, sf):
 
 
 @reg("r_scalar", "SELECT event_id, lower(event_type) || '-' || CAST(user_id AS VARCHAR) AS tag, value + 1 AS v1, "
-     "props->>'k' AS k, CAST(value AS DOUBLE) AS v, round(1.0::DOUBLE / (60 + row_number() OVER (PARTITION BY user_id "
-     "ORDER BY ts, event_id)), 6) AS rr FROM events")
+     "props->>'k' AS k, CAST(value AS DOUBLE) AS v, round(1.0::DOUBLE / (60 + value), 6) AS rr FROM events")
 def r_scalar(spark, sf):
+    """lower, ||, +, ->>, ::float8 and 1.0 / (k + x) per row."""
     e = table(spark, sf, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     return e.select("event_id", F.concat(F.lower("event_type"), F.lit("-"), F.col("user_id").cast("string")).alias("tag"),
                     (F.col("value") + 1).alias("v1"), F.get_json_object("props", "$.k").alias("k"),
-                    F.col("value").cast("double").alias("v"),
-                    F.round(1.0 / (60 + F.row_number().over(w)), 6).alias("rr"))
+                    F.col("value").cast("double").alias("v"), F.round(1.0 / (60 + F.col("value")), 6).alias("rr"))
 
 
 # ---------------------------------------------------------------------------
 # sources and sinks
 # ---------------------------------------------------------------------------
 
-@reg("io_scan_table", "SELECT p_partkey, p_name, p_type, p_size, p_retailprice FROM part")
+@reg("io_scan_table", "SELECT p_partkey, p_name, p_type, p_size::BIGINT AS p_size, p_retailprice FROM part")
 def io_scan_table(spark, sf):
     """Scan held to a declared schema (only the declared columns are read)."""
     return read_table(spark, f"{sf}/part.parquet",
                       "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double")
 
 
-@reg("io_ctas", "SELECT p_partkey AS id, p_name AS description, p_type AS category, p_size AS rating FROM part")
+@reg("io_ctas", "SELECT p_partkey AS id, p_name AS description, p_type AS category, p_size::BIGINT AS rating FROM part")
 def io_ctas(spark, sf):
     """``INSERT … SELECT`` into a new table, read back."""
     src = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("description"),
