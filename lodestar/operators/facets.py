@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KINDS = ("value_count", "avg", "terms", "range")
-
 
 def metric(kind: str, col: str | Column, where: Column | None = None) -> Column:
     """One metric aggregate; ``where`` is the ``.filter()`` of the reference."""
@@ -48,11 +46,10 @@ def terms_buckets(df: DataFrame, col: str | Column, size: int | None = None, gro
     g = df.select(*keys, c.alias("key")).where(F.col("key").isNotNull()).groupBy(*keys, "key").agg(
         F.count("*").alias("doc_count"))
     if size is not None:
-        w = Window.partitionBy(*keys).orderBy(F.col("doc_count").desc(), F.col("key")) if keys else \
-            Window.orderBy(F.col("doc_count").desc(), F.col("key"))
         if not keys:
             # global top-n: Spark plans sort + limit as TakeOrderedAndProject
             return g.orderBy(F.col("doc_count").desc(), F.col("key")).limit(size)
+        w = Window.partitionBy(*keys).orderBy(F.col("doc_count").desc(), F.col("key"))
         g = g.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= size).drop("rn")
     return g
 

@@ -24,8 +24,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import threading
 import uuid
-from dataclasses import dataclass, field as dfield
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -200,7 +201,8 @@ class SearchIndex:
         nb = self.buckets or default_buckets(self.spark)
         table = _postings_table(path)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        (self.postings.sortWithinPartitions("field", "term", "doc_id")
+        # the bucketed writer sorts each task's rows by (field, bucket, term) itself
+        (self.postings
          .write.mode("overwrite").partitionBy("field").bucketBy(nb, "doc_id").sortBy("term")
          .option("path", f"{path}/postings").saveAsTable(table))
         p = self.spark.table(table)
@@ -334,6 +336,7 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
 
 
 _OPENED: dict = {}
+_BUILD_LOCK = threading.Lock()
 
 
 def cached_index(spark: SparkSession, name: str, signature: str, build) -> SearchIndex:
@@ -346,13 +349,14 @@ def cached_index(spark: SparkSession, name: str, signature: str, build) -> Searc
     h = hashlib.sha1(signature.encode()).hexdigest()[:16]
     path = f"{work_dir(spark)}/lodestar/index/{name}-{h}"
     memo_key = (spark.sparkContext.applicationId, path)
-    if memo_key in _OPENED:  # stored indexes are immutable: reuse the opened tables
-        return _OPENED[memo_key]
-    if path_exists(spark, f"{path}/_DONE"):
-        idx = SearchIndex.open(spark, path)
-    else:
-        idx = build().save(path)
-        spark.createDataFrame([(uuid.uuid4().hex,)], "v string").coalesce(1).write.mode("overwrite").text(
-            f"{path}/_DONE")
-    _OPENED[memo_key] = idx
+    with _BUILD_LOCK:  # one builder per index within a driver
+        if memo_key in _OPENED:  # stored indexes are immutable: reuse the opened tables
+            return _OPENED[memo_key]
+        if path_exists(spark, f"{path}/_DONE"):
+            idx = SearchIndex.open(spark, path)
+        else:
+            idx = build().save(path)
+            spark.createDataFrame([(uuid.uuid4().hex,)], "v string").coalesce(1).write.mode("overwrite").text(
+                f"{path}/_DONE")
+        _OPENED[memo_key] = idx
     return idx

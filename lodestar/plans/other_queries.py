@@ -19,7 +19,7 @@ from ..streaming.append import append
 from ..session import work_dir
 from . import oracle as O
 from .registry import documents_index, reg, stored_index, table
-from .text_queries import DOCS, QB_SQL, _bench, _q, _qv
+from .text_queries import DOCS, _bench, _q, _qv
 
 # ---------------------------------------------------------------------------
 # ranges over part: [p_size, p_size + 10)
@@ -497,12 +497,15 @@ def r_union_all(spark, sf):
 
 
 @reg("r_group_sum", "SELECT l_returnflag, l_linestatus, CAST(sum(l_quantity) AS DOUBLE) AS sum_qty, "
-     "round(sum(l_extendedprice), 2) AS sum_price, count(*) AS n FROM lineitem GROUP BY l_returnflag, l_linestatus")
+     "CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS sum_price_cents, count(*) AS n "
+     "FROM lineitem GROUP BY l_returnflag, l_linestatus")
 def r_group_sum(spark, sf):
+    """group by + sum (prices summed as integer cents, exact in any order)."""
     li = table(spark, sf, "lineitem")
-    return li.groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").cast("double").alias("sum_qty"),
-                                                          F.round(F.sum("l_extendedprice"), 2).alias("sum_price"),
-                                                          F.count("*").alias("n"))
+    return li.groupBy("l_returnflag", "l_linestatus").agg(
+        F.sum("l_quantity").cast("double").alias("sum_qty"),
+        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("sum_price_cents"),
+        F.count("*").alias("n"))
 
 
 @reg("r_row_number", "SELECT lang, doc_id, rn FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY "

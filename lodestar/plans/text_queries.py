@@ -10,7 +10,7 @@ from ..operators import highlight as H
 from ..operators import mlt as M
 from ..operators import proximity as P
 from ..operators import search as S
-from ..operators.index import Field, build_index
+from ..operators.index import Field
 from ..operators.querystring import query_string
 from . import oracle as O
 from .registry import documents_index, reg, stored_index, table
@@ -89,7 +89,6 @@ _tok_query("tk_literal", "part", "p_partkey", "p_type", A.literal(), "[p_type]")
 _tok_query("tk_literal_normalized", "part", "p_partkey", "p_type", A.literal_normalized(), "[lower(p_type)]")
 _tok_query("tk_trim", "part", "p_partkey", "p_name", A.literal_normalized(trim=True),
            "[lower(trim(concat('  ', p_name, ' ')))]", expr="concat('  ', p_name, ' ')")
-_NGRAM_SQL = ("list_transform(list_filter(range(0, length(lower({c})) - {lo} + 1), lambda st: true), lambda st: st)")
 
 
 def _ngram_sql(c, lo, hi):

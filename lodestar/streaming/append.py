@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.index import SearchIndex, _field_stats, build_index
-from ..session import path_exists
 
 
 def _read_meta(spark, path):
