@@ -286,8 +286,25 @@ def _field_stats(doclens: DataFrame) -> DataFrame:
                                         F.sum("dl").alias("total_tokens"))
 
 
-def default_buckets(spark: SparkSession) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+BUCKET_TARGET_BYTES = 256 << 20  # raw input per postings bucket
+
+
+def default_buckets(spark: SparkSession, docs: DataFrame | None = None) -> int:
+    """About 256 MB of raw input per bucket (file sizes from the file system),
+    never fewer buckets than the cluster's default parallelism."""
+    par = spark.sparkContext.defaultParallelism
+    if docs is None:
+        return max(int(spark.conf.get("spark.sql.shuffle.partitions")), par)
+    try:
+        jvm = spark._jvm
+        conf = spark._jsc.hadoopConfiguration()
+        total = 0
+        for f in docs.inputFiles():
+            p = jvm.org.apache.hadoop.fs.Path(f)
+            total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    except Exception:  # noqa: BLE001 - not a file source: fall back to the shuffle width
+        return max(int(spark.conf.get("spark.sql.shuffle.partitions")), par)
+    return max(par, -(-total // BUCKET_TARGET_BYTES))
 
 
 def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fields: list[VectorField] = (),
@@ -303,7 +320,7 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
     if len(set(names)) != len(names):
         raise ValueError(f"duplicate field names {names}")
     src = docs.where(where) if where is not None else docs
-    nb = buckets or default_buckets(spark)
+    nb = buckets or default_buckets(spark, docs)
     postings = doclens = terms = stats = None
     if fields:
         # rows of one key land in one bucket partition: everything after is local

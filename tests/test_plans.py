@@ -34,3 +34,19 @@ def test_per_query_top_k_limits_before_shuffle(spark, index):
     q = spark.createDataFrame([(1, "running shoes the")], "query_id bigint, query string")
     plan = S.top_k(S.match_any(index, q, "description"), 2)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_bucket_count_follows_input_size(spark, tmp_path):
+    from lodestar.operators import index as I
+
+    p = str(tmp_path / "t")
+    spark.range(1000).write.parquet(p)
+    df = spark.read.parquet(p)
+    par = spark.sparkContext.defaultParallelism
+    assert I.default_buckets(spark, df) == par
+    old = I.BUCKET_TARGET_BYTES
+    try:
+        I.BUCKET_TARGET_BYTES = 64  # tiny target: many buckets
+        assert I.default_buckets(spark, df) > par
+    finally:
+        I.BUCKET_TARGET_BYTES = old
