@@ -18,22 +18,36 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import token_offsets
 from .index import SearchIndex
+from .joins import join_small
 
 
-def matched_tokens(index: SearchIndex, field: str, matches: DataFrame, qterms: DataFrame) -> DataFrame:
-    """(query_id, doc_id, start, end) of the tokens of matched documents that
-    are query terms.  ``qterms``: (query_id, term)."""
+def matched_docs(index: SearchIndex, field: str, matches: DataFrame) -> DataFrame:
+    """(doc_id, text) of the matched documents, hash-partitioned by doc_id.
+
+    Only matched rows are shuffled (their ids are broadcast after a size
+    check); everything downstream — token offsets, the per-(query, document)
+    fold, the text lookup — then runs inside these partitions.
+    """
     f = index.fields[field]
-    pattern = f.tokenizer.word_pattern()
-    if pattern is None or not isinstance(f.source, str):
+    if f.tokenizer.word_pattern() is None or not isinstance(f.source, str):
         raise ValueError("highlighting needs a word tokenizer on a plain text column")
     docs = index.docs.select(F.col(index.key).alias("doc_id"), F.col(f.source).alias("text"))
+    ids = matches.select("doc_id").distinct()
+    return join_small(docs, ids, "doc_id", "left_semi").repartition("doc_id")
+
+
+def matched_tokens(index: SearchIndex, field: str, matches: DataFrame, qterms: DataFrame,
+                   md: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id, start, end) of the tokens of matched documents that
+    are query terms.  ``qterms``: (query_id, term)."""
+    f = index.fields[field]
+    md = md if md is not None else matched_docs(index, field, matches)
     pairs = matches.select("query_id", "doc_id").distinct()
     # each matched document is tokenised once, whatever the number of queries
-    md = docs.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    toks = token_offsets(md, "text", pattern, f.tokenizer.lowercase).select("doc_id", "term", "start", "end")
+    toks = token_offsets(md, "text", f.tokenizer.word_pattern(), f.tokenizer.lowercase).select(
+        "doc_id", "term", "start", "end")
     want = pairs.join(qterms.select("query_id", "term").distinct(), "query_id")
-    return toks.join(want, ["doc_id", "term"]).select("query_id", "doc_id", "start", "end")
+    return join_small(toks, want, ["doc_id", "term"]).select("query_id", "doc_id", "start", "end")
 
 
 def snippet_positions(index, field, matches, qterms) -> DataFrame:
@@ -44,8 +58,8 @@ def snippet_positions(index, field, matches, qterms) -> DataFrame:
 def fragments(index: SearchIndex, field: str, matches: DataFrame, qterms: DataFrame,
               start_tag: str = "<b>", end_tag: str = "</b>", max_num_chars: int = 150) -> DataFrame:
     """(query_id, doc_id, frag_idx, frag_start, score, snippet) per fragment."""
-    f = index.fields[field]
-    mt = matched_tokens(index, field, matches, qterms)
+    md = matched_docs(index, field, matches)
+    mt = matched_tokens(index, field, matches, qterms, md)
     per = mt.groupBy("query_id", "doc_id").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("toks"))
     m = max_num_chars
@@ -67,8 +81,7 @@ def fragments(index: SearchIndex, field: str, matches: DataFrame, qterms: DataFr
                  F.element_at("firsts", F.col("frag_idx") + 2)).otherwise(F.size("toks"))
     fr = fr.select("query_id", "doc_id", "frag_idx",
                    F.slice("toks", F.col("first") + 1, nxt - F.col("first")).alias("ft"))
-    docs = index.docs.select(F.col(index.key).alias("doc_id"), F.col(f.source).alias("text"))
-    fr = fr.join(docs, "doc_id")
+    fr = fr.join(md, "doc_id")
     s = F.element_at("ft", 1)["start"]
     fe = F.least(s + m, F.length("text"))
     fr = fr.withColumn("fs", s).withColumn("fe", fe)
