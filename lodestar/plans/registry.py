@@ -12,6 +12,9 @@ from ..session import file_signature
 
 QUERIES: dict = {}
 ORACLE: dict = {}
+# part of every stored-index signature; a caller (the bench) may set a fresh
+# value to force cold builds without touching the session's settings
+INDEX_NAMESPACE = ""
 
 
 def reg(name: str, sql: str | None = None):
@@ -51,7 +54,8 @@ def stored_index(spark: SparkSession, sf: str, name: str, source: str, key: str,
     src = docs if docs is not None else table(spark, sf, source)
     spec = repr([(f.field_name, f.tokenizer, f.source_text(), f.is_array) for f in fields]) + repr(
         [(v.field_name, v.metric, v.source) for v in vector_fields]) + repr(search_tokenizer) + where_text
-    sig = f"{sf}/{source}|{file_signature(spark, f'{sf}/{source}.parquet')}|{key}|{spec}|v6"
+    sig = (f"{sf}/{source}|{file_signature(spark, f'{sf}/{source}.parquet')}|{key}|{spec}|v6"
+           f"|{INDEX_NAMESPACE}")
     idx = cached_index(spark, name, sig, lambda: build_index(src, key, fields, list(vector_fields),
                                                              search_tokenizer, where, name=name))
     idx.docs = src
