@@ -13,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# rows of a query-side table that may be sent to every task
-BROADCAST_MAX_ROWS = 2_000_000
+# estimated bytes of a query-side table that may be sent to every task
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS,
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int | None = None,
                materialize: bool = True) -> DataFrame:
-    """``big.join(small)`` with ``small`` broadcast only when counted ≤ ``max_rows``.
+    """``big.join(small)`` with ``small`` broadcast only when its counted rows
+    times the schema's default row width stay ≤ ``max_bytes``.
 
     ``materialize``: the small side (it often reads the vocabulary itself) is
     checkpointed to the shared checkpoint folder first, so it is counted and
@@ -27,12 +28,22 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_row
     """
     if materialize:
         small = checkpointed(small)
+    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     n = small.count()
-    if n <= max_rows:
+    if n * row_width(small) <= limit:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
 
+def row_width(df: DataFrame) -> int:
+    """Spark's default size estimate of one row of ``df`` (strings 20 bytes,
+    arrays and maps by their element estimates)."""
+    try:
+        return int(df._jdf.schema().defaultSize())
+    except Exception:  # noqa: BLE001
+        return 64
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in ``spark.checkpoint.dir`` (cuts lineage; survives
     executor loss, unlike a local checkpoint)."""

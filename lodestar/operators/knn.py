@@ -137,8 +137,11 @@ def build_clusters(rows: DataFrame, key: str, vec: str, centroid_ratio: float =
         raise ValueError(f"{k} centroids x {dim} dims exceed the broadcast budget; lower centroid_ratio")
     m = training_samples_per_centroid * k
     src = rows.select(F.col(key).alias("doc_id"), F.col(vec).alias("vec")).where(F.col("vec").isNotNull())
-    # deterministic sample: lowest xxhash64 of the key (independent of partitioning)
-    sample = src.orderBy(F.xxhash64("doc_id"), "doc_id").limit(m)
+    # deterministic sample of about m rows: keys whose xxhash64 falls under a
+    # threshold — independent of partitioning and taken inside every task
+    # (no global sort, no single-task merge of the sample)
+    frac = min(1.0, m / max(n, 1))
+    sample = src.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(frac * (1 << 30)))
     km = KMeans(k=k, seed=seed, featuresCol="features", maxIter=20)
     model = km.fit(sample.select(array_to_vector("vec").alias("features")))
     cents = [c.tolist() for c in model.clusterCenters()]

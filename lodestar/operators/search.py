@@ -123,7 +123,7 @@ def fuzzy_expand(index: SearchIndex, qd: DataFrame, field: str, d: int, prefix:
         vocab = vocab.withColumn("cand", F.col("term"))
     qv = qd.select("query_id", "qterm", F.explode(deletion_variants(F.col("qterm"), d)).alias("key"))
     cv = vocab.select("term", "cand", F.explode(deletion_variants(F.col("cand"), d)).alias("key"))
-    pairs = (qv.join(cv, "key").select("query_id", "qterm", "cand", "term").distinct()
+    pairs = (join_small(cv, qv, "key").select("query_id", "qterm", "cand", "term").distinct()
              .where(F.abs(F.length("qterm") - F.length("cand")) <= d)
              .where(within_distance(F.col("qterm"), F.col("cand"), d, transposition)))
     return pairs.select("query_id", "qterm", "term").distinct()
@@ -216,8 +216,8 @@ def prefix_terms(index: SearchIndex, field: str, prefixes: DataFrame, max_expans
     parts = []
     for n in sorted(lengths):
         pq = prefixes.where(F.length("prefix") == n)
-        parts.append(pq.join(vocab.where(F.length("term") >= n).withColumn("prefix", F.substring("term", 1, n)),
-                             "prefix").select("query_id", "term"))
+        heads = vocab.where(F.length("term") >= n).withColumn("prefix", F.substring("term", 1, n))
+        parts.append(join_small(heads, pq, "prefix").select("query_id", "term"))
     out = _union(parts, "query_id bigint, term string")
     if max_expansions is not None:
         w = Window.partitionBy("query_id").orderBy("term")

@@ -16,7 +16,7 @@ def test_join_small_broadcasts_only_under_the_bound(spark):
     # switched off the join is a shuffled one
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        over = join_small(big, small, "k", max_rows=5)
+        over = join_small(big, small, "k", max_bytes=16)
         assert "BroadcastExchange" not in _plan(over)
         assert over.count() == 10
     finally:
