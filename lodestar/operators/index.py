@@ -195,9 +195,8 @@ class SearchIndex:
             rows, "index string, key string, field string, kind string, tokenizer string, "
                   "source string, search_tokenizer string, metric string")
 
-    def save(self, path: str, partitions: int | None = None) -> "SearchIndex":
+    def save(self, path: str) -> "SearchIndex":
         """Write every table under ``path`` and return the index read back."""
-        n = partitions or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         nb = self.buckets or default_buckets(self.spark)
         table = _postings_table(path)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -207,7 +206,7 @@ class SearchIndex:
          .option("path", f"{path}/postings").saveAsTable(table))
         p = self.spark.table(table)
         (p.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-         .repartitionByRange(n, "field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
+         .repartitionByRange("field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
         # document lengths from the written postings (no second tokenising
         # pass) plus the non-NULL values that have no tokens at all
         dls = p.groupBy("field", "doc_id").agg(F.max("dl").alias("dl"))

@@ -34,9 +34,8 @@ def append(spark: SparkSession, path: str, rows: DataFrame, batch_id: int) -> Se
     post = all_postings(spark, path, batches)
     dls = all_doclens(spark, path, batches)
     ver = f"v{int(batch_id):012d}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (post.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-     .repartitionByRange(n, "field", "term").write.mode("overwrite").parquet(f"{path}/terms-{ver}"))
+     .repartitionByRange("field", "term").write.mode("overwrite").parquet(f"{path}/terms-{ver}"))
     _field_stats(dls).coalesce(1).write.mode("overwrite").parquet(f"{path}/fields-{ver}")
     meta["batches"] = batches
     meta["terms_dir"] = f"terms-{ver}"
