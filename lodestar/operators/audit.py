@@ -80,7 +80,8 @@ def verify_index(index: SearchIndex, heap_all_indexed: bool = False, sample_rate
         order = F.array(*[F.lit(n) for n in CHECKS])
         out = out.withColumn("ord", F.array_position(order, F.col("check_name")))
         first_fail = out.where(~F.col("passed")).agg(F.min("ord").alias("ff"))
-        out = out.crossJoin(F.broadcast(first_fail)).where(F.col("ff").isNull() | (F.col("ord") <= F.col("ff")))
+        out = out.crossJoin(F.broadcast(first_fail)).where(  # one row
+            F.col("ff").isNull() | (F.col("ord") <= F.col("ff")))
     return out.select("check_name", "passed", "details")
 
 
@@ -126,6 +127,6 @@ def indexes(catalogue: dict, schema: str = "public", tables: dict | None = None)
         out = out.unionByName(p)
     ids = idx.spark.createDataFrame([(n, i + 1) for i, n in enumerate(sorted(catalogue))],
                                     "indexname string, indexrelid bigint")
-    return out.join(F.broadcast(ids), "indexname").select(
+    return out.join(F.broadcast(ids), "indexname").select(  # one row per catalogued index
         "schemaname", "tablename", "indexname", "indexrelid", F.col("num_segments").cast("int"),
         F.col("total_docs").cast("bigint"))

@@ -82,7 +82,8 @@ def range_buckets(df: DataFrame, col: str | Column, ranges: list, where: Column
     bounds = df.sparkSession.createDataFrame(
         [(i, None if lo is None else float(lo), None if hi is None else float(hi)) for i, (lo, hi) in enumerate(ranges)],
         "idx int, `from` double, `to` double")
-    return out.join(F.broadcast(bounds), "idx").select("idx", "key", "from", "to", "doc_count")
+    return out.join(F.broadcast(bounds), "idx").select(  # the caller's bucket list
+        "idx", "key", "from", "to", "doc_count")
 
 
 def _range_key(lo, hi) -> str:

@@ -308,11 +308,11 @@ def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
     wide_q = keys.where((F.col("nk") == F.col("n")) & (F.col("n") > 62)).select("query_id")
     repeat_q = keys.where(F.col("nk") < F.col("n")).select("query_id")
     bit = F.expr("shiftleft(CAST(1 AS BIGINT), qpos)")
-    simple = (j.join(F.broadcast(simple_q), "query_id")  # ≤ one row per query
+    simple = (join_small(j, simple_q, "query_id")  # one row per query, size-checked
               .groupBy("query_id", "doc_id", "a").agg(F.bit_or(bit).alias("m"), F.max("n").alias("n"))
               .where(F.col("m") == F.expr("shiftleft(CAST(1 AS BIGINT), n) - 1"))
               .select("query_id", "doc_id").distinct())
-    wide = (j.join(F.broadcast(wide_q), "query_id", "left_semi")
+    wide = (join_small(j, wide_q, "query_id", "left_semi")
             .select("query_id", "doc_id", "a", "qpos").distinct()
             .groupBy("query_id", "doc_id", "a").agg(F.count("*").alias("c"))
             .join(n, "query_id").where(F.col("c") == F.col("n")).select("query_id", "doc_id").distinct())
@@ -322,7 +322,7 @@ def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
         simple = simple.unionByName(wide)
     if not flags["rep"]:
         return simple
-    j = j.join(F.broadcast(repeat_q), "query_id", "left_semi")
+    j = join_small(j, repeat_q, "query_id", "left_semi")
     # repeated terms compete for positions: greedy assignment in slot order
     jk = j.join(slots, ["query_id", "qpos"])
     per_key = jk.groupBy("query_id", "doc_id", "a", "slot_key").agg(
