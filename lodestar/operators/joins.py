@@ -28,13 +28,17 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_byt
     """
     if materialize:
         small = checkpointed(small)
-    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    n = small.count()
-    if n * row_width(small) <= limit:
+    if fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
 
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Counted rows × default row width ≤ the broadcast budget."""
+    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    return df.count() * row_width(df) <= limit
+
+
 def row_width(df: DataFrame) -> int:
     """Spark's default size estimate of one row of ``df`` (strings 20 bytes,
     arrays and maps by their element estimates)."""

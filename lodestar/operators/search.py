@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType
 from ..functions.analysis import Tokenizer
 from ..functions.fuzzy import deletion_variants, within_distance
 from .index import SearchIndex
-from .joins import checkpointed, join_small
+from .joins import checkpointed, fits_broadcast, join_small
 
 K1 = 1.2
 B = 0.75
@@ -301,18 +301,21 @@ def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
          .where((F.col("s") >= F.col("a")) & (F.col("s") <= F.col("a") + slop)))
     # queries whose slots are all different terms: distinct positions are
     # automatic, a window holding every slot is enough
-    keys = slots.groupBy("query_id").agg(F.countDistinct("slot_key").alias("nk"), F.countDistinct("qpos").alias("n"))
+    keys = checkpointed(slots.groupBy("query_id").agg(F.countDistinct("slot_key").alias("nk"),
+                                                      F.countDistinct("qpos").alias("n")))
+    # one size check for the per-query tables below (all are subsets of keys)
+    bc = F.broadcast if fits_broadcast(keys) else (lambda d: d)
     # (slots seen in a window as a bit mask when a query has ≤ 62 slots,
     # else a distinct count)
     simple_q = keys.where((F.col("nk") == F.col("n")) & (F.col("n") <= 62)).select("query_id", "n")
     wide_q = keys.where((F.col("nk") == F.col("n")) & (F.col("n") > 62)).select("query_id")
     repeat_q = keys.where(F.col("nk") < F.col("n")).select("query_id")
     bit = F.expr("shiftleft(CAST(1 AS BIGINT), qpos)")
-    simple = (join_small(j, simple_q, "query_id")  # one row per query, size-checked
+    simple = (j.join(bc(simple_q), "query_id")
               .groupBy("query_id", "doc_id", "a").agg(F.bit_or(bit).alias("m"), F.max("n").alias("n"))
               .where(F.col("m") == F.expr("shiftleft(CAST(1 AS BIGINT), n) - 1"))
               .select("query_id", "doc_id").distinct())
-    wide = (join_small(j, wide_q, "query_id", "left_semi")
+    wide = (j.join(bc(wide_q), "query_id", "left_semi")
             .select("query_id", "doc_id", "a", "qpos").distinct()
             .groupBy("query_id", "doc_id", "a").agg(F.count("*").alias("c"))
             .join(n, "query_id").where(F.col("c") == F.col("n")).select("query_id", "doc_id").distinct())
@@ -322,7 +325,7 @@ def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
         simple = simple.unionByName(wide)
     if not flags["rep"]:
         return simple
-    j = join_small(j, repeat_q, "query_id", "left_semi")
+    j = j.join(bc(repeat_q), "query_id", "left_semi")
     # repeated terms compete for positions: greedy assignment in slot order
     jk = j.join(slots, ["query_id", "qpos"])
     per_key = jk.groupBy("query_id", "doc_id", "a", "slot_key").agg(
