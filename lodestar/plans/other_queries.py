@@ -561,18 +561,36 @@ def io_ctas(spark, sf):
     return create_table_as(src, "autocomplete_items")
 
 
+def _batches(spark, path):
+    import json
+    return json.loads(spark.read.text(f"{path}/_meta").first()[0]).get("batches", [])
+
+
 @reg("io_append", f"WITH {DOCS}\nSELECT term, df, cf FROM d_idf")
 def io_append(spark, sf):
-    """Index built on part of the table, the rest appended in a later batch
-    (delivered twice): the vocabulary equals a full build."""
+    """Index built on part of the table; the rest arrives through a Structured
+    Streaming query whose foreachBatch appends each micro-batch; the batch is
+    then delivered again.  The vocabulary equals a full build."""
     import uuid
+
+    from ..streaming.append import stream_append
+
     docs = table(spark, sf, "documents")
     first = docs.where(F.col("source") < "src10")
-    rest = docs.where(~(F.col("source") < "src10") | F.col("source").isNull())
-    path = f"{work_dir(spark)}/lodestar/append-{uuid.uuid4().hex[:8]}"
+    base = f"{work_dir(spark)}/lodestar/append-{uuid.uuid4().hex[:8]}"
+    path = f"{base}/index"
     build_index(first, "doc_id", [Field("text")], name="documents_append").save(path)
-    append(spark, path, rest, 1)
-    idx = append(spark, path, rest, 1)  # re-delivered batch: replaces itself
+    # a glob over the table's file (a streaming file source reads folders)
+    stream = (spark.readStream.schema(docs.schema).option("basePath", sf).parquet(f"{sf}/documents.parque[t]")
+              .where(~(F.col("source") < "src10") | F.col("source").isNull()))
+    q = stream_append(stream, path, f"{base}/stream-checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"append stream failed: {q.exception()}")
+    if not _batches(spark, path):
+        raise RuntimeError("the append stream delivered no batch")
+    rest = docs.where(~(F.col("source") < "src10") | F.col("source").isNull())
+    idx = append(spark, path, rest, _batches(spark, path)[-1])  # re-delivered batch: replaces itself
     return idx.terms.select("term", "df", "cf")
 
 
