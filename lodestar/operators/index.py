@@ -89,14 +89,10 @@ def field_tokens(f: Field) -> Column:
         a, lambda t: F.struct(t["term"].alias("term"),
                               (t["pos"] + F.aggregate(F.slice(sizes, 1, k), F.lit(0), lambda x, y: x + y)
                                + k * ARRAY_POSITION_GAP).cast("int").alias("pos"))))
-    return F.when(col.isNotNull(), F.flatten(F.when(k_nonempty(col), shifted).otherwise(F.array().cast(
+    return F.when(col.isNotNull(), F.flatten(F.when(F.size(col) > 0, shifted).otherwise(F.array().cast(
         "array<array<struct<term:string,pos:int>>>"))))
 
 
-def k_nonempty(col: Column) -> Column:
-    return F.size(col) > 0
-
-
 def token_rows(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
     """(field, doc_id, dl, pos, term): one row per token of every field."""
     parts = []
