@@ -39,3 +39,25 @@ def test_slop_matches_exhaustive_search(spark):
         got = {(r.query_id, r.doc_id) for r in S.phrase(idx, qs, "t", q=S.Query(slop=slop)).collect()}
         want = {(q, d) for q, p in phrases for d, text in docs if brute(text.split(), p.split(), slop)}
         assert got == want, (slop, sorted(got ^ want)[:5])
+
+
+def test_proximity_pairs_match_exhaustive_search(spark):
+    from lodestar.operators import proximity as P
+
+    rnd = random.Random(5)
+    words = ["a", "b", "c", "d"]
+    docs = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 12)))) for i in range(40)]
+    df = spark.createDataFrame(docs, "id bigint, t string")
+    idx = build_index(df, "id", [Field("t")]).save(tempfile.mkdtemp(prefix="lodestar-prox-"))
+    cases = [(x, y, d, o) for x in "ab" for y in "bc" for d in (0, 2) for o in (False, True)]
+    exprs = {i: P.prox_str(x).within(d, y, o) for i, (x, y, d, o) in enumerate(cases)}
+    got = {(r.query_id, r.doc_id) for r in P.proximity(idx, "t", exprs).collect()}
+    want = set()
+    for i, (x, y, d, o) in enumerate(cases):
+        for doc_id, text in docs:
+            toks = text.split()
+            px = [k for k, t in enumerate(toks) if t == x]
+            py = [k for k, t in enumerate(toks) if t == y]
+            if any(p != q and abs(p - q) - 1 <= d and (q > p or not o) for p in px for q in py):
+                want.add((i, doc_id))
+    assert got == want, sorted(got ^ want)[:5]
