@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import near_dedup, quality_rules
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -28,3 +28,9 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.col("posterior"))
+
+
+@query
+def op7_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate classes of all documents (4-word shingles, similarity 0.8)."""
+    return near_dedup.near_duplicates(table(spark, sf, "documents"), near_dedup.Join(width=4))
