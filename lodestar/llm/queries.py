@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_dedup, quality_rules
+from . import decontaminate, near_dedup, quality_rules
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -34,3 +34,30 @@ def op6_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def op7_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate classes of all documents (4-word shingles, similarity 0.8)."""
     return near_dedup.near_duplicates(table(spark, sf, "documents"), near_dedup.Join(width=4))
+
+
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_ASCII_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP2 = f"""
+with d as (select doc_id, regexp_extract_all({_ASCII_LOWER.format('text')}, '{_WORDS}') as w from documents),
+b as (select item_id, regexp_extract_all({_ASCII_LOWER.format('text')}, '{_WORDS}') as w from benchmark),
+bw as (select item_id, least(10, len(w)) as k, unnest(range(1, len(w) - least(10, len(w)) + 2)) as p, w from b where len(w) > 0),
+bg as (select distinct item_id, k, array_to_string(w[p:p + k - 1], ' ') as g from bw),
+ks as (select distinct k from bg),
+dw as (select doc_id, k, unnest(range(1, len(w) - k + 2)) as p, w from d, ks where len(w) >= k),
+dg as (select doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') as g from dw),
+m as (select dg.doc_id, dg.k, dg.p, bg.item_id from dg join bg on dg.k = bg.k and dg.g = bg.g),
+h as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(p, p + k)) as x from m) group by doc_id),
+i as (select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+      from (select distinct doc_id, cast(item_id as varchar) as id from m) group by doc_id)
+select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(i.n_items, 0) as n_items,
+       sha256(coalesce(i.ids, '')) as items_sha256, h.n_hit is not null as contaminated
+from d left join h using (doc_id) left join i using (doc_id)"""
+
+
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark windows found verbatim in every document."""
+    return decontaminate.digest(decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
+query(op2_decontaminate, _OP2)
