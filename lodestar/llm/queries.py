@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dedup, quality_rules
+from . import decontaminate, near_dedup, packing, quality_rules
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -61,3 +61,16 @@ def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 query(op2_decontaminate, _OP2)
+
+
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
+    """File of a public vocabulary (every executor has it installed)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document packed into sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf, "documents"), vocabulary_path())
