@@ -8,11 +8,13 @@ other; each distinct chunk is tokenised once per worker and looked up after.
 from __future__ import annotations
 
 import os
+import struct
 
 from . import kernel as K
 
 _GENERATION = 400_000  # chunks kept: at most two generations per worker
-_END = b".,;:!?"  # a run of these after letters is a token group of its own
+# ASCII punctuation but the apostrophe: a run of it after letters is a token group of its own
+_END = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
 
 
 def _byte_letters() -> list[str]:
@@ -30,6 +32,7 @@ class Chunks:
         import tokenizers
 
         self.whole = tokenizers.Tokenizer.from_file(path)
+        self.model = self.whole.model
         self.letters = _byte_letters()
         self.special = [t.content.encode().lower() for t in self.whole.get_added_tokens_decoder().values()]
         self.young: dict[bytes, bytes] = {}
@@ -61,19 +64,21 @@ class Chunks:
             if self._plain(stem):
                 return self.chunk(stem) + self.chunk(w[len(stem):])
         elif self._plain(w):
-            word = w.decode().lower().encode()
-            return _packed([t.id for t in self.whole.model.tokenize("".join([self.letters[b] for b in word]))])
+            shown = w.decode() if w.isascii() else "".join([self.letters[b] for b in w.decode().lower().encode()])
+            return _packed([t.id for t in self.model.tokenize(shown)])
         return _packed(self.whole.encode(w.decode(), add_special_tokens=False).ids)
 
     @staticmethod
     def _plain(w: bytes) -> bool:
         """Only letters that the normaliser leaves alone but for their case."""
+        if w.isascii():
+            return w.isalpha()
         s = w.decode()
         return s.isalpha() and all(c < "\x80" or "\xc0" <= c <= "\xff" for c in s)
 
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join([i.to_bytes(4, "little") for i in ids])
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def chunks(path: str) -> Chunks:
