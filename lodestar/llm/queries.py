@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dedup, packing, quality_rules
+from . import decontaminate, language_id, near_dedup, packing, quality_rules
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -74,3 +74,12 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 def op10_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf, "documents"), vocabulary_path())
+
+
+@query
+def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf, "documents")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs))
+    return found.select("row.doc_id", "lang_pred", "score").select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
