@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, near_dedup, packing, quality_rules
+from . import decontaminate, language_id, near_dedup, packing, quality_rules, sharding
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -83,3 +83,11 @@ def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
     found = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs))
     return found.select("row.doc_id", "lang_pred", "score").select(
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_ring_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents on a ring of 24 shards whose row counts differ by one at most."""
+    return sharding.ring_shards(table(spark, sf, "documents"), 24).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
