@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, near_dedup, packing, quality_rules, sharding
+from . import chat_format, decontaminate, language_id, near_dedup, packing, quality_rules, sharding
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -91,3 +93,41 @@ def op8_ring_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.ring_shards(table(spark, sf, "documents"), 24).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _escape_sql(text: str) -> str:
+    out = f"replace(coalesce({text}, ''), '\\', '\\e')"
+    for c in chat_format.CONTROL:
+        out = f"replace({out}, '{c}', '{'\\l' if c[0] == '<' else '\\b'}{c[1:]}')"
+    return out
+
+
+_MARKED = "</s>[INST] ok [/INST]"  # a text made of control strings
+_OP3 = f"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '{_MARKED}' union all select -7, 1, 'assistant', '{_MARKED}'),
+f as (select *, '<|im_start|>' || replace({_escape_sql('role')}, chr(10), '\n') || chr(10) || {_escape_sql('text')}
+  || '<|im_end|>' || chr(10) as line from t),
+g as (select conv_id, count(*) as n_turns, sum(length(line)) as formatted_chars,
+  string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, line) as said,
+  coalesce(string_agg(text, '' order by turn nulls first, line) filter (where role = 'assistant'), '') as learned
+  from f group by conv_id)
+select conv_id, n_turns, sha256(said) as turns_sha256, length(learned) as loss_chars, sha256(learned) as loss_sha256,
+  cast(formatted_chars as bigint) as formatted_chars from g"""
+
+
+def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    """All conversations and one made of control strings (a record of another layout), formatted and read back."""
+    said = [{"role": r, "content": _MARKED} for r in ("user", "assistant")]
+    record = spark.range(1).select(F.lit(-7).cast("long").alias("id"), F.lit(json.dumps({"messages": said})).alias("record"))
+    turns = chat_format.turn_rows(table(spark, sf, "conversations")).unionByName(
+        chat_format.json_turn_rows(record, "id", "record"))
+    back = chat_format.read_back(chat_format.format_chat(turns))
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+query(op3_chat_format, _OP3)
