@@ -40,6 +40,9 @@ from . import kernel as K
 from .components import components
 
 
+PARITY = 1024  # bits of a set's parity bitmap
+
+
 @dataclass(frozen=True)
 class Join:
     """``width``-word shingles; link if 100 * |A & B| >= ``percent`` * |A | B|.
@@ -125,23 +128,40 @@ def selected_tokens(tokens: np.ndarray, bounds: np.ndarray, functions: int) -> n
     return out
 
 
+def parity_bits(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(texts, PARITY / 64) int64: a bitmap in which every member of a set toggles one bit."""
+    n, rows = len(bounds) - 1, []
+    for a in range(0, n, 512):
+        z = min(a + 512, n)
+        lo, hi = bounds[a], bounds[z]
+        row = np.repeat(np.arange(z - a), np.diff(bounds[a:z + 1]))
+        bit = (K.mix(tokens[lo:hi]) >> np.uint64(64 - PARITY.bit_length() + 1)).astype(np.int64)
+        odd = np.bincount(row * PARITY + bit, minlength=(z - a) * PARITY) & 1
+        rows.append(np.packbits(odd.astype(bool)).view(np.int64).reshape(z - a, -1))
+    return np.concatenate(rows) if rows else np.zeros((0, PARITY // 64), np.int64)
+
+
+def _lists(matrix: np.ndarray) -> pa.ListArray:
+    n, width = matrix.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(matrix.ravel()))
+
+
 def sketches(docs: DataFrame, join: Join) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, tokens): set size, 128-bit digest of the set and its selected tokens."""
+    """(doc_id, n_shingles, s1, s2, tokens, parity): set size, 128-bit digest of the set,
+    its selected tokens and its parity bitmap."""
     def run(batches):
         for b in batches:
             tokens, bounds = shingle_sets(b.column(1), join.width)
             c1 = np.concatenate((np.zeros(1, np.uint64), np.cumsum(K.mix(tokens), dtype=np.uint64)))
             c2 = np.concatenate((np.zeros(1, np.uint64), np.cumsum(K.mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)))
             s1, s2 = (c[bounds[1:]] - c[bounds[:-1]] for c in (c1, c2))
-            chosen = selected_tokens(tokens, bounds, join.functions)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(chosen) + 1, dtype=np.int32) * join.functions), pa.array(chosen.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.diff(bounds)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), lists],
-                ["doc_id", "n_shingles", "s1", "s2", "tokens"])
+                [b.column(0), pa.array(np.diff(bounds)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
+                 _lists(selected_tokens(tokens, bounds, join.functions)), _lists(parity_bits(tokens, bounds))],
+                ["doc_id", "n_shingles", "s1", "s2", "tokens", "parity"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {_id_type(docs)}, n_shingles long, s1 long, s2 long, tokens array<int>")
+        run, f"doc_id {_id_type(docs)}, n_shingles long, s1 long, s2 long, tokens array<int>, parity array<long>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, join: Join) -> DataFrame:
@@ -165,8 +185,17 @@ def _id_type(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
 
-def _equal_tokens(x: str, y: str) -> Column:
-    return F.expr(f"aggregate(zip_with({x}, {y}, (p, q) -> if(p = q, 1, 0)), 0, (s, v) -> s + v)")
+def _may_link(x: str, y: str, join: Join) -> Column:
+    """False only for pairs that are not linked.
+
+    Two sets whose parity bitmaps differ in d bits differ in at least d members,
+    and a link allows ``(100 - percent) / (100 + percent)`` of the two sizes.
+    For sets too large for the bitmap, too few equal selected tokens say no.
+    """
+    differ = F.expr(f"aggregate(zip_with({x}.parity, {y}.parity, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)")
+    equal = F.expr(f"aggregate(zip_with({x}.tokens, {y}.tokens, (p, q) -> if(p = q, 1, 0)), 0, (s, v) -> s + v)")
+    both = F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")
+    return ((100 + join.percent) * differ <= (100 - join.percent) * both) & (equal >= join.least_equal)
 
 
 def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
@@ -215,16 +244,17 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     base = checkpointed(sketches(docs, join))
     whole = base.where("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "s1", "s2"]
-    reps = checkpointed(whole.groupBy(*key).agg(F.min("doc_id").alias("id"), F.first("tokens").alias("tokens")))
+    reps = checkpointed(whole.groupBy(*key).agg(
+        F.min("doc_id").alias("id"), F.first("tokens").alias("tokens"), F.first("parity").alias("parity")))
     copies = whole.select("doc_id", *key).join(reps.select("id", *key), key).where("doc_id <> id").select(
         F.col("doc_id").alias("a"), F.col("id").alias("b"))
     nodes = _tree_nodes(reps, join)
-    tokens = reps.select("id", "tokens")
+    marks = reps.select("id", F.struct("n_shingles", "tokens", "parity").alias("m"))
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """Pairs whose selected tokens agree often enough to verify them."""
-        t1, t2 = (tokens.select(F.col("id").alias(c), F.col("tokens").alias(f"t{c}")) for c in "ab")
-        return pairs.join(t1, "a").join(t2, "b").where(_equal_tokens("ta", "tb") >= join.least_equal).select("a", "b")
+        """Pairs that have to be verified."""
+        m1, m2 = (marks.select(F.col("id").alias(c), F.col("m").alias(f"m{c}")) for c in "ab")
+        return pairs.join(m1, "a").join(m2, "b").where(_may_link("ma", "mb", join)).select("a", "b")
 
     stars = checkpointed(similar(nodes.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()))
     links = _verified(docs, stars, join).unionByName(copies)
@@ -235,11 +265,10 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
         "node", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
         "lo < hi").select("node")
-    apart = placed.join(mixed, "node").join(tokens, "id")
-    x = apart.select("node", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("tokens").alias("ta"))
-    y = apart.select("node", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("tokens").alias("tb"))
-    across = x.join(y, "node").where(F.col("ca") < F.col("cb")).where(
-        _equal_tokens("ta", "tb") >= join.least_equal).select(
+    apart = placed.join(mixed, "node").join(marks, "id")
+    x = apart.select("node", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("m").alias("ma"))
+    y = apart.select("node", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("m").alias("mb"))
+    across = x.join(y, "node").where(F.col("ca") < F.col("cb")).where(_may_link("ma", "mb", join)).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     across = checkpointed(across.join(stars, ["a", "b"], "left_anti"))
     if not across.isEmpty():
