@@ -7,7 +7,18 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, language_id, near_dedup, packing, quality_rules, sharding
+from . import (
+    chat_format,
+    decontaminate,
+    language_id,
+    license_scan,
+    near_dedup,
+    packing,
+    quality_rules,
+    resampling,
+    sharding,
+    token_counts,
+)
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -131,3 +142,51 @@ def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 
 
 query(op3_chat_format, _OP3)
+
+
+def _op1_sql() -> str:
+    rows = ", ".join(f"({t}, '{label}', {str(base).lower()}, {n}, {i}, '{a} {b}')"
+                     for t, label, base, n, i, a, b in license_scan.template_grams())
+    return f"""
+with d as (select doc_id, regexp_extract_all({_ASCII_LOWER.format('text')}, '{_WORDS}') as w from documents),
+g(template, label, base, grams, place, pair) as (values {rows}),
+r as (select doc_id, unnest(range(len(w) - 1)) as x, w from d where len(w) > 1),
+h as (select distinct r.doc_id, g.template, g.label, g.base, g.grams, g.place, r.x - g.place as diagonal
+      from (select doc_id, x, w[x + 1] || ' ' || w[x + 2] as pair from r) r join g on g.pair = r.pair),
+v as (select doc_id, template, label, base, grams, diagonal, count(*) as votes, min(place) as lo, max(place) as hi
+      from h group by all having case when base then count(*) = grams else count(*) > 1 end),
+n as (select *, case when base or coalesce(diagonal - lag(diagonal) over o > {license_scan.GAP}, true) then 1 else 0 end as fresh
+      from v window o as (partition by doc_id, template order by diagonal)),
+q as (select *, sum(fresh) over (partition by doc_id, template order by diagonal) as grp from n),
+m as (select doc_id, template, label, base, grams, grp, min(diagonal) as diagonal, min(diagonal + lo) as s, max(diagonal + hi) as e,
+      least(1.0, sum(votes) / grams::double) as covered from q group by doc_id, template, label, base, grams, grp),
+k as (select * from m where base or e - s < 2 * grams),
+f as (select doc_id, count(*) filter (where base) as n_base, min(diagonal) filter (where base) as first_word,
+      max(diagonal) filter (where base) as last_word,
+      array_to_string(list_sort(list(distinct label) filter (where base)), ',') as base_labels,
+      array_to_string(list_sort(list(distinct label) filter (where base or covered >= {license_scan.COVERED})), ',') as labels,
+      max(covered) as score from k group by doc_id)
+select d.doc_id, len(d.w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0::double) as score
+from d left join f using (doc_id)"""
+
+
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    return license_scan.scan(table(spark, sf, "documents"))
+
+
+query(op1_license_scan, _op1_sql())
+
+
+@query
+def op5_importance_resample(spark: SparkSession, sf: str) -> DataFrame:
+    """A quarter of all documents, drawn by how much they look like those labelled good."""
+    good = table(spark, sf, "labels").where("quality = 1").select("doc_id")
+    return resampling.resample(table(spark, sf, "documents"), good)
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Greedy longest-match token counts of every document."""
+    return token_counts.token_counts(table(spark, sf, "documents"), vocabulary_path("piece_bpe_32k.model"))
