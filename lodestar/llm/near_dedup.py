@@ -284,6 +284,5 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """The rows of ``docs`` without the near-duplicates of a document with a smaller id."""
-    gone = checkpointed(near_duplicates(docs, join).where("not kept").select(F.col("doc_id").alias("gone")).distinct())
-    side = F.broadcast(gone) if fits_broadcast(gone) else gone
-    return docs.join(side, F.col("doc_id") == F.col("gone"), "left_anti")
+    gone = checkpointed(near_duplicates(docs, join).where("not kept").select("doc_id").distinct())
+    return docs.join(F.broadcast(gone) if fits_broadcast(gone) else gone, "doc_id", "left_anti").select(docs.columns)
