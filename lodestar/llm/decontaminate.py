@@ -32,7 +32,7 @@ from . import kernel as K
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20  # benchmark text broadcast at once
-SHARD_BYTES = 8 << 20  # training text under one suffix array
+SHARD_BYTES = 4 << 20  # training text under one suffix array
 
 
 class Suffixes:

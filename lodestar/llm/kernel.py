@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 2 << 20  # text bytes handled at once by one task
-SEGMENT_BYTES = 1 << 20  # hashing buffer inside one slice; cut between words
+SLICE_BYTES = 1 << 20  # text bytes handled at once by one task
+SEGMENT_BYTES = 1 << 19  # hashing buffer inside one slice; cut between words
 
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 LOWER = bytes.maketrans(_UPPER, _LOWER)

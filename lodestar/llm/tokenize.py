@@ -12,7 +12,7 @@ import struct
 
 from . import kernel as K
 
-_GENERATION = 400_000  # chunks kept: at most two generations per worker
+_GENERATION = 150_000  # chunks kept: at most two generations per worker
 # ASCII punctuation but the apostrophe: a run of it after letters is a token group of its own
 _END = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != 39)
 
