@@ -40,6 +40,7 @@ class Training:
     docs: int = 800  # texts per language, about
     windows: int = 4  # windows per text
     epochs: int = 8
+    steps: int = 600  # at least, whatever the number of windows
     batch: int = 128
     rate: float = 0.004
     seed: int = 11
@@ -72,6 +73,8 @@ def windows_of(offs: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], how: Training = Training()) -> Network:
     """Fit the network by Adam; only the byte places that win the pooling get a gradient."""
+    if not len(windows):
+        languages = []
     rng = np.random.Generator(np.random.PCG64(how.seed))
     width, hidden = len(WIDTHS), FILTERS * len(WIDTHS)
     p = {("w", w): rng.normal(0, 0.1, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS}
@@ -80,8 +83,9 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], how: Tr
     p["c"] = np.zeros(len(languages), np.float32)
     m1, m2 = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     step, lanes = 0, np.arange(FILTERS)
-    for epoch in range(how.epochs):
-        rate = how.rate * (1 - epoch / how.epochs)
+    epochs = max(how.epochs, -(-how.steps // max(1, -(-len(windows) // how.batch)))) if languages else 0
+    for epoch in range(epochs):
+        rate = how.rate * (1 - epoch / epochs)
         order = rng.permutation(len(windows))
         for a in range(0, len(order), how.batch):
             x, y = windows[order[a:a + how.batch]], labels[order[a:a + how.batch]]

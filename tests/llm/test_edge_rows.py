@@ -55,10 +55,10 @@ def by_id(df, column):
 
 
 def test_language(docs):
-    net = language_id.fit(docs, language_id.Training(epochs=1))
+    net = language_id.fit(docs, language_id.Training(epochs=1, steps=1))
     got = by_id(language_id.predict(docs, net).select("row.doc_id", "lang_pred"), "lang_pred")
     assert got[3] == got[4] == got[6] == ["und"] and got[2][0] == got[2][1] != "und"
-    kept = language_id.keep_known(docs, least=0.0, how=language_id.Training(epochs=1))
+    kept = language_id.keep_known(docs, least=0.0, how=language_id.Training(epochs=1, steps=1))
     assert kept.columns == docs.columns and kept.count() == 6
 
 
