@@ -33,8 +33,15 @@ def make_range(lower, upper, lower_inc=True, upper_inc=False) -> Column:
 
 
 def parse_range(text: Column, range_type: str = "int4range") -> Column:
-    """Range text such as ``(10, 12]`` or ``[5,)`` → normalised range struct."""
+    """Range text such as ``(10, 12]`` or ``[5,)`` → normalised range struct.
+
+    Quotes around bounds are dropped, ``empty`` is NULL (it holds nothing), and
+    text that is no range raises.
+    """
     et = RANGE_ELEMENT_TYPES[range_type]
+    text = F.trim(F.replace(text, F.lit('"'), F.lit("")))
+    text = F.when(F.lower(text) == "empty", F.lit(None).cast("string")).when(
+        ~text.rlike(_RANGE_TEXT), F.raise_error(F.concat(F.lit("not a range: "), text))).otherwise(text)
     lo = F.regexp_extract(text, _RANGE_TEXT, 2)
     hi = F.regexp_extract(text, _RANGE_TEXT, 3)
     r = make_range(F.when(lo != "", lo).cast(et), F.when(hi != "", hi).cast(et),

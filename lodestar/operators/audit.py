@@ -27,7 +27,8 @@ def _keep(df: DataFrame, sample_rate: float | None, segment_ids) -> DataFrame:
     if sample_rate is not None:
         df = df.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(sample_rate * 1_000_000))
     if segment_ids is not None:
-        df = df.where(segment_of("doc_id").isin(list(segment_ids)))
+        integral = dict(df.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint")
+        df = df.where(segment_of("doc_id", integral).isin(list(segment_ids)))
     return df
 
 
@@ -96,6 +97,8 @@ def verify_all_indexes(indexes: dict, schema_pattern: str | None = None, index_p
         names = names.where(F.col("indexname").like(index_pattern))
     keep = [r[0] for r in names.select("indexname").collect()]  # catalogue rows, not data
     parts = [verify_index(indexes[n], **kw).select(F.lit(n).alias("indexname"), "*") for n in keep]
+    if not parts:
+        return spark.createDataFrame([], "indexname string, check_name string, passed boolean, details string")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -299,7 +299,9 @@ def default_buckets(spark: SparkSession, docs: DataFrame | None = None) -> int:
             total += p.getFileSystem(conf).getFileStatus(p).getLen()
     except Exception:  # noqa: BLE001 - not a file source: fall back to the shuffle width
         return max(int(spark.conf.get("spark.sql.shuffle.partitions")), par)
-    return max(par, -(-total // BUCKET_TARGET_BYTES))
+    # Spark refuses a table of more buckets than this; beyond it buckets grow instead
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, max(par, -(-total // BUCKET_TARGET_BYTES)))
 
 
 def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fields: list[VectorField] = (),

@@ -37,7 +37,7 @@ def distance_expr(a: Column, b: Column, metric: str) -> Column:
     if metric == "cosine":
         na = F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
         nb = F.sqrt(F.aggregate(b, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-        return 1 - prod / (na * nb)
+        return 1 - F.try_divide(prod, na * nb)  # a zero vector has no cosine distance
     raise ValueError(metric)
 
 

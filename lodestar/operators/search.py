@@ -365,12 +365,13 @@ def phrase(index: SearchIndex, queries: DataFrame, field: str, value: str = "que
     return _finish(cand.join(hit, ["query_id", "doc_id"], "left_semi"), q)
 
 
-def expanded_phrase(index: SearchIndex, slot_terms: DataFrame, field: str, slop: int = 0) -> DataFrame:
+def expanded_phrase(index: SearchIndex, slot_terms: DataFrame, nslots: DataFrame, field: str, slop: int = 0) -> DataFrame:
     """Phrase over slots that each stand for a set of vocabulary terms.
 
-    ``slot_terms``: (query_id, qpos, term).  Score 1.0 (prefix / regex parts).
+    ``slot_terms``: (query_id, qpos, term); ``nslots``: (query_id, n), the slots
+    the query asks for, so one without any term leaves the query unmatched.
+    Score 1.0 (prefix / regex parts).
     """
-    nslots = slot_terms.groupBy("query_id").agg(F.countDistinct("qpos").alias("n"))
     p = field_postings(index, field).select("term", "doc_id")
     # documents having some term of every slot
     have = (join_small(p, slot_terms, "term").select("query_id", "doc_id", "qpos").distinct()
@@ -394,7 +395,8 @@ def phrase_prefix(index: SearchIndex, queries: DataFrame, field: str, value: str
     pref = qt.where(F.col("qpos") == F.col("lastpos")).select("query_id", F.col("qpos"), F.col("term").alias("prefix"))
     exp = prefix_terms(index, field, pref.select("query_id", "prefix"), max_expansions)
     exp = exp.join(pref.select("query_id", "qpos"), "query_id").select("query_id", "qpos", "term")
-    return expanded_phrase(index, fixed.unionByName(exp), field, 0)
+    nslots = qt.groupBy("query_id").agg(F.countDistinct("qpos").alias("n"))
+    return expanded_phrase(index, fixed.unionByName(exp), nslots, field, 0)
 
 
 def regex_phrase(index: SearchIndex, field: str, phrases: dict, slop: int = 0,
@@ -406,7 +408,9 @@ def regex_phrase(index: SearchIndex, field: str, phrases: dict, slop: int = 0,
             t = regex_terms(index, field, {qid: pat}, max_expansions)
             parts.append(t.withColumn("qpos", F.lit(i)))
     slot_terms = _union(parts, "query_id bigint, term string, qpos int")
-    return expanded_phrase(index, slot_terms, field, slop)
+    sizes = [(qid, len(pats)) for qid, pats in phrases.items()]
+    nslots = index.spark.createDataFrame(sizes, "query_id bigint, n bigint")
+    return expanded_phrase(index, slot_terms, nslots, field, slop)
 
 
 # ---------------------------------------------------------------------------

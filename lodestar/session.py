@@ -40,6 +40,8 @@ def work_dir(spark: SparkSession) -> str:
     cur = sc.getCheckpointDir()
     if cur:
         return cur.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodestar-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
