@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from .index import SearchIndex
 
 SEGMENTS = 8
-CHECKS = ("doc_frequency", "doc_length", "positions_length", "unique_postings", "all_rows_indexed")
+
+
+def _integral(df: DataFrame) -> bool:
+    return dict(df.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint")
 
 
 def segment_of(doc_id, integral: bool = True) -> F.Column:
@@ -27,8 +30,7 @@ def _keep(df: DataFrame, sample_rate: float | None, segment_ids) -> DataFrame:
     if sample_rate is not None:
         df = df.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(sample_rate * 1_000_000))
     if segment_ids is not None:
-        integral = dict(df.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint")
-        df = df.where(segment_of("doc_id", integral).isin(list(segment_ids)))
+        df = df.where(segment_of("doc_id", _integral(df)).isin(list(segment_ids)))
     return df
 
 
@@ -62,27 +64,28 @@ def verify_index(index: SearchIndex, heap_all_indexed: bool = False, sample_rate
     if heap_all_indexed:
         if source is None:
             source = index.docs
+        if index.where is not None:
+            source = source.where(index.where)
         parts = []
         for name, f in index.fields.items():
-            col = F.col(f.source) if isinstance(f.source, str) else f.source
+            col = f.column()
             keys = _keep(source.where(col.isNotNull()).select(F.col(index.key).alias("doc_id")), sample_rate, segment_ids)
-            parts.append(keys.join(dl.where(F.col("field") == name), "doc_id", "left_anti")
-                         .select(F.lit(1).alias("x")))
+            there = dl.where(F.col("field") == name).select("doc_id", F.lit(0).alias("x")).distinct()
+            parts.append(keys.join(there, "doc_id", "left").select(F.coalesce("x", F.lit(1)).alias("x")))
         miss = parts[0]
         for q in parts[1:]:
             miss = miss.unionByName(q)
-        checks.append(miss.agg(*_row("all_rows_indexed", F.count("*"), F.count("*"))))
+        checks.append(miss.agg(*_row("all_rows_indexed", F.coalesce(F.sum("x"), F.lit(0)), F.count("*"))))
+    if on_error_stop:  # one check after the other; the first that fails is the last that runs
+        done = []
+        for c in checks:
+            done.append(c.first())
+            if not done[-1]["passed"]:
+                break
+        return index.spark.createDataFrame(done, "check_name string, passed boolean, details string")
     out = checks[0]
     for c in checks[1:]:
         out = out.unionByName(c)
-    out = out.withColumn("check_no", F.monotonically_increasing_id())
-    if on_error_stop:
-        # keep the checks up to and including the first failure (checks are few rows)
-        order = F.array(*[F.lit(n) for n in CHECKS])
-        out = out.withColumn("ord", F.array_position(order, F.col("check_name")))
-        first_fail = out.where(~F.col("passed")).agg(F.min("ord").alias("ff"))
-        out = out.crossJoin(F.broadcast(first_fail)).where(  # one row
-            F.col("ff").isNull() | (F.col("ord") <= F.col("ff")))
     return out.select("check_name", "passed", "details")
 
 
@@ -107,7 +110,8 @@ def verify_all_indexes(indexes: dict, schema_pattern: str | None = None, index_p
 
 def index_segments(index: SearchIndex) -> DataFrame:
     """(partition_name, segment_idx, segment_id, num_docs, num_deleted, max_doc)."""
-    d = index.doclens.select("doc_id").distinct().withColumn("seg", segment_of("doc_id"))
+    d = index.doclens.select("doc_id").distinct()
+    d = d.withColumn("seg", segment_of("doc_id", _integral(d)))
     g = d.groupBy("seg").agg(F.count("*").alias("num_docs"))
     return g.select(F.lit(index.name).alias("partition_name"), F.col("seg").alias("segment_idx"),
                     F.format_string("%s-%04d", F.lit(index.name), F.col("seg")).alias("segment_id"),
@@ -121,7 +125,7 @@ def indexes(catalogue: dict, schema: str = "public", tables: dict | None = None)
     for name, idx in sorted(catalogue.items()):
         d = idx.doclens.select("doc_id").distinct()
         parts.append(d.agg(F.count("*").alias("total_docs"),
-                           F.countDistinct(segment_of("doc_id")).alias("num_segments"))
+                           F.countDistinct(segment_of("doc_id", _integral(d))).alias("num_segments"))
                      .select(F.lit(schema).alias("schemaname"),
                              F.lit((tables or {}).get(name, name)).alias("tablename"),
                              F.lit(name).alias("indexname"), "num_segments", "total_docs"))

@@ -3,12 +3,12 @@
 An index is a handful of ordinary tables (see SURVEY §1.3):
 
 * ``postings``  field, term, doc_id, tf, dl, positions — one row per
-  (field, term, document); a bucketed table: hash-bucketed by doc_id and
-  sorted by term inside each bucket.  A query joins its (broadcast, size
-  checked) terms to the buckets and aggregates per (query, document) with no
+  (field, term, document); a table partitioned by field and by ``tpart``, a
+  hash part of the term, hash-bucketed by doc_id and sorted by term inside
+  each file.  A lookup reads only the parts of its terms; its (broadcast, size
+  checked) terms join the buckets and aggregate per (query, document) with no
   shuffle, because the bucketing already clusters by document; a hot term is
-  spread over every bucket instead of one task; the term order inside files
-  still lets Parquet statistics prune literal term lookups.
+  spread over every bucket instead of one task.
 * ``terms``     field, term, df, cf
 * ``fields``    field, n_docs, avgdl, total_tokens
 * ``doclens``   field, doc_id, dl — every non-NULL row, also empty ones
@@ -45,6 +45,12 @@ class Field:
     tokenizer: Tokenizer = DEFAULT
     name: str | None = None
     is_array: bool = False
+    is_expr: bool = False  # ``source`` is SQL text, which an index can store and append by
+
+    def column(self) -> Column:
+        if not isinstance(self.source, str):
+            return self.source
+        return F.expr(self.source) if self.is_expr else F.col(self.source)
 
     @property
     def field_name(self) -> str:
@@ -52,7 +58,7 @@ class Field:
             return self.name
         if self.tokenizer.alias:
             return str(self.tokenizer.alias)
-        if isinstance(self.source, str):
+        if isinstance(self.source, str) and not self.is_expr:
             return self.source
         raise ValueError("an expression field needs a name (alias)")
 
@@ -77,7 +83,7 @@ class VectorField:
 
 def field_tokens(f: Field) -> Column:
     """``array<struct<term, pos>>`` for one field of a row."""
-    col = F.col(f.source) if isinstance(f.source, str) else f.source
+    col = f.column()
     tok = f.tokenizer
     if not f.is_array:
         return tok.tokens(col)
@@ -97,7 +103,7 @@ def token_rows(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
     """(field, doc_id, dl, pos, term): one row per token of every field."""
     parts = []
     for f in fields:
-        col = F.col(f.source) if isinstance(f.source, str) else f.source
+        col = f.column()
         plain = None if f.is_array else f.tokenizer.plain_terms(col)
         if plain is not None:
             arr = docs.select(F.lit(f.field_name).alias("field"), F.col(key).alias("doc_id"), plain.alias("a"))
@@ -117,7 +123,7 @@ def doc_lengths(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
     """(field, doc_id, dl) for every non-NULL field value, empty ones included."""
     parts = []
     for f in fields:
-        col = F.col(f.source) if isinstance(f.source, str) else f.source
+        col = f.column()
         plain = None if f.is_array else f.tokenizer.plain_terms(col)
         arr = plain if plain is not None else field_tokens(f)
         parts.append(docs.select(F.lit(f.field_name).alias("field"), F.col(key).alias("doc_id"),
@@ -133,7 +139,7 @@ def empty_values(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
     """(field, doc_id, dl=0) for non-NULL values without tokens (a cheap scan)."""
     parts = []
     for f in fields:
-        col = F.col(f.source) if isinstance(f.source, str) else f.source
+        col = f.column()
         if f.is_array:
             cond = col.isNotNull() & (F.size(field_tokens(f)) == 0)
         else:
@@ -167,6 +173,9 @@ class SearchIndex:
         self._manifest = manifest
         self._src = None
         self.buckets = None
+        self.term_parts = None
+        self.where = None  # SQL text of a partial index's predicate
+        self.partial = False
 
     # -- tokenizer used on the query side --------------------------------------
     def query_tokenizer(self, field: str) -> Tokenizer:
@@ -194,11 +203,31 @@ class SearchIndex:
     def save(self, path: str) -> "SearchIndex":
         """Write every table under ``path`` and return the index read back."""
         nb = self.buckets or default_buckets(self.spark)
+        if self.fields:
+            self._save_text(path, nb)
+        if self.vectors is not None:
+            self.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+        self.manifest().coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
+        meta = {"name": self.name, "key": self.key, "buckets": nb, "term_parts": self.term_parts,
+                "where": self.where, "partial": self.partial,
+                "search_tokenizer": _tok_json(self.search_tokenizer),
+                "fields": [{"name": f.field_name, "source": f.source_text(), "is_array": f.is_array,
+                            "is_expr": f.is_expr, "is_column": not isinstance(f.source, str),
+                            "tokenizer": _tok_json(f.tokenizer)} for f in self.fields.values()],
+                "vectors": [{"name": v.field_name, "source": v.source, "metric": v.metric}
+                            for v in self.vector_fields.values()]}
+        self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
+            "overwrite").text(f"{path}/_meta")
+        out = SearchIndex.open(self.spark, path)
+        out.docs = self.docs
+        return out
+
+    def _save_text(self, path: str, nb: int):
         table = _postings_table(path)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        # the bucketed writer sorts each task's rows by (field, bucket, term) itself
+        # the bucketed writer sorts each task's rows by (field, tpart, bucket, term) itself
         (self.postings
-         .write.mode("overwrite").partitionBy("field").bucketBy(nb, "doc_id").sortBy("term")
+         .write.mode("overwrite").partitionBy("field", "tpart").bucketBy(nb, "doc_id").sortBy("term")
          .option("path", f"{path}/postings").saveAsTable(table))
         p = self.spark.table(table)
         (p.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
@@ -213,34 +242,38 @@ class SearchIndex:
         dls.write.mode("overwrite").partitionBy("field").parquet(f"{path}/doclens")
         dl = self.spark.read.parquet(f"{path}/doclens")
         _field_stats(dl).coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
-        if self.vectors is not None:
-            self.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
-        self.manifest().coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
-        meta = {"name": self.name, "key": self.key, "buckets": nb,
-                "search_tokenizer": _tok_json(self.search_tokenizer),
-                "fields": [{"name": f.field_name, "source": f.source_text(), "is_array": f.is_array,
-                            "tokenizer": _tok_json(f.tokenizer)} for f in self.fields.values()],
-                "vectors": [{"name": v.field_name, "source": v.source, "metric": v.metric}
-                            for v in self.vector_fields.values()]}
-        self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
-            "overwrite").text(f"{path}/_meta")
-        out = SearchIndex.open(self.spark, path)
-        out.docs = self.docs
-        return out
 
     @staticmethod
     def open(spark: SparkSession, path: str) -> "SearchIndex":
         meta = json.loads(spark.read.text(f"{path}/_meta").first()[0])
-        fields = [Field(f["source"], _tok_from(f["tokenizer"]), f["name"], f["is_array"]) for f in meta["fields"]]
+        fields = [Field(f["source"], _tok_from(f["tokenizer"]), f["name"], f["is_array"], f["is_expr"])
+                  for f in meta["fields"]]
         vfs = [VectorField(v["source"], v["metric"], v["name"]) for v in meta["vectors"]]
-        vectors = spark.read.parquet(f"{path}/vectors") if vfs else None
-        postings = _attach_postings(spark, path, meta.get("buckets"))
-        idx = SearchIndex(spark, meta["key"], fields, vfs,
-                           postings, spark.read.parquet(f"{path}/terms"),
-                           spark.read.parquet(f"{path}/fields"), spark.read.parquet(f"{path}/doclens"), vectors,
-                           search_tokenizer=_tok_from(meta["search_tokenizer"]), name=meta["name"], path=path,
-                           manifest=spark.read.parquet(f"{path}/manifest"))
-        idx.buckets = meta.get("buckets")
+        batches = [f"{path}/appends/{b}" for b in sorted(meta.get("batches", {}))]
+
+        def whole(base: DataFrame, name: str) -> DataFrame:
+            return base.unionByName(spark.read.schema(base.schema).parquet(*[f"{b}/{name}" for b in batches])) if batches else base
+
+        def stored(name: str, ddl: str) -> DataFrame:  # an index of vectors only has empty text tables
+            return spark.read.schema(ddl).parquet(f"{path}/{meta.get(name + '_dir', name)}") if fields \
+                else spark.createDataFrame([], ddl)
+
+        vectors = whole(spark.read.parquet(f"{path}/vectors"), "vectors") if vfs else None
+        doclens = spark.read.parquet(f"{path}/doclens") if fields else spark.createDataFrame(
+            [], "doc_id bigint, dl int, field string")
+        if fields:
+            postings = whole(_attach_postings(spark, path, meta["buckets"]), "postings")
+            doclens = whole(doclens, "doclens")
+        else:
+            postings = spark.createDataFrame([], "term string, doc_id bigint, tf int, dl int, positions array<int>, "
+                                                 "field string, tpart int")
+        idx = SearchIndex(spark, meta["key"], fields, vfs, postings,
+                          stored("terms", "field string, term string, df bigint, cf bigint"),
+                          stored("fields", "field string, n_docs bigint, avgdl double, total_tokens bigint"),
+                          doclens, vectors, search_tokenizer=_tok_from(meta["search_tokenizer"]), name=meta["name"],
+                          path=path, manifest=spark.read.parquet(f"{path}/manifest"))
+        idx.buckets, idx.term_parts = meta["buckets"], meta["term_parts"]
+        idx.where, idx.partial = meta["where"], meta["partial"]
         return idx
 
 
@@ -259,8 +292,8 @@ def _attach_postings(spark: SparkSession, path: str, buckets: int | None) -> Dat
     table = _postings_table(path)
     if not spark.catalog.tableExists(table):
         schema = spark.read.parquet(f"{path}/postings").schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != "field")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, field string) USING parquet PARTITIONED BY (field) "
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in ("field", "tpart"))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, field string, tpart int) USING parquet PARTITIONED BY (field, tpart) "
                   f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {int(buckets)} BUCKETS LOCATION '{path}/postings'")
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return spark.table(table)
@@ -282,6 +315,11 @@ def _field_stats(doclens: DataFrame) -> DataFrame:
 
 
 BUCKET_TARGET_BYTES = 256 << 20  # raw input per postings bucket
+TERM_PARTS = 8  # hash parts of the terms of a field; a lookup reads only the parts of its terms
+
+
+def term_part(term: Column | str, parts: int) -> Column:
+    return F.pmod(F.hash(term), F.lit(parts)).cast("int")
 
 
 def default_buckets(spark: SparkSession, docs: DataFrame | None = None) -> int:
@@ -305,11 +343,13 @@ def default_buckets(spark: SparkSession, docs: DataFrame | None = None) -> int:
 
 
 def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fields: list[VectorField] = (),
-                search_tokenizer: Tokenizer | None = None, where: Column | None = None,
-                name: str = "index", buckets: int | None = None) -> SearchIndex:
+                search_tokenizer: Tokenizer | None = None, where: Column | str | None = None,
+                name: str = "index", buckets: int | None = None, term_parts: int = TERM_PARTS) -> SearchIndex:
     """Declare the index tables over ``docs`` (lazy; ``.save(path)`` writes them).
 
-    ``where`` makes a partial index (rows meeting the predicate only).
+    ``where`` makes a partial index (rows meeting the predicate only).  Given as
+    SQL text it is stored, as is a ``Field`` with ``is_expr``; rows can be
+    appended only to an index whose predicate and expressions are SQL text.
     """
     spark = docs.sparkSession
     fields = [Field(f) if isinstance(f, str) else f for f in fields]
@@ -326,7 +366,8 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
         doclens = doc_lengths(src, key, fields)
         postings = (toks.groupBy("field", "term", "doc_id")
                     .agg(F.count("*").cast("int").alias("tf"), F.max("dl").alias("dl"),
-                         F.sort_array(F.collect_list("pos")).alias("positions")))
+                         F.sort_array(F.collect_list("pos")).alias("positions"))
+                    .withColumn("tpart", term_part("term", term_parts)))
         terms = postings.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
         stats = _field_stats(doclens)
     vectors = None
@@ -345,7 +386,8 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
     idx = SearchIndex(spark, key, fields, list(vector_fields), postings, terms, stats, doclens, vectors,
                       docs=docs, search_tokenizer=search_tokenizer, name=name)
     idx._src = src
-    idx.buckets = nb
+    idx.buckets, idx.term_parts = nb, term_parts
+    idx.where, idx.partial = where if isinstance(where, str) else None, where is not None
     return idx
 
 

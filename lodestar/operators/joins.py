@@ -3,8 +3,8 @@
 Query-derived tables (query terms with their idf, source rows of a
 more-like-this batch, ...) are usually small, while the index tables grow
 with the corpus.  A broadcast of the query side keeps the index table from
-being shuffled at all; but a broadcast is only taken when a count proves the
-side small.  Above the bound the plain shuffled join is used, and AQE splits
+being shuffled at all; but a broadcast is only taken when its measured bytes prove
+the side small.  Above the bound the plain shuffled join is used, and AQE splits
 skewed keys (a hot term) there.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 # estimated bytes of a query-side table that may be sent to every task
 BROADCAST_MAX_BYTES = 32 << 20
@@ -19,8 +20,8 @@ BROADCAST_MAX_BYTES = 32 << 20
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int | None = None,
                materialize: bool = True) -> DataFrame:
-    """``big.join(small)`` with ``small`` broadcast only when its counted rows
-    times the schema's default row width stay ≤ ``max_bytes``.
+    """``big.join(small)`` with ``small`` broadcast only when its measured
+    bytes stay ≤ ``max_bytes``.
 
     ``materialize``: the small side (it often reads the vocabulary itself) is
     checkpointed to the shared checkpoint folder first, so it is counted and
@@ -34,18 +35,30 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_byt
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """Counted rows × default row width ≤ the broadcast budget."""
+    """Measured bytes of the rows ≤ the broadcast budget."""
     limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    return df.count() * row_width(df) <= limit
+    return measured_bytes(df) <= limit
 
 
-def row_width(df: DataFrame) -> int:
-    """Spark's default size estimate of one row of ``df`` (strings 20 bytes,
-    arrays and maps by their element estimates)."""
-    try:
-        return int(df._jdf.schema().defaultSize())
-    except Exception:  # noqa: BLE001
-        return 64
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the values of ``df``: real lengths of strings, binaries and arrays,
+    the JSON length of other nested values, 8 for anything else."""
+    return df.agg(F.sum(sum((_cell_bytes(f) for f in df.schema.fields), F.lit(0)))).first()[0] or 0
+
+
+def _cell_bytes(field):
+    c, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (StringType, BinaryType)):
+        size = F.octet_length(c) + 16
+    elif isinstance(kind, ArrayType) and isinstance(kind.elementType, StringType):
+        size = F.octet_length(F.array_join(c, "")) + 16 * F.size(c)
+    elif isinstance(kind, ArrayType) and not isinstance(kind.elementType, (ArrayType, StructType, MapType, BinaryType)):
+        size = 8 * F.size(c) + 16
+    elif isinstance(kind, (ArrayType, StructType, MapType)):
+        size = F.octet_length(F.to_json(F.struct(c))) + 16
+    else:
+        return F.lit(8).cast("bigint")
+    return F.coalesce(size, F.lit(8)).cast("bigint")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .index import SearchIndex
 from .joins import checkpointed, join_small
-from .search import NOQ, Query, _finish, _union, field_postings, regex_terms
+from .search import NOQ, Query, _finish, _union, pruned_postings, regex_terms
 
 
 @dataclass(frozen=True)
@@ -82,9 +82,9 @@ def _leaf_terms(index: SearchIndex, field: str, leaf: Leaf, qid: int) -> DataFra
 def _spans(index: SearchIndex, field: str, expr, qid: int) -> DataFrame:
     """(query_id, doc_id, s, e) spans where ``expr`` holds."""
     if isinstance(expr, Leaf):
-        t = _leaf_terms(index, field, expr, qid)
-        p = field_postings(index, field).select("term", "doc_id", "positions")
-        return (join_small(p, t, "term").select("query_id", "doc_id", F.explode("positions").alias("s"))
+        t = checkpointed(_leaf_terms(index, field, expr, qid))
+        p = pruned_postings(index, field, t).select("term", "doc_id", "positions")
+        return (join_small(p, t, "term", materialize=False).select("query_id", "doc_id", F.explode("positions").alias("s"))
                 .withColumn("e", F.col("s")).distinct())
     left = _spans(index, field, expr.left, qid)
     right = _spans(index, field, expr.right, qid)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .index import SearchIndex
-from .search import _union, as_filter, both, either, match, without
+from .search import _union, as_filter, both, either, match, phrase, without
 
 _TOKEN = re.compile(r'\s*(?:(\()|(\))|("[^"]*")|([A-Za-z_][\w.]*):(>=|<=|>|<)?|(AND|OR|NOT)\b|([^\s()":]+)|(\S))')
 
@@ -44,7 +44,7 @@ def parse(text: str, fields: list, numeric: list = (), lenient: bool = False, co
         elif rp:
             toks.append((")", None))
         elif quoted:
-            toks.append(("word", quoted[1:-1]))
+            toks.append(("phrase", quoted[1:-1]))
         elif fld:
             toks.append(("field", (fld, cmp)))
         elif kw:
@@ -66,18 +66,20 @@ def parse(text: str, fields: list, numeric: list = (), lenient: bool = False, co
         return t
 
     def expr():
+        left = conjunction()
+        while peek()[0] == "OR" or (default_op == "or" and peek()[0] not in (None, ")")):
+            if peek()[0] == "OR":
+                take()
+            left = _join("or", left, conjunction())
+        return left
+
+    def conjunction():  # AND binds tighter than OR
         left = unary()
-        while True:
-            kind, _ = peek()
-            if kind in ("AND", "OR"):
+        while peek()[0] == "AND" or (default_op == "and" and peek()[0] not in (None, ")", "OR")):
+            if peek()[0] == "AND":
                 take()
-                right = unary()
-                left = _join("and" if kind == "AND" else "or", left, right)
-            elif kind in (None, ")"):
-                return left
-            else:
-                right = unary()
-                left = _join(default_op, left, right)
+            left = _join("and", left, unary())
+        return left
 
     def unary():
         kind, val = peek()
@@ -103,7 +105,9 @@ def parse(text: str, fields: list, numeric: list = (), lenient: bool = False, co
                 raise QueryStringError(f"unknown field {fname!r}")
             sub = atom(fname, c)
             return sub if ok else None
-        if kind == "word":
+        if kind == "phrase" and field not in numeric:
+            return Node("phrase", field=field, value=val)
+        if kind in ("word", "phrase"):
             if cmp or (field in numeric):
                 try:
                     v = float(val)
@@ -143,8 +147,8 @@ def _join(op, a, b):
 def _scope(node, field):
     if node is None or field is None:
         return node
-    if node.op == "term" and node.field is None:
-        return Node("term", field=field, value=node.value)
+    if node.op in ("term", "phrase") and node.field is None:
+        return Node(node.op, field=field, value=node.value)
     if node.op in ("and", "or", "not"):
         return Node(node.op, kids=tuple(_scope(k, field) for k in node.kids))
     return node
@@ -153,21 +157,31 @@ def _scope(node, field):
 def evaluate(index: SearchIndex, node: Node, qid: int, numeric_docs: DataFrame | None = None) -> DataFrame:
     """(query_id, doc_id, score) of one parsed query string."""
     spark = index.spark
-    if node.op == "term":
+    if node.op in ("term", "phrase"):
         fields = [node.field] if node.field else index.text_fields()
         q = spark.createDataFrame([(qid, node.value)], "query_id bigint, query string")
-        parts = [match(index, q, f, "any") for f in fields]
+        # fields without positions (n-grams) take a quoted phrase as all of its terms
+        parts = [match(index, q, f, "any") if node.op == "term"
+                 else phrase(index, q, f) if index.query_tokenizer(f).has_positions
+                 else match(index, q, f, "all") for f in fields]
         out = parts[0]
         for p in parts[1:]:
             out = either(out, p)
         return out
     if node.op == "cmp":
+        if numeric_docs is None:
+            raise QueryStringError(f"{node.field!r} is compared, but no table holds its numbers")
         c = F.col(node.field)
         cond = {">": c > node.value, ">=": c >= node.value, "<": c < node.value, "<=": c <= node.value,
                 "=": c == node.value}[node.cmp]
         d = numeric_docs.where(cond).select(F.lit(qid).cast("bigint").alias("query_id"),
                                             F.col(index.key).alias("doc_id"), F.lit(1.0).alias("score"))
         return d
+    if node.op == "and" and {k.op for k in node.kids} != {"not"} and "not" in {k.op for k in node.kids}:
+        # a AND NOT b: an anti join, without the complement of b
+        keep, drop = sorted(node.kids, key=lambda k: k.op == "not")
+        a = evaluate(index, keep, qid, numeric_docs)
+        return without(as_filter(a) if keep.op == "cmp" else a, evaluate(index, drop.kids[0], qid, numeric_docs))
     if node.op == "and":
         a, b = (evaluate(index, k, qid, numeric_docs) for k in node.kids)
         if node.kids[0].op == "cmp":
@@ -183,7 +197,10 @@ def evaluate(index: SearchIndex, node: Node, qid: int, numeric_docs: DataFrame |
             b = as_filter(b)
         return either(a, b)
     if node.op == "not":
-        base = index.doclens.select("doc_id").distinct().select(
+        # every row of the table, also those without a value; the indexed ones where the table is not at hand
+        every = index.doclens.select("doc_id").distinct() if index.docs is None or index.partial else \
+            index.docs.select(F.col(index.key).alias("doc_id"))
+        base = every.select(
             F.lit(qid).cast("bigint").alias("query_id"), "doc_id", F.lit(0.0).alias("score"))
         return without(base, evaluate(index, node.kids[0], qid, numeric_docs))
     raise ValueError(node.op)

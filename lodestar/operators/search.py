@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType
 
 from ..functions.analysis import Tokenizer
 from ..functions.fuzzy import deletion_variants, within_distance
-from .index import SearchIndex
+from .index import SearchIndex, term_part
 from .joins import checkpointed, fits_broadcast, join_small
 
 K1 = 1.2
@@ -73,6 +73,27 @@ def field_postings(index: SearchIndex, field: str) -> DataFrame:
     return index.postings.where(F.col("field") == field)
 
 
+LITERAL_TERMS = 256  # up to so many looked-up terms are also pushed to the scan as literals
+
+
+def pruned_postings(index: SearchIndex, field: str, wanted: DataFrame) -> DataFrame:
+    """Postings of one field, cut to the term parts that hold the terms of
+    ``wanted`` (a partition filter) and, for few terms, to those terms (a
+    pushed filter; files are sorted by term).  The rows that a join on
+    ``term`` can meet are the same either way."""
+    p = field_postings(index, field)
+    if not index.term_parts:
+        return p
+    terms = wanted.select("term", term_part("term", index.term_parts).alias("tpart")).distinct()
+    few = terms.limit(LITERAL_TERMS + 1).collect()
+    if len(few) <= LITERAL_TERMS:
+        p = p.where(F.col("term").isin([r["term"] for r in few]))
+        parts = {r["tpart"] for r in few}
+    else:
+        parts = {r["tpart"] for r in terms.select("tpart").distinct().collect()}  # at most term_parts rows
+    return p.where(F.col("tpart").isin(sorted(parts)))
+
+
 def idf_terms(index: SearchIndex, field: str) -> DataFrame:
     """(term, df, idf) of one field; N comes from a one-row stats table."""
     st = index.stats.where(F.col("field") == field).select("n_docs", "avgdl")
@@ -136,11 +157,11 @@ def term_scores(index: SearchIndex, ex: DataFrame, field: str, expanded: bool =
     so the best of them is kept; otherwise each row is already one term.
     """
     idf = idf_terms(index, field)
-    p = field_postings(index, field).select("term", "doc_id", "tf", "dl")
     # query terms look up the vocabulary, then the postings; both lookups
-    # broadcast the (counted) query side, so neither index table is shuffled
-    qside = join_small(idf, ex, "term")
-    j = join_small(p, qside, "term")
+    # broadcast the (measured) query side, so neither index table is shuffled
+    qside = checkpointed(join_small(idf, ex, "term"))
+    p = pruned_postings(index, field, qside).select("term", "doc_id", "tf", "dl")
+    j = join_small(p, qside, "term", materialize=False)
     s = bm25(F.col("idf"), F.col("tf"), F.col("dl"), F.col("avgdl"))
     if not expanded:
         return j.select("query_id", "doc_id", "qterm", s.alias("score"))
@@ -237,9 +258,9 @@ def _union(parts, schema):
 
 def regex(index: SearchIndex, field: str, patterns: dict, q: Query = NOQ) -> DataFrame:
     """``regex``: documents with a token that full-matches the pattern (score 1)."""
-    t = regex_terms(index, field, patterns)
-    p = field_postings(index, field).select("term", "doc_id")
-    out = join_small(p, t, "term").select("query_id", "doc_id").distinct().withColumn("score", F.lit(1.0))
+    t = checkpointed(regex_terms(index, field, patterns))
+    p = pruned_postings(index, field, t).select("term", "doc_id")
+    out = join_small(p, t, "term", materialize=False).select("query_id", "doc_id").distinct().withColumn("score", F.lit(1.0))
     return _finish(out, q)
 
 
@@ -268,7 +289,7 @@ def occurrences(index: SearchIndex, qterms: DataFrame, field: str, docs: DataFra
     joined to postings on (term, doc_id), so positions are read only for
     candidate documents and postings are not shuffled.
     """
-    p = field_postings(index, field).select("term", "doc_id", "positions")
+    p = pruned_postings(index, field, qterms).select("term", "doc_id", "positions")
     if docs is None:
         j = join_small(p, qterms.select("query_id", "qpos", "term"), "term")
     else:
@@ -284,11 +305,12 @@ def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
     ``occ``: (query_id, doc_id, qpos, p); ``slots``: (query_id, qpos, slot_key)
     where equal slot_keys (repeated terms) compete for positions.
     """
-    n = slots.groupBy("query_id").agg(F.countDistinct("qpos").alias("n"))
     s = occ.withColumn("s", F.col("p") - F.col("qpos"))
+    n = slots.groupBy("query_id").agg(F.countDistinct("qpos", *([] if slop else ["slot_key"])).alias("n"))
     if slop == 0:
-        # p = s + qpos: one occurrence row per (s, qpos) at most, so a plain
-        # count is the number of distinct slots
+        # p = s + qpos: one occurrence row per (s, qpos, slot_key) at most, so a
+        # plain count is the number of distinct slots (of terms, where the
+        # tokenizer puts several at one position)
         g = (s.groupBy("query_id", "doc_id", "s").agg(F.count("*").alias("c"))
              .join(n, "query_id").where(F.col("c") == F.col("n")))
         return g.select("query_id", "doc_id").distinct()
@@ -355,6 +377,10 @@ def phrase(index: SearchIndex, queries: DataFrame, field: str, value: str = "que
     tok = q.tokenizer or index.query_tokenizer(field)
     if not tok.has_positions:
         raise ValueError(f"field {field!r} has no positions (tokenizer {tok.describe()})")
+    if q.slop and tok.name == "edge_ngram":
+        raise ValueError("slop is not defined where a position holds several terms (edge_ngram)")
+    if q.fuzzy:
+        raise ValueError("a phrase takes no fuzzy modifier")
     qt = query_terms(index, queries, field, value, q)
     # candidates (documents with every term, BM25-scored) are used twice:
     # written once to the checkpoint folder instead of computed twice
@@ -372,7 +398,8 @@ def expanded_phrase(index: SearchIndex, slot_terms: DataFrame, nslots: DataFrame
     the query asks for, so one without any term leaves the query unmatched.
     Score 1.0 (prefix / regex parts).
     """
-    p = field_postings(index, field).select("term", "doc_id")
+    slot_terms = checkpointed(slot_terms)
+    p = pruned_postings(index, field, slot_terms).select("term", "doc_id")
     # documents having some term of every slot
     have = (join_small(p, slot_terms, "term").select("query_id", "doc_id", "qpos").distinct()
             .groupBy("query_id", "doc_id").agg(F.count("*").alias("c"))

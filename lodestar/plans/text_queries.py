@@ -196,8 +196,8 @@ def ix_alias(spark, sf):
 def ix_expression(spark, sf):
     """Indexed expressions: ``name || ' ' || type`` and ``size + 1``."""
     idx = stored_index(spark, sf, "part_expr", "part", "p_partkey",
-                       [Field(F.concat(F.col("p_name"), F.lit(" "), F.col("p_type")), name="name_type"),
-                        Field((F.col("p_size") + 1).cast("string"), A.literal(), name="size_plus_one")])
+                       [Field("concat(p_name, ' ', p_type)", name="name_type", is_expr=True),
+                        Field("cast(p_size + 1 as string)", A.literal(), name="size_plus_one", is_expr=True)])
     return idx.terms.select("field", "term", "df")
 
 
@@ -220,7 +220,7 @@ def ix_array_field(spark, sf):
 def ix_json_text(spark, sf):
     """One JSON key indexed as text."""
     idx = stored_index(spark, sf, "events_json", "events", "event_id",
-                       [Field(F.get_json_object("props", "$.k"), name="props_k")])
+                       [Field("get_json_object(props, '$.k')", name="props_k", is_expr=True)])
     return idx.terms.select("field", "term", "df")
 
 
@@ -230,7 +230,7 @@ def ix_json_text(spark, sf):
 def ix_json_path(spark, sf):
     """A JSON path ``props.k`` addressed like a field (literal tokens)."""
     idx = stored_index(spark, sf, "events_json_path", "events", "event_id",
-                       [Field(F.get_json_object("props", "$.k"), A.literal(), name="props.k")])
+                       [Field("get_json_object(props, '$.k')", A.literal(), name="props.k", is_expr=True)])
     return idx.terms.select("field", "term", "df")
 
 
@@ -240,7 +240,7 @@ def ix_json_path(spark, sf):
 def ix_partial(spark, sf):
     """Partial index: English rows only."""
     idx = stored_index(spark, sf, "documents_en", "documents", "doc_id", [Field("text")],
-                       where=F.col("lang") == "en", where_text="lang = 'en'")
+                       where="lang = 'en'", where_text="lang = 'en'")
     return idx.terms.join(idx.stats.select("field", "n_docs"), "field").select("term", "df", "cf", "n_docs")
 
 

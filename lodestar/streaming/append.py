@@ -1,17 +1,24 @@
 """Append rows to a stored index, in batches or from a stream.
 
-A batch writes its own postings and document lengths under
-``appends/b<batch_id>/`` with overwrite mode, so a re-delivered batch
-replaces itself instead of doubling rows.  Vocabulary and field statistics
+A batch writes its own postings, document lengths and vectors under
+``appends/<batch>/`` with overwrite mode, so a re-delivered batch replaces
+itself instead of doubling rows.  Batches of a stream are named by the stream's
+checkpoint and its micro-batch id, so two streams never share a name; a name
+that comes back with other rows is refused.  Vocabulary and field statistics
 change for old terms too; they are recomputed from all postings (never
 incremented) into a new version folder, and the ``_meta`` pointer is
-rewritten last.  ``stream_append`` drives the same function from Structured
-Streaming ``foreachBatch`` with the micro-batch id as batch id.
+rewritten last.  ``SearchIndex.open`` returns the index with every batch.
+
+The rows are indexed as the index was built: same fields, expressions,
+predicate and vector fields.  An index whose predicate or expressions were
+given as Columns cannot store them; appending to it raises.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,62 +30,65 @@ def _read_meta(spark, path):
     return json.loads(spark.read.text(f"{path}/_meta").first()[0])
 
 
-def append(spark: SparkSession, path: str, rows: DataFrame, batch_id: int) -> SearchIndex:
+def content_mark(rows: DataFrame) -> str:
+    """Row count and an order-free checksum of the rows."""
+    r = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(F.to_json(F.struct("*"))).cast("decimal(38,0)")).alias("h")).first()
+    return f"{r['n']}-{r['h']}"
+
+
+def append(spark: SparkSession, path: str, rows: DataFrame, batch_id: int | str) -> SearchIndex:
+    """Add ``rows`` as batch ``batch_id`` and return the index with them."""
+    batch = f"b{batch_id:012d}" if isinstance(batch_id, int) else batch_id
     idx = SearchIndex.open(spark, path)
     meta = _read_meta(spark, path)
-    new = build_index(rows, idx.key, list(idx.fields.values()), search_tokenizer=idx.search_tokenizer)
-    bdir = f"{path}/appends/b{int(batch_id):012d}"
-    new.postings.write.mode("overwrite").parquet(f"{bdir}/postings")
-    new.doclens.write.mode("overwrite").parquet(f"{bdir}/doclens")
-    batches = sorted(set(meta.get("batches", [])) | {int(batch_id)})
-    post = all_postings(spark, path, batches)
-    dls = all_doclens(spark, path, batches)
-    ver = f"v{int(batch_id):012d}"
-    (post.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-     .repartitionByRange("field", "term").write.mode("overwrite").parquet(f"{path}/terms-{ver}"))
-    _field_stats(dls).coalesce(1).write.mode("overwrite").parquet(f"{path}/fields-{ver}")
+    unstored = [f["name"] for f in meta["fields"] if f["is_column"]]
+    if unstored or (idx.partial and idx.where is None):
+        raise ValueError(f"fields {unstored} or the predicate of the index are not stored as SQL text")
+    batches = dict(meta.get("batches", {}))
+    mark = content_mark(rows)
+    if batches.get(batch, mark) != mark:
+        raise ValueError(f"batch {batch!r} was appended before with other rows")
+    new = build_index(rows, idx.key, list(idx.fields.values()), list(idx.vector_fields.values()),
+                      idx.search_tokenizer, idx.where, buckets=idx.buckets, term_parts=idx.term_parts)
+    folder = f"{path}/appends/{batch}"
+    if idx.fields:
+        new.postings.write.mode("overwrite").parquet(f"{folder}/postings")
+        new.doclens.write.mode("overwrite").parquet(f"{folder}/doclens")
+    if new.vectors is not None:
+        new.vectors.write.mode("overwrite").parquet(f"{folder}/vectors")
+    batches[batch] = mark
     meta["batches"] = batches
-    meta["terms_dir"] = f"terms-{ver}"
-    meta["fields_dir"] = f"fields-{ver}"
+    if idx.fields:
+        post, lens = all_rows(spark, path, batches, "postings"), all_rows(spark, path, batches, "doclens")
+        version = uuid.uuid4().hex
+        meta["terms_dir"], meta["fields_dir"] = f"terms-{version}", f"fields-{version}"
+        (post.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+         .repartitionByRange("field", "term").write.parquet(f"{path}/{meta['terms_dir']}"))
+        _field_stats(lens).coalesce(1).write.parquet(f"{path}/{meta['fields_dir']}")
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
         f"{path}/_meta")
-    return open_appended(spark, path)
-
+    return SearchIndex.open(spark, path)
 
-def all_postings(spark, path, batches) -> DataFrame:
-    out = spark.read.parquet(f"{path}/postings")
-    for b in batches:
-        out = out.unionByName(spark.read.parquet(f"{path}/appends/b{int(b):012d}/postings"))
-    return out
 
-
-def all_doclens(spark, path, batches) -> DataFrame:
-    out = spark.read.parquet(f"{path}/doclens")
-    for b in batches:
-        out = out.unionByName(spark.read.parquet(f"{path}/appends/b{int(b):012d}/doclens"))
-    return out
+def all_rows(spark, path: str, batches, name: str) -> DataFrame:
+    """One stored table with the rows of every batch."""
+    base = spark.read.parquet(f"{path}/{name}")
+    return base.unionByName(spark.read.schema(base.schema).parquet(*[f"{path}/appends/{b}/{name}" for b in sorted(batches)]))
 
 
 def open_appended(spark: SparkSession, path: str) -> SearchIndex:
-    """The stored index with every appended batch (base ∪ appends)."""
-    idx = SearchIndex.open(spark, path)
-    meta = _read_meta(spark, path)
-    batches = meta.get("batches", [])
-    if batches:
-        idx.postings = all_postings(spark, path, batches)
-        idx.doclens = all_doclens(spark, path, batches)
-        idx.terms = spark.read.parquet(f"{path}/{meta['terms_dir']}")
-        idx.stats = spark.read.parquet(f"{path}/{meta['fields_dir']}")
-    return idx
+    """The stored index with every appended batch (what ``SearchIndex.open`` returns)."""
+    return SearchIndex.open(spark, path)
 
 
 def stream_append(stream: DataFrame, path: str, checkpoint: str, trigger_once: bool = True):
     """Start a streaming query that appends every micro-batch to the index."""
     spark = stream.sparkSession
+    name = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
 
     def each(batch_df, epoch_id):
         if not batch_df.isEmpty():
-            append(spark, path, batch_df, epoch_id + 1)
+            append(spark, path, batch_df, f"s{name}-{epoch_id:012d}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w

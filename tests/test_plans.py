@@ -1,5 +1,7 @@
 """Plan shape: the properties the scale design relies on."""
 
+from pyspark.sql import functions as F
+
 from lodestar.operators import search as S
 from lodestar.operators.joins import join_small
 
@@ -50,3 +52,13 @@ def test_bucket_count_follows_input_size(spark, tmp_path):
         assert I.default_buckets(spark, df) > par
     finally:
         I.BUCKET_TARGET_BYTES = old
+
+
+def test_term_lookup_reads_only_its_parts(spark, index):
+    """One word: a partition filter on one term part, the word pushed to the scan, few of the files."""
+    q = spark.createDataFrame([(1, "sleek")], "query_id bigint, query string")
+    plan = _plan(S.term(index, q, "description"))
+    assert "tpart" in plan.split("PartitionFilters")[1].split("]")[0] and "EqualTo(term,sleek)" in plan
+    files = lambda df: set(r[0] for r in df.select(F.input_file_name()).distinct().collect())
+    p = S.field_postings(index, "description")
+    assert len(files(S.pruned_postings(index, "description", q.select(F.lit("sleek").alias("term"))))) < len(files(p)) / 2
