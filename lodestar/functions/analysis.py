@@ -24,6 +24,7 @@ S_STEMMER_RULES = [
     ("s", ("us", "ss"), ""),
 ]
 ARRAY_POSITION_GAP = 100
+MARK = "\uFDD0"  # a noncharacter (in no text): a word break that a tokenizer adds
 
 _KNOWN_OPTIONS = {
     "unicode_words": {"remove_emojis", "lowercase", "stemmer", "alias"},
@@ -112,6 +113,15 @@ class Tokenizer:
     def _norm(self, c: Column) -> Column:
         return F.lower(c) if self.lowercase else c
 
+    def broken(self, c: Column) -> Column:
+        """The text with ``MARK`` at the word breaks that this tokenizer adds."""
+        if self.name == "source_code":
+            for before, after in ((r"\p{Ll}", r"\p{Lu}"), (r"\p{L}", r"\p{N}"), (r"\p{N}", r"\p{L}")):
+                c = F.regexp_replace(c, f"({before})({after})", f"$1{MARK}$2")
+        elif self.name == "chinese_compatible":
+            c = F.regexp_replace(c, r"(\p{IsHan})", f"{MARK}$1{MARK}")
+        return c
+
     def terms(self, col) -> Column:
         """``array<string>`` of tokens in order (positions not included)."""
         plain = self.plain_terms(col)
@@ -127,14 +137,8 @@ class Tokenizer:
         n = self.name
         if n in ("unicode_words", "simple", "whitespace", "regex_pattern"):
             return self._stem(F.regexp_extract_all(self._norm(c), F.lit(self.word_pattern()), 0))
-        if n == "source_code":
-            s = F.regexp_replace(c, r"(\p{Ll})(\p{Lu})", "$1 $2")
-            s = F.regexp_replace(s, r"(\p{L})(\p{N})", "$1 $2")
-            s = F.regexp_replace(s, r"(\p{N})(\p{L})", "$1 $2")
-            return self._stem(F.regexp_extract_all(self._norm(s), F.lit(f"[{WORD_CLASS}]+"), 0))
-        if n == "chinese_compatible":
-            s = F.regexp_replace(c, r"(\p{IsHan})", " $1 ")
-            return self._stem(F.regexp_extract_all(self._norm(s), F.lit(f"[{WORD_CLASS}]+"), 0))
+        if n in ("source_code", "chinese_compatible"):
+            return self._stem(F.regexp_extract_all(self._norm(self.broken(c)), F.lit(self.word_pattern()), 0))
         if n == "literal":
             return F.when(c.isNotNull(), F.array(c))
         if n == "literal_normalized":
@@ -251,23 +255,51 @@ def chinese_compatible(**o):
 DEFAULT = unicode_words()
 
 
-def token_offsets(df, text_col: str, pattern: str, lowercase: bool = True, keys=("doc_id",)):
-    """Explode ``df`` to one row per token with 0-based code-point offsets.
+def token_offsets(df, text_col: str, tok: Tokenizer, keys=("doc_id",)):
+    """Explode ``df`` to one row per token with 0-based code-point offsets into the text.
 
     ``split`` yields the n+1 separators around the n matches; the end offset of
     token i is the running sum of separator and token lengths up to i, taken
     with a window partitioned by the row (linear in tokens, no array folds).
-    Adds columns ``pos, start, end, term``; other columns are kept.
+    Word breaks that the tokenizer puts in (``MARK``) have no length, and where
+    lower-casing makes a text longer the offsets are taken back to the text.
+    Adds columns ``pos, start, end, term`` (the indexed term); other columns are
+    kept.  An edge n-gram tokenizer gives one row per gram of each word.
     """
     from pyspark.sql import Window
 
-    s = F.lower(F.col(text_col)) if lowercase else F.col(text_col)
-    base = df
-    toks = F.regexp_extract_all(s, F.lit(pattern), 0)
-    seps = F.split(s, pattern, -1)
-    ex = base.select("*", F.posexplode(F.arrays_zip(F.slice(seps, 1, F.size(toks)).alias("sep"),
-                                                    toks.alias("tok"))).alias("pos", "st"))
+    s = tok._norm(tok.broken(F.col(text_col)))
+    toks = F.regexp_extract_all(s, F.lit(tok.word_pattern()), 0)
+    marked = tok.name in ("source_code", "chinese_compatible")
+    seps = F.transform(F.split(s, tok.word_pattern(), -1),
+                       lambda x: F.length(F.translate(x, MARK, "") if marked else x))
+    ex = df.select("*", (_widened(F.col(text_col)) if tok.lowercase else F.array().cast("array<int>")).alias("wide"),
+                   F.posexplode(F.arrays_zip(F.slice(seps, 1, F.size(toks)).alias("sep"),
+                                             toks.alias("tok"))).alias("pos", "st"))
     w = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    ex = ex.withColumn("end", F.sum(F.length("st.sep") + F.length("st.tok")).over(w).cast("int"))
-    return (ex.withColumn("start", (F.col("end") - F.length("st.tok")).cast("int"))
-              .withColumn("term", F.col("st.tok")).drop("st"))
+    ex = ex.withColumn("end", F.sum(F.col("st.sep") + F.length("st.tok")).over(w).cast("int"))
+    ex = (ex.withColumn("start", (F.col("end") - F.length("st.tok")).cast("int"))
+            .withColumn("term", F.col("st.tok")).drop("st"))
+    if tok.name == "edge_ngram":
+        lo, hi = (int(a) for a in tok.args)
+        ex = ex.where(F.length("term") >= lo).withColumn(
+            "n", F.explode(F.sequence(F.lit(lo), F.least(F.lit(hi), F.length("term")))))
+        ex = ex.withColumn("end", F.col("start") + F.col("n")).withColumn(
+            "term", F.substring("term", F.lit(1), F.col("n"))).drop("n")
+    elif tok.opt("stemmer") is not None:
+        ex = ex.withColumn("term", s_stem(F.col("term")))
+    start = F.col("start") - F.size(F.filter("wide", lambda x: x < F.col("start")))
+    end = F.col("end") - F.size(F.filter("wide", lambda x: x + 1 < F.col("end")))
+    return ex.withColumns({"start": start, "end": end}).drop("wide")
+
+
+def _widened(c: Column) -> Column:
+    """Places in ``lower(c)`` of the one letter (U+0130) that becomes two when lower-cased."""
+    parts = F.split(c, "\u0130", -1)
+    fold = F.aggregate(
+        F.slice(parts, 1, F.size(parts) - 1),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda s, p: F.struct((s["at"] + F.length(p) + 2).alias("at"),
+                              F.concat(s["out"], F.array(s["at"] + F.length(p))).alias("out")),
+        lambda s: s["out"])
+    return F.when(F.contains(c, F.lit("\u0130")), fold).otherwise(F.array().cast("array<int>"))

@@ -25,8 +25,8 @@ def metric(kind: str, col: str | Column, where: Column | None = None) -> Column:
     raise ValueError(f"metric kind must be value_count or avg, got {kind!r}")
 
 
-def aggregate(df: DataFrame, spec: dict, exact: bool = True) -> DataFrame:
-    """``{"name": ("value_count"|"avg", column[, where])}`` → one row.
+def aggregate(df: DataFrame, spec: dict, exact: bool = True, by: str | None = None) -> DataFrame:
+    """``{"name": ("value_count"|"avg", column[, where])}`` → one row (one per value of ``by``).
 
     ``exact=False`` permits an estimate; these kinds are exact at no extra
     cost in Spark, so the result is the exact one either way.
@@ -36,7 +36,7 @@ def aggregate(df: DataFrame, spec: dict, exact: bool = True) -> DataFrame:
         kind, col = s[0], s[1]
         where = s[2] if len(s) > 2 else None
         cols.append(metric(kind, col, where).alias(name))
-    return df.agg(*cols)
+    return df.groupBy(by).agg(*cols) if by else df.agg(*cols)
 
 
 def terms_buckets(df: DataFrame, col: str | Column, size: int | None = None, group: str | None = None) -> DataFrame:
@@ -59,8 +59,9 @@ def json_path(col: str, path: str) -> Column:
     return F.get_json_object(F.col(col), "$." + path)
 
 
-def range_buckets(df: DataFrame, col: str | Column, ranges: list, where: Column | None = None) -> DataFrame:
-    """(key, from, to, doc_count) for every range, empty ones too.
+def range_buckets(df: DataFrame, col: str | Column, ranges: list, where: Column | None = None,
+                  group: str | None = None) -> DataFrame:
+    """(idx, key, from, to, doc_count) for every range, empty ones too (per value of ``group``).
 
     ``from`` inclusive, ``to`` exclusive, either may be None (open).
     """
@@ -75,15 +76,16 @@ def range_buckets(df: DataFrame, col: str | Column, ranges: list, where: Column
         if where is not None:
             cond &= where
         aggs.append(F.count(F.when(cond & c.isNotNull(), 1)).alias(f"b{i}"))
-    one = df.agg(*aggs)
+    keep = [group] if group else []
+    one = df.groupBy(*keep).agg(*aggs)
     keys = [_range_key(lo, hi) for lo, hi in ranges]
     stack = ", ".join(f"{i}, '{k}', b{i}" for i, k in enumerate(keys))
-    out = one.selectExpr(f"stack({len(ranges)}, {stack}) as (idx, key, doc_count)")
+    out = one.selectExpr(*keep, f"stack({len(ranges)}, {stack}) as (idx, key, doc_count)")
     bounds = df.sparkSession.createDataFrame(
         [(i, None if lo is None else float(lo), None if hi is None else float(hi)) for i, (lo, hi) in enumerate(ranges)],
         "idx int, `from` double, `to` double")
     return out.join(F.broadcast(bounds), "idx").select(  # the caller's bucket list
-        "idx", "key", "from", "to", "doc_count")
+        *keep, "idx", "key", "from", "to", "doc_count")
 
 
 def _range_key(lo, hi) -> str:
@@ -96,7 +98,24 @@ def _num(v):
     return str(int(v)) if float(v).is_integer() else str(v)
 
 
-def over(df: DataFrame, spec: dict) -> DataFrame:
-    """Attach aggregates over **all** rows of ``df`` to each row (``OVER ()``)."""
-    one = aggregate(df, spec)
-    return df.crossJoin(F.broadcast(one))  # one row
+def over(df: DataFrame, spec: dict, by: str | None = None) -> DataFrame:
+    """Attach aggregates over **all** rows of ``df`` (of its value of ``by``) to
+    each row (``OVER ()``).
+
+    ``("terms", column, size)`` attaches the ``size`` largest buckets as an
+    array of (key, doc_count), largest first, ties by key; null where there are none.
+    """
+    metrics = {n: s for n, s in spec.items() if s[0] != "terms"}
+    if metrics:
+        one = aggregate(df, metrics, by=by)
+        attached = df.join(one, by) if by else df.crossJoin(F.broadcast(one))  # one row
+    else:
+        attached = df
+    for name, s in spec.items():
+        if s[0] == "terms":
+            b = terms_buckets(df, s[1], size=s[2], group=by)
+            entry = F.struct((-F.col("doc_count")).alias("o"), "key", "doc_count")
+            listed = F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["key"], e["doc_count"]))
+            lists = (b.groupBy(by) if by else b.groupBy()).agg(F.when(F.count("key") > 0, listed).alias(name))
+            attached = attached.join(lists, by, "left") if by else attached.crossJoin(F.broadcast(lists))  # one row
+    return attached

@@ -9,6 +9,10 @@ fragment opens at the first unassigned one (start offset s) and takes every
 following matched token with end ≤ s + max_chars (at least the first).  Its
 text is ``substring(text, s, max_chars)`` with each matched token wrapped in
 the tags; its score is the number of matched tokens, ties to the earlier.
+
+Texts are analysed as the field is: a stemmed term marks the whole word, an
+edge n-gram the longest matching head of its word, and the parts that
+``source_code`` and ``chinese_compatible`` break a word into are marked alone.
 """
 
 from __future__ import annotations
@@ -44,10 +48,12 @@ def matched_tokens(index: SearchIndex, field: str, matches: DataFrame, qterms: D
     md = md if md is not None else matched_docs(index, field, matches)
     pairs = matches.select("query_id", "doc_id").distinct()
     # each matched document is tokenised once, whatever the number of queries
-    toks = token_offsets(md, "text", f.tokenizer.word_pattern(), f.tokenizer.lowercase).select(
-        "doc_id", "term", "start", "end")
+    toks = token_offsets(md, "text", f.tokenizer).select("doc_id", "term", "start", "end")
     want = pairs.join(qterms.select("query_id", "term").distinct(), "query_id")
-    return join_small(toks, want, ["doc_id", "term"]).select("query_id", "doc_id", "start", "end")
+    found = join_small(toks, want, ["doc_id", "term"]).select("query_id", "doc_id", "start", "end")
+    if f.tokenizer.name == "edge_ngram":  # of the grams of a word that are query terms, the longest
+        found = found.groupBy("query_id", "doc_id", "start").agg(F.max("end").alias("end"))
+    return found
 
 
 def snippet_positions(index, field, matches, qterms) -> DataFrame:

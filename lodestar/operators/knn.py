@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import checkpointed
+
 DIST_DECIMALS = 6
 QUERY_BUDGET_FLOATS = 8_000_000  # query vectors sent to every task per pass (64 MB of doubles)
 
@@ -55,21 +57,24 @@ def _np_dist(X: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
 
 def _partition_topk(qids, Q, k, metric, key_col, vec_col):
     def run(batches):
-        best = {}
+        none = np.zeros(0, np.int64), np.zeros(0)
+        best = [none] * len(qids)  # (keys, distances) so far, nearest first
         for pdf in batches:
             if pdf.empty:
                 continue
             keys = pdf[key_col].to_numpy()
             X = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            for qi, qid in enumerate(qids):
+            for qi, (had, dist) in enumerate(best):
                 d = np.round(_np_dist(X, Q[qi], metric), DIST_DECIMALS)
-                cand = pd.DataFrame({"query_id": qid, "doc_id": keys, "distance": d})
-                if qid in best:
-                    cand = pd.concat([best[qid], cand], ignore_index=True)
-                cand = cand.dropna(subset=["distance"])
-                best[qid] = cand.sort_values(["distance", "doc_id"], kind="mergesort").head(k)
-        if best:
-            yield pd.concat(best.values(), ignore_index=True)
+                # a zero vector has no cosine distance; a full list only takes what is no farther
+                near = np.flatnonzero(d <= dist[-1] if len(dist) == k else ~np.isnan(d))
+                if len(near):
+                    had, dist = np.concatenate((had, keys[near])), np.concatenate((dist, d[near]))
+                    order = np.lexsort((had, dist))[:k]
+                    best[qi] = had[order], dist[order]
+        for qid, (had, dist) in zip(qids, best, strict=True):
+            if len(had):
+                yield pd.DataFrame({"query_id": qid, "doc_id": had, "distance": dist})
     return run
 
 
@@ -97,7 +102,9 @@ def knn(rows: DataFrame, key: str, vec: str, queries: DataFrame, k: int, metric:
         qids = [int(r[0]) for r in got]
         Q = np.array([np.asarray(r[1], dtype=np.float64) for r in got])
         fn = _partition_topk(qids, Q, k, metric, "doc_id", "vec")
-        outs.append(src.mapInPandas(fn, "query_id long, doc_id long, distance double"))
+        out = src.mapInPandas(fn, "query_id long, doc_id long, distance double")
+        # one pass after the other: the driver holds the vectors of one pass only
+        outs.append(checkpointed(out) if passes > 1 else out)
     allc = outs[0]
     for o in outs[1:]:
         allc = allc.unionByName(o)
@@ -175,6 +182,7 @@ def knn_clustered(centroids: DataFrame, lists: DataFrame, queries: DataFrame, k:
             .dropDuplicates(["query_id", "doc_id"]))
     d = (cand.join(queries.select("query_id", F.col(qvec).alias("qv")), "query_id")
          .select("query_id", "doc_id",
-                 F.round(distance_expr(F.col("embedding"), F.col("qv"), metric), DIST_DECIMALS).alias("distance")))
+                 F.round(distance_expr(F.col("embedding"), F.col("qv"), metric), DIST_DECIMALS).alias("distance"))
+         .where(F.col("distance").isNotNull()))
     w = Window.partitionBy("query_id").orderBy("distance", "doc_id")
     return d.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

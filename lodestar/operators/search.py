@@ -172,7 +172,7 @@ def _finish(df: DataFrame, q: Query) -> DataFrame:
     s = F.col("score")
     if q.const is not None:
         s = F.lit(float(q.const))
-    elif q.boost is not None:
+    if q.boost is not None:  # also of a constant score
         s = s * F.lit(float(q.boost))
     return df.select("query_id", "doc_id", s.cast("double").alias("score"))
 
@@ -298,6 +298,54 @@ def occurrences(index: SearchIndex, qterms: DataFrame, field: str, docs: DataFra
     return j.select("query_id", "doc_id", "qpos", F.explode("positions").alias("p"))
 
 
+def _windows(s: DataFrame, slop: int) -> DataFrame:
+    """Rows of ``s`` (query_id, doc_id, qpos, p, s) under every anchor ``a`` of
+    their document with a ≤ s ≤ a + slop: a band join on position buckets."""
+    w = slop + 1
+    s = checkpointed(s)  # read as anchors and as members of the windows
+    anchors = s.select("query_id", "doc_id", F.col("s").alias("a")).distinct()
+    ab = anchors.withColumn("b", F.explode(F.array(F.floor(F.col("a") / w), F.floor(F.col("a") / w) + 1)))
+    sb = s.withColumn("b", F.floor(F.col("s") / w))
+    return (ab.join(sb, ["query_id", "doc_id", "b"])
+            .where((F.col("s") >= F.col("a")) & (F.col("s") <= F.col("a") + slop)))
+
+
+def _all_placed(slots, positions) -> bool:
+    """True if every slot can take a position of its own (augmenting paths)."""
+    options, holder = {}, {}
+    for slot, p in zip(slots, positions, strict=True):
+        options.setdefault(slot, []).append(p)
+
+    def place(slot, tried):
+        for p in options[slot]:
+            if p not in tried:
+                tried.add(p)
+                if p not in holder or place(holder[p], tried):
+                    holder[p] = slot
+                    return True
+        return False
+
+    return all(place(slot, set()) for slot in options)
+
+
+def shared_slot_match(occ: DataFrame, nslots: DataFrame, slop: int) -> DataFrame:
+    """``slot_match`` for slots that may hold the same term: each window with all
+    slots (at most slots × (slop + 1) rows) is searched for distinct positions."""
+    full = (_windows(occ.withColumn("s", F.col("p") - F.col("qpos")), slop)
+            .groupBy("query_id", "doc_id", "a")
+            .agg(F.collect_list(F.struct("qpos", "p")).alias("w"), F.countDistinct("qpos").alias("c"))
+            .join(nslots, "query_id").where(F.col("c") == F.col("n"))
+            .select("query_id", "doc_id", F.col("w.qpos").alias("slots"), F.col("w.p").alias("places")))
+
+    def run(batches):
+        for pdf in batches:
+            ok = [_all_placed(s, p) for s, p in zip(pdf["slots"], pdf["places"], strict=True)]
+            yield pdf.loc[ok, ["query_id", "doc_id"]]
+
+    kinds = {f.name: f.dataType.simpleString() for f in full.schema.fields}
+    return full.mapInPandas(run, f"query_id {kinds['query_id']}, doc_id {kinds['doc_id']}").distinct()
+
+
 def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
     """(query_id, doc_id) where every slot takes a distinct position p_i with
     max(p_i − i) − min(p_i − i) ≤ slop.
@@ -314,13 +362,7 @@ def slot_match(occ: DataFrame, slots: DataFrame, slop: int) -> DataFrame:
         g = (s.groupBy("query_id", "doc_id", "s").agg(F.count("*").alias("c"))
              .join(n, "query_id").where(F.col("c") == F.col("n")))
         return g.select("query_id", "doc_id").distinct()
-    w = slop + 1
-    s = checkpointed(s)  # read as anchors and as members of the windows
-    anchors = s.select("query_id", "doc_id", F.col("s").alias("a")).distinct()
-    ab = anchors.withColumn("b", F.explode(F.array(F.floor(F.col("a") / w), F.floor(F.col("a") / w) + 1)))
-    sb = s.withColumn("b", F.floor(F.col("s") / w))
-    j = (ab.join(sb, ["query_id", "doc_id", "b"])
-         .where((F.col("s") >= F.col("a")) & (F.col("s") <= F.col("a") + slop)))
+    j = _windows(s, slop)
     # queries whose slots are all different terms: distinct positions are
     # automatic, a window holding every slot is enough
     keys = checkpointed(slots.groupBy("query_id").agg(F.countDistinct("slot_key").alias("nk"),
@@ -404,11 +446,17 @@ def expanded_phrase(index: SearchIndex, slot_terms: DataFrame, nslots: DataFrame
     have = (join_small(p, slot_terms, "term").select("query_id", "doc_id", "qpos").distinct()
             .groupBy("query_id", "doc_id").agg(F.count("*").alias("c"))
             .join(nslots, "query_id").where(F.col("c") == F.col("n")).select("query_id", "doc_id"))
-    occ = occurrences(index, slot_terms, field, have).distinct()
-    # slots compete for a position only if they can hold the same term; with
-    # expansions we treat every slot as its own key (distinct expansions).
+    occ = occurrences(index, slot_terms, field, have)
+    occ = occ.select("query_id", "doc_id", "qpos", "p").distinct()
     slots = slot_terms.select("query_id", "qpos", F.col("qpos").cast("string").alias("slot_key")).distinct()
-    hit = slot_match(occ, slots, slop)
+    # slots compete for a position only if they can hold the same term
+    rivals = slot_terms.groupBy("query_id", "term").agg(F.countDistinct("qpos").alias("c")).where("c > 1")
+    rivals = checkpointed(rivals.select("query_id").distinct())
+    if slop and not rivals.isEmpty():
+        hit = slot_match(occ.join(rivals, "query_id", "left_anti"), slots.join(rivals, "query_id", "left_anti"), slop)
+        hit = hit.unionByName(shared_slot_match(occ.join(rivals, "query_id", "left_semi"), nslots, slop))
+    else:
+        hit = slot_match(occ, slots, slop)
     return hit.withColumn("score", F.lit(1.0))
 
 

@@ -13,6 +13,7 @@ from ..operators import hybrid as HY
 from ..operators import knn as K
 from ..operators import search as S
 from ..operators.index import Field, VectorField, build_index
+from ..operators.joins import checkpointed
 from ..operators.querystring import query_string
 from ..sources.tables import create_table_as, read_table
 from ..streaming.append import append
@@ -164,18 +165,8 @@ PRICE_BUCKETS = [(None, 950.0), (950.0, 1000.0), (1000.0, 1500.0), (1500.0, None
      "pm.p_retailprice < b.hi) GROUP BY q.query_id, b.idx")
 def a_range(spark, sf):
     """Price buckets per query; empty buckets are reported with 0."""
-    m = _part_matches(spark, sf)
-    aggs = []
-    for i, (lo, hi) in enumerate(PRICE_BUCKETS):
-        c = F.lit(True)
-        if lo is not None:
-            c &= F.col("p_retailprice") >= lo
-        if hi is not None:
-            c &= F.col("p_retailprice") < hi
-        aggs.append(F.count(F.when(c, 1)).alias(f"b{i}"))
-    g = m.groupBy("query_id").agg(*aggs)
-    stack = ", ".join(f"{i}, b{i}" for i in range(len(PRICE_BUCKETS)))
-    return g.selectExpr("query_id", f"stack({len(PRICE_BUCKETS)}, {stack}) as (idx, doc_count)")
+    b = FA.range_buckets(_part_matches(spark, sf), "p_retailprice", PRICE_BUCKETS, group="query_id")
+    return b.select("query_id", F.col("idx").cast("bigint").alias("idx"), "doc_count")
 
 
 @reg("a_terms", PM_SQL + "SELECT query_id, key, doc_count FROM (SELECT query_id, p_type AS key, count(*) AS doc_count, "
@@ -212,9 +203,9 @@ def a_filter(spark, sf):
      "round(avg(p_retailprice) OVER (PARTITION BY query_id), 6) AS avg_price FROM pm")
 def a_over(spark, sf):
     """Each match with aggregates over all matches of its query (before any limit)."""
-    m = _part_matches(spark, sf)
-    per = m.groupBy("query_id").agg(F.count("*").alias("total"), F.round(F.avg("p_retailprice"), 6).alias("avg_price"))
-    return m.join(per, "query_id").select("query_id", "doc_id", "score", "total", "avg_price")
+    m = FA.over(checkpointed(_part_matches(spark, sf)),
+                {"total": ("value_count", "doc_id"), "avg_price": ("avg", "p_retailprice")}, by="query_id")
+    return m.select("query_id", "doc_id", "score", "total", F.round("avg_price", 6).alias("avg_price"))
 
 
 @reg("a_facets_topk", PM_SQL +
@@ -223,7 +214,7 @@ def a_over(spark, sf):
      "UNION ALL SELECT query_id, 'facet', p_type, count(*)::DOUBLE FROM pm GROUP BY query_id, p_type")
 def a_facets_topk(spark, sf):
     """Top 5 rows and the category facet of all matches, in one answer."""
-    m = _part_matches(spark, sf)
+    m = checkpointed(_part_matches(spark, sf))  # the matches are read by both parts
     hits = S.top_k(m, 5).select("query_id", F.lit("hit").alias("kind"), F.col("doc_id").cast("string").alias("key"),
                                 F.col("score").alias("value"))
     facet = FA.terms_buckets(m, "p_type", group="query_id").select(
@@ -235,9 +226,9 @@ def a_facets_topk(spark, sf):
      "GROUP BY query_id")
 def a_approx(spark, sf):
     """exact = false: accepted; these kinds are exact at the same cost."""
-    m = _part_matches(spark, sf)
-    return m.groupBy("query_id").agg(FA.metric("value_count", "p_size").alias("n"),
-                                     F.round(FA.metric("avg", "p_retailprice"), 6).alias("avg_price"))
+    g = FA.aggregate(_part_matches(spark, sf), {"n": ("value_count", "p_size"), "avg_price": ("avg", "p_retailprice")},
+                     exact=False, by="query_id")
+    return g.select("query_id", "n", F.round("avg_price", 6).alias("avg_price"))
 
 
 # ---------------------------------------------------------------------------

@@ -6,14 +6,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import FractionalType, IntegralType, StructType
 
 from ..session import work_dir
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str = "parquet") -> DataFrame:
     """Read a table and hold it to a declared schema: columns are checked by
-    name and cast to the declared types (ANSI casts, so bad values raise)."""
+    name and cast to the declared types.  ANSI casts raise on values that do not
+    fit; a fraction read into an integer column raises too (it is not cut)."""
     df = spark.read.format(fmt).load(path)
     if schema is None:
         return df
@@ -22,7 +23,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"table at {path} lacks declared columns {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def typed(f):
+        c = F.col(f.name)
+        whole = isinstance(f.dataType, IntegralType)
+        if whole and isinstance(df.schema[f.name].dataType, FractionalType):
+            c = F.when(c.isNull() | (c == F.floor(c)), c).otherwise(
+                F.raise_error(F.lit(f"column {f.name} holds a value that is not whole")))
+        return c.cast(f.dataType).alias(f.name)
+
+    return df.select(*[typed(f) for f in schema.fields])
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:

@@ -77,5 +77,5 @@ def test_unknown_option_and_not_built():
 
 def test_token_offsets(spark):
     df = spark.createDataFrame([(1, "Hi, Café au lait")], "doc_id bigint, text string")
-    out = A.token_offsets(df, "text", A.unicode_words().word_pattern()).orderBy("pos").collect()
+    out = A.token_offsets(df, "text", A.unicode_words()).orderBy("pos").collect()
     assert [(r.term, r.start, r.end) for r in out] == [("hi", 0, 2), ("café", 4, 8), ("au", 9, 11), ("lait", 12, 16)]
