@@ -79,25 +79,50 @@ def _leaf_terms(index: SearchIndex, field: str, leaf: Leaf, qid: int) -> DataFra
     raise ValueError(leaf.kind)
 
 
-def _spans(index: SearchIndex, field: str, expr, qid: int) -> DataFrame:
-    """(query_id, doc_id, s, e) spans where ``expr`` holds."""
+def _leaves(expr) -> list:
+    return [expr] if isinstance(expr, Leaf) else _leaves(expr.left) + _leaves(expr.right)
+
+
+def _occurrences(index: SearchIndex, field: str, exprs: dict) -> DataFrame:
+    """(query_id, leaf, doc_id, s): positions of every leaf (numbered from the
+    left) in the documents that hold all leaves of the query.
+
+    One pass over term and document finds those documents; only their positions
+    are exploded.  Both passes serve all queries of the batch.  Checkpointed.
+    """
+    terms, sizes = [], []
+    for qid, expr in exprs.items():
+        leaves = _leaves(expr)
+        sizes.append((qid, len(leaves)))
+        terms += [_leaf_terms(index, field, leaf, qid).distinct().withColumn("leaf", F.lit(i))
+                  for i, leaf in enumerate(leaves)]
+    t = checkpointed(_union(terms, "query_id bigint, term string, leaf int"))
+    need = index.spark.createDataFrame(sizes, "query_id bigint, n bigint")
+    postings = pruned_postings(index, field, t)
+    there = join_small(postings.select("term", "doc_id"), t, "term", materialize=False)
+    docs = (there.groupBy("query_id", "doc_id").agg(F.countDistinct("leaf").alias("c"))
+            .join(F.broadcast(need), "query_id")  # one row per query of the batch
+            .where(F.col("c") == F.col("n")).select("query_id", "doc_id"))
+    places = join_small(postings.select("term", "doc_id", "positions"), t, "term", materialize=False)
+    places = join_small(places, checkpointed(docs), ["query_id", "doc_id"], "left_semi", materialize=False)
+    return checkpointed(places.select("query_id", "leaf", "doc_id", F.explode("positions").alias("s")).distinct())
+
+
+def _spans(occ: DataFrame, expr, qid: int, first: int = 0) -> DataFrame:
+    """(query_id, doc_id, s, e) spans where ``expr``, whose leaves are numbered from ``first``, holds."""
     if isinstance(expr, Leaf):
-        t = checkpointed(_leaf_terms(index, field, expr, qid))
-        p = pruned_postings(index, field, t).select("term", "doc_id", "positions")
-        return (join_small(p, t, "term", materialize=False).select("query_id", "doc_id", F.explode("positions").alias("s"))
-                .withColumn("e", F.col("s")).distinct())
-    left = _spans(index, field, expr.left, qid)
-    right = _spans(index, field, expr.right, qid)
+        own = occ.where((F.col("query_id") == qid) & (F.col("leaf") == first))
+        return own.select("query_id", "doc_id", "s", F.col("s").alias("e"))
+    left = _spans(occ, expr.left, qid, first)
+    right = _spans(occ, expr.right, qid, first + len(_leaves(expr.left)))
+    # each operand is read twice (right-after and right-before); leaves are written already
+    left, right = (side if isinstance(e, Leaf) else checkpointed(side)
+                   for side, e in ((left, expr.left), (right, expr.right)))
     return pair_spans(left, right, expr.distance, expr.ordered)
 
 
 def pair_spans(left: DataFrame, right: DataFrame, d: int, ordered: bool) -> DataFrame:
-    """Spans of (left within d of right).
-
-    Both operands are read twice (right-after and right-before), so each is
-    checkpointed once to the shared folder instead of being recomputed.
-    """
-    left, right = checkpointed(left), checkpointed(right)
+    """Spans of (left within d of right)."""
     w = d + 1
     r = right.select("query_id", "doc_id", F.col("s").alias("rs"), F.col("e").alias("re"))
     # right after left: rs in [e + 1, e + 1 + d]
@@ -117,7 +142,8 @@ def pair_spans(left: DataFrame, right: DataFrame, d: int, ordered: bool) -> Data
 
 def proximity(index: SearchIndex, field: str, exprs: dict, q: Query = NOQ) -> DataFrame:
     """(query_id, doc_id, score=1.0) for each query id → proximity expression."""
-    parts = [_spans(index, field, _as_expr(e), qid).select("query_id", "doc_id").distinct()
-             for qid, e in exprs.items()]
+    exprs = {qid: _as_expr(e) for qid, e in exprs.items()}
+    occ = _occurrences(index, field, exprs) if exprs else None
+    parts = [_spans(occ, e, qid).select("query_id", "doc_id").distinct() for qid, e in exprs.items()]
     out = _union(parts, "query_id bigint, doc_id bigint").withColumn("score", F.lit(1.0))
     return _finish(out, q)
