@@ -1,10 +1,11 @@
 """MinHash near-dedup as a chosen-path set similarity join.
 
 Each text becomes its set of 4-word shingles (64-bit hashes) and, per tree and
-level, one or more *selected minwise tokens*.  A tree is a recursion: a node
+path of branches, a *selected minwise token*.  A tree is a recursion: a node
 holds documents; if it is larger than ``leaf`` its documents branch into the
 children named by their selected tokens of the next level, else it is a leaf.
-Similar documents follow a common path with a probability that the number of
+Every path of branches has hash functions of its own, so what two documents
+share in one node says nothing about the nodes beside it.  Similar documents follow a common path with a probability that the number of
 independent trees drives to the target recall (``recall()``; 0.9999997 at
 similarity 0.8 with the defaults, even where every level is used).
 
@@ -28,6 +29,7 @@ result; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,16 +57,21 @@ class Join:
     branches: tuple[int, ...] = (2, 2, 1, 1)
     leaf: int = 24
 
+    def paths(self, level: int) -> int:
+        """Paths of branches from the root to the children of this level."""
+        return math.prod(self.branches[:level + 1])
+
     @property
     def per_tree(self) -> int:
-        return sum(self.branches)
+        return sum(self.paths(level) for level in range(len(self.branches)))
 
     @property
     def functions(self) -> int:
         return self.trees * self.per_tree
 
-    def function(self, tree: int, level: int, branch: int) -> int:
-        return tree * self.per_tree + sum(self.branches[:level]) + branch
+    def function(self, tree, level: int, path):
+        """Number of the function that names the children at the end of this path (of ``paths(level)``)."""
+        return tree * self.per_tree + sum(self.paths(k) for k in range(level)) + path
 
     def recall(self, similarity: float = 0.8) -> float:
         """Least probability that two documents of this similarity share a node of the deepest level."""
@@ -202,14 +209,15 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
     """(node, id, pivot): the documents of all final nodes with at least two
     members, and each node's smallest document.  Checkpointed."""
     def children(rows: DataFrame, level: int) -> DataFrame:
-        """Each row (id, tokens, node, tree) goes to one child per branch of this level."""
+        """Each row (id, tokens, node, tree, path) goes to one child per branch of this level."""
         b = join.branches[level]
-        at = F.col("tree") * join.per_tree + sum(join.branches[:level]) + F.col("branch")
-        return rows.withColumn("branch", F.explode(F.array(*[F.lit(i) for i in range(b)]))).select(
-            "id", "tree", F.xxhash64("node", "branch", F.get("tokens", at)).alias("node"))
+        at = join.function(F.col("tree"), level, F.col("path"))
+        return rows.withColumn("branch", F.explode(F.array(*[F.lit(i) for i in range(b)]))).withColumn(
+            "path", F.col("path") * b + F.col("branch")).select(
+            "id", "tree", "path", F.xxhash64("node", "branch", F.get("tokens", at)).alias("node"))
 
     roots = reps.select("id", "tokens").withColumn(
-        "tree", F.explode(F.array(*[F.lit(t) for t in range(join.trees)]))).withColumn("node", F.xxhash64("tree"))
+        "tree", F.explode(F.array(*[F.lit(t) for t in range(join.trees)]))).withColumn("path", F.lit(0)).withColumn("node", F.xxhash64("tree"))
     members, found = children(roots, 0), []
     for level in range(len(join.branches)):
         size = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
@@ -218,7 +226,7 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
         found.append((shared if last else shared.where(F.col("n") <= join.leaf)).select("node", "id", "pivot"))
         if last:
             break
-        large = shared.where(F.col("n") > join.leaf).select("id", "tree", "node")
+        large = shared.where(F.col("n") > join.leaf).select("id", "tree", "path", "node")
         if large.isEmpty():
             break
         members = children(large.join(reps.select("id", "tokens"), "id"), level + 1)

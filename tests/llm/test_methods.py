@@ -102,6 +102,22 @@ def test_near_dedup_brute_force(spark):
     assert len({root(i) for i in range(len(data))}) < 190
 
 
+def test_near_dedup_recall_where_every_level_is_used(spark):
+    pairs, rows = 600, []
+    for i in range(pairs):  # 40 words in common, 5 of their own: similarity 0.8
+        common = [f"c{i}x{k}" for k in range(40)]
+        rows += [(2 * i + j, " ".join(common + [f"o{i}x{j}x{k}" for k in range(5)])) for j in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def found(trees):
+        join = near_dedup.Join(width=1, trees=trees, leaf=1)  # every node of two is branched
+        return near_dedup.near_duplicates(docs, join).where("not kept").count() / pairs, join.recall(0.8)
+
+    share, said = found(1)
+    assert abs(share - said) < 0.07
+    assert found(8)[0] == 1 and 1 - near_dedup.Join().recall(0.8) < 3e-7
+
+
 def test_decontamination_brute_force(spark):
     data = texts(80, 9)
     items = [(i, " ".join(WORDS.findall(t)[2:2 + n])) for i, (t, n) in enumerate(zip(data[::7], [30, 10, 3, 1, 12, 40] * 3, strict=False))]
