@@ -3,9 +3,11 @@
 Every two-word gram of every text is joined with the grams of licence templates.
 A template that stands in a text puts its hits on one diagonal (place in the
 text minus place in the template); words added or lost move the rest to a
-neighbouring diagonal.  Votes are counted per diagonal, neighbouring diagonals
-are merged, and the span is verified: a phrase needs all its words in a row, a
-longer notice ``COVERED`` of its words inside a span of at most twice its length.
+neighbouring diagonal.  Neighbouring diagonals are merged, those of a single vote
+too, and the merged span is verified: a phrase needs all its words in a row, a
+longer notice ``COVERED`` of its grams inside a span of at most twice its length,
+each gram counted once, and two grams at least.  A notice that is not complete gives
+no label where longer matches of other notices hold all the grams it has.
 The join compares the words themselves, so a hash collision is no hit.
 
 Defined cases: a null or empty text has no words and no labels; rows that repeat
@@ -24,6 +26,7 @@ from .sharding import small_table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 COVERED = 0.7
 GAP = 4  # diagonals this close belong to one occurrence
 
@@ -71,7 +74,8 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) for every row of ``docs``."""
     spark: SparkSession = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORD), F.lit(0))
+    # the matches of WORD in the lowered text, at a small part of the cost of a pattern
+    words = F.array_remove(F.split(F.translate(text, _BETWEEN + _UPPER, " " * len(_BETWEEN) + _LOWER), " "), "")
     key = ["doc_id", "text_key"]
     base = docs.select("doc_id", F.xxhash64(text).alias("text_key"), words.alias("words"))
     # the templates are a parameter of a few hundred rows
@@ -84,20 +88,34 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
         lambda a, b: F.xxhash64(a, b))).alias("at", "gram"))
     hits = rolled.join(grams, "gram").where(
         (F.get("words", F.col("at")) == F.col("one")) & (F.get("words", F.col("at") + 1) == F.col("two"))).select(
-        *key, "template", "label", "base", "grams", "place", (F.col("at") - F.col("place")).alias("diagonal"))
-    voted = hits.distinct().groupBy(*key, "template", "label", "base", "grams", "diagonal").agg(
-        F.count(F.lit(1)).alias("votes"), F.min("place").alias("lo"), F.max("place").alias("hi"))
-    # a phrase keeps its diagonal; a notice may continue on the next ones
-    strong = voted.where(F.when(F.col("base"), F.col("votes") == F.col("grams")).otherwise(F.col("votes") > 1))
+        *key, "template", "label", "base", "grams", "place", "at", (F.col("at") - F.col("place")).alias("diagonal"))
+    # all that follows is done per text: hits are dealt out once
+    hits = hits.repartition(*[F.col(c) for c in key]).distinct()
+    # a phrase keeps its diagonal; a notice may continue on the next ones, with a single vote too
     run = Window.partitionBy(*key, "template").orderBy("diagonal")
-    far = F.col("base") | F.coalesce(F.col("diagonal") - F.lag("diagonal").over(run) > GAP, F.lit(True))
-    merged = strong.withColumn("new", far.cast("int")).withColumn("group", F.sum("new").over(run)).groupBy(
-        *key, "template", "label", "base", "grams", "group").agg(
-        F.sum("votes").alias("votes"), F.min("diagonal").alias("diagonal"),
-        F.min(F.col("diagonal") + F.col("lo")).alias("start"), F.max(F.col("diagonal") + F.col("hi")).alias("stop"))
-    spans = merged.withColumn("covered", F.least(F.lit(1.0), F.col("votes") / F.col("grams"))).where(
-        F.col("base") | (F.col("stop") - F.col("start") < 2 * F.col("grams")))
-    sure = F.col("covered") >= COVERED
+    far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(run) > F.when(F.col("base"), 0).otherwise(GAP), F.lit(True))
+    runs = hits.withColumn("new", far.cast("int")).withColumn("group", F.sum("new").over(run))
+    # of each run the stretch of at most twice the template's length that holds most of its grams
+    longest = max((len(re.findall(WORD, t[0])) for t in (*phrases, *notices)), default=1)
+    ahead = Window.partitionBy(*key, "template", "group").orderBy("at").rangeBetween(0, 2 * longest)
+    inside = F.filter(F.collect_list(F.struct("at", "place")).over(ahead),
+                      lambda h: h["at"] < F.col("at") + 2 * F.col("grams"))
+    stretch = runs.withColumn("inside", inside).select(
+        *key, "template", "label", "base", "grams", "group", "diagonal", F.struct(
+            F.size(F.array_distinct("inside.place")).alias("votes"), (-F.col("at")).alias("first"),
+            F.array_distinct("inside.at").alias("ats")).alias("stretch"))
+    least = F.when(F.col("base"), F.col("grams")).otherwise(F.least(F.lit(2), F.col("grams")))
+    merged = stretch.groupBy(*key, "template", "label", "base", "grams", "group").agg(
+        F.min("diagonal").alias("diagonal"), F.max("stretch").alias("stretch")).select(
+        "*", "stretch.votes", "stretch.ats").where(F.col("votes") >= least).withColumn(
+        "covered", F.col("votes") / F.col("grams"))
+    # part of a notice is no sign of it where longer matches hold all its grams (cc by in cc by nc)
+    enough = ~F.col("base") & (F.col("covered") >= COVERED)
+    most = F.max("votes").over(Window.partitionBy(*key, "word"))
+    spans = merged.withColumn("word", F.explode_outer(F.when(enough, F.col("ats")))).withColumn("most", most).groupBy(
+        *key, "template", "label", "base", "group", "diagonal", "covered").agg(
+        F.bool_or(enough & ((F.col("votes") == F.col("most")) | (F.col("votes") == F.col("grams")))).alias("sure"))
+    sure = F.col("sure")
 
     def named(condition):
         return F.array_join(F.array_sort(F.collect_set(F.when(condition, F.col("label")))), ",")

@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lodestar.llm import chat_format, decontaminate, language_id, near_dedup, packing, quality_rules, resampling, sharding, token_counts
+from lodestar.llm import chat_format, decontaminate, language_id, license_scan, near_dedup, packing, quality_rules, resampling, sharding, token_counts
 from lodestar.llm import kernel as K
 from lodestar.llm import tokenize as T
 
@@ -258,3 +258,21 @@ def test_resampling_prefers_targets(spark):
     keys = sorted((r["key"] for r in got.collect()), reverse=True)
     for k in (1, 7, 100, 400):
         assert resampling.kth_largest(got, "key", k) == keys[k - 1]
+
+
+def test_licence_notices_with_one_more_word(spark):
+    rows = [
+        ("licensed under the CC BY 4.0", "cc-by-4.0", 0.8),
+        ("released under the permissive MIT license", "mit", 0.75),
+        ("licensed under CC BY-NC 4.0", "cc-by-nc-4.0", 1.0),  # not cc-by-4.0 with one more word
+        ("licensed under CC BY 4.0", "cc-by-4.0", 1.0),
+        ("the MIT license, the MIT license", "", 0.5),  # grams that come twice count once
+        ("MIT licensed code", "", 0.0),
+        # the run of diagonals is longer than the notice may be
+        ("by 4 x " * 9 + "licensed under CC BY 4.0" + " x by 4" * 9, "cc-by-4.0", 1.0),
+    ]
+    docs = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(docs, phrases=()).collect()}
+    assert [got[i] for i in range(len(rows))] == [r[1:] for r in rows]
+    based = {r["doc_id"]: r["base_labels"] for r in license_scan.scan(docs).collect()}
+    assert based == {0: "cc-by", 1: "mit", 2: "cc-by", 3: "cc-by", 4: "mit", 5: "", 6: "cc-by"}
