@@ -80,13 +80,6 @@ class Join:
             p = 1 - (1 - similarity * p) ** b
         return 1 - (1 - p) ** self.trees
 
-    @property
-    def least_equal(self) -> int:
-        """Equal selected tokens (of ``functions``) below which a pair is not verified:
-        5.5 standard deviations under what the least similar link shows."""
-        p, n = self.percent / 100, self.functions
-        return max(1, int(n * p - 5.5 * (n * p * (1 - p)) ** 0.5))
-
 
 def shingle_sets(column, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct shingle hashes of all texts, one text after the other; bounds per text)."""
@@ -197,12 +190,13 @@ def _may_link(x: str, y: str, join: Join) -> Column:
 
     Two sets whose parity bitmaps differ in d bits differ in at least d members,
     and a link allows ``(100 - percent) / (100 + percent)`` of the two sizes.
-    For sets too large for the bitmap, too few equal selected tokens say no.
+    The smaller set of a link has at least ``percent`` of the larger one's size,
+    which still holds where sets are too large for the bitmap.
     """
     differ = F.expr(f"aggregate(zip_with({x}.parity, {y}.parity, (p, q) -> bit_count(p ^ q)), 0, (s, v) -> s + v)")
-    equal = F.expr(f"aggregate(zip_with({x}.tokens, {y}.tokens, (p, q) -> if(p = q, 1, 0)), 0, (s, v) -> s + v)")
-    both = F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")
-    return ((100 + join.percent) * differ <= (100 - join.percent) * both) & (equal >= join.least_equal)
+    m, n = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    return (100 * F.least(m, n) >= join.percent * F.greatest(m, n)) & (
+        (100 + join.percent) * differ <= (100 - join.percent) * (m + n))
 
 
 def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
@@ -257,7 +251,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     copies = whole.select("doc_id", *key).join(reps.select("id", *key), key).where("doc_id <> id").select(
         F.col("doc_id").alias("a"), F.col("id").alias("b"))
     nodes = _tree_nodes(reps, join)
-    marks = reps.select("id", F.struct("n_shingles", "tokens", "parity").alias("m"))
+    marks = reps.select("id", F.struct("n_shingles", "parity").alias("m"))
 
     def similar(pairs: DataFrame) -> DataFrame:
         """Pairs that have to be verified."""

@@ -118,6 +118,14 @@ def test_near_dedup_recall_where_every_level_is_used(spark):
     assert found(8)[0] == 1 and 1 - near_dedup.Join().recall(0.8) < 3e-7
 
 
+def test_near_dedup_filter_rejects_no_link(spark):
+    one = "struct({n}L as n_shingles, array({t}) as tokens, array_repeat({p}L, 16) as parity) as {c}"
+    tokens = [",".join([str(k)] * near_dedup.Join().functions) for k in (1, 2)]
+    for n, p, may in ((100, 0, True), (80, 0, True), (79, 0, False), (100, -1, False)):  # no equal token
+        row = spark.range(1).selectExpr(one.format(n=100, t=tokens[0], p=0, c="x"), one.format(n=n, t=tokens[1], p=p, c="y"))
+        assert row.where(near_dedup._may_link("x", "y", near_dedup.Join())).count() == may
+
+
 def test_decontamination_brute_force(spark):
     data = texts(80, 9)
     items = [(i, " ".join(WORDS.findall(t)[2:2 + n])) for i, (t, n) in enumerate(zip(data[::7], [30, 10, 3, 1, 12, 40] * 3, strict=False))]
