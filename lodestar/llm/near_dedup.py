@@ -22,7 +22,7 @@ a node and are similar end in one component.  Exact copies (equal sets) are
 reduced to one representative before the trees.
 
 Defined cases: a null or empty text has no shingles and is linked with
-nothing; rows with one ``doc_id`` are one document; a null ``doc_id`` is never
+nothing; rows with one ``doc_id`` are one document, linked by any of its texts; a null ``doc_id`` is never
 linked (its component is null, it is kept); an empty table gives an empty
 result; only ``doc_id`` and ``text`` are read.
 """
@@ -231,14 +231,15 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, join: Join) -> DataFrame:
-    """The pairs (a, b) that are linked, decided on the full sets.  Checkpointed."""
+    """The pairs (a, b) that are linked, decided on the full sets.  Checkpointed.
+    Of an id with several texts each is compared; one that is linked links the id."""
     ids = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    sets = checkpointed(full_sets(docs, ids, join).groupBy("id").agg(F.first("members").alias("members")))
+    sets = checkpointed(full_sets(docs, ids, join).distinct())
     left, right = (sets.select(F.col("id").alias(c), F.col("members").alias(f"m{c}")) for c in "ab")
     both = F.size(F.array_intersect("ma", "mb"))
     linked = pairs.join(left, "a").join(right, "b").where(
         100 * both >= join.percent * (F.size("ma") + F.size("mb") - both))
-    return checkpointed(linked.select("a", "b"))
+    return checkpointed(linked.select("a", "b").distinct())
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -285,6 +286,19 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """The rows of ``docs`` without the near-duplicates of a document with a smaller id."""
-    gone = checkpointed(near_duplicates(docs, join).where("not kept").select("doc_id").distinct())
-    return docs.join(F.broadcast(gone) if fits_broadcast(gone) else gone, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` without the near-duplicates of a document with a smaller id.
+    Rows that repeat id and text stay once; other texts of a kept id stay, and so do
+    all rows without an id."""
+    found = near_duplicates(docs, join).groupBy("doc_id").agg(
+        F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("doc_id is not null and (not kept or n > 1)")
+    found = checkpointed(found)
+    gone, often = found.where("not kept").select("doc_id"), found.where("kept").select("doc_id")
+
+    def side(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if fits_broadcast(ids) else ids
+
+    if often.isEmpty():
+        return docs.join(side(gone), "doc_id", "left_anti").select(docs.columns)
+    once = docs.join(side(found.select("doc_id")), "doc_id", "left_anti").select(docs.columns)
+    repeated = docs.join(side(often), "doc_id", "left_semi").select(docs.columns)
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))

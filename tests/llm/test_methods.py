@@ -126,6 +126,17 @@ def test_near_dedup_filter_rejects_no_link(spark):
         assert row.where(near_dedup._may_link("x", "y", near_dedup.Join())).count() == may
 
 
+def test_near_dedup_rows_of_one_id(spark):
+    one, two, three = (" ".join(f"{w}{k}" for k in range(60)) for w in "xyz")
+    rows = [(1, one), (2, two), (3, one + " more"), (3, two + " more"), (4, three), (4, three), (4, "quite another text"),
+            (None, three), (None, three)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, None: None}  # both texts of 3 link it
+    kept = [tuple(r) for r in near_dedup.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([rows[0], rows[4], *rows[6:]], key=str)
+
+
 def test_decontamination_brute_force(spark):
     data = texts(80, 9)
     items = [(i, " ".join(WORDS.findall(t)[2:2 + n])) for i, (t, n) in enumerate(zip(data[::7], [30, 10, 3, 1, 12, 40] * 3, strict=False))]
