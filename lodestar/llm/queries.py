@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from . import (
     chat_format,
     decontaminate,
+    fill_in_middle,
     language_id,
     license_scan,
     near_dedup,
     packing,
+    periodic_runs,
     quality_rules,
     resampling,
+    secret_scan,
     sharding,
     token_counts,
 )
@@ -190,3 +193,102 @@ def op5_importance_resample(spark: SparkSession, sf: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Greedy longest-match token counts of every document."""
     return token_counts.token_counts(table(spark, sf, "documents"), vocabulary_path("piece_bpe_32k.model"))
+
+
+def _listed(spans: str):
+    """``kind:start:end`` of the spans, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query
+def op11_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in every document: base patterns, and strings that compress badly beside a sensitive word."""
+    found = secret_scan.scan_secrets(table(spark, sf, "documents")).withColumn(
+        "base", F.filter("spans", lambda s: s["kind"] != "novel"))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
+_OP12 = r"""
+with t as (select doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as w,
+    sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+u as (select doc_id, text, w, len(w) as n, cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2,
+    cast('0x' || h[17:24] as bigint) as h3, cast('0x' || h[25:32] as bigint) as h4 from t),
+f as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as z,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50
+    then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form from u),
+p as (select *, array_to_string(w[1:a], '') as prefix, array_to_string(w[a + 1:z], '') as middle,
+    array_to_string(w[z + 1:], '') as suffix from f)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+    case when form <> 'plain' then length(middle) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256, sha256(text) as restored_sha256 from p"""
+
+
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its middle moved to the end, and read back from that."""
+    back = fill_in_middle.restore(fill_in_middle.transform(table(spark, sf, "documents")))
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+query(op12_fill_in_middle, _OP12)
+
+
+def _with_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` with a periodic tail in a tenth of the texts: h = crc32 of the id, g = h / 10;
+    if h % 10 = 0 the words from a = g % n on repeat their first 1 + (n - a) / (3 + g % 8)."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    tail = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, words[int(a + (i - a) % p)])), ' ')")
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), F.floor(h / 10).alias("g")).select(
+        "*", F.when(F.size("words") > 0, F.col("g") % F.size("words")).alias("a")).select(
+        "*", (1 + F.floor((F.size("words") - F.col("a")) / (3 + F.col("g") % 8))).alias("p"))
+    return chosen.select("doc_id", F.when(F.col("a").isNotNull(), tail).otherwise(F.col("text")).alias("text"))
+
+
+_OP13 = r"""
+with t as (select row_number() over () as row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    list_reduce(list_concat([4294967295], list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) as c from documents),
+u as (select row, doc_id, w, len(w) as n, xor(c, 4294967295) as h, xor(c, 4294967295) // 10 as g from t),
+v as (select *, case when h % 10 = 0 and n > 0 then g % n end as a from u),
+x as (select *, 1 + (n - a) // (3 + g % 8) as p from v),
+d as (select row, doc_id, n, case when a is null then w else
+    list_transform(range(n), lambda i: w[1 + case when i < a then i else a + (i - a) % p end]) end as w from x),
+e as (select row, n, unnest(range(n - 7)) as i, w from d where n >= 24),
+o as (select row, n, i, array_to_string(w[i + 1:i + 8], ' ') as eight from e),
+m as (select l.row, r.i - l.i as q, l.i from o l join o r on l.row = r.row and l.eight = r.eight
+    and r.i > l.i and 3 * (r.i - l.i) <= l.n),
+k as (select row, q, i, i - row_number() over (partition by row, q order by i) as chain from m),
+s as (select row, q, min(i) as start, count(*) + 7 + q as length from k group by row, q, chain),
+r as (select row, start, length, min(q) as period from s where length >= greatest(24, 3 * q) group by row, start, length),
+b as (select *, row_number() over (partition by row order by length / period::double desc, start, period) as best from r),
+f as (select row, count(*) as n_runs, any_value(start) filter (where best = 1) as start, any_value(length) filter (where best = 1) as length,
+    any_value(period) filter (where best = 1) as period,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as runs,
+    list({'lo': start + period, 'hi': start + length}) as cut from b group by row),
+j as (select d.row, i, w[i + 1] as word from (select row, w, unnest(range(n)) as i from d) d left join f using (row)
+    where cut is null or len(list_filter(cut, lambda z: i >= z.lo and i < z.hi)) = 0),
+l as (select row, string_agg(word, ' ' order by i) as collapsed from j group by row)
+select doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli,
+    sha256(coalesce(runs, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
+from d left join f using (row) left join l using (row)"""
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of them with a periodic tail, and the text without the repeats."""
+    found = periodic_runs.collapse_runs(_with_tails(table(spark, sf, "documents")))
+    # the greatest length / period, compared exactly; then the smallest start and period
+    order = F.expr("""array_sort(runs, (x, y) -> case
+        when x.length * y.period <> y.length * x.period then if(x.length * y.period > y.length * x.period, -1, 1)
+        when x.start <> y.start then if(x.start < y.start, -1, 1) else int(sign(x.period - y.period)) end)""")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", F.get(order, F.lit(0))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+query(op13_periodic_runs, _OP13)
