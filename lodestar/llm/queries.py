@@ -151,27 +151,33 @@ def _op1_sql() -> str:
     rows = ", ".join(f"({t}, '{label}', {str(base).lower()}, {n}, {i}, '{a} {b}')"
                      for t, label, base, n, i, a, b in license_scan.template_grams())
     return f"""
-with d as (select doc_id, regexp_extract_all({_ASCII_LOWER.format('text')}, '{_WORDS}') as w from documents),
+with d as (select row_number() over () as row, doc_id, regexp_extract_all({_ASCII_LOWER.format('text')}, '{_WORDS}') as w from documents),
 g(template, label, base, grams, place, pair) as (values {rows}),
-r as (select doc_id, unnest(range(len(w) - 1)) as x, w from d where len(w) > 1),
-h as (select distinct r.doc_id, g.template, g.label, g.base, g.grams, g.place, r.x - g.place as diagonal
-      from (select doc_id, x, w[x + 1] || ' ' || w[x + 2] as pair from r) r join g on g.pair = r.pair),
-v as (select doc_id, template, label, base, grams, diagonal, count(*) as votes, min(place) as lo, max(place) as hi
-      from h group by all having case when base then count(*) = grams else count(*) > 1 end),
-n as (select *, case when base or coalesce(diagonal - lag(diagonal) over o > {license_scan.GAP}, true) then 1 else 0 end as fresh
-      from v window o as (partition by doc_id, template order by diagonal)),
-q as (select *, sum(fresh) over (partition by doc_id, template order by diagonal) as grp from n),
-m as (select doc_id, template, label, base, grams, grp, min(diagonal) as diagonal, min(diagonal + lo) as s, max(diagonal + hi) as e,
-      least(1.0, sum(votes) / grams::double) as covered from q group by doc_id, template, label, base, grams, grp),
-k as (select * from m where base or e - s < 2 * grams),
-f as (select doc_id, count(*) filter (where base) as n_base, min(diagonal) filter (where base) as first_word,
+r as (select row, unnest(range(len(w) - 1)) as x, w from d where len(w) > 1),
+h as (select distinct r.row, g.template, g.label, g.base, g.grams, g.place, r.x, r.x - g.place as diagonal
+      from (select row, x, w[x + 1] || ' ' || w[x + 2] as pair from r) r join g on g.pair = r.pair),
+v as (select *, coalesce(diagonal - lag(diagonal) over (partition by row, template order by diagonal)
+      > case when base then 0 else {license_scan.GAP} end, true) as fresh from (select distinct row, template, base, diagonal from h)),
+n as (select row, template, diagonal, sum(fresh::int) over (partition by row, template order by diagonal) as grp from v),
+q as (select h.*, n.grp from h join n using (row, template, diagonal)),
+a as (select distinct row, template, label, base, grams, grp, x from q),
+s as (select a.*, count(distinct q.place) as votes, list(distinct q.x) as ats from a join q on q.row = a.row and q.template = a.template
+      and q.grp = a.grp and q.x >= a.x and q.x < a.x + 2 * a.grams group by all),
+b as (select *, row_number() over (partition by row, template, grp order by votes desc, x) as best from s),
+m as (select b.row, b.template, b.label, b.base, b.grams, b.grp, votes, ats, votes / b.grams::double as covered, diagonal
+      from b join (select row, template, grp, min(diagonal) as diagonal from q group by all) y using (row, template, grp)
+      where best = 1 and votes >= case when b.base then b.grams else least(2, b.grams) end),
+e as (select row, template, grp, votes, grams, unnest(ats) as word from m where not base and covered >= {license_scan.COVERED}),
+t as (select distinct row, template, grp from (select *, max(votes) over (partition by row, word) as most from e)
+      where votes = most or votes = grams),
+f as (select row, count(*) filter (where base) as n_base, min(diagonal) filter (where base) as first_word,
       max(diagonal) filter (where base) as last_word,
       array_to_string(list_sort(list(distinct label) filter (where base)), ',') as base_labels,
-      array_to_string(list_sort(list(distinct label) filter (where base or covered >= {license_scan.COVERED})), ',') as labels,
-      max(covered) as score from k group by doc_id)
+      array_to_string(list_sort(list(distinct label) filter (where base or sure)), ',') as labels,
+      max(covered) as score from (select m.*, t.row is not null as sure from m left join t using (row, template, grp)) group by row)
 select d.doc_id, len(d.w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
   coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0::double) as score
-from d left join f using (doc_id)"""
+from d left join f using (row)"""
 
 
 def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -205,7 +211,7 @@ def op11_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Secrets in every document: base patterns, and strings that compress badly beside a sensitive word."""
     found = secret_scan.scan_secrets(table(spark, sf, "documents")).withColumn(
         "base", F.filter("spans", lambda s: s["kind"] != "novel"))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
+    counts = [F.expr(f"bigint(size(filter(spans, s -> s.kind = '{k}')))").alias(f"n_{k}") for k in secret_scan.KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 

@@ -234,3 +234,16 @@ def test_hex_spans_stay_in_their_text():
     start, end, first = secret_scan.hex_spans(data, np.array([0, 30, 53]))
     assert start.tolist() == [0] and end.tolist() == [30] and first.tolist() == [0, 1, 1]
     assert K.WORD_BYTES[97]
+
+
+def test_registered_queries_carry_the_operators_results(spark, tmp_path):
+    import __spark_entry__ as E
+
+    rows = [(1, f"é token = {SECRET}"), (2, "spam " * 40), (3, None), (30, "one two three " * 20)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in E.queries()["op11_secret_scan"](spark, str(tmp_path)).collect()}
+    assert (got[1]["n_assign"], got[1]["n_access"], got[1]["n_hex"], got[1]["spans"]) == (1, 0, 0, "assign:2:30")
+    assert got[1]["base_sha256"] == hashlib.sha256(b"assign:2:30").hexdigest() and got[3]["spans"] == ""
+    got = {r["doc_id"]: r for r in E.queries()["op13_periodic_runs"](spark, str(tmp_path)).collect()}
+    assert (got[2]["n_runs"], got[2]["start"], got[2]["length"], got[2]["period"], got[2]["exponent_milli"]) == (1, 0, 40, 1, 40_000)
+    assert got[2]["collapsed_sha256"] == hashlib.sha256(b"spam").hexdigest() and got[3]["n_runs"] == 0 and got[3]["start"] is None
