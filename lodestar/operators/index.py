@@ -9,10 +9,19 @@ An index is a handful of ordinary tables (see SURVEY §1.3):
   checked) terms join the buckets and aggregate per (query, document) with no
   shuffle, because the bucketing already clusters by document; a hot term is
   spread over every bucket instead of one task.
-* ``terms``     field, term, df, cf
+* ``rare``      the postings of rare terms once more, partitioned by field and by
+  ``rpart`` (a hash part of the term; parts grow with the index) in one file per
+  part, sorted by term: a lookup of a rare word opens one file, where ``postings``
+  would open one per bucket
+* ``terms``     field, term, df, cf, top, hot — ``top`` is the term's highest
+  weight in any document (its BM25 without idf), from which searches bound what a
+  document can reach; ``hot`` terms have at least ``hot_df`` documents (stored in
+  the manifest) and are looked up in the buckets only
 * ``fields``    field, n_docs, avgdl, total_tokens
 * ``doclens``   field, doc_id, dl — every non-NULL row, also empty ones
 * ``vectors``   field, doc_id, embedding (double, cosine rows normalised)
+* ``clusters``  per vector field with :class:`Clusters`: coarse and fine centroids
+  and the lists, partitioned by cell (see :mod:`.vector_lists`)
 * ``manifest``  one row per field with its tokenizer, source and metric.
 
 Build: the source rows are hash-partitioned by key into the bucket count
@@ -26,15 +35,31 @@ import hashlib
 import json
 import threading
 import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.analysis import ARRAY_POSITION_GAP, DEFAULT, Tokenizer
 from ..session import path_exists, work_dir
+from .joins import join_small
+from .vector_lists import Clusters, VectorLists, save_lists
 
 VECTOR_METRICS = ("l2", "cosine", "ip")
+K1, B = 1.2, 0.75  # BM25
+
+
+def term_weight(tf: Column | str, dl: Column | str, avgdl: Column | str) -> Column:
+    """BM25 of a posting without its idf."""
+    tf, dl, avgdl = (F.col(c) if isinstance(c, str) else c for c in (tf, dl, avgdl))
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
+
+
+def term_statistics(postings: DataFrame, stats: DataFrame) -> DataFrame:
+    """(field, term, df, cf, top) of postings, given the fields' statistics (a row per field)."""
+    p = postings.join(F.broadcast(stats.select("field", "avgdl")), "field")
+    return p.groupBy("field", "term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"), F.max(term_weight("tf", "dl", "avgdl")).alias("top"))
 
 
 @dataclass(frozen=True)
@@ -71,6 +96,7 @@ class VectorField:
     source: str
     metric: str = "l2"
     name: str | None = None
+    clusters: Clusters | None = None  # store clustered lists, searched by ``SearchIndex.lists``
 
     def __post_init__(self):
         if self.metric not in VECTOR_METRICS:
@@ -174,6 +200,11 @@ class SearchIndex:
         self._src = None
         self.buckets = None
         self.term_parts = None
+        self.rare = None  # stored postings of rare terms, clustered by term
+        self.rare_parts = None
+        self.hot_df = None
+        self.appended = None  # postings of appended batches, where there are any
+        self.lists = {}  # vector field → its stored lists
         self.where = None  # SQL text of a partial index's predicate
         self.partial = False
 
@@ -207,14 +238,21 @@ class SearchIndex:
             self._save_text(path, nb)
         if self.vectors is not None:
             self.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+            stored = self.spark.read.parquet(f"{path}/vectors")
+            for v in self.vector_fields.values():
+                if v.clusters:
+                    save_lists(stored.where(F.col("field") == v.field_name), f"{path}/clusters/{v.field_name}", v.clusters)
         self.manifest().coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
         meta = {"name": self.name, "key": self.key, "buckets": nb, "term_parts": self.term_parts,
+                "hot_df": self.hot_df, "rare_parts": self.rare_parts,
+                "key_type": dict(self.postings.dtypes)["doc_id"] if self.fields else None,
                 "where": self.where, "partial": self.partial,
                 "search_tokenizer": _tok_json(self.search_tokenizer),
                 "fields": [{"name": f.field_name, "source": f.source_text(), "is_array": f.is_array,
                             "is_expr": f.is_expr, "is_column": not isinstance(f.source, str),
                             "tokenizer": _tok_json(f.tokenizer)} for f in self.fields.values()],
-                "vectors": [{"name": v.field_name, "source": v.source, "metric": v.metric}
+                "vectors": [{"name": v.field_name, "source": v.source, "metric": v.metric,
+                             "clusters": v.clusters and asdict(v.clusters)}
                             for v in self.vector_fields.values()]}
         self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
             "overwrite").text(f"{path}/_meta")
@@ -230,8 +268,6 @@ class SearchIndex:
          .write.mode("overwrite").partitionBy("field", "tpart").bucketBy(nb, "doc_id").sortBy("term")
          .option("path", f"{path}/postings").saveAsTable(table))
         p = self.spark.table(table)
-        (p.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-         .repartitionByRange("field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
         # document lengths from the written postings (no second tokenising
         # pass) plus the non-NULL values that have no tokens at all
         dls = p.groupBy("field", "doc_id").agg(F.max("dl").alias("dl"))
@@ -240,15 +276,27 @@ class SearchIndex:
         else:
             dls = self.doclens
         dls.write.mode("overwrite").partitionBy("field").parquet(f"{path}/doclens")
-        dl = self.spark.read.parquet(f"{path}/doclens")
+        dl = self.spark.read.schema(dls.schema).parquet(f"{path}/doclens")  # an empty table has no files
         _field_stats(dl).coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
+        stats = self.spark.read.parquet(f"{path}/fields")
+        self.hot_df = self.hot_df or HOT_ROWS_PER_BUCKET * nb
+        self.rare_parts = self.rare_parts or min(MAX_RARE_PARTS, nb)
+        (term_statistics(p, stats).withColumn("hot", F.col("df") >= self.hot_df)
+         .repartitionByRange("field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
+        # hot terms are few (each has many postings); without them, every part of the terms becomes one file
+        hot = self.spark.read.parquet(f"{path}/terms").where("hot").select("field", "term")
+        rare = join_small(p, hot, ["field", "term"], "left_anti", materialize=False)
+        rare = rare.select("term", "doc_id", "tf", "dl", "positions", "field", term_part("term", self.rare_parts).alias("rpart"))
+        (rare.repartition(self.rare_parts, "field", "rpart").sortWithinPartitions("field", "rpart", "term")
+         .write.mode("overwrite").partitionBy("field", "rpart").parquet(f"{path}/rare"))
 
     @staticmethod
     def open(spark: SparkSession, path: str) -> "SearchIndex":
         meta = json.loads(spark.read.text(f"{path}/_meta").first()[0])
         fields = [Field(f["source"], _tok_from(f["tokenizer"]), f["name"], f["is_array"], f["is_expr"])
                   for f in meta["fields"]]
-        vfs = [VectorField(v["source"], v["metric"], v["name"]) for v in meta["vectors"]]
+        vfs = [VectorField(v["source"], v["metric"], v["name"], Clusters(**v["clusters"]) if v["clusters"] else None)
+               for v in meta["vectors"]]
         batches = [f"{path}/appends/{b}" for b in sorted(meta.get("batches", {}))]
 
         def whole(base: DataFrame, name: str) -> DataFrame:
@@ -259,21 +307,32 @@ class SearchIndex:
                 else spark.createDataFrame([], ddl)
 
         vectors = whole(spark.read.parquet(f"{path}/vectors"), "vectors") if vfs else None
-        doclens = spark.read.parquet(f"{path}/doclens") if fields else spark.createDataFrame(
-            [], "doc_id bigint, dl int, field string")
+        kind = meta["key_type"]
+        doclens = spark.read.schema(f"doc_id {kind}, dl int, field string").parquet(f"{path}/doclens") if fields \
+            else spark.createDataFrame([], "doc_id bigint, dl int, field string")
         if fields:
-            postings = whole(_attach_postings(spark, path, meta["buckets"]), "postings")
+            postings = whole(_attach_postings(spark, path, meta["buckets"], kind), "postings")
             doclens = whole(doclens, "doclens")
         else:
             postings = spark.createDataFrame([], "term string, doc_id bigint, tf int, dl int, positions array<int>, "
                                                  "field string, tpart int")
         idx = SearchIndex(spark, meta["key"], fields, vfs, postings,
-                          stored("terms", "field string, term string, df bigint, cf bigint"),
+                          stored("terms", "field string, term string, df bigint, cf bigint, top double, hot boolean"),
                           stored("fields", "field string, n_docs bigint, avgdl double, total_tokens bigint"),
                           doclens, vectors, search_tokenizer=_tok_from(meta["search_tokenizer"]), name=meta["name"],
                           path=path, manifest=spark.read.parquet(f"{path}/manifest"))
         idx.buckets, idx.term_parts = meta["buckets"], meta["term_parts"]
         idx.where, idx.partial = meta["where"], meta["partial"]
+        idx.hot_df, idx.rare_parts = meta["hot_df"], meta["rare_parts"]
+        idx.lists = {v.field_name: VectorLists(
+            spark, f"{path}/clusters/{v.field_name}", v.metric, dict(vectors.dtypes)["doc_id"],
+            [f"{b}/lists/{v.field_name}" for b in batches]) for v in vfs if v.clusters}
+        if fields:
+            rare_ddl = f"term string, doc_id {kind}, tf int, dl int, positions array<int>, field string, rpart int"
+            idx.rare = spark.read.schema(rare_ddl).parquet(f"{path}/rare")
+            if batches:  # appended rows of rare and hot terms alike
+                more = spark.read.schema(postings.schema).parquet(*[f"{b}/postings" for b in batches])
+                idx.appended = more.select("term", "doc_id", "tf", "dl", "positions", "field")
         return idx
 
 
@@ -281,18 +340,15 @@ def _postings_table(path: str) -> str:
     return "lodestar_postings_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 
 
-def _attach_postings(spark: SparkSession, path: str, buckets: int | None) -> DataFrame:
+def _attach_postings(spark: SparkSession, path: str, buckets: int, key_type: str) -> DataFrame:
     """The stored postings as a bucketed table of this session's catalog.
 
     The files carry their bucket ids; declaring the table over the folder
     (external, nothing is copied) lets the planner use the bucketing.
     """
-    if not buckets:
-        return spark.read.parquet(f"{path}/postings")
     table = _postings_table(path)
     if not spark.catalog.tableExists(table):
-        schema = spark.read.parquet(f"{path}/postings").schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in ("field", "tpart"))
+        cols = f"term string, doc_id {key_type}, tf int, dl int, positions array<int>"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, field string, tpart int) USING parquet PARTITIONED BY (field, tpart) "
                   f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {int(buckets)} BUCKETS LOCATION '{path}/postings'")
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
@@ -316,6 +372,8 @@ def _field_stats(doclens: DataFrame) -> DataFrame:
 
 BUCKET_TARGET_BYTES = 256 << 20  # raw input per postings bucket
 TERM_PARTS = 8  # hash parts of the terms of a field; a lookup reads only the parts of its terms
+HOT_ROWS_PER_BUCKET = 32  # a term with so many postings per bucket is hot
+MAX_RARE_PARTS = 8192  # folders of rare terms; beyond it their files grow instead
 
 
 def term_part(term: Column | str, parts: int) -> Column:
@@ -344,12 +402,15 @@ def default_buckets(spark: SparkSession, docs: DataFrame | None = None) -> int:
 
 def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fields: list[VectorField] = (),
                 search_tokenizer: Tokenizer | None = None, where: Column | str | None = None,
-                name: str = "index", buckets: int | None = None, term_parts: int = TERM_PARTS) -> SearchIndex:
+                name: str = "index", buckets: int | None = None, term_parts: int = TERM_PARTS,
+                hot_df: int | None = None, rare_parts: int | None = None) -> SearchIndex:
     """Declare the index tables over ``docs`` (lazy; ``.save(path)`` writes them).
 
     ``where`` makes a partial index (rows meeting the predicate only).  Given as
     SQL text it is stored, as is a ``Field`` with ``is_expr``; rows can be
     appended only to an index whose predicate and expressions are SQL text.
+    ``hot_df``: documents from which a term is hot; ``rare_parts``: files of rare terms
+    per field (both grow with the bucket count by default).
     """
     spark = docs.sparkSession
     fields = [Field(f) if isinstance(f, str) else f for f in fields]
@@ -368,8 +429,8 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
                     .agg(F.count("*").cast("int").alias("tf"), F.max("dl").alias("dl"),
                          F.sort_array(F.collect_list("pos")).alias("positions"))
                     .withColumn("tpart", term_part("term", term_parts)))
-        terms = postings.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
         stats = _field_stats(doclens)
+        terms = term_statistics(postings, stats).withColumn("hot", F.lit(True))
     vectors = None
     if vector_fields:
         parts = []
@@ -387,6 +448,7 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
                       docs=docs, search_tokenizer=search_tokenizer, name=name)
     idx._src = src
     idx.buckets, idx.term_parts = nb, term_parts
+    idx.hot_df, idx.rare_parts = hot_df, rare_parts
     idx.where, idx.partial = where if isinstance(where, str) else None, where is not None
     return idx
 

@@ -10,12 +10,14 @@ skewed keys (a hot term) there.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 # estimated bytes of a query-side table that may be sent to every task
 BROADCAST_MAX_BYTES = 32 << 20
+HELD_ROWS = 100_000  # rows of a query-side table that the driver may hold
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int | None = None,
@@ -24,16 +26,34 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_byt
     bytes stay ≤ ``max_bytes``.
 
     ``materialize``: the small side (it often reads the vocabulary itself) is
-    checkpointed to the shared checkpoint folder first, so it is counted and
-    joined without being computed twice.
+    held first (see :func:`held`), so it is measured and joined without being
+    computed twice.
     """
     if materialize:
-        small = checkpointed(small)
+        small, rows = held(small)
+        if rows is not None:
+            fits = rows.nbytes <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes)
+            return big.join(F.broadcast(small) if fits else small, on, how)
     if fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 
 
+def held(df: DataFrame) -> tuple[DataFrame, pa.Table | None]:
+    """``df`` as rows the driver knows, and these rows, if there are at most
+    ``HELD_ROWS``; else its checkpoint and None.  One job for a small table, where a
+    checkpoint, its count and its values would be three."""
+    rows = df.limit(HELD_ROWS + 1).toArrow()
+    if rows.num_rows > HELD_ROWS or rows.nbytes > BROADCAST_MAX_BYTES:
+        return checkpointed(df), None
+    return df.sparkSession.createDataFrame(rows, df.schema), rows
+
+
+def join_held(big: DataFrame, small: DataFrame, rows: pa.Table | None, on, how: str = "inner") -> DataFrame:
+    """``big`` joined with what :func:`held` returned for a side; rows it holds are within the broadcast bound."""
+    return join_small(big, small, on, how, materialize=False) if rows is None else big.join(F.broadcast(small), on, how)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     """Measured bytes of the rows ≤ the broadcast budget."""
     limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes

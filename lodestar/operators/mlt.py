@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .index import SearchIndex
-from .joins import join_small
+from .joins import held, join_held, join_small
 from .search import _union, idf_terms, term_scores
+from .topk import known_terms, top_matches
 
 
 @dataclass(frozen=True)
@@ -31,9 +32,14 @@ class MltOptions:
     stopwords: tuple = ()
 
 
-def _select_terms(index: SearchIndex, src: DataFrame, field: str, o: MltOptions) -> DataFrame:
-    """src: (query_id, term, tf) of one field → (query_id, term) kept."""
-    t = join_small(idf_terms(index, field).select("term", "df", "idf"), src, "term")
+FEW_SOURCES = 100  # so many sources are the smaller side of the vocabulary; of more, the vocabulary is
+
+
+def _select_terms(index: SearchIndex, src: DataFrame, field: str, o: MltOptions, by: tuple = ("query_id",),
+                  few: bool = True) -> DataFrame:
+    """src: (query_id, term, tf, ...) of one field → the kept rows with the columns of ``search.idf_terms``."""
+    vocabulary = idf_terms(index, field)
+    t = join_small(vocabulary, src, "term") if few else join_small(src, vocabulary, "term", materialize=False)
     c = (F.col("tf") >= o.min_term_frequency) & (F.col("df") >= o.min_doc_frequency)
     if o.max_doc_frequency is not None:
         c &= F.col("df") <= o.max_doc_frequency
@@ -43,9 +49,9 @@ def _select_terms(index: SearchIndex, src: DataFrame, field: str, o: MltOptions)
         c &= F.length("term") <= o.max_word_length
     if o.stopwords:
         c &= ~F.col("term").isin(list(o.stopwords))
-    w = Window.partitionBy("query_id").orderBy((F.col("tf") * F.col("idf")).desc(), F.col("term"))
+    w = Window.partitionBy(*by).orderBy((F.col("tf") * F.col("idf")).desc(), F.col("term"))
     return (t.where(c).withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= o.max_query_terms).select("query_id", "term"))
+            .where(F.col("rn") <= o.max_query_terms).select("query_id", *vocabulary.columns))
 
 
 def _search_terms(index: SearchIndex, per_field: dict) -> DataFrame:
@@ -57,6 +63,10 @@ def _search_terms(index: SearchIndex, per_field: dict) -> DataFrame:
     return u.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"))
 
 
+def _bounded(per_field: dict) -> DataFrame:
+    return _union([known_terms(t, field) for field, t in per_field.items()], "")
+
+
 def _fields(index: SearchIndex, o: MltOptions):
     fs = list(o.fields) if o.fields else index.text_fields()
     bad = [f for f in fs if f not in index.fields]
@@ -65,26 +75,38 @@ def _fields(index: SearchIndex, o: MltOptions):
     return fs
 
 
-def more_like_this_id(index: SearchIndex, sources: DataFrame, o: MltOptions = MltOptions(),
-                      exclude_sources: bool = False) -> DataFrame:
-    """sources: (query_id, src_id) — several rows per query make q_mlt_many."""
+def source_terms(index: SearchIndex, sources: DataFrame, o: MltOptions = MltOptions()) -> dict:
+    """field → (query_id, term, ...): the telling terms of stored rows."""
     per_field = {}
+    sources, rows = held(sources.select("query_id", "src_id"))
+    few = rows is not None and rows.num_rows <= FEW_SOURCES
     for field in _fields(index, o):
         p = index.postings.where(F.col("field") == field).select(F.col("doc_id").alias("src_id"), "term", "tf")
-        src = join_small(p, sources.select("query_id", "src_id"), "src_id")
+        src = join_held(p, sources, rows, "src_id")
         # each source ranks its own terms; a query's term set is their union
-        kept = _select_terms(index, src.withColumn("query_id", F.struct("query_id", "src_id")), field, o)
-        kept = kept.select(F.col("query_id.query_id").alias("query_id"), "term").distinct()
-        per_field[field] = kept
-    out = _search_terms(index, per_field)
+        per_field[field] = _select_terms(index, src, field, o, ("src_id", "query_id"), few).dropDuplicates(["query_id", "term"])
+    return per_field
+
+
+def more_like_this_id(index: SearchIndex, sources: DataFrame, o: MltOptions = MltOptions(),
+                      exclude_sources: bool = False) -> DataFrame:
+    """sources: (query_id, src_id) — several rows per query make q_mlt_many."""
+    out = _search_terms(index, source_terms(index, sources, o))
     if exclude_sources:
         out = out.join(sources.select("query_id", F.col("src_id").alias("doc_id")), ["query_id", "doc_id"], "left_anti")
     return out
 
 
-def more_like_this_document(index: SearchIndex, documents: DataFrame, o: MltOptions = MltOptions()) -> DataFrame:
-    """documents: (query_id, <field columns>) — the values are analysed with the
-    fields' tokenizers and searched like a stored row."""
+def most_like_this_id(index: SearchIndex, sources: DataFrame, k: int, o: MltOptions = MltOptions(),
+                      exclude_sources: bool = False, keep: DataFrame | None = None) -> DataFrame:
+    """The k best rows of ``more_like_this_id`` per query (of the documents in ``keep``),
+    with bounded scores: what cannot be among them is not scored."""
+    without = sources.select("query_id", F.col("src_id").alias("doc_id")) if exclude_sources else None
+    return top_matches(index, _bounded(source_terms(index, sources, o)), k, keep, without)
+
+
+def document_terms(index: SearchIndex, documents: DataFrame, o: MltOptions = MltOptions()) -> dict:
+    """field → (query_id, term, ...): the telling terms of given values."""
     per_field = {}
     for field in _fields(index, o):
         if field not in documents.columns:
@@ -93,4 +115,15 @@ def more_like_this_document(index: SearchIndex, documents: DataFrame, o: MltOpti
         src = (documents.select("query_id", F.explode(tok.terms(F.col(field))).alias("term"))
                .groupBy("query_id", "term").agg(F.count("*").alias("tf")))
         per_field[field] = _select_terms(index, src, field, o)
-    return _search_terms(index, per_field)
+    return per_field
+
+
+def more_like_this_document(index: SearchIndex, documents: DataFrame, o: MltOptions = MltOptions()) -> DataFrame:
+    """documents: (query_id, <field columns>) — the values are analysed with the
+    fields' tokenizers and searched like a stored row."""
+    return _search_terms(index, document_terms(index, documents, o))
+
+
+def most_like_this_document(index: SearchIndex, documents: DataFrame, k: int, o: MltOptions = MltOptions()) -> DataFrame:
+    """The k best rows of ``more_like_this_document`` per query, with bounded scores."""
+    return top_matches(index, _bounded(document_terms(index, documents, o)), k)

@@ -19,17 +19,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ..functions.analysis import Tokenizer
 from ..functions.fuzzy import deletion_variants, within_distance
-from .index import SearchIndex, term_part
-from .joins import checkpointed, fits_broadcast, join_small
+from .index import K1, B, SearchIndex, term_part
+from .joins import checkpointed, fits_broadcast, held, join_held, join_small
 
-K1 = 1.2
-B = 0.75
 SCORE_DECIMALS = 6
 
 
@@ -73,32 +72,57 @@ def field_postings(index: SearchIndex, field: str) -> DataFrame:
     return index.postings.where(F.col("field") == field)
 
 
-LITERAL_TERMS = 256  # up to so many looked-up terms are also pushed to the scan as literals
+LITERAL_TERMS = 256  # up to so many looked-up terms are pushed to the scans as literals
 
 
-def pruned_postings(index: SearchIndex, field: str, wanted: DataFrame) -> DataFrame:
-    """Postings of one field, cut to the term parts that hold the terms of
-    ``wanted`` (a partition filter) and, for few terms, to those terms (a
-    pushed filter; files are sorted by term).  The rows that a join on
-    ``term`` can meet are the same either way."""
+def vocabulary(index: SearchIndex, field: str) -> DataFrame:
+    """(term, df, top, hot, tpart, rpart) of one field: what a lookup has to know of its terms."""
+    t = index.terms.where(F.col("field") == field).select("term", "df", "top", "hot")
+    return t.select("*", *[term_part("term", n or 1).alias(c) for c, n in (("tpart", index.term_parts), ("rpart", index.rare_parts))])
+
+
+def pruned_postings(index: SearchIndex, field: str, wanted: DataFrame, rows: pa.Table | None = None) -> DataFrame:
+    """Postings of one field that a join with the terms of ``wanted`` can meet.
+
+    Few terms: hot ones are read from the buckets (a partition filter on their
+    parts, and the terms as a pushed filter), rare ones from their parts of the rare
+    postings, one file each.  Many terms: the buckets, cut to the parts of the terms.
+    ``rows``: the rows of ``wanted`` where they are known, with the columns of
+    :func:`vocabulary`.
+    """
     p = field_postings(index, field)
-    if not index.term_parts:
+    if index.rare is None:  # not stored
         return p
-    terms = wanted.select("term", term_part("term", index.term_parts).alias("tpart")).distinct()
-    few = terms.limit(LITERAL_TERMS + 1).collect()
-    if len(few) <= LITERAL_TERMS:
-        p = p.where(F.col("term").isin([r["term"] for r in few]))
-        parts = {r["tpart"] for r in few}
-    else:
-        parts = {r["tpart"] for r in terms.select("tpart").distinct().collect()}  # at most term_parts rows
-    return p.where(F.col("tpart").isin(sorted(parts)))
+    if rows is None:
+        terms = join_small(vocabulary(index, field), wanted.select("term").distinct(), "term")
+        rows = held(terms.select("term", "hot", "tpart", "rpart"))[1]
+        if rows is None:
+            return p
+    known = {r["term"]: r for r in rows.select(["term", "hot", "tpart", "rpart"]).to_pylist()}
+
+    def one_of(column: str, values) -> Column:
+        return F.col(column).isin(sorted(set(values)))
+
+    if len(known) > LITERAL_TERMS:
+        return p.where(one_of("tpart", (r["tpart"] for r in known.values())))
+    hot = [r for r in known.values() if r["hot"]]
+    rare = [r for r in known.values() if not r["hot"]]
+    columns = ["field", "term", "doc_id", "tf", "dl", "positions"]
+    parts = []
+    if hot or not rare:
+        parts.append(p.where(one_of("tpart", (r["tpart"] for r in hot)) & one_of("term", (r["term"] for r in hot))))
+    if rare:
+        terms = one_of("term", (r["term"] for r in rare))
+        parts.append(index.rare.where((F.col("field") == field) & one_of("rpart", (r["rpart"] for r in rare)) & terms))
+        if index.appended is not None:
+            parts.append(index.appended.where((F.col("field") == field) & terms))
+    return _union([x.select(columns) for x in parts], "")
 
 
 def idf_terms(index: SearchIndex, field: str) -> DataFrame:
-    """(term, df, idf) of one field; N comes from a one-row stats table."""
+    """(term, df, idf, ...) of one field; N comes from a one-row stats table."""
     st = index.stats.where(F.col("field") == field).select("n_docs", "avgdl")
-    t = index.terms.where(F.col("field") == field).select("term", "df")
-    return (t.crossJoin(F.broadcast(st))  # one row: bounded by the number of fields
+    return (vocabulary(index, field).crossJoin(F.broadcast(st))  # one row: bounded by the number of fields
             .withColumn("idf", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))))
 
 
@@ -159,9 +183,9 @@ def term_scores(index: SearchIndex, ex: DataFrame, field: str, expanded: bool =
     idf = idf_terms(index, field)
     # query terms look up the vocabulary, then the postings; both lookups
     # broadcast the (measured) query side, so neither index table is shuffled
-    qside = checkpointed(join_small(idf, ex, "term"))
-    p = pruned_postings(index, field, qside).select("term", "doc_id", "tf", "dl")
-    j = join_small(p, qside, "term", materialize=False)
+    qside, rows = held(join_small(idf, ex, "term"))
+    p = pruned_postings(index, field, qside, rows).select("term", "doc_id", "tf", "dl")
+    j = join_held(p, qside, rows, "term")
     s = bm25(F.col("idf"), F.col("tf"), F.col("dl"), F.col("avgdl"))
     if not expanded:
         return j.select("query_id", "doc_id", "qterm", s.alias("score"))

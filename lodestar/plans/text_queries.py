@@ -10,6 +10,7 @@ from ..operators import highlight as H
 from ..operators import mlt as M
 from ..operators import proximity as P
 from ..operators import search as S
+from ..operators import topk as T
 from ..operators.index import Field
 from ..operators.querystring import query_string
 from . import oracle as O
@@ -580,15 +581,11 @@ _MLT_ID_SRC = ("srcids AS (SELECT doc_id AS query_id, doc_id AS src FROM labels)
                "src AS (SELECT x.query_id, x.src, p.term, p.tf FROM srcids x JOIN d_post p ON p.doc_id = x.src)")
 
 
-def _mlt_out(df, top=10):
-    return S.top_k(S.rounded(df), top)
-
-
 @reg("q_mlt_doc", _mlt_sql(_MLT_DOC_SRC))
 def q_mlt_doc(spark, sf):
     """Rows like a given document (each benchmark passage as the text field)."""
     docs = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    return _mlt_out(M.more_like_this_document(documents_index(spark, sf), docs))
+    return M.most_like_this_document(documents_index(spark, sf), docs, 10)
 
 
 def _labels_src(spark, sf):
@@ -598,7 +595,7 @@ def _labels_src(spark, sf):
 @reg("q_mlt_id", _mlt_sql(_MLT_ID_SRC))
 def q_mlt_id(spark, sf):
     """Rows like each labelled document, all sources in one job."""
-    return _mlt_out(M.more_like_this_id(documents_index(spark, sf), _labels_src(spark, sf)))
+    return M.most_like_this_id(documents_index(spark, sf), _labels_src(spark, sf), 10)
 
 
 @reg("q_mlt_fields", _mlt_sql(_MLT_ID_SRC))
@@ -606,7 +603,7 @@ def q_mlt_fields(spark, sf):
     """``fields`` restricts source and target to the text field of a two-field index."""
     idx = stored_index(spark, sf, "documents_text_source", "documents", "doc_id",
                        [Field("text"), Field("source", A.literal())])
-    return _mlt_out(M.more_like_this_id(idx, _labels_src(spark, sf), M.MltOptions(fields=("text",))))
+    return M.most_like_this_id(idx, _labels_src(spark, sf), 10, M.MltOptions(fields=("text",)))
 
 
 _TUNE = dict(min_tf=2, min_df=2, max_df=300, max_terms=10, min_len=3, max_len=12, stop=("the", "and"))
@@ -616,7 +613,7 @@ _TUNE = dict(min_tf=2, min_df=2, max_df=300, max_terms=10, min_len=3, max_len=12
 def q_mlt_tuning(spark, sf):
     o = M.MltOptions(min_term_frequency=2, min_doc_frequency=2, max_doc_frequency=300, max_query_terms=10,
                      min_word_length=3, max_word_length=12, stopwords=("the", "and"))
-    return _mlt_out(M.more_like_this_id(documents_index(spark, sf), _labels_src(spark, sf), o))
+    return M.most_like_this_id(documents_index(spark, sf), _labels_src(spark, sf), 10, o)
 
 
 _MLT_MANY_SRC = ("srcids AS (SELECT (quality * 2 + toxic)::BIGINT AS query_id, doc_id AS src FROM labels),\n"
@@ -628,7 +625,7 @@ def q_mlt_many(spark, sf):
     """Like any of a label group's documents, the group itself excluded."""
     src = table(spark, sf, "labels").select((F.col("quality") * 2 + F.col("toxic")).cast("bigint").alias("query_id"),
                                             F.col("doc_id").alias("src_id"))
-    return _mlt_out(M.more_like_this_id(documents_index(spark, sf), src, exclude_sources=True), 20)
+    return M.most_like_this_id(documents_index(spark, sf), src, 20, exclude_sources=True)
 
 
 @reg("h_mlt_filtered", _mlt_sql(_MLT_ID_SRC.replace("FROM labels", "FROM labels WHERE quality = 1"),
@@ -637,9 +634,8 @@ def h_mlt_filtered(spark, sf):
     """More-like-this of good documents, kept to long English ones."""
     src = _labels_src(spark, sf).join(table(spark, sf, "labels").where("quality = 1").select(
         F.col("doc_id").alias("src_id")), "src_id")
-    m = M.more_like_this_id(documents_index(spark, sf), src)
     keep = table(spark, sf, "documents").where("lang = 'en' AND n_chars > 1000").select("doc_id")
-    return _mlt_out(m.join(keep, "doc_id", "left_semi"))
+    return M.most_like_this_id(documents_index(spark, sf), src, 10, keep=keep)
 
 
 # ---------------------------------------------------------------------------
@@ -724,7 +720,8 @@ def m_compose(spark, sf):
     ")) WHERE rank <= 10")
 def p_score(spark, sf):
     """Top 10 documents per benchmark passage by BM25."""
-    return S.top_k(S.rounded(S.match_any(documents_index(spark, sf), _bench(spark, sf), "text")), 10)
+    idx = documents_index(spark, sf)
+    return T.top_matches(idx, T.search_terms(idx, "text", S.query_terms(idx, _bench(spark, sf), "text")), 10)
 
 
 def _hl_matches(spark, sf):

@@ -23,7 +23,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.index import SearchIndex, _field_stats, build_index
+from ..operators.index import SearchIndex, _field_stats, build_index, term_statistics
+from ..operators.vector_lists import append_lists
 
 
 def _read_meta(spark, path):
@@ -56,15 +57,21 @@ def append(spark: SparkSession, path: str, rows: DataFrame, batch_id: int | str)
         new.doclens.write.mode("overwrite").parquet(f"{folder}/doclens")
     if new.vectors is not None:
         new.vectors.write.mode("overwrite").parquet(f"{folder}/vectors")
+        vectors = spark.read.schema(new.vectors.schema).parquet(f"{folder}/vectors")
+        for name, lists in idx.lists.items():
+            append_lists(vectors.where(F.col("field") == name), lists, f"{folder}/lists/{name}", idx.vector_fields[name].clusters)
     batches[batch] = mark
     meta["batches"] = batches
     if idx.fields:
         post, lens = all_rows(spark, path, batches, "postings"), all_rows(spark, path, batches, "doclens")
         version = uuid.uuid4().hex
         meta["terms_dir"], meta["fields_dir"] = f"terms-{version}", f"fields-{version}"
-        (post.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-         .repartitionByRange("field", "term").write.parquet(f"{path}/{meta['terms_dir']}"))
         _field_stats(lens).coalesce(1).write.parquet(f"{path}/{meta['fields_dir']}")
+        stats = spark.read.parquet(f"{path}/{meta['fields_dir']}")
+        # where the base keeps a term's postings does not change
+        base = spark.read.parquet(f"{path}/terms").select("field", "term", "hot")
+        (term_statistics(post, stats).join(base, ["field", "term"], "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+         .repartitionByRange("field", "term").write.parquet(f"{path}/{meta['terms_dir']}"))
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
         f"{path}/_meta")
     return SearchIndex.open(spark, path)

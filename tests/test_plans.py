@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from lodestar.operators import search as S
+from lodestar.operators.index import Field, build_index
 from lodestar.operators.joins import join_small
+from lodestar.streaming.append import append
 
 
 def _plan(df):
@@ -25,7 +27,8 @@ def test_join_small_broadcasts_only_under_the_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_match_over_stored_index_has_no_shuffle(spark, index):
+def test_match_of_hot_terms_has_no_shuffle(spark, docs, tmp_path):
+    index = build_index(docs, "id", [Field("description")], hot_df=1).save(str(tmp_path))
     q = spark.createDataFrame([(1, "running shoes")], "query_id bigint, query string")
     plan = _plan(S.match_any(index, q, "description"))
     assert "Bucketed: true" in plan or "bucketed" in plan.lower()
@@ -54,11 +57,58 @@ def test_bucket_count_follows_input_size(spark, tmp_path):
         I.BUCKET_TARGET_BYTES = old
 
 
-def test_term_lookup_reads_only_its_parts(spark, index):
-    """One word: a partition filter on one term part, the word pushed to the scan, few of the files."""
+def _files(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def _files_opened(df):
+    """Rows of ``df`` and how many files its scans opened."""
+    n, leaves = len(df.collect()), df._jdf.queryExecution().executedPlan().collectLeaves()
+    return n, sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()))
+
+
+def _words(spark, *words):
+    return spark.createDataFrame([(w,) for w in words], "term string")
+
+
+def test_term_lookup_reads_only_its_parts(spark, docs, tmp_path):
+    """One hot word: a partition filter on one term part, the word pushed to the scan, few of the files."""
+    index = build_index(docs, "id", [Field("description")], hot_df=1).save(str(tmp_path))
     q = spark.createDataFrame([(1, "sleek")], "query_id bigint, query string")
     plan = _plan(S.term(index, q, "description"))
     assert "tpart" in plan.split("PartitionFilters")[1].split("]")[0] and "EqualTo(term,sleek)" in plan
-    files = lambda df: set(r[0] for r in df.select(F.input_file_name()).distinct().collect())
     p = S.field_postings(index, "description")
-    assert len(files(S.pruned_postings(index, "description", q.select(F.lit("sleek").alias("term"))))) < len(files(p)) / 2
+    assert len(_files(S.pruned_postings(index, "description", _words(spark, "sleek")))) < len(_files(p)) / 2
+
+
+def test_rare_word_opens_one_file(spark, tmp_path):
+    """An index of 64 buckets: a rare word is read from its part, a frequent one from the buckets."""
+    rows = [(i, f"every word{i % 40} once{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "id bigint, description string")
+    index = build_index(docs, "id", [Field("description")], buckets=64, hot_df=100).save(str(tmp_path))
+    assert index.terms.where("hot").select("term").collect()[0][0] == "every" and index.hot_df == 100
+    assert index.rare.where("term = 'every'").count() == 0
+    for word, n in (("once7", 1), ("word9", 10)):
+        found = S.pruned_postings(index, "description", _words(spark, word))
+        assert _files_opened(found) == (n, 1)
+        q = spark.createDataFrame([(1, word)], "query_id bigint, query string")
+        assert "rpart" in _plan(S.term(index, q, "description")) and S.term(index, q, "description").count() == n
+    assert _files_opened(S.pruned_postings(index, "description", _words(spark, "every")))[1] > 30
+    both = S.pruned_postings(index, "description", _words(spark, "every", "once7", "absent"))
+    assert both.count() == 401
+    whole = S.field_postings(index, "description")
+    many = _words(spark, *[f"once{i}" for i in range(S.LITERAL_TERMS + 1)])
+    assert S.pruned_postings(index, "description", many).columns == whole.columns
+    q = many.select(F.lit(1).alias("query_id"), F.array("term").alias("query"))
+    assert S.match_any(index, q, "description").count() == S.LITERAL_TERMS + 1
+
+
+def test_appended_rows_are_found_in_both_layouts(spark, tmp_path):
+    ddl = "id bigint, description string"
+    first = spark.createDataFrame([(i, f"every word{i % 5}") for i in range(50)], ddl)
+    build_index(first, "id", [Field("description")], buckets=4, hot_df=20).save(str(tmp_path))
+    index = append(spark, str(tmp_path), spark.createDataFrame([(100, "every word1 fresh"), (101, "fresh every")], ddl), 1)
+    q = spark.createDataFrame([(1, "every"), (2, "word1"), (3, "fresh")], "query_id bigint, query string")
+    got = S.match_any(index, q, "description").groupBy("query_id").count()
+    assert {r["query_id"]: r["count"] for r in got.collect()} == {1: 52, 2: 11, 3: 2}
+    assert {r["term"]: r["hot"] for r in index.terms.collect()}["every"]
