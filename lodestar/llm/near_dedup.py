@@ -15,7 +15,9 @@ Comparing inside nodes is exact and never emits all pairs of a group:
    (linear), candidates are verified on the full sets, and the verified links
    are closed to components;
 2. nodes that still hold several components are compared exhaustively, but
-   only across components, again verified on the full sets.
+   only across components, again on the full sets: first the nodes above
+   ``leaf`` that no level was left to branch, tree after tree, in blocks that
+   emit spanning links only (``_block_links``), then the small ones by pairs.
 
 So a group of copies costs one link per copy, and any two documents that share
 a node and are similar end in one component.  Exact copies (equal sets) are
@@ -30,19 +32,23 @@ result; only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import checkpointed, fits_broadcast
+from ..session import work_dir
 from . import kernel as K
 from .components import components
 
 
 PARITY = 1024  # bits of a set's parity bitmap
+BLOCK = 1 << 18  # shingles of one side of a block comparison
+PIVOTS = 64  # documents of a node that are compared with all others before its blocks are
 
 
 @dataclass(frozen=True)
@@ -200,8 +206,8 @@ def _may_link(x: str, y: str, join: Join) -> Column:
 
 
 def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
-    """(node, id, pivot): the documents of all final nodes with at least two
-    members, and each node's smallest document.  Checkpointed."""
+    """(tree, node, id, n, pivot): the documents of all final nodes with at least two
+    members, each node's size and its smallest document.  Checkpointed."""
     def children(rows: DataFrame, level: int) -> DataFrame:
         """Each row (id, tokens, node, tree, path) goes to one child per branch of this level."""
         b = join.branches[level]
@@ -217,7 +223,8 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
         size = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
         shared = checkpointed(members.join(size, "node"))
         last = level + 1 == len(join.branches)
-        found.append((shared if last else shared.where(F.col("n") <= join.leaf)).select("node", "id", "pivot"))
+        found.append((shared if last else shared.where(F.col("n") <= join.leaf)).select(
+            "tree", "node", "id", "n", "pivot"))
         if last:
             break
         large = shared.where(F.col("n") > join.leaf).select("id", "tree", "path", "node")
@@ -242,6 +249,85 @@ def _verified(docs: DataFrame, pairs: DataFrame, join: Join) -> DataFrame:
     return checkpointed(linked.select("a", "b").distinct())
 
 
+def _spanning(rows: pa.Table, percent: int) -> pa.Table:
+    """Links (a, b) between the ``left`` rows of a block and all its rows, one per
+    component that a left row joins: never more than there are rows."""
+    left, ids = np.flatnonzero(rows["left"].to_numpy()), rows["id"].to_pylist()
+    owner = rows["component"].combine_chunks().dictionary_encode().indices.to_numpy().copy()
+    members = rows["members"].combine_chunks()
+    bounds = members.offsets.to_numpy().astype(np.int64)
+    _, token = np.unique(members.values.to_numpy()[bounds[0]:bounds[-1]], return_inverse=True)
+    bounds = bounds - bounds[0]
+    size, mark = np.diff(bounds), np.zeros(int(token.max(initial=-1)) + 1, bool)
+    a, b = [], []
+    for x in left:
+        own = token[bounds[x]:bounds[x + 1]]
+        mark[own] = True
+        both = np.add.reduceat(mark[token], bounds[:-1], dtype=np.int64)
+        mark[own] = False
+        linked = (100 * both >= percent * (size[x] + size - both)) & (owner != owner[x])
+        joined, first = np.unique(owner[linked], return_index=True)
+        a += [ids[x]] * len(joined)
+        b += [ids[y] for y in np.flatnonzero(linked)[first]]
+        if len(joined):
+            owner[np.isin(owner, joined)] = owner[x]
+    kind = rows.schema.field("id").type
+    return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
+
+
+def _sides(placed: DataFrame) -> DataFrame:
+    """``placed`` (node, id, component) with ``outside``: not in the node's largest
+    component, and ``others``: how many of the node's documents are not.  Checkpointed."""
+    main = placed.groupBy("node", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("node").agg(
+        F.max_by("component", F.struct("c", "component")).alias("main"), (F.sum("c") - F.max("c")).alias("others"))
+    return checkpointed(placed.join(main, "node").select("node", "id", "component", (F.col("component") != F.col("main")).alias("outside"), "others"))
+
+
+def _block_links(docs: DataFrame, sides: DataFrame, sizes: DataFrame, join: Join, pivots: int | None = None) -> DataFrame:
+    """Spanning links across the components of each node of ``sides``.
+
+    The documents outside a node's largest component are its left side, all of
+    them are its right side.  Both sides are dealt by a hash of the id to blocks of
+    about ``BLOCK`` shingles; every pair of a left and a right block is one group,
+    so no group grows with the node, and a set is sent once per block it meets.
+    ``pivots``: only so many left documents of a node are compared (a first pass
+    that leaves little for the whole one).  Checkpointed.
+    """
+    rows = sides.join(sizes, "id")
+    if pivots:
+        nearest = Window.partitionBy("node").orderBy(F.xxhash64("node", "id"), "id")
+        few = rows.where("outside").select("node", "id").withColumn("r", F.row_number().over(nearest)).where(
+            F.col("r") <= pivots).select("node", "id", F.lit(True).alias("outside"))
+        rows = rows.drop("outside").join(few, ["node", "id"], "left").withColumn("outside", F.col("outside").isNotNull())
+    rows = checkpointed(rows.select("node", "id", "component", "n_shingles", "outside"))
+    shares = rows.groupBy("node").agg(
+        *[F.ceil(F.sum(c) / BLOCK).cast("int").alias(n) for n, c in (
+            ("rights", F.col("n_shingles")), ("lefts", F.when(F.col("outside"), F.col("n_shingles"))))])
+    dealt = rows.join(shares, "node").withColumn("h", F.xxhash64(F.lit("block"), "id"))
+
+    def to(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    right = dealt.select("node", "id", "component", F.lit(False).alias("left"),
+                         F.pmod("h", "rights").cast("int").alias("rb"), to("lefts").alias("lb"))
+    left = dealt.where("outside").select("node", "id", "component", F.lit(True).alias("left"),
+                                         to("rights").alias("rb"), F.pmod("h", "lefts").cast("int").alias("lb"))
+    sets = checkpointed(full_sets(docs, checkpointed(rows.select("id").distinct()), join).distinct())
+    kind, percent = _id_type(docs), join.percent
+    return checkpointed(left.unionByName(right).join(sets, "id").groupBy("node", "lb", "rb").applyInArrow(
+        lambda block: _spanning(block, percent), f"a {kind}, b {kind}").distinct())
+
+
+def _with(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links.  A written table: the size that the planner
+    estimates for a checkpoint is a product over all the joins before it, which
+    grows without bound from round to round."""
+    out = components(links.unionByName(comps.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    path = f"{work_dir(out.sparkSession)}/components-{uuid.uuid4().hex}"
+    out.write.parquet(path)
+    return out.sparkSession.read.schema(out.schema).parquet(path)
+
+
 def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     base = checkpointed(sketches(docs, join))
@@ -264,20 +350,35 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     comps = checkpointed(components(links))
 
     # what the stars left apart: nodes of several components, compared across them
-    placed = nodes.select("node", "id").join(comps, "id", "left").select(
-        "node", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
-        "lo < hi").select("node")
-    apart = placed.join(mixed, "node").join(marks, "id")
+    def mixed(part: DataFrame) -> DataFrame:
+        placed = part.select("tree", "node", "id").join(comps, "id", "left").select(
+            "tree", "node", "id", F.coalesce("component", "id").alias("component"))
+        several = placed.groupBy("node").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"),
+            F.bit_xor(F.xxhash64("id")).alias("x")).where("lo < hi")
+        # of nodes with the same documents one is enough
+        return placed.join(several.groupBy("m", "x").agg(F.min("node").alias("node")).select("node"), "node")
+
+    sizes = reps.select("id", "n_shingles")
+    large = checkpointed(mixed(nodes.where(F.col("n") > join.leaf)))
+    for tree in sorted(r[0] for r in large.select("tree").distinct().collect()):  # at most ``trees`` numbers
+        # links of one tree leave less to the next
+        sides = _sides(mixed(large.where(F.col("tree") == tree)))
+        if sides.isEmpty():
+            continue
+        comps = _with(comps, _block_links(docs, sides, sizes, join, PIVOTS))
+        crowded = sides.where(F.col("others") > PIVOTS).select("node").distinct()
+        sides = _sides(mixed(large.join(crowded, "node", "left_semi")))
+        if not sides.isEmpty():
+            comps = _with(comps, _block_links(docs, sides, sizes, join))
+    apart = mixed(nodes.where(F.col("n") <= join.leaf)).join(marks, "id")
     x = apart.select("node", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("m").alias("ma"))
     y = apart.select("node", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("m").alias("mb"))
     across = x.join(y, "node").where(F.col("ca") < F.col("cb")).where(_may_link("ma", "mb", join)).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     across = checkpointed(across.join(stars, ["a", "b"], "left_anti"))
     if not across.isEmpty():
-        more = _verified(docs, across, join)
-        comps = checkpointed(components(more.unionByName(
-            comps.select(F.col("id").alias("a"), F.col("component").alias("b")))))
+        comps = _with(comps, _verified(docs, across, join))
     return base.select("doc_id", "n_shingles").join(
         comps.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),

@@ -198,15 +198,14 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, grain: int = 8,
     by_pattern = placed.where("slot is not null").select(
         *columns, F.col("at").alias("sequence_id"), F.coalesce(F.sum("length").over(inside), F.lit(0)).alias("offset"))
 
-    def remaining(frame):
-        frame = frame.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], ignore_index=True)
-        sequence, offset = best_fit(frame["length"].to_numpy(), capacity)
-        frame["sequence_id"] = base + frame["group"] * (GROUP + 1) + sequence
-        frame["offset"] = offset
-        return frame[[*columns, "sequence_id", "offset"]]
+    def remaining(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
+        sequence, offset = best_fit(rows["length"].to_numpy(), capacity)
+        first = base + rows["group"][0].as_py() * (GROUP + 1)
+        return rows.select(columns).append_column("sequence_id", pa.array(first + sequence)).append_column("offset", pa.array(offset))
 
     left = placed.where("slot is null").select(*columns, (F.col("at") % groups).alias("group"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    best = left.groupBy("group").applyInPandas(
+    best = left.groupBy("group").applyInArrow(
         remaining, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
     return by_pattern.unionByName(best)

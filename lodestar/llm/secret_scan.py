@@ -36,6 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import checkpointed
 from . import kernel as K
 
 # fixed values: the base patterns; matches whose value is shorter than stated are dropped
@@ -103,8 +104,16 @@ def identifiers(docs: DataFrame, scan: Scan = Scan()) -> bytes:
                     yield handed_on()
         yield handed_on()
 
-    most = docs.select("text").mapInArrow(run, "name string, n long").groupBy("name").agg(F.sum("n").alias("n")).orderBy(
-        F.desc("n"), "name").limit(scan.dictionary // (scan.name_least + 1)).collect()
+    counts = checkpointed(docs.select("text").mapInArrow(run, "name string, n long").groupBy("name").agg(F.sum("n").alias("n")))
+    wanted = scan.dictionary // (scan.name_least + 1)
+    # names by the power of two of their count (at most 64 rows), so that tasks send on few more than are wanted
+    powers = counts.groupBy(F.floor(F.log2("n")).alias("power")).agg(F.count(F.lit(1)).alias("names")).collect()
+    least, names = 0, 0
+    for r in sorted(powers, reverse=True):
+        least, names = r["power"], names + r["names"]
+        if names >= wanted:
+            break
+    most = counts.where(F.floor(F.log2("n")) >= least).orderBy(F.desc("n"), "name").limit(wanted).collect()
     out, size = [], 0
     for r in most:
         size += len(r["name"]) + 1

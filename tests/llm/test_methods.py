@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from lodestar.llm import chat_format, decontaminate, language_id, license_scan, near_dedup, packing, quality_rules, resampling, sharding, token_counts
@@ -102,6 +103,47 @@ def test_near_dedup_brute_force(spark):
     assert len({root(i) for i in range(len(data))}) < 190
 
 
+def _linked_classes(sets, percent=80):
+    parent = list(range(len(sets)))
+
+    def root(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    return [root(i) for i in range(len(sets))]
+
+
+def test_near_dedup_crowded_nodes(spark, monkeypatch):
+    """Large nodes of documents around 0.8 to each other: chains, several classes, single documents."""
+    monkeypatch.setattr(near_dedup, "PIVOTS", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK", 400)
+    rng = random.Random(3)
+    sets = []
+    for i in range(260):
+        core = [f"core{k}" for k in range(60)]
+        own = [f"group{i % 7}x{k}" for k in range(rng.choice([0, 12, 14, 30]))] + [f"own{i}x{k}" for k in range(rng.randrange(16))]
+        sets.append(set(core + own))
+    docs = spark.createDataFrame([(i, " ".join(sorted(x))) for i, x in enumerate(sets)], "doc_id bigint, text string")
+    join = near_dedup.Join(width=1, leaf=8)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs.repartition(3), join).collect()}
+    want = _linked_classes(sets)
+    assert [got[i] for i in range(len(sets))] == want and len(set(want)) > 3
+
+
+def test_block_links_span():
+    """Of a block only links that join components come back, on full sets."""
+    sets = [[1, 2, 3, 4, 5], [1, 2, 3, 4, 5, 6], [1, 2, 3, 4], [7, 8], [7, 8], [9]]
+    rows = pa.table({"id": [10, 11, 12, 13, 14, 15], "component": [10, 11, 10, 13, 14, 15], "left": [False, True, False, True, False, True],
+                     "members": pa.array(sets, pa.list_(pa.int64()))})
+    assert near_dedup._spanning(rows, 80).to_pylist() == [{"a": 11, "b": 10}, {"a": 13, "b": 14}]
+
+
 def test_near_dedup_recall_where_every_level_is_used(spark):
     pairs, rows = 600, []
     for i in range(pairs):  # 40 words in common, 5 of their own: similarity 0.8
@@ -126,6 +168,14 @@ def test_near_dedup_filter_rejects_no_link(spark):
         assert row.where(near_dedup._may_link("x", "y", near_dedup.Join())).count() == may
 
 
+def test_packing_keeps_large_ids_beside_a_null(spark):
+    """A null id in a group of the residue leaves the others as they are."""
+    ids = [2 ** 60 + i for i in (1, 2, 3)] + [None]
+    docs = spark.createDataFrame([(i, f"a few words {k}") for k, i in enumerate(ids)], "doc_id bigint, text string").coalesce(1)
+    got = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert sorted((r["doc_id"] for r in got), key=str) == sorted(ids, key=str) and len({r["sequence_id"] for r in got}) == 1
+
+
 def test_near_dedup_rows_of_one_id(spark):
     one, two, three = (" ".join(f"{w}{k}" for k in range(60)) for w in "xyz")
     rows = [(1, one), (2, two), (3, one + " more"), (3, two + " more"), (4, three), (4, three), (4, "quite another text"),
