@@ -89,19 +89,20 @@ def _starts_before_end(a: Column, b: Column) -> Column:
             ((a["lower"] == b["upper"]) & a["lower_inc"] & b["upper_inc"]))
 
 
-def _empty(r: Column) -> Column:
+def is_empty(r: Column) -> Column:
+    """The range holds no value."""
     return (r["lower"].isNotNull() & r["upper"].isNotNull() &
             ((r["lower"] > r["upper"]) | ((r["lower"] == r["upper"]) & ~(r["lower_inc"] & r["upper_inc"]))))
 
 
 def intersects(a: Column, b: Column) -> Column:
-    return F.coalesce(a.isNotNull() & b.isNotNull() & ~_empty(a) & ~_empty(b) &
+    return F.coalesce(a.isNotNull() & b.isNotNull() & ~is_empty(a) & ~is_empty(b) &
                       _starts_before_end(a, b) & _starts_before_end(b, a), F.lit(False))
 
 
 def contains(a: Column, b: Column) -> Column:
     """a contains all of b."""
-    return F.coalesce(a.isNotNull() & b.isNotNull() & (_empty(b) | (_lower_le(a, b) & _upper_ge(a, b))), F.lit(False))
+    return F.coalesce(a.isNotNull() & b.isNotNull() & (is_empty(b) | (_lower_le(a, b) & _upper_ge(a, b))), F.lit(False))
 
 
 def within(a: Column, b: Column) -> Column:

@@ -17,6 +17,7 @@ An index is a handful of ordinary tables (see SURVEY §1.3):
   weight in any document (its BM25 without idf), from which searches bound what a
   document can reach; ``hot`` terms have at least ``hot_df`` documents (stored in
   the manifest) and are looked up in the buckets only
+* ``grams``, ``gram_counts``  the vocabulary by three characters (see :mod:`.patterns`)
 * ``fields``    field, n_docs, avgdl, total_tokens
 * ``doclens``   field, doc_id, dl — every non-NULL row, also empty ones
 * ``vectors``   field, doc_id, embedding (double, cosine rows normalised)
@@ -43,6 +44,7 @@ from pyspark.sql import functions as F
 from ..functions.analysis import ARRAY_POSITION_GAP, DEFAULT, Tokenizer
 from ..session import path_exists, work_dir
 from .joins import join_small
+from .patterns import term_grams
 from .vector_lists import Clusters, VectorLists, save_lists
 
 VECTOR_METRICS = ("l2", "cosine", "ip")
@@ -205,6 +207,7 @@ class SearchIndex:
         self.hot_df = None
         self.appended = None  # postings of appended batches, where there are any
         self.lists = {}  # vector field → its stored lists
+        self.grams = self.gram_counts = None  # character grams of the vocabulary
         self.where = None  # SQL text of a partial index's predicate
         self.partial = False
 
@@ -283,6 +286,7 @@ class SearchIndex:
         self.rare_parts = self.rare_parts or min(MAX_RARE_PARTS, nb)
         (term_statistics(p, stats).withColumn("hot", F.col("df") >= self.hot_df)
          .repartitionByRange("field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
+        save_grams(self.spark.read.parquet(f"{path}/terms"), path, "")
         # hot terms are few (each has many postings); without them, every part of the terms becomes one file
         hot = self.spark.read.parquet(f"{path}/terms").where("hot").select("field", "term")
         rare = join_small(p, hot, ["field", "term"], "left_anti", materialize=False)
@@ -324,6 +328,10 @@ class SearchIndex:
         idx.buckets, idx.term_parts = meta["buckets"], meta["term_parts"]
         idx.where, idx.partial = meta["where"], meta["partial"]
         idx.hot_df, idx.rare_parts = meta["hot_df"], meta["rare_parts"]
+        if fields:
+            version = meta.get("grams_version", "")
+            idx.grams = spark.read.schema("gram string, term string, field string, gpart int").parquet(f"{path}/grams{version}")
+            idx.gram_counts = spark.read.schema("field string, gram string, n bigint").parquet(f"{path}/gram_counts{version}")
         idx.lists = {v.field_name: VectorLists(
             spark, f"{path}/clusters/{v.field_name}", v.metric, dict(vectors.dtypes)["doc_id"],
             [f"{b}/lists/{v.field_name}" for b in batches]) for v in vfs if v.clusters}
@@ -336,6 +344,15 @@ class SearchIndex:
         return idx
 
 
+def save_grams(terms: DataFrame, path: str, version: str) -> None:
+    """Write the character grams of a vocabulary, and how many terms hold each."""
+    grams = term_grams(terms.select("field", "term"))
+    (grams.repartition("field", "gpart").sortWithinPartitions("field", "gpart", "gram", "term")
+     .write.mode("overwrite").partitionBy("field", "gpart").parquet(f"{path}/grams{version}"))
+    stored = terms.sparkSession.read.schema("gram string, term string, field string, gpart int").parquet(f"{path}/grams{version}")
+    stored.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/gram_counts{version}")
+
+
 def _postings_table(path: str) -> str:
     return "lodestar_postings_" + hashlib.sha1(path.encode()).hexdigest()[:16]
 

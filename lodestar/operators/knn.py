@@ -129,48 +129,20 @@ def knn_pairs(pairs: DataFrame, rows: DataFrame, key: str, vec: str, queries: Da
 # ---------------------------------------------------------------------------
 
 def build_clusters(rows: DataFrame, key: str, vec: str, centroid_ratio: float = 0.01,
-                   training_samples_per_centroid: int = 32, cluster_replication: int = 1,
-                   metric: str = "l2", seed: int = 7):
-    """KMeans on a key-hash sample; every vector stored with its nearest
-    ``cluster_replication`` centroids.  Returns (centroids, lists)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    n = rows.where(F.col(vec).isNotNull()).count()
-    k = max(1, math.ceil(centroid_ratio * n))
-    dim = rows.select(F.max(F.size(vec))).first()[0] or 1
-    if k * dim > QUERY_BUDGET_FLOATS:
-        # the centroid matrix goes to every assignment task: keep it bounded
-        raise ValueError(f"{k} centroids x {dim} dims exceed the broadcast budget; lower centroid_ratio")
-    m = training_samples_per_centroid * k
-    src = rows.select(F.col(key).alias("doc_id"), F.col(vec).alias("vec")).where(F.col("vec").isNotNull())
-    # deterministic sample of about m rows: keys whose xxhash64 falls under a
-    # threshold — independent of partitioning and taken inside every task
-    # (no global sort, no single-task merge of the sample)
-    frac = min(1.0, m / max(n, 1))
-    sample = src.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(frac * (1 << 30)))
-    km = KMeans(k=k, seed=seed, featuresCol="features", maxIter=20)
-    model = km.fit(sample.select(array_to_vector("vec").alias("features")))
-    cents = [c.tolist() for c in model.clusterCenters()]
-    spark = rows.sparkSession
-    centroids = spark.createDataFrame([(i, c) for i, c in enumerate(cents)], "centroid_id int, centroid array<double>")
-    # assignment: nearest `cluster_replication` centroids; k centroids are
-    # bounded by centroid_ratio * n and go to every task as a NumPy matrix
-    C = np.array(cents)
-    r = cluster_replication
-
-    def assign(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            D = np.stack([_np_dist(X, C[i], metric) for i in range(len(C))], axis=1)
-            order = np.argsort(D, axis=1, kind="stable")[:, :r]
-            yield pd.DataFrame({"centroid_id": order.reshape(-1).astype(np.int32),
-                                "doc_id": np.repeat(pdf["doc_id"].to_numpy(), order.shape[1]),
-                                "embedding": list(np.repeat(X, order.shape[1], axis=0))})
-    lists = src.mapInPandas(assign, "centroid_id int, doc_id long, embedding array<double>")
-    return centroids, lists
+                   training_samples_per_centroid: int = 32, cluster_replication: int = 1):
+    """(centroids, lists) of a table without an index: every vector with its nearest
+    ``cluster_replication`` centroids, trained and assigned in two levels (see :mod:`.vector_lists`)."""
+    from .vector_lists import Clusters, assign, train
+
+    src = rows.select(F.col(key).alias("doc_id"), F.transform(vec, lambda x: x.cast("double")).alias("vec")).where(F.col("vec").isNotNull())
+    trained = train(src, Clusters(centroid_ratio, training_samples_per_centroid, cluster_replication))
+    if trained is None:
+        none = src.select(F.lit(0).cast("bigint").alias("centroid_id"), "doc_id", F.col("vec").alias("embedding"))
+        return none.select("centroid_id", F.col("embedding").alias("centroid")), none
+    coarse, _, fine = trained
+    lists = assign(src, coarse, fine, cluster_replication)
+    return (fine.select(F.col("list_id").alias("centroid_id"), "centroid"),
+            lists.select(F.col("list_id").alias("centroid_id"), "doc_id", "embedding"))
 
 
 def knn_clustered(centroids: DataFrame, lists: DataFrame, queries: DataFrame, k: int, nprobe: int = 2,

@@ -7,8 +7,13 @@ tokens strictly between them; ``ordered`` asks for the right operand after
 the left one.  The result of a pair is the span [min start, max end], so
 chains fold left (or right, when the right operand is itself a pair).
 
+The expressions of a batch are one table of nodes (query, node, operands,
+distance, ordered, height): leaves are looked up for all queries at once, and
+the pairs of one height are joined for all queries at once, so the plan grows
+with the depth of the deepest expression, not with the queries.
+
 Span pairs are found with a bucketed band join: the equi-key is
-(query_id, doc_id, bucket of the position), so only spans of nearby
+(query_id, node, doc_id, bucket of the position), so only spans of nearby
 positions meet — never all pairs of occurrences within a document.
 """
 
@@ -20,8 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .index import SearchIndex
-from .joins import checkpointed, join_small
-from .search import NOQ, Query, _finish, _union, pruned_postings, regex_terms
+from .joins import checkpointed, held, join_held, join_small
+from .patterns import pattern_terms
+from .search import NOQ, Query, _finish, pruned_postings
 
 
 @dataclass(frozen=True)
@@ -61,89 +67,110 @@ def _as_expr(v):
     return prox_str(v) if isinstance(v, str) else v
 
 
-def _leaf_terms(index: SearchIndex, field: str, leaf: Leaf, qid: int) -> DataFrame:
-    spark = index.spark
-    if leaf.kind == "str":
-        tok = index.query_tokenizer(field)
-        return (spark.createDataFrame([(qid, leaf.value)], "query_id bigint, v string")
-                .select("query_id", F.explode(tok.terms(F.col("v"))).alias("term")))
-    if leaf.kind == "regex":
-        return regex_terms(index, field, {qid: leaf.value}, leaf.max_expansions)
-    if leaf.kind == "array":
-        parts = []
-        for sub in leaf.value:
-            if isinstance(sub, Pair):
-                raise ValueError("prox_array takes words and regex leaves")
-            parts.append(_leaf_terms(index, field, sub, qid))
-        return _union(parts, "query_id bigint, term string").distinct()
-    raise ValueError(leaf.kind)
+_LEAF = "query_id bigint, node int, kind string, value string, max_expansions int"
+_PAIR = "query_id bigint, node int, left int, right int, distance int, ordered boolean, height int"
+
+
+def node_rows(exprs: dict) -> tuple[list[tuple], list[tuple], list[tuple]]:
+    """(leaf rows, pair rows, root rows) of query id → expression; nodes are numbered per query from
+    the left, an array's words and patterns share a node."""
+    leaves, pairs, roots = [], [], []
+
+    def walk(qid, expr, count) -> tuple[int, int]:
+        """(node, height) of ``expr``."""
+        if isinstance(expr, Leaf):
+            node = count[0]
+            count[0] += 1
+            for part in expr.value if expr.kind == "array" else (expr,):
+                _leaf_rows(qid, node, part)
+            return node, 0
+        left, h1 = walk(qid, expr.left, count)
+        right, h2 = walk(qid, expr.right, count)
+        node = count[0]
+        count[0] += 1
+        pairs.append((qid, node, left, right, expr.distance, expr.ordered, max(h1, h2) + 1))
+        return node, max(h1, h2) + 1
+
+    def _leaf_rows(qid, node, part):
+        if isinstance(part, Pair):
+            raise ValueError("prox_array takes words and regex leaves")
+        if part.kind == "array":
+            for sub in part.value:
+                _leaf_rows(qid, node, sub)
+        elif part.kind in ("str", "regex"):
+            leaves.append((qid, node, part.kind, part.value, part.max_expansions))
+        else:
+            raise ValueError(part.kind)
+
+    for qid, expr in exprs.items():
+        roots.append((qid, walk(qid, expr, [0])[0], len(_leaves(expr))))
+    return leaves, pairs, roots
 
 
 def _leaves(expr) -> list:
     return [expr] if isinstance(expr, Leaf) else _leaves(expr.left) + _leaves(expr.right)
 
 
-def _occurrences(index: SearchIndex, field: str, exprs: dict) -> DataFrame:
-    """(query_id, leaf, doc_id, s): positions of every leaf (numbered from the
-    left) in the documents that hold all leaves of the query.
+def _leaf_terms(index: SearchIndex, field: str, leaves: DataFrame) -> DataFrame:
+    """(query_id, node, term): the vocabulary terms of every leaf."""
+    tok = index.query_tokenizer(field)
+    words = leaves.where("kind = 'str'").select("query_id", "node", F.explode(tok.terms(F.col("value"))).alias("term"))
+    asked = leaves.where("kind = 'regex'").select("query_id", "node", F.col("value").alias("pattern"), "max_expansions")
+    return words.unionByName(pattern_terms(index, field, asked).select("query_id", "node", "term")).distinct()
+
+
+def _occurrences(index: SearchIndex, field: str, terms: DataFrame, roots: DataFrame) -> DataFrame:
+    """(query_id, node, doc_id, s, e): positions of every leaf in the documents that hold all leaves of the query.
 
     One pass over term and document finds those documents; only their positions
     are exploded.  Both passes serve all queries of the batch.  Checkpointed.
     """
-    terms, sizes = [], []
-    for qid, expr in exprs.items():
-        leaves = _leaves(expr)
-        sizes.append((qid, len(leaves)))
-        terms += [_leaf_terms(index, field, leaf, qid).distinct().withColumn("leaf", F.lit(i))
-                  for i, leaf in enumerate(leaves)]
-    t = checkpointed(_union(terms, "query_id bigint, term string, leaf int"))
-    need = index.spark.createDataFrame(sizes, "query_id bigint, n bigint")
+    t, rows = held(terms)
     postings = pruned_postings(index, field, t)
-    there = join_small(postings.select("term", "doc_id"), t, "term", materialize=False)
-    docs = (there.groupBy("query_id", "doc_id").agg(F.countDistinct("leaf").alias("c"))
-            .join(F.broadcast(need), "query_id")  # one row per query of the batch
-            .where(F.col("c") == F.col("n")).select("query_id", "doc_id"))
-    places = join_small(postings.select("term", "doc_id", "positions"), t, "term", materialize=False)
-    places = join_small(places, checkpointed(docs), ["query_id", "doc_id"], "left_semi", materialize=False)
-    return checkpointed(places.select("query_id", "leaf", "doc_id", F.explode("positions").alias("s")).distinct())
-
-
-def _spans(occ: DataFrame, expr, qid: int, first: int = 0) -> DataFrame:
-    """(query_id, doc_id, s, e) spans where ``expr``, whose leaves are numbered from ``first``, holds."""
-    if isinstance(expr, Leaf):
-        own = occ.where((F.col("query_id") == qid) & (F.col("leaf") == first))
-        return own.select("query_id", "doc_id", "s", F.col("s").alias("e"))
-    left = _spans(occ, expr.left, qid, first)
-    right = _spans(occ, expr.right, qid, first + len(_leaves(expr.left)))
-    # each operand is read twice (right-after and right-before); leaves are written already
-    left, right = (side if isinstance(e, Leaf) else checkpointed(side)
-                   for side, e in ((left, expr.left), (right, expr.right)))
-    return pair_spans(left, right, expr.distance, expr.ordered)
-
-
-def pair_spans(left: DataFrame, right: DataFrame, d: int, ordered: bool) -> DataFrame:
-    """Spans of (left within d of right)."""
-    w = d + 1
-    r = right.select("query_id", "doc_id", F.col("s").alias("rs"), F.col("e").alias("re"))
+    there = join_held(postings.select("term", "doc_id"), t, rows, "term")
+    docs = join_small(there.groupBy("query_id", "doc_id").agg(F.countDistinct("node").alias("c")), roots, "query_id").where(
+        F.col("c") == F.col("leaves")).select("query_id", "doc_id")
+    places = join_held(postings.select("term", "doc_id", "positions"), t, rows, "term")
+    places = join_small(places, docs, ["query_id", "doc_id"], "left_semi")
+    return checkpointed(places.select("query_id", "node", "doc_id", F.explode("positions").alias("s")).distinct().withColumn("e", F.col("s")))
+
+
+def pair_spans(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(query_id, node, doc_id, s, e): spans of (left within ``distance`` of right).  Both sides have
+    (query_id, node, doc_id, s, e, distance), node being the pair's, the left side also ``ordered``."""
+    key, w = ["query_id", "node", "doc_id", "b"], F.col("distance") + 1
+    r = right.select("query_id", "node", "doc_id", F.col("s").alias("rs"), F.col("e").alias("re"), "distance")
+
+    def near(first):
+        return F.explode(F.array(F.floor(first / w), F.floor(first / w) + 1))
+
     # right after left: rs in [e + 1, e + 1 + d]
-    la = left.withColumn("b", F.explode(F.array(F.floor((F.col("e") + 1) / w), F.floor((F.col("e") + 1) / w) + 1)))
-    after = (la.join(r.withColumn("b", F.floor(F.col("rs") / w)), ["query_id", "doc_id", "b"])
-             .where((F.col("rs") >= F.col("e") + 1) & (F.col("rs") <= F.col("e") + 1 + d)))
-    out = after.select("query_id", "doc_id", F.col("s"), F.col("re").alias("e"))
-    if not ordered:
-        # right before left: re in [s - 1 - d, s - 1]
-        lb = left.withColumn("b", F.explode(F.array(F.floor((F.col("s") - 1 - d) / w),
-                                                    F.floor((F.col("s") - 1 - d) / w) + 1)))
-        before = (lb.join(r.withColumn("b", F.floor(F.col("re") / w)), ["query_id", "doc_id", "b"])
-                  .where((F.col("re") >= F.col("s") - 1 - d) & (F.col("re") <= F.col("s") - 1)))
-        out = out.unionByName(before.select("query_id", "doc_id", F.col("rs").alias("s"), F.col("e")))
-    return out.distinct()
+    after = left.withColumn("b", near(F.col("e") + 1)).join(r.withColumn("b", F.floor(F.col("rs") / w)).drop("distance"), key).where(
+        (F.col("rs") >= F.col("e") + 1) & (F.col("rs") <= F.col("e") + w))
+    # right before left: re in [s - 1 - d, s - 1]
+    before = left.where(~F.col("ordered")).withColumn("b", near(F.col("s") - w)).join(
+        r.withColumn("b", F.floor(F.col("re") / w)).drop("distance"), key).where(
+        (F.col("re") >= F.col("s") - w) & (F.col("re") <= F.col("s") - 1))
+    return after.select("query_id", "node", "doc_id", "s", F.col("re").alias("e")).unionByName(
+        before.select("query_id", "node", "doc_id", F.col("rs").alias("s"), "e")).distinct()
 
 
 def proximity(index: SearchIndex, field: str, exprs: dict, q: Query = NOQ) -> DataFrame:
     """(query_id, doc_id, score=1.0) for each query id → proximity expression."""
-    exprs = {qid: _as_expr(e) for qid, e in exprs.items()}
-    occ = _occurrences(index, field, exprs) if exprs else None
-    parts = [_spans(occ, e, qid).select("query_id", "doc_id").distinct() for qid, e in exprs.items()]
-    out = _union(parts, "query_id bigint, doc_id bigint").withColumn("score", F.lit(1.0))
-    return _finish(out, q)
+    leaves, pairs, roots = node_rows({qid: _as_expr(e) for qid, e in exprs.items()})
+    spark = index.spark
+    asked = spark.createDataFrame(roots, "query_id bigint, node int, leaves bigint")
+    spans = _occurrences(index, field, _leaf_terms(index, field, spark.createDataFrame(leaves, _LEAF)), asked)
+    nodes = spark.createDataFrame(pairs, _PAIR)
+    for height in range(1, max((p[-1] for p in pairs), default=0) + 1):
+        level = nodes.where(F.col("height") == height)
+
+        def operand(side: str, *more, level=level, spans=spans):
+            """The spans of the pairs' left or right operands, under the pairs' nodes."""
+            wanted = level.select("query_id", F.col(side).alias("node"), F.col("node").alias("pair"), "distance", *more)
+            return join_small(spans, wanted, ["query_id", "node"]).drop("node").withColumnRenamed("pair", "node")
+
+        found = pair_spans(operand("left", "ordered"), operand("right"))
+        spans = checkpointed(spans.unionByName(found))
+    out = join_small(spans, asked.select("query_id", "node"), ["query_id", "node"]).select("query_id", "doc_id").distinct()
+    return _finish(out.withColumn("score", F.lit(1.0)), q)

@@ -28,6 +28,7 @@ from ..functions.analysis import Tokenizer
 from ..functions.fuzzy import deletion_variants, within_distance
 from .index import K1, B, SearchIndex, term_part
 from .joins import checkpointed, fits_broadcast, held, join_held, join_small
+from .patterns import pattern_terms
 
 SCORE_DECIMALS = 6
 
@@ -232,22 +233,18 @@ def term(index: SearchIndex, queries: DataFrame, field: str, value: str = "query
     return match(index, qq, field, "any", "__terms", q)
 
 
-def regex_terms(index: SearchIndex, field: str, patterns: dict, max_expansions: int | None = None) -> DataFrame:
-    """(query_id, term): vocabulary terms that full-match each pattern.
+def pattern_rows(index: SearchIndex, patterns: dict | DataFrame) -> DataFrame:
+    """(query_id, pattern) of a table of patterns, or of a few given as query id → pattern."""
+    if isinstance(patterns, DataFrame):
+        return patterns.select("query_id", "pattern")
+    return index.spark.createDataFrame(list(patterns.items()), "query_id bigint, pattern string")
 
-    Patterns are literal per query, so each is a filter on the (small,
-    term-sorted) vocabulary — a scan, no join; ``max_expansions`` keeps the
-    first terms in term order.
-    """
-    vocab = index.terms.where(F.col("field") == field).select("term")
-    parts = []
-    for qid, pat in patterns.items():
-        t = vocab.where(F.col("term").rlike(f"^(?:{pat})$")).select(F.lit(qid).alias("query_id"), "term")
-        if max_expansions is not None:
-            w = Window.partitionBy("query_id").orderBy("term")
-            t = t.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= max_expansions).drop("rn")
-        parts.append(t)
-    return _union(parts, "query_id bigint, term string")
+
+def regex_terms(index: SearchIndex, field: str, patterns: dict | DataFrame, max_expansions: int | None = None) -> DataFrame:
+    """(query_id, term): vocabulary terms that full-match each pattern (see :mod:`.patterns`);
+    ``max_expansions`` keeps the first terms in term order."""
+    found = pattern_terms(index, field, pattern_rows(index, patterns).distinct(), max_expansions)
+    return found.select("query_id", "term").distinct()
 
 
 def prefix_terms(index: SearchIndex, field: str, prefixes: DataFrame, max_expansions: int | None = 50) -> DataFrame:
@@ -280,11 +277,12 @@ def _union(parts, schema):
     return out
 
 
-def regex(index: SearchIndex, field: str, patterns: dict, q: Query = NOQ) -> DataFrame:
-    """``regex``: documents with a token that full-matches the pattern (score 1)."""
-    t = checkpointed(regex_terms(index, field, patterns))
+def regex(index: SearchIndex, field: str, patterns: dict | DataFrame, q: Query = NOQ) -> DataFrame:
+    """``regex``: documents with a token that full-matches the pattern (score 1).
+    ``patterns``: a table (query_id, pattern), or query id → pattern."""
+    t, rows = held(regex_terms(index, field, patterns))
     p = pruned_postings(index, field, t).select("term", "doc_id")
-    out = join_small(p, t, "term", materialize=False).select("query_id", "doc_id").distinct().withColumn("score", F.lit(1.0))
+    out = join_held(p, t, rows, "term").select("query_id", "doc_id").distinct().withColumn("score", F.lit(1.0))
     return _finish(out, q)
 
 
@@ -498,18 +496,15 @@ def phrase_prefix(index: SearchIndex, queries: DataFrame, field: str, value: str
     return expanded_phrase(index, fixed.unionByName(exp), nslots, field, 0)
 
 
-def regex_phrase(index: SearchIndex, field: str, phrases: dict, slop: int = 0,
+def regex_phrase(index: SearchIndex, field: str, phrases: dict | DataFrame, slop: int = 0,
                  max_expansions: int | None = None) -> DataFrame:
-    """``regexPhrase``: element i of the list is a pattern for position i."""
-    parts = []
-    for qid, pats in phrases.items():
-        for i, pat in enumerate(pats):
-            t = regex_terms(index, field, {qid: pat}, max_expansions)
-            parts.append(t.withColumn("qpos", F.lit(i)))
-    slot_terms = _union(parts, "query_id bigint, term string, qpos int")
-    sizes = [(qid, len(pats)) for qid, pats in phrases.items()]
-    nslots = index.spark.createDataFrame(sizes, "query_id bigint, n bigint")
-    return expanded_phrase(index, slot_terms, nslots, field, slop)
+    """``regexPhrase``: element i of the list is a pattern for position i.
+    ``phrases``: a table (query_id, patterns), or query id → list."""
+    if not isinstance(phrases, DataFrame):
+        phrases = index.spark.createDataFrame(list(phrases.items()), "query_id bigint, patterns array<string>")
+    slots = phrases.select("query_id", F.posexplode("patterns").alias("qpos", "pattern"))
+    slot_terms = pattern_terms(index, field, slots, max_expansions).select("query_id", "term", "qpos")
+    return expanded_phrase(index, slot_terms, phrases.select("query_id", F.size("patterns").cast("bigint").alias("n")), field, slop)
 
 
 # ---------------------------------------------------------------------------

@@ -11,8 +11,10 @@ from ..operators import audit as D
 from ..operators import facets as FA
 from ..operators import hybrid as HY
 from ..operators import knn as K
+from ..operators import range_join as RJ
 from ..operators import search as S
 from ..operators.index import Field, VectorField, build_index
+from ..operators.vector_lists import Clusters
 from ..operators.joins import checkpointed
 from ..operators.querystring import query_string
 from ..sources.tables import create_table_as, read_table
@@ -31,21 +33,16 @@ CONTAIN_RANGES = [(1, "[12,14)"), (2, "(20,25]")]
 WITHIN_RANGES = [(1, "[10,30)"), (2, "(0,15]"), (3, "(,8]")]
 
 
-def _part_range():
-    return R.make_range(F.col("p_size"), F.col("p_size") + 10, True, False)
+def _part_ranges(spark, sf):
+    """Every part with its range of sizes."""
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("doc_id"), R.make_range(
+        F.col("p_size"), F.col("p_size") + 10, True, False).alias("range"))
 
 
-def _range_filter(spark, sf, rows, relation):
-    part = table(spark, sf, "part")
-    parts = []
-    for qid, text in rows:
-        rq = R.parse_range(F.lit(text), "int4range")
-        parts.append(part.where(R.range_term(_part_range(), rq, relation))
-                     .select(F.lit(qid).cast("bigint").alias("query_id"), F.col("p_partkey").alias("doc_id")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _range_query(spark, sf, rows, relation):
+    """A table of range texts against the parts' ranges."""
+    asked = _q(spark, rows).select("query_id", R.parse_range(F.col("query"), "int4range").alias("range"))
+    return RJ.range_join(_part_ranges(spark, sf), asked, relation)
 
 
 def _norm_bounds(text):
@@ -67,32 +64,25 @@ def _range_sql(rows, cond):
      "SELECT query_id::BIGINT AS query_id, p_partkey AS doc_id FROM part, "
      f"{O.values(RANGE_VALUES, 'query_id, v')} WHERE p_size <= v AND v < p_size + 10")
 def q_range_contains_value(spark, sf):
-    part = table(spark, sf, "part")
-    parts = [part.where(R.range_term(_part_range(), F.lit(v))).select(F.lit(q).cast("bigint").alias("query_id"),
-                                                                      F.col("p_partkey").alias("doc_id"))
-             for q, v in RANGE_VALUES]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return RJ.range_contains_value(_part_ranges(spark, sf), _q(spark, RANGE_VALUES, "int"), value="query")
 
 
 @reg("q_range_intersects", _range_sql(
     INTERSECT_RANGES, "(hi IS NULL OR p_size < hi) AND (lo IS NULL OR lo < p_size + 10) AND (lo IS NULL OR hi IS NULL OR lo < hi)"))
 def q_range_intersects(spark, sf):
-    return _range_filter(spark, sf, INTERSECT_RANGES, "Intersects")
+    return _range_query(spark, sf, INTERSECT_RANGES, "Intersects")
 
 
 @reg("q_range_contains", _range_sql(
     CONTAIN_RANGES, "(lo IS NOT NULL AND p_size <= lo) AND (hi IS NOT NULL AND hi <= p_size + 10)"))
 def q_range_contains(spark, sf):
-    return _range_filter(spark, sf, CONTAIN_RANGES, "Contains")
+    return _range_query(spark, sf, CONTAIN_RANGES, "Contains")
 
 
 @reg("q_range_within", _range_sql(
     WITHIN_RANGES, "(lo IS NULL OR lo <= p_size) AND (hi IS NULL OR p_size + 10 <= hi)"))
 def q_range_within(spark, sf):
-    return _range_filter(spark, sf, WITHIN_RANGES, "Within")
+    return _range_query(spark, sf, WITHIN_RANGES, "Within")
 
 
 @reg("q_range_types",
@@ -103,21 +93,35 @@ def q_range_within(spark, sf):
      "UNION ALL SELECT 2::BIGINT, user_id FROM u WHERE CAST(t0 AS DATE) <= DATE '2024-01-30' AND "
      "DATE '2024-01-30' < CAST(t1 AS DATE) + 1 "
      "UNION ALL SELECT 3::BIGINT, user_id FROM u WHERE CAST(v0 AS DECIMAL(38,9)) <= 40.5 AND "
-     "40.5 <= CAST(v1 AS DECIMAL(38,9))")
+     "40.5 <= CAST(v1 AS DECIMAL(38,9)) "
+     "UNION ALL SELECT 4::BIGINT, user_id FROM u WHERE user_id * 1000000000000 <= 70000000000007 AND "
+     "70000000000007 < user_id * 1000000000000 + 30000000000000 "
+     "UNION ALL SELECT 5::BIGINT, user_id FROM u WHERE t0 <= TIMESTAMP '2024-01-20 12:00:00' AND "
+     "TIMESTAMP '2024-01-20 12:00:00' < t1 "
+     "UNION ALL SELECT 6::BIGINT, user_id FROM u WHERE CAST(user_id AS INT) <= 90 AND 90 < CAST(user_id AS INT) + 20")
 def q_range_types(spark, sf):
-    """tsrange, daterange (normalised to [lo, hi)) and numrange built per user from events."""
+    """All six element types, built per user from events: tsrange, daterange (normalised to [lo, hi)),
+    numrange, int8range, tstzrange and int4range, each asked for a value by a join on cells."""
     u = table(spark, sf, "events").groupBy("user_id").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"),
                                                           F.min("value").alias("v0"), F.max("value").alias("v1"))
-    ts = R.make_range(F.col("t0"), F.col("t1"), True, True)
-    dr = R.normalize(R.make_range(F.to_date("t0"), F.to_date("t1"), True, True), "daterange")
-    nr = R.make_range(F.col("v0").cast("decimal(38,9)"), F.col("v1").cast("decimal(38,9)"), True, True)
-    a = u.where(R.contains_value(ts, F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))).select(
-        F.lit(1).cast("bigint").alias("query_id"), "user_id")
-    b = u.where(R.contains_value(dr, F.lit("2024-01-30").cast("date"))).select(F.lit(2).cast("bigint").alias("query_id"),
-                                                                              "user_id")
-    c = u.where(R.contains_value(nr, F.lit("40.5").cast("decimal(38,9)"))).select(
-        F.lit(3).cast("bigint").alias("query_id"), "user_id")
-    return a.unionByName(b).unionByName(c)
+    wide = F.col("user_id").cast("bigint") * 1_000_000_000_000
+    asked = [  # query, range type, lower, upper, upper included, value
+        (1, "tsrange", F.col("t0"), F.col("t1"), True, "2024-01-15 00:00:00"),
+        (2, "daterange", F.to_date("t0"), F.to_date("t1"), True, "2024-01-30"),
+        (3, "numrange", F.col("v0"), F.col("v1"), True, "40.5"),
+        (4, "int8range", wide, wide + 30_000_000_000_000, False, "70000000000007"),
+        (5, "tstzrange", F.col("t0"), F.col("t1"), False, "2024-01-20 12:00:00"),
+        (6, "int4range", F.col("user_id"), F.col("user_id") + 20, False, "90")]
+    parts = []
+    for qid, kind, lower, upper, closed, value in asked:
+        et = R.RANGE_ELEMENT_TYPES[kind]
+        rows = u.select("user_id", R.normalize(R.make_range(lower.cast(et), upper.cast(et), True, closed), kind).alias("range"))
+        values = spark.range(1).select(F.lit(qid).cast("bigint").alias("query_id"), F.lit(value).cast(et).alias("value"))
+        parts.append(RJ.range_contains_value(rows, values, "user_id").withColumnRenamed("doc_id", "user_id"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -327,18 +331,21 @@ def ix_vector_field(spark, sf):
                               .alias("s"))
 
 
+def _listed_vectors(spark, sf):
+    return stored_index(spark, sf, "embeddings_lists", "embeddings", "vec_id", [], [
+        VectorField("embedding", "l2", clusters=Clusters(0.01, 32, 1))])
+
+
 @reg("ix_vector_clusters")
 def ix_vector_clusters(spark, sf):
-    """KMeans lists: every vector stored with its nearest centroid (rows-only check)."""
-    _, lists = K.build_clusters(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.01, 32, 1)
-    return lists.select("centroid_id", "doc_id")
+    """Clustered lists stored with the index: every vector with its nearest centroid (rows-only check)."""
+    return _listed_vectors(spark, sf).lists["embedding"].lists.select(F.col("list_id").alias("centroid_id"), "doc_id")
 
 
 @reg("v_clustered")
 def v_clustered(spark, sf):
-    """Top 5 per label centroid through the clustered lists (nprobe 2)."""
-    c, lists = K.build_clusters(table(spark, sf, "embeddings"), "vec_id", "embedding", 0.01, 32, 1)
-    return K.knn_clustered(c, lists, _centroids(spark, sf), 5, nprobe=2)
+    """Top 5 per label centroid through the stored lists (nprobe 8)."""
+    return _listed_vectors(spark, sf).lists["embedding"].top(_centroids(spark, sf), 5, nprobe=8)
 
 
 # ---------------------------------------------------------------------------
@@ -402,14 +409,14 @@ def h_retrieve(spark, sf):
 
 
 @reg("h_context", RAG_SQL + "SELECT v.query_id::BIGINT AS query_id, coalesce(string_agg(CASE WHEN r.doc_id IS NOT NULL THEN "
-     "concat_ws(' | ', r.doc_id, d.lang, d.source) END, chr(10) ORDER BY r.rank), 'No relevant context found.') AS context FROM "
+     "concat_ws(' | ', r.doc_id, d.lang, d.source, d.text) END, chr(10) ORDER BY r.rank), 'No relevant context found.') AS context FROM "
      f"{O.values([(k,) for k in RAG], 'query_id')} LEFT JOIN ret r ON r.query_id = v.query_id LEFT JOIN documents d "
      "ON d.doc_id = r.doc_id GROUP BY v.query_id")
 def h_context(spark, sf):
     """Context text per question from its hits, in rank order; fixed text when none."""
     hits = _retrieve(spark, sf).join(table(spark, sf, "documents"), "doc_id")
     qs = spark.createDataFrame([(k,) for k in RAG], "query_id bigint")
-    return HY.context(hits, ["doc_id", "lang", "source"], queries=qs)
+    return HY.context(hits, ["doc_id", "lang", "source", "text"], queries=qs)
 
 
 TYPED = [(1, "sma"), (2, "smal"), (3, "red w"), (4, "blu"), (5, "gi"), (6, "hot g"), (7, "widg"), (8, "bol"),

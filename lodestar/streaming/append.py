@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.index import SearchIndex, _field_stats, build_index, term_statistics
+from ..operators.index import SearchIndex, _field_stats, build_index, save_grams, term_statistics
 from ..operators.vector_lists import append_lists
 
 
@@ -72,6 +72,8 @@ def append(spark: SparkSession, path: str, rows: DataFrame, batch_id: int | str)
         base = spark.read.parquet(f"{path}/terms").select("field", "term", "hot")
         (term_statistics(post, stats).join(base, ["field", "term"], "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
          .repartitionByRange("field", "term").write.parquet(f"{path}/{meta['terms_dir']}"))
+        meta["grams_version"] = f"-{version}"
+        save_grams(spark.read.parquet(f"{path}/{meta['terms_dir']}"), path, meta["grams_version"])
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
         f"{path}/_meta")
     return SearchIndex.open(spark, path)
