@@ -22,7 +22,7 @@ but is listed as ``null``; only ``doc_id``, ``text`` and ``item_id`` are read.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +62,15 @@ class Suffixes:
         self.longest = int(np.diff(np.concatenate(([-1], ends))).max()) - 1
 
 
+def _suffixes(block, key: str, window: int) -> Suffixes:
+    """The suffixes of a block, built once per Python worker; ``key`` names the block."""
+    kept = K.worker_cache("benchmark suffixes", dict)
+    if key not in kept:
+        kept.clear()  # of an earlier block
+        kept[key] = Suffixes(block.value, window)
+    return kept[key]
+
+
 def _name(key) -> str:
     return "null" if key is None else str(key)
 
@@ -177,13 +186,19 @@ def shard_hits(texts: list[bytes], suffixes: Suffixes):
     if len(found):
         windows, back = np.unique(np.stack([first, last, suffixes.need[found]]), axis=1, return_inverse=True)
         back = back.ravel()
-        for k, (a, b, width) in enumerate(windows.T):
-            at = shard.place[places[a:b]]
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + width, -1)
-            named = set(suffixes.item[found[back == k]].tolist())
-            for d in np.unique(shard.document(at)):
-                items[d] |= named
+        # a word is the start of at most one window per width, so all places together are linear in the words
+        size = windows[1] - windows[0]
+        window = np.repeat(np.arange(len(size)), size)
+        at = shard.place[places[np.arange(len(window)) + np.repeat(windows[0] - (np.cumsum(size) - size), size)]]
+        edge += np.bincount(at, minlength=len(edge)) - np.bincount(at + windows[2][window], minlength=len(edge))
+        # items of a window, then of the texts the window stands in
+        named = np.unique(np.stack([back, suffixes.item[found]]), axis=1)
+        begin = np.searchsorted(named[0], np.arange(len(size) + 1))
+        met = np.unique(np.stack([shard.document(at), window]), axis=1)
+        per = begin[met[1] + 1] - begin[met[1]]
+        item = named[1][np.arange(int(per.sum())) + np.repeat(begin[met[1]] - (np.cumsum(per) - per), per)]
+        for d, i in np.unique(np.stack([np.repeat(met[0], per), item]), axis=1).T.tolist():
+            items[d].add(i)
     return shard.counts, np.cumsum(edge[:-1]) > 0, shard.first, items
 
 
@@ -242,8 +257,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     for block in item_blocks(benchmark, block_bytes):
         shared = spark.sparkContext.broadcast(block)
 
-        def run(batches, shared=shared, more=found is not None):
-            suffixes = Suffixes(shared.value, window)
+        def run(batches, shared=shared, key=uuid.uuid4().hex, more=found is not None):
+            suffixes = _suffixes(shared, key, window)
             for b in batches:
                 row = b.column(0) if more else pa.StructArray.from_arrays(b.columns, names)
                 before = None
@@ -276,8 +291,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_b
     for block in item_blocks(benchmark, block_bytes):
         shared = spark.sparkContext.broadcast(block)
 
-        def run(batches, shared=shared):
-            suffixes = Suffixes(shared.value, window)
+        def run(batches, shared=shared, key=uuid.uuid4().hex):
+            suffixes = _suffixes(shared, key, window)
             for b in batches:
                 row = 0
                 for texts in _shards(b.column(1)):

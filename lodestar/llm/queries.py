@@ -135,7 +135,7 @@ def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     said = [{"role": r, "content": _MARKED} for r in ("user", "assistant")]
     record = spark.range(1).select(F.lit(-7).cast("long").alias("id"), F.lit(json.dumps({"messages": said})).alias("record"))
     turns = chat_format.turn_rows(table(spark, sf, "conversations")).unionByName(
-        chat_format.json_turn_rows(record, "id", "record"))
+        chat_format.json_turn_rows(record, "id", "record").drop("layout"))
     back = chat_format.read_back(chat_format.format_chat(turns))
     line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from . import kernel as K
 
 MARK = "▁".encode()  # stands before every word
-_TOGETHER = 96  # longer words are stepped through one by one
+_TOGETHER = 96  # the rest of a longer word is stepped in pieces of its own
+_PIECE, _WARM, _ROUNDS = 256, 64, 8  # bytes of such a piece, bytes that lead to its first state, attempts
 
 
 def read_pieces(path: str) -> list[bytes]:
@@ -102,17 +103,49 @@ class Automaton:
             n = int(np.searchsorted(-size, -i, "left"))  # words longer than i
             state[:n] = self.step(state[:n], count[:n], data[at[:n] + i])
         for w in np.flatnonzero(size > _TOGETHER):
-            v, n = int(state[w]), 0
-            for c in data[at[w] + _TOGETHER:at[w] + size[w]].tolist():
-                while (z := int(self.next[self.row[v], c])) < 0:
-                    n, v = n + int(self.popped[v]), int(self.fail[v])
-                v = z
-            state[w], count[w] = v, count[w] + n
+            state[w], more = self._long(data[at[w] + _TOGETHER:at[w] + size[w]], int(state[w]))
+            count[w] += more
         out = np.empty(len(size), np.int64)
         out[order] = count + self.end[state]
         return out
 
 
+    def _long(self, data: np.ndarray, state: int) -> tuple[int, int]:
+        """(state, tokens) after one long word's bytes.  Its pieces are stepped together, each from the
+        state that ``_WARM`` bytes before it lead to; a piece whose predecessor ends elsewhere is stepped
+        again from there.  What does not settle in ``_ROUNDS`` rounds (a repeated byte) goes byte by byte."""
+        n = len(data) // _PIECE
+        pieces = data[:n * _PIECE].reshape(n, _PIECE)
+        start = np.zeros(n, np.int32)
+        if n > 1:
+            warm, none = start[1:].copy(), np.zeros(n - 1, np.int64)
+            for i in range(_PIECE - _WARM, _PIECE):
+                warm = self.step(warm, none, pieces[:-1, i])
+            start[1:] = warm
+        if n:
+            start[0] = state
+        end, count, sure = np.zeros(n, np.int32), np.zeros(n, np.int64), 0
+        todo = np.arange(n)
+        for _ in range(_ROUNDS):
+            v, c = start[todo], np.zeros(len(todo), np.int64)
+            for i in range(_PIECE):
+                v = self.step(v, c, pieces[todo, i])
+            end[todo], count[todo] = v, c
+            wrong = np.flatnonzero(start[1:] != end[:-1]) + 1
+            sure = int(wrong[0]) if len(wrong) else n
+            start[wrong] = end[wrong - 1]
+            todo = wrong
+            if not len(todo):
+                break
+        total = int(count[:sure].sum())
+        state = int(end[sure - 1]) if sure else state
+        for c in data[sure * _PIECE:].tolist():
+            while (z := int(self.next[self.row[state], c])) < 0:
+                total, state = total + int(self.popped[state]), int(self.fail[state])
+            state = z
+        return state, total
+
+
 def automaton(path: str) -> Automaton:
     return K.worker_cache(("automaton", path), lambda: Automaton(read_pieces(path)))
 

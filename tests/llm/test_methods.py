@@ -246,7 +246,8 @@ def test_chat_layouts(spark):
     got = {}
     for x in chat_format.json_turn_rows(df, "id", "r").orderBy("conv_id", "turn").collect():
         got.setdefault(x["conv_id"], []).append((x["role"], x["text"]))
-    assert got == {i: [("user", "q"), ("assistant", "a")] for i in range(1, 6)}
+    # a record of no known layout is an explicit row
+    assert got == {i: [("user", "q"), ("assistant", "a")] for i in range(1, 6)} | {6: [(None, None)], 7: [(None, None)]}
     flat = spark.createDataFrame([(9, "q", "a", 0)], "conv_id bigint, prompt string, completion string, score int")
     assert [(r["role"], r["text"]) for r in chat_format.turn_rows(flat).orderBy("turn").collect()] == [("user", "q"), ("assistant", "a")]
     assert chat_format.turn_rows(flat.limit(0)).count() == 0
@@ -345,3 +346,100 @@ def test_licence_notices_with_one_more_word(spark):
     assert [got[i] for i in range(len(rows))] == [r[1:] for r in rows]
     based = {r["doc_id"]: r["base_labels"] for r in license_scan.scan(docs).collect()}
     assert based == {0: "cc-by", 1: "mit", 2: "cc-by", 3: "cc-by", 4: "mit", 5: "", 6: "cc-by"}
+
+
+def test_many_contaminated_words_in_one_shard():
+    """Linear in the hits: every text repeats benchmark passages; hits and items as a plain scan finds them."""
+    import time
+
+    rng = random.Random(4)
+    items = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(300))) for i in range(200)]
+    block = decontaminate.Suffixes(items, 10)
+    documents = [" ".join(items[rng.randrange(200)][1] for _ in range(4)) + f" own{k}" for k in range(50)]
+    began = time.perf_counter()
+    counts, hit, first, named = decontaminate.shard_hits([d.encode() for d in documents], block)
+    assert time.perf_counter() - began < 4 and counts.sum() == 50 * 1201 and hit.sum() == 50 * 1200
+    for k, d in enumerate(documents[:5]):
+        assert {block.ids[i] for i in named[k]} == {str(i) for i, t in items if t in d}
+
+
+def test_long_words_are_counted_like_short_steps():
+    """Pieces of a long word that start in the wrong state are stepped again; repeated bytes never settle."""
+    machine = token_counts.Automaton([b"ab", b"abc", b"cab", b"aaaaaaa", b"ca", b"bcab", *(bytes([x]) for x in range(256))])
+    rng = random.Random(1)
+    for text in ("".join(rng.choices("abc", k=20_000)), "a" * 9_999, "abc" * 3_000, "x", "cab" * 100, "a" * 5_000 + "".join(rng.choices("abc", k=9_000))):
+        data = np.frombuffer(text.encode(), np.uint8)
+        for start in (0, int(machine.step(np.zeros(1, np.int32), np.zeros(1, np.int64), np.array([97], np.uint8))[0])):
+            state, total = start, 0
+            for c in data.tolist():
+                while (z := int(machine.next[machine.row[state], c])) < 0:
+                    total, state = total + int(machine.popped[state]), int(machine.fail[state])
+                state = z
+            assert machine._long(data, start) == (state, total)
+
+
+def test_records_of_every_layout_keep_their_turns(spark):
+    import json
+
+    records = [
+        {"instruction": "do", "output": "done"}, {"instruction": "do", "input": "this", "output": "done", "system": "be brief"},
+        {"prompt": "p", "response": "r", "system": "s"}, {"prompt": "p", "completion": "c", "system": ""}, {"messages": []},
+        {"messages": [{"role": "user"}, {"role": "assistant", "content": "late"}]}, {"messages": [{"content": "no role"}]},
+        {"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}]}, {"conversations": []},
+        {"unknown": 1}, {"question": "q", "answer": "a", "tags": ["x", "y"]}, [1, 2], {"messages": [{"role": "user", "content": "x", "id": 3}]}]
+    rows = [(i, json.dumps(r)) for i, r in enumerate(records)] + [(50, None), (51, "no json")]
+    got = {}
+    for r in chat_format.json_turn_rows(spark.createDataFrame(rows, "id bigint, r string"), "id", "r").orderBy("conv_id", "turn").collect():
+        got.setdefault(r["conv_id"], []).append((r["layout"], r["role"], r["text"]))
+    said = {k: [x[1:] for x in v] for k, v in got.items()}
+    assert set(got) == {r[0] for r in rows}
+    assert said[0] == [("user", "do"), ("assistant", "done")]
+    assert said[1] == [("system", "be brief"), ("user", "do\nthis"), ("assistant", "done")]
+    assert said[2] == [("system", "s"), ("user", "p"), ("assistant", "r")] and said[3] == [("user", "p"), ("assistant", "c")]
+    assert got[4] == [("no messages", None, None)] and got[8] == [("no exchanges", None, None)]
+    assert said[5] == [("user", None), ("assistant", "late")] and said[6] == [(None, "no role")]
+    assert said[7] == [("user", "a"), ("assistant", "b")] and said[10] == [("user", "q"), ("assistant", "a")] and said[12] == [("user", "x")]
+    assert all(got[k] == [(None, None, None)] for k in (9, 11, 50, 51))
+
+
+def test_weights_and_draw_against_plain_counts(spark):
+    """Log weights from plain counts of hashed grams; equal keys at the cut are taken by key order, never more than asked."""
+    words = ["good", "fine", "bad", "poor", "text", "more"]
+    rng = random.Random(3)
+    data = [(i, " ".join(rng.choices(words, k=rng.randrange(0, 12)))) for i in range(120)] + [(200, None)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)
+    good = docs.where("doc_id % 4 = 0").select("doc_id")
+    a = {r["doc_id"]: r for r in resampling.resample(docs, good, share=0.25).collect()}
+    b = {r["doc_id"]: r for r in resampling.resample(docs.repartition(7), good, share=0.25).collect()}
+    assert {k: (round(v["log_weight"], 6), v["selected"]) for k, v in a.items()} == {
+        k: (round(v["log_weight"], 6), v["selected"]) for k, v in b.items()}
+    assert sum(r["selected"] for r in a.values()) == round(0.25 * 121) or abs(sum(r["selected"] for r in a.values()) - 0.25 * 121) <= 1
+    # texts of the same words in the same order weigh the same
+    same = {}
+    for i, t in data:
+        same.setdefault(t or "", set()).add(round(a[i]["log_weight"], 9))
+    assert all(len(v) == 1 for v in same.values())
+
+
+def test_components_against_union_find(spark):
+    from lodestar.llm.components import components
+
+    rng = random.Random(7)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    edges = [(rng.randrange(90), rng.randrange(90)) for _ in range(60)] + chain + [(5, 5), (3, 4), (3, 4), (4, 3)]
+    links = [{a, b} for a, b in edges]
+    want = {}
+    for x in sorted({v for e in edges for v in e}):
+        if x in want:
+            continue
+        todo = [x]
+        while todo:
+            y = todo.pop()
+            if y not in want:
+                want[y] = x
+                todo += [z for e in links if y in e for z in e]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(4)).collect()}
+    assert {k: v for k, v in got.items()} == {k: v for k, v in want.items() if k in got}
+    alone = {a for a, b in edges if a == b and not any(a in e and len(e) == 2 for e in links)}
+    assert set(want) - set(got) == alone  # an id linked to itself only is in no link
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
