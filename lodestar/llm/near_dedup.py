@@ -12,12 +12,11 @@ similarity 0.8 with the defaults, even where every level is used).
 Comparing inside nodes is exact and never emits all pairs of a group:
 
 1. every document of a node is compared with the node's smallest document
-   (linear), candidates are verified on the full sets, and the verified links
-   are closed to components;
+   (linear) and candidates are verified on the full sets;
 2. nodes that still hold several components are compared exhaustively, but
    only across components, again on the full sets: first the nodes above
-   ``leaf`` that no level was left to branch, tree after tree, in blocks that
-   emit spanning links only (``_block_links``), then the small ones by pairs.
+   ``leaf`` that no level was left to branch, in blocks that emit spanning
+   links only (``_block_links``), then the small ones by pairs.
 
 So a group of copies costs one link per copy, and any two documents that share
 a node and are similar end in one component.  Exact copies (equal sets) are
@@ -32,7 +31,6 @@ result; only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import math
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +39,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import checkpointed, fits_broadcast
-from ..session import work_dir
 from . import kernel as K
 from .components import components
 
@@ -206,7 +203,7 @@ def _may_link(x: str, y: str, join: Join) -> Column:
 
 
 def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
-    """(tree, node, id, n, pivot): the documents of all final nodes with at least two
+    """(node, id, n, pivot): the documents of all final nodes with at least two
     members, each node's size and its smallest document.  Checkpointed."""
     def children(rows: DataFrame, level: int) -> DataFrame:
         """Each row (id, tokens, node, tree, path) goes to one child per branch of this level."""
@@ -224,7 +221,7 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
         shared = checkpointed(members.join(size, "node"))
         last = level + 1 == len(join.branches)
         found.append((shared if last else shared.where(F.col("n") <= join.leaf)).select(
-            "tree", "node", "id", "n", "pivot"))
+            "node", "id", "n", "pivot"))
         if last:
             break
         large = shared.where(F.col("n") > join.leaf).select("id", "tree", "path", "node")
@@ -318,14 +315,17 @@ def _block_links(docs: DataFrame, sides: DataFrame, sizes: DataFrame, join: Join
         lambda block: _spanning(block, percent), f"a {kind}, b {kind}").distinct())
 
 
-def _with(comps: DataFrame, links: DataFrame) -> DataFrame:
-    """The components after more links.  A written table: the size that the planner
-    estimates for a checkpoint is a product over all the joins before it, which
-    grows without bound from round to round."""
-    out = components(links.unionByName(comps.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-    path = f"{work_dir(out.sparkSession)}/components-{uuid.uuid4().hex}"
-    out.write.parquet(path)
-    return out.sparkSession.read.schema(out.schema).parquet(path)
+def _labels(links: DataFrame) -> DataFrame:
+    """(id, component): for every linked id a smaller one it reaches, or itself if it has none, by a few
+    steps down the links (a > b).  Ids of one label are connected; not all that are connected share a
+    label, which costs comparisons but no result.  Checkpointed."""
+    low = links.select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("component")).groupBy("id").agg(
+        F.min("component").alias("component"))
+    for _ in range(2):  # each step doubles the distance
+        low = checkpointed(low)
+        next_ = low.select(F.col("id").alias("component"), F.col("component").alias("further"))
+        low = low.join(next_, "component", "left").select("id", F.coalesce("further", "component").alias("component"))
+    return checkpointed(low)
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -346,39 +346,38 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
         return pairs.join(m1, "a").join(m2, "b").where(_may_link("ma", "mb", join)).select("a", "b")
 
     stars = checkpointed(similar(nodes.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()))
-    links = _verified(docs, stars, join).unionByName(copies)
-    comps = checkpointed(components(links))
+    links = _verified(docs, stars, join)
 
     # what the stars left apart: nodes of several components, compared across them
-    def mixed(part: DataFrame) -> DataFrame:
-        placed = part.select("tree", "node", "id").join(comps, "id", "left").select(
-            "tree", "node", "id", F.coalesce("component", "id").alias("component"))
+    def mixed(part: DataFrame, labels: DataFrame) -> DataFrame:
+        placed = part.select("node", "id").join(labels, "id", "left").select(
+            "node", "id", F.coalesce("component", "id").alias("component"))
         several = placed.groupBy("node").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m"),
             F.bit_xor(F.xxhash64("id")).alias("x")).where("lo < hi")
         # of nodes with the same documents one is enough
         return placed.join(several.groupBy("m", "x").agg(F.min("node").alias("node")).select("node"), "node")
 
-    sizes = reps.select("id", "n_shingles")
-    large = checkpointed(mixed(nodes.where(F.col("n") > join.leaf)))
-    for tree in sorted(r[0] for r in large.select("tree").distinct().collect()):  # at most ``trees`` numbers
-        # links of one tree leave less to the next
-        sides = _sides(mixed(large.where(F.col("tree") == tree)))
-        if sides.isEmpty():
-            continue
-        comps = _with(comps, _block_links(docs, sides, sizes, join, PIVOTS))
+    labels, sizes = _labels(links), reps.select("id", "n_shingles")
+    large = nodes.where(F.col("n") > join.leaf)
+    sides = _sides(mixed(large, labels))
+    if not sides.isEmpty():
+        links = links.unionByName(_block_links(docs, sides, sizes, join, PIVOTS))
+        labels = _labels(links)
         crowded = sides.where(F.col("others") > PIVOTS).select("node").distinct()
-        sides = _sides(mixed(large.join(crowded, "node", "left_semi")))
+        sides = _sides(mixed(large.join(crowded, "node", "left_semi"), labels))
         if not sides.isEmpty():
-            comps = _with(comps, _block_links(docs, sides, sizes, join))
-    apart = mixed(nodes.where(F.col("n") <= join.leaf)).join(marks, "id")
+            links = links.unionByName(_block_links(docs, sides, sizes, join))
+            labels = _labels(links)
+    apart = mixed(nodes.where(F.col("n") <= join.leaf), labels).join(marks, "id")
     x = apart.select("node", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("m").alias("ma"))
     y = apart.select("node", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("m").alias("mb"))
     across = x.join(y, "node").where(F.col("ca") < F.col("cb")).where(_may_link("ma", "mb", join)).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     across = checkpointed(across.join(stars, ["a", "b"], "left_anti"))
     if not across.isEmpty():
-        comps = _with(comps, _verified(docs, across, join))
+        links = links.unionByName(_verified(docs, across, join))
+    comps = components(links.unionByName(copies))
     return base.select("doc_id", "n_shingles").join(
         comps.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
