@@ -13,10 +13,8 @@ An index is a handful of ordinary tables (see SURVEY §1.3):
   ``rpart`` (a hash part of the term; parts grow with the index) in one file per
   part, sorted by term: a lookup of a rare word opens one file, where ``postings``
   would open one per bucket
-* ``terms``     field, term, df, cf, top, hot — ``top`` is the term's highest
-  weight in any document (its BM25 without idf), from which searches bound what a
-  document can reach; ``hot`` terms have at least ``hot_df`` documents (stored in
-  the manifest) and are looked up in the buckets only
+* ``terms``     field, term, df, cf, hot — ``hot`` terms have at least ``hot_df``
+  documents (stored in the manifest) and are looked up in the buckets only
 * ``grams``, ``gram_counts``  the vocabulary by three characters (see :mod:`.patterns`)
 * ``fields``    field, n_docs, avgdl, total_tokens
 * ``doclens``   field, doc_id, dl — every non-NULL row, also empty ones
@@ -57,11 +55,17 @@ def term_weight(tf: Column | str, dl: Column | str, avgdl: Column | str) -> Colu
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
 
 
-def term_statistics(postings: DataFrame, stats: DataFrame) -> DataFrame:
-    """(field, term, df, cf, top) of postings, given the fields' statistics (a row per field)."""
-    p = postings.join(F.broadcast(stats.select("field", "avgdl")), "field")
-    return p.groupBy("field", "term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"), F.max(term_weight("tf", "dl", "avgdl")).alias("top"))
+def term_statistics(postings: DataFrame) -> DataFrame:
+    """(field, term, df, cf) of postings."""
+    return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+
+
+def merged_terms(tables: list[DataFrame], by=("field", "term")) -> DataFrame:
+    """The vocabulary of a base and its appended batches: their statistics added up."""
+    every = tables[0]
+    for t in tables[1:]:
+        every = every.unionByName(t)
+    return every.groupBy(*by).agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"), F.bool_or("hot").alias("hot"))
 
 
 @dataclass(frozen=True)
@@ -208,6 +212,7 @@ class SearchIndex:
         self.appended = None  # postings of appended batches, where there are any
         self.lists = {}  # vector field → its stored lists
         self.grams = self.gram_counts = None  # character grams of the vocabulary
+        self.term_tables = []  # stored vocabularies of the base and of every batch
         self.where = None  # SQL text of a partial index's predicate
         self.partial = False
 
@@ -281,12 +286,11 @@ class SearchIndex:
         dls.write.mode("overwrite").partitionBy("field").parquet(f"{path}/doclens")
         dl = self.spark.read.schema(dls.schema).parquet(f"{path}/doclens")  # an empty table has no files
         _field_stats(dl).coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
-        stats = self.spark.read.parquet(f"{path}/fields")
         self.hot_df = self.hot_df or HOT_ROWS_PER_BUCKET * nb
         self.rare_parts = self.rare_parts or min(MAX_RARE_PARTS, nb)
-        (term_statistics(p, stats).withColumn("hot", F.col("df") >= self.hot_df)
+        (term_statistics(p).withColumn("hot", F.col("df") >= self.hot_df)
          .repartitionByRange("field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
-        save_grams(self.spark.read.parquet(f"{path}/terms"), path, "")
+        save_grams(self.spark.read.parquet(f"{path}/terms"), path)
         # hot terms are few (each has many postings); without them, every part of the terms becomes one file
         hot = self.spark.read.parquet(f"{path}/terms").where("hot").select("field", "term")
         rare = join_small(p, hot, ["field", "term"], "left_anti", materialize=False)
@@ -307,8 +311,7 @@ class SearchIndex:
             return base.unionByName(spark.read.schema(base.schema).parquet(*[f"{b}/{name}" for b in batches])) if batches else base
 
         def stored(name: str, ddl: str) -> DataFrame:  # an index of vectors only has empty text tables
-            return spark.read.schema(ddl).parquet(f"{path}/{meta.get(name + '_dir', name)}") if fields \
-                else spark.createDataFrame([], ddl)
+            return whole(spark.read.schema(ddl).parquet(f"{path}/{name}"), name) if fields else spark.createDataFrame([], ddl)
 
         vectors = whole(spark.read.parquet(f"{path}/vectors"), "vectors") if vfs else None
         kind = meta["key_type"]
@@ -320,18 +323,23 @@ class SearchIndex:
         else:
             postings = spark.createDataFrame([], "term string, doc_id bigint, tf int, dl int, positions array<int>, "
                                                  "field string, tpart int")
-        idx = SearchIndex(spark, meta["key"], fields, vfs, postings,
-                          stored("terms", "field string, term string, df bigint, cf bigint, top double, hot boolean"),
-                          stored("fields", "field string, n_docs bigint, avgdl double, total_tokens bigint"),
+        ddl = "field string, term string, df bigint, cf bigint, hot boolean"
+        # of the base and of every batch: added up where they are read
+        terms = [spark.read.schema(ddl).parquet(f"{p}/terms") for p in [path, *batches]] if fields else [spark.createDataFrame([], ddl)]
+        stats = stored("fields", "field string, n_docs bigint, avgdl double, total_tokens bigint")
+        if batches:
+            stats = stats.groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("total_tokens").alias("total_tokens")).select(
+                "field", "n_docs", (F.col("total_tokens") / F.col("n_docs")).alias("avgdl"), "total_tokens")
+        idx = SearchIndex(spark, meta["key"], fields, vfs, postings, merged_terms(terms) if batches else terms[0], stats,
                           doclens, vectors, search_tokenizer=_tok_from(meta["search_tokenizer"]), name=meta["name"],
                           path=path, manifest=spark.read.parquet(f"{path}/manifest"))
         idx.buckets, idx.term_parts = meta["buckets"], meta["term_parts"]
         idx.where, idx.partial = meta["where"], meta["partial"]
         idx.hot_df, idx.rare_parts = meta["hot_df"], meta["rare_parts"]
         if fields:
-            version = meta.get("grams_version", "")
-            idx.grams = spark.read.schema("gram string, term string, field string, gpart int").parquet(f"{path}/grams{version}")
-            idx.gram_counts = spark.read.schema("field string, gram string, n bigint").parquet(f"{path}/gram_counts{version}")
+            idx.grams = stored("grams", "gram string, term string, field string, gpart int")
+            idx.gram_counts = stored("gram_counts", "field string, gram string, n bigint")
+            idx.term_tables = terms
         idx.lists = {v.field_name: VectorLists(
             spark, f"{path}/clusters/{v.field_name}", v.metric, dict(vectors.dtypes)["doc_id"],
             [f"{b}/lists/{v.field_name}" for b in batches]) for v in vfs if v.clusters}
@@ -344,13 +352,13 @@ class SearchIndex:
         return idx
 
 
-def save_grams(terms: DataFrame, path: str, version: str) -> None:
+def save_grams(terms: DataFrame, path: str) -> None:
     """Write the character grams of a vocabulary, and how many terms hold each."""
     grams = term_grams(terms.select("field", "term"))
     (grams.repartition("field", "gpart").sortWithinPartitions("field", "gpart", "gram", "term")
-     .write.mode("overwrite").partitionBy("field", "gpart").parquet(f"{path}/grams{version}"))
-    stored = terms.sparkSession.read.schema("gram string, term string, field string, gpart int").parquet(f"{path}/grams{version}")
-    stored.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/gram_counts{version}")
+     .write.mode("overwrite").partitionBy("field", "gpart").parquet(f"{path}/grams"))
+    stored = terms.sparkSession.read.schema("gram string, term string, field string, gpart int").parquet(f"{path}/grams")
+    stored.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/gram_counts")
 
 
 def _postings_table(path: str) -> str:
@@ -447,7 +455,7 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
                          F.sort_array(F.collect_list("pos")).alias("positions"))
                     .withColumn("tpart", term_part("term", term_parts)))
         stats = _field_stats(doclens)
-        terms = term_statistics(postings, stats).withColumn("hot", F.lit(True))
+        terms = term_statistics(postings).withColumn("hot", F.lit(True))
     vectors = None
     if vector_fields:
         parts = []

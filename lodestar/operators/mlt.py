@@ -38,7 +38,7 @@ FEW_SOURCES = 100  # so many sources are the smaller side of the vocabulary; of
 def _select_terms(index: SearchIndex, src: DataFrame, field: str, o: MltOptions, by: tuple = ("query_id",),
                   few: bool = True) -> DataFrame:
     """src: (query_id, term, tf, ...) of one field → the kept rows with the columns of ``search.idf_terms``."""
-    vocabulary = idf_terms(index, field)
+    vocabulary = idf_terms(index, field, src if few else None)
     t = join_small(vocabulary, src, "term") if few else join_small(src, vocabulary, "term", materialize=False)
     c = (F.col("tf") >= o.min_term_frequency) & (F.col("df") >= o.min_doc_frequency)
     if o.max_doc_frequency is not None:

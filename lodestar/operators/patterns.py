@@ -96,15 +96,16 @@ def matching_terms(index, field: str, patterns: DataFrame) -> DataFrame:
         free, found = asked.select("pattern"), None
     else:
         wanted = asked.select("pattern", F.explode("grams").alias("gram"))
-        counts = index.gram_counts.where(F.col("field") == field).select("gram", "n")
-        counted = wanted.join(join_small(counts, wanted.select("gram").distinct(), "gram"), "gram", "left")
+        counts = join_small(index.gram_counts.where(F.col("field") == field).select("gram", "n"), wanted.select("gram").distinct(), "gram")
+        # a batch that was appended has counts of its own
+        counted = wanted.join(counts.groupBy("gram").agg(F.sum("n").alias("n")), "gram", "left")
         # a gram no term has rules the pattern out
         rarest = counted.groupBy("pattern").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
         rarest, few = held(rarest.withColumn("gpart", gram_part()))
         grams = index.grams.where(F.col("field") == field)
         if few is not None:
             grams = grams.where(F.col("gpart").isin(sorted(set(few["gpart"].to_pylist()))))
-        found = join_held(grams, rarest.select("pattern", "gram"), few, "gram").where(fits).select("pattern", "term")
+        found = join_held(grams, rarest.select("pattern", "gram"), few, "gram").where(fits).select("pattern", "term").distinct()
     if rows is not None and index.grams is not None and all(rows["grams"].to_pylist()):
         return found
     # every term has to be compared: one key, the patterns on the small side

@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType
 
 from ..functions.analysis import Tokenizer
 from ..functions.fuzzy import deletion_variants, within_distance
-from .index import K1, B, SearchIndex, term_part
+from .index import K1, B, SearchIndex, merged_terms, term_part
 from .joins import checkpointed, fits_broadcast, held, join_held, join_small
 from .patterns import pattern_terms
 
@@ -76,10 +76,17 @@ def field_postings(index: SearchIndex, field: str) -> DataFrame:
 LITERAL_TERMS = 256  # up to so many looked-up terms are pushed to the scans as literals
 
 
-def vocabulary(index: SearchIndex, field: str) -> DataFrame:
-    """(term, df, top, hot, tpart, rpart) of one field: what a lookup has to know of its terms."""
-    t = index.terms.where(F.col("field") == field).select("term", "df", "top", "hot")
-    return t.select("*", *[term_part("term", n or 1).alias(c) for c, n in (("tpart", index.term_parts), ("rpart", index.rare_parts))])
+def vocabulary(index: SearchIndex, field: str, wanted: DataFrame | None = None) -> DataFrame:
+    """(term, df, hot, tpart, rpart) of one field: what a lookup has to know of its terms.
+    ``wanted`` (term): all that is asked for; appended batches are then added up for these only."""
+    if wanted is not None and len(index.term_tables) > 1:
+        side, rows = held(wanted.select("term").distinct())
+        t = merged_terms([join_held(x.where(F.col("field") == field), side, rows, "term", "left_semi").select("term", "df", "cf", "hot")
+                          for x in index.term_tables], ("term",))
+    else:
+        t = index.terms.where(F.col("field") == field)
+    return t.select("term", "df", "hot", *[term_part("term", n or 1).alias(c) for c, n in (
+        ("tpart", index.term_parts), ("rpart", index.rare_parts))])
 
 
 def pruned_postings(index: SearchIndex, field: str, wanted: DataFrame, rows: pa.Table | None = None) -> DataFrame:
@@ -95,7 +102,7 @@ def pruned_postings(index: SearchIndex, field: str, wanted: DataFrame, rows: pa.
     if index.rare is None:  # not stored
         return p
     if rows is None:
-        terms = join_small(vocabulary(index, field), wanted.select("term").distinct(), "term")
+        terms = join_small(vocabulary(index, field, wanted), wanted.select("term").distinct(), "term")
         rows = held(terms.select("term", "hot", "tpart", "rpart"))[1]
         if rows is None:
             return p
@@ -120,10 +127,10 @@ def pruned_postings(index: SearchIndex, field: str, wanted: DataFrame, rows: pa.
     return _union([x.select(columns) for x in parts], "")
 
 
-def idf_terms(index: SearchIndex, field: str) -> DataFrame:
-    """(term, df, idf, ...) of one field; N comes from a one-row stats table."""
+def idf_terms(index: SearchIndex, field: str, wanted: DataFrame | None = None) -> DataFrame:
+    """(term, df, idf, ...) of one field (see :func:`vocabulary`); N comes from a one-row stats table."""
     st = index.stats.where(F.col("field") == field).select("n_docs", "avgdl")
-    return (vocabulary(index, field).crossJoin(F.broadcast(st))  # one row: bounded by the number of fields
+    return (vocabulary(index, field, wanted).crossJoin(F.broadcast(st))  # one row: bounded by the number of fields
             .withColumn("idf", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))))
 
 
@@ -181,7 +188,7 @@ def term_scores(index: SearchIndex, ex: DataFrame, field: str, expanded: bool =
     ``expanded``: a query term may stand for several vocabulary terms (fuzzy),
     so the best of them is kept; otherwise each row is already one term.
     """
-    idf = idf_terms(index, field)
+    idf = idf_terms(index, field, ex)
     # query terms look up the vocabulary, then the postings; both lookups
     # broadcast the (measured) query side, so neither index table is shuffled
     qside, rows = held(join_small(idf, ex, "term"))
@@ -207,6 +214,8 @@ def match(index: SearchIndex, queries: DataFrame, field: str, mode: str = "any",
     """``matchAny`` / ``matchAll``: documents with any / all distinct query terms."""
     qt = query_terms(index, queries, field, value, q)
     ex = expand(index, qt, field, q)
+    if mode == "all" and not q.fuzzy:
+        return _finish(intersection(index, field, ex), q)
     ts = term_scores(index, ex, field, expanded=bool(q.fuzzy))
     g = ts.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"), F.count("*").alias("n"))
     if mode == "all":
@@ -217,6 +226,49 @@ def match(index: SearchIndex, queries: DataFrame, field: str, mode: str = "any",
     return _finish(g, q)
 
 
+RAREST = 2  # terms of a query whose documents are intersected first
+
+
+def intersection(index: SearchIndex, field: str, ex: DataFrame) -> DataFrame:
+    """(query_id, doc_id, score): documents that hold every term of a query (query_id, term).
+
+    The documents of each query's ``RAREST`` rarest terms are found first; of the
+    other terms only the postings of these documents are scored, so what a frequent
+    word has elsewhere is dropped by a join before it is aggregated.  A query with a
+    term that is nowhere has no rows."""
+    ex = checkpointed(ex.select("query_id", "term").distinct())
+    need = ex.groupBy("query_id").agg(F.count(F.lit(1)).alias("need"))
+    known = join_small(idf_terms(index, field, ex), ex, "term")
+    # a query's terms are a short list: its order is taken per query
+    first = Window.partitionBy("query_id").orderBy("df", "term")
+    terms = known.withColumn("r", F.row_number().over(first)).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
+    terms = join_small(terms, need, "query_id").where(F.col("n") == F.col("need"))
+    terms, rows = held(terms.select("query_id", "term", "idf", "avgdl", "hot", "tpart", "rpart", "r", "need"))
+
+    def scored(side: DataFrame, own: pa.Table | None, on: list) -> DataFrame:
+        p = pruned_postings(index, field, side, own).select("term", "doc_id", "tf", "dl")
+        j = join_held(p, side, own, on) if on == ["term"] else join_small(p, side, on)
+        return j.select("query_id", "doc_id", "need", bm25(F.col("idf"), F.col("tf"), F.col("dl"), F.col("avgdl")).alias("score"))
+
+    def summed(parts: DataFrame, n) -> DataFrame:
+        g = parts.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("n"), F.first("need").alias("need"))
+        return g.where(F.col("n") == n).select("query_id", "doc_id", "need", "score")
+
+    few = None if rows is None else rows.filter(pa.compute.less_equal(rows["r"], RAREST))
+    found = summed(scored(terms.where(F.col("r") <= RAREST), few, ["term"]), F.least(F.col("need"), F.lit(RAREST)))
+    if rows is not None and not pa.compute.any(pa.compute.greater(rows["r"], RAREST)).as_py():
+        return found.select("query_id", "doc_id", "score")
+    found, _ = held(found)
+    others = terms.where(F.col("r") > RAREST).drop("need", "r")
+    wanted = found.select("query_id", "doc_id", "need").join(others, "query_id")
+    more = scored(wanted, None, ["term", "doc_id"])
+    # the first terms' sum counts for as many rows as there are such terms
+    every = found.select("query_id", "doc_id", "need", "score", F.least(F.col("need"), F.lit(RAREST)).alias("k")).unionByName(
+        more.withColumn("k", F.lit(1).cast("bigint")))
+    return every.groupBy("query_id", "doc_id").agg(F.sum("score").alias("score"), F.sum("k").alias("k"), F.first("need").alias("need")).where(
+        F.col("k") == F.col("need")).select("query_id", "doc_id", "score")
+
+
 def match_any(index, queries, field, value="query", q: Query = NOQ):
     return match(index, queries, field, "any", value, q)
 

@@ -54,7 +54,7 @@ def stored_index(spark: SparkSession, sf: str, name: str, source: str, key: str,
     src = docs if docs is not None else table(spark, sf, source)
     spec = repr([(f.field_name, f.tokenizer, f.source_text(), f.is_array) for f in fields]) + repr(
         [(v.field_name, v.metric, v.source, v.clusters) for v in vector_fields]) + repr(search_tokenizer) + where_text
-    sig = (f"{sf}/{source}|{file_signature(spark, f'{sf}/{source}.parquet')}|{key}|{spec}|v11"
+    sig = (f"{sf}/{source}|{file_signature(spark, f'{sf}/{source}.parquet')}|{key}|{spec}|v12"
            f"|{INDEX_NAMESPACE}")
     idx = cached_index(spark, name, sig, lambda: build_index(src, key, fields, list(vector_fields),
                                                              search_tokenizer, where, name=name))

@@ -4,10 +4,11 @@ A batch writes its own postings, document lengths and vectors under
 ``appends/<batch>/`` with overwrite mode, so a re-delivered batch replaces
 itself instead of doubling rows.  Batches of a stream are named by the stream's
 checkpoint and its micro-batch id, so two streams never share a name; a name
-that comes back with other rows is refused.  Vocabulary and field statistics
-change for old terms too; they are recomputed from all postings (never
-incremented) into a new version folder, and the ``_meta`` pointer is
-rewritten last.  ``SearchIndex.open`` returns the index with every batch.
+that comes back with other rows is refused.  Vocabulary, field statistics and
+grams are written per batch too and added up where they are read, so an append
+reads its own rows only; the ``_meta`` pointer is rewritten last.
+``SearchIndex.open`` returns the index with every batch.  ``compact`` folds the
+batches into a new index, whose lookups read one vocabulary and bucketed rows again.
 
 The rows are indexed as the index was built: same fields, expressions,
 predicate and vector fields.  An index whose predicate or expressions were
@@ -18,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,29 +60,30 @@ def append(spark: SparkSession, path: str, rows: DataFrame, batch_id: int | str)
         vectors = spark.read.schema(new.vectors.schema).parquet(f"{folder}/vectors")
         for name, lists in idx.lists.items():
             append_lists(vectors.where(F.col("field") == name), lists, f"{folder}/lists/{name}", idx.vector_fields[name].clusters)
+    if idx.fields:
+        own = spark.read.schema(new.postings.schema).parquet(f"{folder}/postings")
+        lens = spark.read.schema(new.doclens.schema).parquet(f"{folder}/doclens")
+        _field_stats(lens).coalesce(1).write.mode("overwrite").parquet(f"{folder}/fields")
+        # where the base keeps a term's postings does not change: a batch makes no term hot
+        term_statistics(own).withColumn("hot", F.lit(False)).write.mode("overwrite").parquet(f"{folder}/terms")
+        save_grams(spark.read.parquet(f"{folder}/terms"), folder)
     batches[batch] = mark
     meta["batches"] = batches
-    if idx.fields:
-        post, lens = all_rows(spark, path, batches, "postings"), all_rows(spark, path, batches, "doclens")
-        version = uuid.uuid4().hex
-        meta["terms_dir"], meta["fields_dir"] = f"terms-{version}", f"fields-{version}"
-        _field_stats(lens).coalesce(1).write.parquet(f"{path}/{meta['fields_dir']}")
-        stats = spark.read.parquet(f"{path}/{meta['fields_dir']}")
-        # where the base keeps a term's postings does not change
-        base = spark.read.parquet(f"{path}/terms").select("field", "term", "hot")
-        (term_statistics(post, stats).join(base, ["field", "term"], "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-         .repartitionByRange("field", "term").write.parquet(f"{path}/{meta['terms_dir']}"))
-        meta["grams_version"] = f"-{version}"
-        save_grams(spark.read.parquet(f"{path}/{meta['terms_dir']}"), path, meta["grams_version"])
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
         f"{path}/_meta")
     return SearchIndex.open(spark, path)
 
 
-def all_rows(spark, path: str, batches, name: str) -> DataFrame:
-    """One stored table with the rows of every batch."""
-    base = spark.read.parquet(f"{path}/{name}")
-    return base.unionByName(spark.read.schema(base.schema).parquet(*[f"{path}/appends/{b}/{name}" for b in sorted(batches)]))
+def compact(spark: SparkSession, path: str, target: str) -> SearchIndex:
+    """Write the index under ``path`` with all its batches as one index under ``target`` (readers of
+    ``path`` go on), and return it.  Vector lists are trained again."""
+    idx = SearchIndex.open(spark, path)
+    postings = idx.postings.repartition(idx.buckets, "doc_id") if idx.fields else idx.postings
+    whole = SearchIndex(spark, idx.key, list(idx.fields.values()), list(idx.vector_fields.values()), postings, idx.terms,
+                        idx.stats, idx.doclens, idx.vectors, search_tokenizer=idx.search_tokenizer, name=idx.name)
+    whole.buckets, whole.term_parts, whole.hot_df, whole.rare_parts = idx.buckets, idx.term_parts, idx.hot_df, idx.rare_parts
+    whole.where, whole.partial = idx.where, idx.partial
+    return whole.save(target)
 
 
 def open_appended(spark: SparkSession, path: str) -> SearchIndex:

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import analysis as A
 from lodestar.operators import audit as D
+from lodestar.operators import search as S
 from lodestar.operators.index import Field, build_index
-from lodestar.streaming.append import append, open_appended, stream_append
+from lodestar.streaming.append import append, compact, open_appended, stream_append
 from tests.conftest import DOC_ROWS, rows
 
 
@@ -56,6 +57,35 @@ def test_append_equals_rebuild(spark):
     assert rows(idx.stats, "n_docs", "total_tokens") == rows(full.stats, "n_docs", "total_tokens")
 
 
+def test_append_reads_its_own_rows_only(spark, tmp_path):
+    """The stored tables of the base are unreadable while a batch arrives; afterwards its words are found."""
+    import pathlib
+
+    df = spark.createDataFrame(DOC_ROWS, "id bigint, description string")
+    path = f"{tmp_path}/idx"
+    build_index(df.where("id <= 4"), "id", [Field("description")]).save(path)
+    files = [f for t in ("postings", "terms", "doclens", "fields", "grams", "rare") for f in pathlib.Path(path, t).rglob("*.parquet")]
+    kept = {f: f.read_bytes() for f in files}
+    for f in files:
+        f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+        f.write_bytes(b"unreadable")
+    append(spark, path, df.where("id > 4"), 1)
+    for f, b in kept.items():
+        f.write_bytes(b)
+    spark.catalog.clearCache()
+    idx = open_appended(spark, path)
+    q = spark.createDataFrame([(1, "quick"), (2, "shoes"), (3, "the end")], "query_id bigint, query string")
+    full = build_index(df, "id", [Field("description")])
+    assert rows(S.rounded(S.match_all(idx, q, "description")), "query_id", "doc_id", "score") == rows(
+        S.rounded(S.match_all(full, q, "description")), "query_id", "doc_id", "score")
+    assert rows(S.regex(idx, "description", {1: "qu.*", 2: "sh.*"}), "query_id", "doc_id") == [(1, 8), (2, 1), (2, 2), (2, 3)]
+    one = compact(spark, path, f"{tmp_path}/one")
+    assert one.appended is None and rows(one.terms, "term", "df", "cf") == rows(full.terms, "term", "df", "cf")
+    assert rows(S.rounded(S.match_any(one, q, "description")), "query_id", "doc_id", "score") == rows(
+        S.rounded(S.match_any(idx, q, "description")), "query_id", "doc_id", "score")
+    assert all(p for _, p in rows(D.verify_index(one), "check_name", "passed"))
+
+
 def test_stream_append(spark):
     df = spark.createDataFrame(DOC_ROWS, "id bigint, description string")
     base = tempfile.mkdtemp(prefix="lodestar-stream-")
