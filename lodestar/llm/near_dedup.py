@@ -5,9 +5,10 @@ path of branches, a *selected minwise token*.  A tree is a recursion: a node
 holds documents; if it is larger than ``leaf`` its documents branch into the
 children named by their selected tokens of the next level, else it is a leaf.
 Every path of branches has hash functions of its own, so what two documents
-share in one node says nothing about the nodes beside it.  Similar documents follow a common path with a probability that the number of
-independent trees drives to the target recall (``recall()``; 0.9999997 at
-similarity 0.8 with the defaults, even where every level is used).
+share in one node says nothing about the nodes beside it.  Similar documents
+follow a common path with a probability that the number of independent trees
+drives to the target recall (``recall()``; 0.9999997 at similarity 0.8 with the
+defaults, even where every level is used).
 
 Comparing inside nodes is exact and never emits all pairs of a group:
 
@@ -64,17 +65,17 @@ class Join:
         """Paths of branches from the root to the children of this level."""
         return math.prod(self.branches[:level + 1])
 
-    @property
-    def per_tree(self) -> int:
-        return sum(self.paths(level) for level in range(len(self.branches)))
-
     @property
     def functions(self) -> int:
-        return self.trees * self.per_tree
+        return self.first(len(self.branches))
+
+    def first(self, level: int) -> int:
+        """Number of the first function of a level; those of a level stand together."""
+        return self.trees * sum(self.paths(k) for k in range(level))
 
     def function(self, tree, level: int, path):
-        """Number of the function that names the children at the end of this path (of ``paths(level)``)."""
-        return tree * self.per_tree + sum(self.paths(k) for k in range(level)) + path
+        """Place, among its level's, of the function that names the children at the end of this path (of ``paths(level)``)."""
+        return tree * self.paths(level) + path
 
     def recall(self, similarity: float = 0.8) -> float:
         """Least probability that two documents of this similarity share a node of the deepest level."""
@@ -213,7 +214,11 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
             "path", F.col("path") * b + F.col("branch")).select(
             "id", "tree", "path", F.xxhash64("node", "branch", F.get("tokens", at)).alias("node"))
 
-    roots = reps.select("id", "tokens").withColumn(
+    def tokens(level: int) -> DataFrame:
+        """(id, tokens): the tokens that this level selects by."""
+        return reps.select("id", F.slice("tokens", join.first(level) + 1, join.trees * join.paths(level)).alias("tokens"))
+
+    roots = tokens(0).withColumn(
         "tree", F.explode(F.array(*[F.lit(t) for t in range(join.trees)]))).withColumn("path", F.lit(0)).withColumn("node", F.xxhash64("tree"))
     members, found = children(roots, 0), []
     for level in range(len(join.branches)):
@@ -227,7 +232,7 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
         large = shared.where(F.col("n") > join.leaf).select("id", "tree", "path", "node")
         if large.isEmpty():
             break
-        members = children(large.join(reps.select("id", "tokens"), "id"), level + 1)
+        members = children(large.join(tokens(level + 1), "id"), level + 1)
     nodes = found[0]
     for f in found[1:]:
         nodes = nodes.unionByName(f)
