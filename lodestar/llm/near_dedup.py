@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import checkpointed, fits_broadcast
 from . import kernel as K
-from .components import components
+from .components import components, tasks_for
 
 
 PARITY = 1024  # bits of a set's parity bitmap
@@ -242,7 +242,7 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
 def _verified(docs: DataFrame, pairs: DataFrame, join: Join) -> DataFrame:
     """The pairs (a, b) that are linked, decided on the full sets.  Checkpointed.
     Of an id with several texts each is compared; one that is linked links the id."""
-    ids = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    ids = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().coalesce(tasks_for(pairs.count())))
     sets = checkpointed(full_sets(docs, ids, join).distinct())
     left, right = (sets.select(F.col("id").alias(c), F.col("members").alias(f"m{c}")) for c in "ab")
     both = F.size(F.array_intersect("ma", "mb"))
@@ -324,12 +324,13 @@ def _labels(links: DataFrame) -> DataFrame:
     """(id, component): for every linked id a smaller one it reaches, or itself if it has none, by a few
     steps down the links (a > b).  Ids of one label are connected; not all that are connected share a
     label, which costs comparisons but no result.  Checkpointed."""
-    low = links.select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("component")).groupBy("id").agg(
-        F.min("component").alias("component"))
+    few = tasks_for(links.count())
+    low = links.select(F.greatest("a", "b").alias("id"), F.least("a", "b").alias("component")).coalesce(few).groupBy("id").agg(
+        F.min("component").alias("component")).coalesce(few)
     for _ in range(2):  # each step doubles the distance
         low = checkpointed(low)
         next_ = low.select(F.col("id").alias("component"), F.col("component").alias("further"))
-        low = low.join(next_, "component", "left").select("id", F.coalesce("further", "component").alias("component"))
+        low = low.join(next_, "component", "left").select("id", F.coalesce("further", "component").alias("component")).coalesce(few)
     return checkpointed(low)
 
 
