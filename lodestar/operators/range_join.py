@@ -19,11 +19,14 @@ so these pairs are as many as the ranges); repeated rows are paired each.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions import ranges as R
-from .joins import checkpointed
+from .joins import held
 
 BITS = 2  # a cell has 4 children
 LEVELS = 64 // BITS
@@ -61,11 +64,49 @@ def _cell_list(lo: str, hi: str) -> Column:
     return F.expr(f"aggregate(sequence(0, {last}), named_struct('a', {lo}, 'z', {hi}, 'cells', {none}), (s, l) -> {step}, s -> s.cells)")
 
 
+PAIRS = 1 << 20  # pairs of a batch that are formed at once
+
+
+def _few_points(points: DataFrame, rows: pa.Table, ranges: DataFrame) -> DataFrame:
+    """:func:`stab` where the driver knows the points: each range takes its stretch of the sorted points."""
+    shared = ranges.sparkSession.sparkContext.broadcast(np.unique(rows["point"].to_numpy()))
+
+    def run(batches):
+        for b in batches:
+            at = shared.value
+            first = np.searchsorted(at, b["lo"].to_numpy(), "left")
+            n = np.maximum(np.searchsorted(at, b["hi"].to_numpy(), "right") - first, 0)
+            sums = np.cumsum(n)
+            start = 0
+            while start < len(n):  # a few ranges at a time where they hold many points
+                done = sums[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(sums, done + PAIRS, "right")))
+                m = n[start:stop]
+                where = np.repeat(np.arange(start, stop), m)
+                place = np.arange(len(where)) - np.repeat(np.cumsum(m) - m, m) + first[where]
+                if len(where):
+                    yield pa.RecordBatch.from_arrays([*b.take(pa.array(where)).columns, pa.array(at[place])], [*b.schema.names, "point"])
+                start = stop
+
+    held_ranges = ranges.mapInArrow(run, StructType([*ranges.schema.fields, StructField("point", LongType())]))
+    return held_ranges.join(F.broadcast(points), "point").select(*points.columns, *ranges.columns)
+
+
 def stab(points: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``points`` (point, ...) joined with ``ranges`` (lo, hi, ...): pairs with lo <= point <= hi, each once."""
-    cut = checkpointed(ranges.withColumn("cells", _cell_list("lo", "hi")).withColumn("cells", F.explode("cells")).select(
+    """``points`` (point, ...) joined with ``ranges`` (lo, hi, ...): pairs with lo <= point <= hi, each once.
+
+    The side of few rows (``joins.held``) goes to the other one: few points are searched by
+    every range, the cells of few ranges are broadcast; only two large sides are shuffled."""
+    points = points.where(F.col("point").isNotNull())
+    points, few = held(points)
+    if few is not None:
+        return _few_points(points, few, ranges)
+    cut, rows = held(ranges.withColumn("cells", _cell_list("lo", "hi")).withColumn("cells", F.explode("cells")).select(
         *ranges.columns, "cells.level", "cells.cell"))
-    levels = sorted(r["level"] for r in cut.select("level").distinct().collect())  # at most LEVELS numbers
+    if rows is not None:
+        cut, levels = F.broadcast(cut), sorted(set(rows["level"].to_pylist()))
+    else:
+        levels = sorted(r["level"] for r in cut.select("level").distinct().collect())  # at most LEVELS numbers
     at = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.shiftright("point", BITS * n).alias("cell")) for n in levels])
                    if levels else F.expr("array_repeat(struct(0 as level, 0L as cell), 0)"))
     return points.withColumn("at", at).select(*points.columns, "at.level", "at.cell").join(cut, ["level", "cell"]).drop("level", "cell")
