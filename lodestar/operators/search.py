@@ -359,16 +359,13 @@ def occurrences(index: SearchIndex, qterms: DataFrame, field: str, docs: DataFra
 
     ``qterms`` has (query_id, qpos, term); a slot may carry several terms
     (prefix / regex expansion).  With ``docs`` (query_id, doc_id candidates)
-    the pairs (query, candidate document, slot term) are formed first and
-    joined to postings on (term, doc_id), so positions are read only for
-    candidate documents and postings are not shuffled.
+    the postings of the terms are cut to the candidates: documents and terms
+    never multiply, a row is a posting of a slot's term.
     """
     p = pruned_postings(index, field, qterms).select("term", "doc_id", "positions")
-    if docs is None:
-        j = join_small(p, qterms.select("query_id", "qpos", "term"), "term")
-    else:
-        want = docs.select("query_id", "doc_id").join(qterms.select("query_id", "qpos", "term"), "query_id")
-        j = join_small(p, want, ["term", "doc_id"], materialize=True)
+    j = join_small(p, qterms.select("query_id", "qpos", "term"), "term")
+    if docs is not None:
+        j = join_small(j, docs.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi")
     return j.select("query_id", "doc_id", "qpos", F.explode("positions").alias("p"))
 
 
