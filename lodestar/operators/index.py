@@ -36,6 +36,8 @@ import threading
 import uuid
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,6 +153,87 @@ def token_rows(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
     return out
 
 
+TOKENS = 1 << 19  # tokens of whole documents that are grouped at once
+
+
+def _grouped(rows: pa.RecordBatch, doc: np.ndarray, field: str) -> pa.RecordBatch:
+    """Postings of rows (doc_id, terms, at); ``doc`` numbers their documents, rows of one stand together."""
+    n = rows["terms"].value_lengths().fill_null(0).to_numpy()
+    row = np.repeat(np.arange(len(n)), n)
+    codes = rows["terms"].flatten().dictionary_encode(null_encoding="encode")
+    number = codes.indices.to_numpy().astype(np.int64)
+    if pa.types.is_null(rows["at"].type) or rows["at"].null_count == len(n):  # a token's place is its position
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    else:
+        at = rows["at"].flatten().to_numpy()
+    key = doc[row] * max(1, len(codes.dictionary)) + number
+    order = np.lexsort((at, key))
+    key = key[order]
+    start = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1])))
+    tf = np.diff(np.concatenate((start, [len(key)])))
+    positions = pa.ListArray.from_arrays(pa.array(np.concatenate((start, [len(key)])), pa.int32()), pa.array(at[order], pa.int32()))
+    dl = np.maximum.reduceat(n[row[order]], start) if len(start) else start
+    return pa.RecordBatch.from_arrays(
+        [pa.array([field], pa.string()).take(pa.array(np.zeros(len(start), np.int64))), codes.dictionary.take(pa.array(number[order[start]])),
+         rows["doc_id"].take(pa.array(row[order[start]])), pa.array(tf, pa.int32()), pa.array(dl, pa.int32()), positions],
+        ["field", "term", "doc_id", "tf", "dl", "positions"])
+
+
+def _postings_of(batches, field: str):
+    """Postings of rows (doc_id, terms, at) that come in the order of doc_id, its rows taken together."""
+    kept = []  # rows of the last document so far
+
+    def whole(parts):
+        rows = pa.concat_batches(parts)
+        codes = rows["doc_id"].dictionary_encode(null_encoding="encode").indices.to_numpy()
+        doc = np.cumsum(np.concatenate(([0], (codes[1:] != codes[:-1]).astype(np.int64))))
+        tokens = np.cumsum(rows["terms"].value_lengths().fill_null(0).to_numpy())
+        first = np.concatenate((np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))), [len(rows)]))
+        a = 0
+        while a < len(first) - 1:
+            done = tokens[first[a] - 1] if first[a] else 0
+            z = max(a + 1, int(np.searchsorted(tokens[first[a + 1:] - 1], done + TOKENS, "right")) + a)
+            yield _grouped(rows.slice(first[a], first[z] - first[a]), doc[first[a]:first[z]] - doc[first[a]], field)
+            a = z
+
+    for b in batches:
+        if not len(b):
+            continue
+        ids = b["doc_id"]
+        if kept and kept[-1]["doc_id"][0].as_py() == ids[0].as_py() == ids[len(b) - 1].as_py():
+            kept.append(b)  # nothing but the last document
+            continue
+        codes = ids.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        last = len(b) - int(np.argmin(np.concatenate(((codes == codes[-1])[::-1], [False]))))
+        if kept or last:
+            yield from whole([*kept, b.slice(0, last)] if last else kept)
+        kept = [b.slice(last)]
+    if kept:
+        yield from whole(kept)
+
+
+def row_postings(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
+    """(field, term, doc_id, tf, dl, positions) of ``docs``, whose rows of one key must be in one
+    partition: the rows are sorted by key, tokens are grouped document by document and never sorted."""
+    docs = docs.sortWithinPartitions(F.col(key))
+    parts = []
+    for f in fields:
+        plain = None if f.is_array else f.tokenizer.plain_terms(f.column())
+        if plain is not None:
+            rows = docs.select(F.col(key).alias("doc_id"), plain.alias("terms"), F.lit(None).cast("array<int>").alias("at"))
+        else:
+            rows = docs.select(F.col(key).alias("doc_id"), field_tokens(f).alias("a")).select(
+                "doc_id", F.col("a.term").alias("terms"), F.col("a.pos").alias("at"))
+        kind = dict(rows.dtypes)["doc_id"]
+        parts.append(rows.mapInArrow(
+            lambda batches, name=f.field_name: _postings_of(batches, name),
+            f"field string, term string, doc_id {kind}, tf int, dl int, positions array<int>"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def doc_lengths(docs: DataFrame, key: str, fields: list[Field]) -> DataFrame:
     """(field, doc_id, dl) for every non-NULL field value, empty ones included."""
     parts = []
@@ -337,7 +420,11 @@ class SearchIndex:
         idx.where, idx.partial = meta["where"], meta["partial"]
         idx.hot_df, idx.rare_parts = meta["hot_df"], meta["rare_parts"]
         if fields:
-            idx.grams = stored("grams", "gram string, term string, field string, gpart int")
+            # folders of partitions: Spark reads one base at a time
+            ddl = "gram string, term string, field string, gpart int"
+            idx.grams = spark.read.schema(ddl).parquet(f"{path}/grams")
+            for b in batches:
+                idx.grams = idx.grams.unionByName(spark.read.schema(ddl).parquet(f"{b}/grams"))
             idx.gram_counts = stored("gram_counts", "field string, gram string, n bigint")
             idx.term_tables = terms
         idx.lists = {v.field_name: VectorLists(
@@ -395,7 +482,7 @@ def _field_stats(doclens: DataFrame) -> DataFrame:
                                         F.sum("dl").alias("total_tokens"))
 
 
-BUCKET_TARGET_BYTES = 256 << 20  # raw input per postings bucket
+BUCKET_TARGET_BYTES = 16 << 20  # raw input per postings bucket
 TERM_PARTS = 8  # hash parts of the terms of a field; a lookup reads only the parts of its terms
 HOT_ROWS_PER_BUCKET = 32  # a term with so many postings per bucket is hot
 MAX_RARE_PARTS = 8192  # folders of rare terms; beyond it their files grow instead
@@ -406,7 +493,7 @@ def term_part(term: Column | str, parts: int) -> Column:
 
 
 def default_buckets(spark: SparkSession, docs: DataFrame | None = None) -> int:
-    """About 256 MB of raw input per bucket (file sizes from the file system),
+    """About 16 MB of raw input per bucket (file sizes from the file system),
     never fewer buckets than the cluster's default parallelism."""
     par = spark.sparkContext.defaultParallelism
     if docs is None:
@@ -447,13 +534,8 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
     postings = doclens = terms = stats = None
     if fields:
         # rows of one key land in one bucket partition: everything after is local
-        keyed = src.repartition(nb, F.col(key))
-        toks = token_rows(keyed, key, fields)
         doclens = doc_lengths(src, key, fields)
-        postings = (toks.groupBy("field", "term", "doc_id")
-                    .agg(F.count("*").cast("int").alias("tf"), F.max("dl").alias("dl"),
-                         F.sort_array(F.collect_list("pos")).alias("positions"))
-                    .withColumn("tpart", term_part("term", term_parts)))
+        postings = row_postings(src.repartition(nb, F.col(key)), key, fields).withColumn("tpart", term_part("term", term_parts))
         stats = _field_stats(doclens)
         terms = term_statistics(postings).withColumn("hot", F.lit(True))
     vectors = None

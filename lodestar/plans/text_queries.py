@@ -11,7 +11,7 @@ from ..operators import mlt as M
 from ..operators import proximity as P
 from ..operators import search as S
 from ..operators import topk as T
-from ..operators.index import Field
+from ..operators.index import Field, row_postings
 from ..operators.querystring import query_string
 from . import oracle as O
 from .registry import documents_index, reg, stored_index, table
@@ -59,8 +59,10 @@ def _match_oracle(qcte, mode, extra=""):
 # ---------------------------------------------------------------------------
 
 def term_stats(df, key, col, tok):
-    toks = df.select(F.col(key).alias("doc_id"), F.inline(tok.tokens(col)))
-    return toks.groupBy("term").agg(F.countDistinct("doc_id").alias("df"), F.count("*").alias("cf"))
+    # a document's tokens are counted where it is, so what is aggregated is the vocabulary
+    source = F.col(col) if isinstance(col, str) else col
+    counted = row_postings(df.repartition(F.col(key)), key, [Field(source, tok, name="text")])
+    return counted.groupBy("term").agg(F.count("doc_id").alias("df"), F.sum("tf").alias("cf"))
 
 
 def token_table(df, key, col, tok):
