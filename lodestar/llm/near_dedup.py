@@ -232,7 +232,10 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
         large = shared.where(F.col("n") > join.leaf).select("id", "tree", "path", "node")
         if large.isEmpty():
             break
-        members = children(large.join(tokens(level + 1), "id"), level + 1)
+        # an id meets its tokens once, with all its places (at most one per path of a tree)
+        places = large.groupBy("id").agg(F.collect_list(F.struct("tree", "path", "node")).alias("places"))
+        members = children(places.join(tokens(level + 1), "id").withColumn("place", F.explode("places")).select(
+            "id", "tokens", "place.*"), level + 1)
     nodes = found[0]
     for f in found[1:]:
         nodes = nodes.unionByName(f)

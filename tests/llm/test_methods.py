@@ -103,6 +103,23 @@ def test_near_dedup_brute_force(spark):
     assert len({root(i) for i in range(len(data))}) < 190
 
 
+def test_near_dedup_joins_an_id_with_its_tokens_once(spark, monkeypatch):
+    """One large group of near copies stands in every tree: its rows per tree and path are not joined one by one."""
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join([*words, f"end{i}"])) for i in range(40)], "doc_id bigint, text string")
+    frame, met = type(docs), []
+
+    def joined(self, other, on=None, how=None, f=frame.join):
+        if isinstance(on, str) and on == "id" and "tokens" in other.columns:
+            met.append(self.count() - self.select("id").distinct().count())
+        return f(self, other, on, how)
+
+    monkeypatch.setattr(frame, "join", joined)
+    got = near_dedup.near_duplicates(docs, near_dedup.Join(width=4, leaf=4)).collect()
+    assert met and set(met) == {0}
+    assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
+
+
 def _linked_classes(sets, percent=80):
     parent = list(range(len(sets)))
 
