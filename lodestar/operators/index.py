@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import ARRAY_POSITION_GAP, DEFAULT, Tokenizer
 from ..session import path_exists, work_dir
-from .joins import join_small
+from .joins import join_small, measured_bytes
 from .patterns import term_grams
 from .vector_lists import Clusters, VectorLists, save_lists
 
@@ -482,7 +482,7 @@ def _field_stats(doclens: DataFrame) -> DataFrame:
                                         F.sum("dl").alias("total_tokens"))
 
 
-BUCKET_TARGET_BYTES = 16 << 20  # raw input per postings bucket
+BUCKET_TARGET_BYTES = 16 << 20  # indexed values per postings bucket
 TERM_PARTS = 8  # hash parts of the terms of a field; a lookup reads only the parts of its terms
 HOT_ROWS_PER_BUCKET = 32  # a term with so many postings per bucket is hot
 MAX_RARE_PARTS = 8192  # folders of rare terms; beyond it their files grow instead
@@ -492,24 +492,16 @@ def term_part(term: Column | str, parts: int) -> Column:
     return F.pmod(F.hash(term), F.lit(parts)).cast("int")
 
 
-def default_buckets(spark: SparkSession, docs: DataFrame | None = None) -> int:
-    """About 16 MB of raw input per bucket (file sizes from the file system),
-    never fewer buckets than the cluster's default parallelism."""
+def default_buckets(spark: SparkSession, values: DataFrame | None = None) -> int:
+    """About 16 MB of the values to index per bucket, never fewer buckets than the cluster's
+    default parallelism.  The values are measured: files say little of them, as
+    repeated texts take next to no room there."""
     par = spark.sparkContext.defaultParallelism
-    if docs is None:
-        return max(int(spark.conf.get("spark.sql.shuffle.partitions")), par)
-    try:
-        jvm = spark._jvm
-        conf = spark._jsc.hadoopConfiguration()
-        total = 0
-        for f in docs.inputFiles():
-            p = jvm.org.apache.hadoop.fs.Path(f)
-            total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    except Exception:  # noqa: BLE001 - not a file source: fall back to the shuffle width
+    if values is None:
         return max(int(spark.conf.get("spark.sql.shuffle.partitions")), par)
     # Spark refuses a table of more buckets than this; beyond it buckets grow instead
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-    return min(most, max(par, -(-total // BUCKET_TARGET_BYTES)))
+    return min(most, max(par, -(-measured_bytes(values) // BUCKET_TARGET_BYTES)))
 
 
 def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fields: list[VectorField] = (),
@@ -530,7 +522,7 @@ def build_index(docs: DataFrame, key: str, fields: list[Field | str], vector_fie
     if len(set(names)) != len(names):
         raise ValueError(f"duplicate field names {names}")
     src = docs.where(where) if where is not None else docs
-    nb = buckets or default_buckets(spark, docs)
+    nb = buckets or default_buckets(spark, src.select(*[f.column().alias(f"v{i}") for i, f in enumerate(fields)]) if fields else None)
     postings = doclens = terms = stats = None
     if fields:
         # rows of one key land in one bucket partition: everything after is local

@@ -1,5 +1,7 @@
 """Plan shape: the properties the scale design relies on."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from lodestar.operators import search as S
@@ -57,6 +59,17 @@ def test_bucket_count_follows_input_size(spark, tmp_path):
         I.BUCKET_TARGET_BYTES = old
 
 
+def test_bucket_count_follows_the_values_not_their_files(spark, tmp_path, monkeypatch):
+    from lodestar.operators import index as I
+
+    p, text = str(tmp_path / "t"), "repeated words of one text " * 40
+    spark.range(3000).select("id", F.lit(text).alias("text")).coalesce(1).write.parquet(p)
+    df = spark.read.parquet(p)
+    monkeypatch.setattr(I, "BUCKET_TARGET_BYTES", 1 << 18)
+    assert sum(os.path.getsize(f"{p}/{f}") for f in os.listdir(p)) < 1 << 18 < 3000 * len(text) // 8
+    assert I.build_index(df, "id", [I.Field("text")]).buckets >= 3000 * len(text) >> 18
+
+
 def _files(df):
     return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
 
