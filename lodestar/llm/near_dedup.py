@@ -85,10 +85,10 @@ class Join:
         return 1 - (1 - p) ** self.trees
 
 
-def shingle_sets(column, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct shingle hashes of all texts, one text after the other; bounds per text)."""
-    tokens, sizes = [], []
-    for _, _, offs, data in K.text_slices(column):
+def shingle_slices(column, width: int):
+    """Yield (first row, last row, sorted distinct shingle hashes of its texts one after the other, bounds per
+    text) for slices of whole texts, so that what is held does not grow with the batch."""
+    for a, z, offs, data in K.text_slices(column):
         low = K.lowered(data)
         start, end, first = K.word_bounds(low, offs)
         words = K.word_hashes(low, start, end)
@@ -96,16 +96,25 @@ def shingle_sets(column, width: int) -> tuple[np.ndarray, np.ndarray]:
         h = K.window_hashes(words, at, width)
         count = np.diff(first)
         stop = np.cumsum(per)
-        for a, b, f, n in zip(stop - per, stop, first[:-1], count, strict=True):
-            if b > a:
-                s = np.sort(h[a:b])
+        tokens = []
+        for b, e, f, n in zip(stop - per, stop, first[:-1], count, strict=True):
+            if e > b:
+                s = np.sort(h[b:e])
                 s = s[np.concatenate(([True], s[1:] != s[:-1]))]
             else:  # fewer words than a shingle: the whole sequence is one
                 s = K.window_hashes(words, np.array([f]), n) if n else h[:0]
             tokens.append(s)
-            sizes.append(len(s))
-    bounds = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64)))).astype(np.int64)
-    return (np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)), bounds
+        bounds = np.concatenate(([0], np.cumsum(np.array([len(s) for s in tokens], np.int64)))).astype(np.int64)
+        yield a, z, np.concatenate(tokens), bounds
+
+
+def shingle_sets(column, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct shingle hashes of all texts, one text after the other; bounds per text)."""
+    tokens, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for _, _, t, bounds in shingle_slices(column, width):
+        tokens.append(t)
+        sizes.append(np.diff(bounds))
+    return np.concatenate(tokens), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int64)
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -155,14 +164,14 @@ def sketches(docs: DataFrame, join: Join) -> DataFrame:
     its selected tokens and its parity bitmap."""
     def run(batches):
         for b in batches:
-            tokens, bounds = shingle_sets(b.column(1), join.width)
-            c1 = np.concatenate((np.zeros(1, np.uint64), np.cumsum(K.mix(tokens), dtype=np.uint64)))
-            c2 = np.concatenate((np.zeros(1, np.uint64), np.cumsum(K.mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)))
-            s1, s2 = (c[bounds[1:]] - c[bounds[:-1]] for c in (c1, c2))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.diff(bounds)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
-                 _lists(selected_tokens(tokens, bounds, join.functions)), _lists(parity_bits(tokens, bounds))],
-                ["doc_id", "n_shingles", "s1", "s2", "tokens", "parity"])
+            for a, z, tokens, bounds in shingle_slices(b.column(1), join.width):
+                c1 = np.concatenate((np.zeros(1, np.uint64), np.cumsum(K.mix(tokens), dtype=np.uint64)))
+                c2 = np.concatenate((np.zeros(1, np.uint64), np.cumsum(K.mix(tokens ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)))
+                s1, s2 = (c[bounds[1:]] - c[bounds[:-1]] for c in (c1, c2))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(a, z - a), pa.array(np.diff(bounds)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
+                     _lists(selected_tokens(tokens, bounds, join.functions)), _lists(parity_bits(tokens, bounds))],
+                    ["doc_id", "n_shingles", "s1", "s2", "tokens", "parity"])
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {_id_type(docs)}, n_shingles long, s1 long, s2 long, tokens array<int>, parity array<long>")
@@ -172,12 +181,8 @@ def full_sets(docs: DataFrame, ids: DataFrame, join: Join) -> DataFrame:
     """(id, members array<long>): the shingle sets of the documents in ``ids``."""
     def run(batches):
         for b in batches:
-            tokens, bounds = shingle_sets(b.column(1), join.width)
-            for a in range(0, len(b), 256):
-                z = min(a + 256, len(b))
-                part = bounds[a:z + 1] - bounds[a]
-                lists = pa.ListArray.from_arrays(pa.array(part.astype(np.int32)),
-                                                 pa.array(tokens[bounds[a]:bounds[z]].view(np.int64)))
+            for a, z, tokens, bounds in shingle_slices(b.column(1), join.width):
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(a, z - a), lists], ["id", "members"])
 
     side = F.broadcast(ids) if fits_broadcast(ids) else ids
@@ -206,21 +211,23 @@ def _may_link(x: str, y: str, join: Join) -> Column:
 def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
     """(node, id, n, pivot): the documents of all final nodes with at least two
     members, each node's size and its smallest document.  Checkpointed."""
-    def children(rows: DataFrame, level: int) -> DataFrame:
-        """Each row (id, tokens, node, tree, path) goes to one child per branch of this level."""
-        b = join.branches[level]
-        at = join.function(F.col("tree"), level, F.col("path"))
-        return rows.withColumn("branch", F.explode(F.array(*[F.lit(i) for i in range(b)]))).withColumn(
-            "path", F.col("path") * b + F.col("branch")).select(
-            "id", "tree", "path", F.xxhash64("node", "branch", F.get("tokens", at)).alias("node"))
-
-    def tokens(level: int) -> DataFrame:
-        """(id, tokens): the tokens that this level selects by."""
-        return reps.select("id", F.slice("tokens", join.first(level) + 1, join.trees * join.paths(level)).alias("tokens"))
-
-    roots = tokens(0).withColumn(
-        "tree", F.explode(F.array(*[F.lit(t) for t in range(join.trees)]))).withColumn("path", F.lit(0)).withColumn("node", F.xxhash64("tree"))
-    members, found = children(roots, 0), []
+    def nodes_of(level: int) -> Column:
+        """The nodes of a document at the ends of all paths of a level, tree by tree; each is named by its
+        tree and by the branches and selected tokens on its path."""
+        def named(place: Column) -> Column:
+            tree = F.floor(place / join.paths(level)).cast("int")
+            node = F.xxhash64(tree)
+            for k, b in enumerate(join.branches[:level + 1]):
+                at = F.floor(place / (join.paths(level) // join.paths(k))).cast("int")  # the place of its ancestor of level k
+                node = F.xxhash64(node, F.pmod(at, F.lit(b)), F.get("tokens", F.lit(join.first(k)) + at))
+            return node
+
+        return F.transform(F.sequence(F.lit(0), F.lit(join.trees * join.paths(level) - 1)), named)
+
+    def words(level: int) -> range:
+        return range(-(-join.trees * join.paths(level) // 64))
+
+    members, found = reps.select("id", F.posexplode(nodes_of(0)).alias("place", "node")), []
     for level in range(len(join.branches)):
         size = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
         shared = checkpointed(members.join(size, "node"))
@@ -229,13 +236,18 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
             "node", "id", "n", "pivot"))
         if last:
             break
-        large = shared.where(F.col("n") > join.leaf).select("id", "tree", "path", "node")
+        large = shared.where(F.col("n") > join.leaf).select("id", "place")
         if large.isEmpty():
             break
-        # an id meets its tokens once, with all its places (at most one per path of a tree)
-        places = large.groupBy("id").agg(F.collect_list(F.struct("tree", "path", "node")).alias("places"))
-        members = children(places.join(tokens(level + 1), "id").withColumn("place", F.explode("places")).select(
-            "id", "tokens", "place.*"), level + 1)
+        # an id meets its nodes of the next level once; its places above are bits of a few numbers
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("place") % 64)
+        places = large.groupBy("id").agg(*[
+            F.bit_or(F.when(F.floor(F.col("place") / 64) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"w{w}") for w in words(level)])
+        above = F.floor(F.col("place") / join.branches[level + 1]).cast("int")
+        kept = F.get(F.array(*[f"w{w}" for w in words(level)]), F.floor(above / 64).cast("int"))
+        members = places.join(reps.select("id", nodes_of(level + 1).alias("nodes")), "id").select(
+            "id", *[f"w{w}" for w in words(level)], F.posexplode("nodes").alias("place", "node")).where(
+            F.call_function("getbit", kept, above % 64) == 1).select("id", "place", "node")
     nodes = found[0]
     for f in found[1:]:
         nodes = nodes.unionByName(f)
