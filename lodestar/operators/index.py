@@ -372,13 +372,20 @@ class SearchIndex:
         self.hot_df = self.hot_df or HOT_ROWS_PER_BUCKET * nb
         self.rare_parts = self.rare_parts or min(MAX_RARE_PARTS, nb)
         (term_statistics(p).withColumn("hot", F.col("df") >= self.hot_df)
-         .repartitionByRange("field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
+         .repartitionByRange(nb, "field", "term").write.mode("overwrite").parquet(f"{path}/terms"))
         save_grams(self.spark.read.parquet(f"{path}/terms"), path)
         # hot terms are few (each has many postings); without them, every part of the terms becomes one file
         hot = self.spark.read.parquet(f"{path}/terms").where("hot").select("field", "term")
         rare = join_small(p, hot, ["field", "term"], "left_anti", materialize=False)
-        rare = rare.select("term", "doc_id", "tf", "dl", "positions", "field", term_part("term", self.rare_parts).alias("rpart"))
-        (rare.repartition(self.rare_parts, "field", "rpart").sortWithinPartitions("field", "rpart", "term")
+        # what is shuffled is lean: most rare terms stand once in a document, tf is the number of positions
+        once = F.size("positions") == 1
+        lean = rare.select("term", "doc_id", "dl", F.when(once, F.col("positions")[0]).alias("at"),
+                           F.when(~once, F.col("positions")).alias("more"), "field")
+        rpart = term_part("term", self.rare_parts)
+        (lean.repartition(self.rare_parts, F.col("field"), rpart)
+         .withColumn("positions", F.coalesce("more", F.array("at")))
+         .select("term", "doc_id", F.size("positions").alias("tf"), "dl", "positions", "field", rpart.alias("rpart"))
+         .sortWithinPartitions("field", "rpart", "term")
          .write.mode("overwrite").partitionBy("field", "rpart").parquet(f"{path}/rare"))
 
     @staticmethod
@@ -440,9 +447,12 @@ class SearchIndex:
 
 
 def save_grams(terms: DataFrame, path: str) -> None:
-    """Write the character grams of a vocabulary, and how many terms hold each."""
-    grams = term_grams(terms.select("field", "term"))
-    (grams.repartition("field", "gpart").sortWithinPartitions("field", "gpart", "gram", "term")
+    """Write the character grams of a stored vocabulary, and how many terms hold each.  Grams
+    are many times as much as their terms and are not shuffled: each task writes those of
+    some files of terms, so a part of the grams is about a file per ``GRAM_TERMS`` terms."""
+    parts = max(1, -(-terms.count() // GRAM_TERMS))
+    grams = term_grams(terms.select("field", "term").coalesce(parts))
+    (grams.sortWithinPartitions("field", "gpart", "gram", "term")
      .write.mode("overwrite").partitionBy("field", "gpart").parquet(f"{path}/grams"))
     stored = terms.sparkSession.read.schema("gram string, term string, field string, gpart int").parquet(f"{path}/grams")
     stored.groupBy("field", "gram").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/gram_counts")
@@ -485,6 +495,7 @@ def _field_stats(doclens: DataFrame) -> DataFrame:
 BUCKET_TARGET_BYTES = 16 << 20  # indexed values per postings bucket
 TERM_PARTS = 8  # hash parts of the terms of a field; a lookup reads only the parts of its terms
 HOT_ROWS_PER_BUCKET = 32  # a term with so many postings per bucket is hot
+GRAM_TERMS = 1 << 17  # terms whose grams one task sorts
 MAX_RARE_PARTS = 8192  # folders of rare terms; beyond it their files grow instead
 
 
