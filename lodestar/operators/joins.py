@@ -39,14 +39,17 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_byt
     return big.join(small, on, how)
 
 
-def held(df: DataFrame, most: int | None = None) -> tuple[DataFrame, pa.Table | None]:
+def held(df: DataFrame, most: int | None = None, costly: bool = False) -> tuple[DataFrame, pa.Table | None]:
     """``df`` as rows the driver knows, and these rows, if there are at most
     ``most`` (by default ``HELD_ROWS``); else its checkpoint and None.  One job for a
-    small table, where a checkpoint, its count and its values would be three."""
+    small table, where a checkpoint, its count and its values would be three.
+    ``costly``: the checkpoint comes first, so what shuffles much is computed once."""
     most = HELD_ROWS if most is None else most
+    if costly:
+        df = checkpointed(df)
     rows = df.limit(most + 1).toArrow()
     if rows.num_rows > most or rows.nbytes > BROADCAST_MAX_BYTES:
-        return checkpointed(df), None
+        return df if costly else checkpointed(df), None
     return df.sparkSession.createDataFrame(rows, df.schema), rows
 
 

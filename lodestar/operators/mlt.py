@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .index import SearchIndex
 from .joins import held, join_held, join_small
-from .search import _union, idf_terms, term_scores
+from .search import _union, idf_terms, term_scores, with_constants
 from .topk import known_terms, top_matches
 
 
@@ -39,7 +39,9 @@ def _select_terms(index: SearchIndex, src: DataFrame, field: str, o: MltOptions,
                   few: bool = True) -> DataFrame:
     """src: (query_id, term, tf, ...) of one field → the kept rows with the columns of ``search.idf_terms``."""
     vocabulary = idf_terms(index, field, src if few else None)
-    t = join_small(vocabulary, src, "term") if few else join_small(src, vocabulary, "term", materialize=False)
+    # rows of many sources are shuffled twice: they carry what ranks them only
+    t = join_small(vocabulary, src, "term") if few else join_small(
+        src, vocabulary.select("term", "df", "hot", "idf"), "term", materialize=False)
     c = (F.col("tf") >= o.min_term_frequency) & (F.col("df") >= o.min_doc_frequency)
     if o.max_doc_frequency is not None:
         c &= F.col("df") <= o.max_doc_frequency
@@ -50,8 +52,8 @@ def _select_terms(index: SearchIndex, src: DataFrame, field: str, o: MltOptions,
     if o.stopwords:
         c &= ~F.col("term").isin(list(o.stopwords))
     w = Window.partitionBy(*by).orderBy((F.col("tf") * F.col("idf")).desc(), F.col("term"))
-    return (t.where(c).withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= o.max_query_terms).select("query_id", *vocabulary.columns))
+    kept = t.where(c).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= o.max_query_terms)
+    return (kept if few else with_constants(index, kept, field)).select("query_id", *vocabulary.columns)
 
 
 def _search_terms(index: SearchIndex, per_field: dict) -> DataFrame:
@@ -102,7 +104,7 @@ def most_like_this_id(index: SearchIndex, sources: DataFrame, k: int, o: MltOpti
     """The k best rows of ``more_like_this_id`` per query (of the documents in ``keep``),
     with bounded scores: what cannot be among them is not scored."""
     without = sources.select("query_id", F.col("src_id").alias("doc_id")) if exclude_sources else None
-    return top_matches(index, _bounded(source_terms(index, sources, o)), k, keep, without)
+    return top_matches(index, _bounded(source_terms(index, sources, o)), k, keep, without, costly=True)
 
 
 def document_terms(index: SearchIndex, documents: DataFrame, o: MltOptions = MltOptions()) -> dict:

@@ -85,8 +85,12 @@ def vocabulary(index: SearchIndex, field: str, wanted: DataFrame | None = None)
                           for x in index.term_tables], ("term",))
     else:
         t = index.terms.where(F.col("field") == field)
-    return t.select("term", "df", "hot", *[term_part("term", n or 1).alias(c) for c, n in (
-        ("tpart", index.term_parts), ("rpart", index.rare_parts))])
+    return t.select("term", "df", "hot", *_parts(index))
+
+
+def _parts(index: SearchIndex) -> list[Column]:
+    """The parts that hold a ``term``."""
+    return [term_part("term", n or 1).alias(c) for c, n in (("tpart", index.term_parts), ("rpart", index.rare_parts))]
 
 
 def pruned_postings(index: SearchIndex, field: str, wanted: DataFrame, rows: pa.Table | None = None) -> DataFrame:
@@ -134,6 +138,12 @@ def idf_terms(index: SearchIndex, field: str, wanted: DataFrame | None = None) -
             .withColumn("idf", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))))
 
 
+def with_constants(index: SearchIndex, terms: DataFrame, field: str) -> DataFrame:
+    """Rows of terms with what :func:`idf_terms` knows of a term without looking it up."""
+    st = index.stats.where(F.col("field") == field).select("n_docs", "avgdl")
+    return terms.crossJoin(F.broadcast(st)).select("*", *_parts(index))  # one row: bounded by the number of fields
+
+
 def bm25(idf: Column, tf: Column, dl: Column, avgdl: Column) -> Column:
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
 
