@@ -239,14 +239,15 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
         large = shared.where(F.col("n") > join.leaf).select("id", "place")
         if large.isEmpty():
             break
-        # an id meets its nodes of the next level once; its places above are bits of a few numbers
+        # an id meets its tokens once a level; its places above are bits of a few numbers
         bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("place") % 64)
         places = large.groupBy("id").agg(*[
             F.bit_or(F.when(F.floor(F.col("place") / 64) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"w{w}") for w in words(level)])
         above = F.floor(F.col("place") / join.branches[level + 1]).cast("int")
         kept = F.get(F.array(*[f"w{w}" for w in words(level)]), F.floor(above / 64).cast("int"))
-        members = places.join(reps.select("id", nodes_of(level + 1).alias("nodes")), "id").select(
-            "id", *[f"w{w}" for w in words(level)], F.posexplode("nodes").alias("place", "node")).where(
+        tokens = reps.select("id", F.slice("tokens", 1, join.first(level + 2)).alias("tokens"))
+        members = places.join(tokens, "id").select(
+            "id", *[f"w{w}" for w in words(level)], F.posexplode(nodes_of(level + 1)).alias("place", "node")).where(
             F.call_function("getbit", kept, above % 64) == 1).select("id", "place", "node")
     nodes = found[0]
     for f in found[1:]:
