@@ -267,7 +267,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
                 new = _search_block(row.field(at), before, suffixes)
                 yield pa.RecordBatch.from_arrays([row, *new.values()], ["row", *new])
 
-        found = (docs if found is None else found).mapInArrow(run, f"row {docs.schema.simpleString()}, {_HITS}")
+        found = (docs if found is None else found).mapInArrow(K.tidy(run), f"row {docs.schema.simpleString()}, {_HITS}")
     return found
 
 

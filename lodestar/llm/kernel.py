@@ -7,6 +7,8 @@ so memory per task is bounded by the slice plus the longest single text.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 import types
 
@@ -32,6 +34,24 @@ def worker_cache(key, build):
     return store[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system; a worker process lives on between tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run):
+    """``run(batches)`` of a partition, after which its freed memory is given back."""
+    @functools.wraps(run)
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, bytes) of a string column; a null text is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -171,4 +191,4 @@ def with_columns(docs: DataFrame, column: str, compute, ddl: str) -> DataFrame:
             row = pa.StructArray.from_arrays(b.columns, names)
             yield pa.RecordBatch.from_arrays([row, *(pa.array(v) for v in new.values())], ["row", *new])
 
-    return docs.mapInArrow(run, f"row {docs.schema.simpleString()}, {ddl}")
+    return docs.mapInArrow(tidy(run), f"row {docs.schema.simpleString()}, {ddl}")

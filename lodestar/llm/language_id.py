@@ -207,7 +207,7 @@ def training_windows(docs: DataFrame, how: Training = Training()) -> tuple[np.nd
 
     # a sample by definition: rows that repeat one id cannot exceed twice its size
     bound = 2 * how.docs * how.windows * len(languages)
-    got = chosen.mapInArrow(run, "doc_id string, lang string, nth long, cut binary").limit(bound).collect()
+    got = chosen.mapInArrow(K.tidy(run), "doc_id string, lang string, nth long, cut binary").limit(bound).collect()
     got = sorted((r["lang"], r["doc_id"], r["nth"], bytes(r["cut"])) for r in got)
     raw = b"".join(r[3].translate(K.LOWER).ljust(WINDOW) for r in got)
     return (np.frombuffer(raw, np.uint8).reshape(-1, WINDOW),

@@ -46,6 +46,7 @@ from .components import components, tasks_for
 
 PARITY = 1024  # bits of a set's parity bitmap
 BLOCK = 1 << 18  # shingles of one side of a block comparison
+WIDE = 8  # a row with a set or its sketch counts as so many small rows
 PIVOTS = 64  # documents of a node that are compared with all others before its blocks are
 
 
@@ -174,7 +175,7 @@ def sketches(docs: DataFrame, join: Join) -> DataFrame:
                     ["doc_id", "n_shingles", "s1", "s2", "tokens", "parity"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {_id_type(docs)}, n_shingles long, s1 long, s2 long, tokens array<int>, parity array<long>")
+        K.tidy(run), f"doc_id {_id_type(docs)}, n_shingles long, s1 long, s2 long, tokens array<int>, parity array<long>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, join: Join) -> DataFrame:
@@ -187,7 +188,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, join: Join) -> DataFrame:
 
     side = F.broadcast(ids) if fits_broadcast(ids) else ids
     wanted = docs.select("doc_id", "text").join(side, F.col("doc_id") == F.col("id"), "left_semi")
-    return wanted.mapInArrow(run, f"id {_id_type(docs)}, members array<long>")
+    return wanted.mapInArrow(K.tidy(run), f"id {_id_type(docs)}, members array<long>")
 
 
 def _id_type(docs: DataFrame) -> str:
@@ -208,6 +209,12 @@ def _may_link(x: str, y: str, join: Join) -> Column:
         (100 + join.percent) * differ <= (100 - join.percent) * (m + n))
 
 
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """Checkpoint of ``df``, which has at most ``rows`` rows, in as many files as these need.  An executor
+    starts a process per file it creates, so files follow the rows and not the shuffle partitions."""
+    return checkpointed(df.coalesce(tasks_for(rows)))
+
+
 def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
     """(node, id, n, pivot): the documents of all final nodes with at least two
     members, each node's size and its smallest document.  Checkpointed."""
@@ -227,10 +234,11 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
     def words(level: int) -> range:
         return range(-(-join.trees * join.paths(level) // 64))
 
+    rows = reps.count()
     members, found = reps.select("id", F.posexplode(nodes_of(0)).alias("place", "node")), []
     for level in range(len(join.branches)):
         size = members.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
-        shared = checkpointed(members.join(size, "node"))
+        shared = _few(members.join(size, "node"), rows * join.trees * join.paths(level))
         last = level + 1 == len(join.branches)
         found.append((shared if last else shared.where(F.col("n") <= join.leaf)).select(
             "node", "id", "n", "pivot"))
@@ -258,13 +266,14 @@ def _tree_nodes(reps: DataFrame, join: Join) -> DataFrame:
 def _verified(docs: DataFrame, pairs: DataFrame, join: Join) -> DataFrame:
     """The pairs (a, b) that are linked, decided on the full sets.  Checkpointed.
     Of an id with several texts each is compared; one that is linked links the id."""
-    ids = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().coalesce(tasks_for(pairs.count())))
-    sets = checkpointed(full_sets(docs, ids, join).distinct())
+    n = pairs.count()
+    ids = _few(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), n)
+    sets = _few(full_sets(docs, ids, join).distinct(), ids.count() * WIDE)
     left, right = (sets.select(F.col("id").alias(c), F.col("members").alias(f"m{c}")) for c in "ab")
     both = F.size(F.array_intersect("ma", "mb"))
     linked = pairs.join(left, "a").join(right, "b").where(
         100 * both >= join.percent * (F.size("ma") + F.size("mb") - both))
-    return checkpointed(linked.select("a", "b").distinct())
+    return _few(linked.select("a", "b").distinct(), n)
 
 
 def _spanning(rows: pa.Table, percent: int) -> pa.Table:
@@ -293,15 +302,17 @@ def _spanning(rows: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
 
 
-def _sides(placed: DataFrame) -> DataFrame:
+def _sides(placed: DataFrame, most: int) -> DataFrame:
     """``placed`` (node, id, component) with ``outside``: not in the node's largest
-    component, and ``others``: how many of the node's documents are not.  Checkpointed."""
+    component, and ``others``: how many of the node's documents are not.  ``most``: no more rows.  Checkpointed."""
     main = placed.groupBy("node", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("node").agg(
         F.max_by("component", F.struct("c", "component")).alias("main"), (F.sum("c") - F.max("c")).alias("others"))
-    return checkpointed(placed.join(main, "node").select("node", "id", "component", (F.col("component") != F.col("main")).alias("outside"), "others"))
+    return _few(placed.join(main, "node").select(
+        "node", "id", "component", (F.col("component") != F.col("main")).alias("outside"), "others"), most)
 
 
-def _block_links(docs: DataFrame, sides: DataFrame, sizes: DataFrame, join: Join, pivots: int | None = None) -> DataFrame:
+def _block_links(docs: DataFrame, sides: DataFrame, sizes: DataFrame, join: Join, most: int,
+                 pivots: int | None = None) -> DataFrame:
     """Spanning links across the components of each node of ``sides``.
 
     The documents outside a node's largest component are its left side, all of
@@ -309,7 +320,7 @@ def _block_links(docs: DataFrame, sides: DataFrame, sizes: DataFrame, join: Join
     about ``BLOCK`` shingles; every pair of a left and a right block is one group,
     so no group grows with the node, and a set is sent once per block it meets.
     ``pivots``: only so many left documents of a node are compared (a first pass
-    that leaves little for the whole one).  Checkpointed.
+    that leaves little for the whole one).  ``most``: no more rows in ``sides``.  Checkpointed.
     """
     rows = sides.join(sizes, "id")
     if pivots:
@@ -317,7 +328,7 @@ def _block_links(docs: DataFrame, sides: DataFrame, sizes: DataFrame, join: Join
         few = rows.where("outside").select("node", "id").withColumn("r", F.row_number().over(nearest)).where(
             F.col("r") <= pivots).select("node", "id", F.lit(True).alias("outside"))
         rows = rows.drop("outside").join(few, ["node", "id"], "left").withColumn("outside", F.col("outside").isNotNull())
-    rows = checkpointed(rows.select("node", "id", "component", "n_shingles", "outside"))
+    rows = _few(rows.select("node", "id", "component", "n_shingles", "outside"), most)
     shares = rows.groupBy("node").agg(
         *[F.ceil(F.sum(c) / BLOCK).cast("int").alias(n) for n, c in (
             ("rights", F.col("n_shingles")), ("lefts", F.when(F.col("outside"), F.col("n_shingles"))))])
@@ -330,10 +341,11 @@ def _block_links(docs: DataFrame, sides: DataFrame, sizes: DataFrame, join: Join
                          F.pmod("h", "rights").cast("int").alias("rb"), to("lefts").alias("lb"))
     left = dealt.where("outside").select("node", "id", "component", F.lit(True).alias("left"),
                                          to("rights").alias("rb"), F.pmod("h", "lefts").cast("int").alias("lb"))
-    sets = checkpointed(full_sets(docs, checkpointed(rows.select("id").distinct()), join).distinct())
+    ids = _few(rows.select("id").distinct(), most)
+    sets = _few(full_sets(docs, ids, join).distinct(), ids.count() * WIDE)
     kind, percent = _id_type(docs), join.percent
-    return checkpointed(left.unionByName(right).join(sets, "id").groupBy("node", "lb", "rb").applyInArrow(
-        lambda block: _spanning(block, percent), f"a {kind}, b {kind}").distinct())
+    return _few(left.unionByName(right).join(sets, "id").groupBy("node", "lb", "rb").applyInArrow(
+        lambda block: _spanning(block, percent), f"a {kind}, b {kind}").distinct(), most)
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -354,12 +366,13 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     base = checkpointed(sketches(docs, join))
     whole = base.where("n_shingles > 0 and doc_id is not null")
-    key = ["n_shingles", "s1", "s2"]
-    reps = checkpointed(whole.groupBy(*key).agg(
-        F.min("doc_id").alias("id"), F.first("tokens").alias("tokens"), F.first("parity").alias("parity")))
+    key, rows = ["n_shingles", "s1", "s2"], base.count()
+    reps = _few(whole.groupBy(*key).agg(
+        F.min("doc_id").alias("id"), F.first("tokens").alias("tokens"), F.first("parity").alias("parity")), rows * WIDE)
     copies = whole.select("doc_id", *key).join(reps.select("id", *key), key).where("doc_id <> id").select(
         F.col("doc_id").alias("a"), F.col("id").alias("b"))
     nodes = _tree_nodes(reps, join)
+    most = rows * join.trees * join.paths(len(join.branches) - 1)  # places of documents in nodes
     marks = reps.select("id", F.struct("n_shingles", "parity").alias("m"))
 
     def similar(pairs: DataFrame) -> DataFrame:
@@ -367,7 +380,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
         m1, m2 = (marks.select(F.col("id").alias(c), F.col("m").alias(f"m{c}")) for c in "ab")
         return pairs.join(m1, "a").join(m2, "b").where(_may_link("ma", "mb", join)).select("a", "b")
 
-    stars = checkpointed(similar(nodes.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()))
+    stars = _few(similar(nodes.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()), most)
     links = _verified(docs, stars, join)
 
     # what the stars left apart: nodes of several components, compared across them
@@ -382,21 +395,21 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
     labels, sizes = _labels(links), reps.select("id", "n_shingles")
     large = nodes.where(F.col("n") > join.leaf)
-    sides = _sides(mixed(large, labels))
+    sides = _sides(mixed(large, labels), most)
     if not sides.isEmpty():
-        links = links.unionByName(_block_links(docs, sides, sizes, join, PIVOTS))
+        links = links.unionByName(_block_links(docs, sides, sizes, join, most, PIVOTS))
         labels = _labels(links)
         crowded = sides.where(F.col("others") > PIVOTS).select("node").distinct()
-        sides = _sides(mixed(large.join(crowded, "node", "left_semi"), labels))
+        sides = _sides(mixed(large.join(crowded, "node", "left_semi"), labels), most)
         if not sides.isEmpty():
-            links = links.unionByName(_block_links(docs, sides, sizes, join))
+            links = links.unionByName(_block_links(docs, sides, sizes, join, most))
             labels = _labels(links)
     apart = mixed(nodes.where(F.col("n") <= join.leaf), labels).join(marks, "id")
     x = apart.select("node", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("m").alias("ma"))
     y = apart.select("node", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("m").alias("mb"))
     across = x.join(y, "node").where(F.col("ca") < F.col("cb")).where(_may_link("ma", "mb", join)).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    across = checkpointed(across.join(stars, ["a", "b"], "left_anti"))
+    across = _few(across.join(stars, ["a", "b"], "left_anti"), most)
     if not across.isEmpty():
         links = links.unionByName(_verified(docs, across, join))
     comps = components(links.unionByName(copies))

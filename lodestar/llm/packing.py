@@ -62,7 +62,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int =
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+        K.tidy(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def patterns(classes: int, most: int) -> np.ndarray:

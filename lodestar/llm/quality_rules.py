@@ -94,7 +94,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
 
     narrow = docs.select("doc_id", "text")
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS))
+    return narrow.mapInArrow(K.tidy(run), f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 @dataclass(frozen=True)
