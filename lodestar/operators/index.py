@@ -382,7 +382,8 @@ class SearchIndex:
         lean = rare.select("term", "doc_id", "dl", F.when(once, F.col("positions")[0]).alias("at"),
                            F.when(~once, F.col("positions")).alias("more"), "field")
         rpart = term_part("term", self.rare_parts)
-        (lean.repartition(self.rare_parts, F.col("field"), rpart)
+        # each part has a task of its own: a hash of the parts would put several into one, the more the more there are
+        (lean.repartitionById(self.rare_parts, rpart)
          .withColumn("positions", F.coalesce("more", F.array("at")))
          .select("term", "doc_id", F.size("positions").alias("tf"), "dl", "positions", "field", rpart.alias("rpart"))
          .sortWithinPartitions("field", "rpart", "term")

@@ -1,0 +1,22 @@
+"""The postings of rare terms are written one part per task."""
+
+import glob
+import re
+import tempfile
+
+from pyspark.sql import functions as F
+
+from lodestar.operators import search as S
+from lodestar.operators.index import Field, build_index
+
+
+def test_no_two_parts_of_rare_terms_share_a_task(spark):
+    docs = spark.range(60).select("id", F.concat_ws(" ", *[F.concat(F.lit(f"t{k}x"), F.col("id")) for k in range(20)]).alias("t"))
+    path = tempfile.mkdtemp(prefix="lodestar-rare-")
+    idx = build_index(docs, "id", [Field("t")], buckets=8, rare_parts=16, hot_df=1000).save(f"{path}/idx")
+    files = glob.glob(f"{path}/idx/rare/field=t/rpart=*/part-*")
+    tasks = {re.search(r"/part-(\d+)-", f)[1] for f in files}
+    assert len(files) == len(tasks) == 16
+    assert idx.rare.count() == 1200
+    q = spark.createDataFrame([(1, "t3x17 t19x59")], "query_id bigint, query string")
+    assert sorted(r["doc_id"] for r in S.match_any(idx, q, "t").collect()) == [17, 59]
