@@ -58,6 +58,16 @@ def join_held(big: DataFrame, small: DataFrame, rows: pa.Table | None, on, how:
     return join_small(big, small, on, how, materialize=False) if rows is None else big.join(F.broadcast(small), on, how)
 
 
+def join_hashed(big: DataFrame, small: DataFrame, on) -> DataFrame:
+    """``big.join(small)``: broadcast or, where a shuffle partition of ``small`` keeps to the broadcast
+    bound, hashed there, which saves sorting ``big``; else the plain join."""
+    size = measured_bytes(small)
+    if size <= BROADCAST_MAX_BYTES:
+        return big.join(F.broadcast(small), on)
+    parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return big.join(small.hint("shuffle_hash") if size <= parts * BROADCAST_MAX_BYTES else small, on)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     """Measured bytes of the rows ≤ the broadcast budget."""
     limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .index import SearchIndex
-from .joins import held, join_held, join_small
+from .joins import held, join_hashed, join_held, join_small
 from .search import _union, idf_terms, term_scores, with_constants
 from .topk import known_terms, top_matches
 
@@ -40,8 +40,8 @@ def _select_terms(index: SearchIndex, src: DataFrame, field: str, o: MltOptions,
     """src: (query_id, term, tf, ...) of one field → the kept rows with the columns of ``search.idf_terms``."""
     vocabulary = idf_terms(index, field, src if few else None)
     # rows of many sources are shuffled twice: they carry what ranks them only
-    t = join_small(vocabulary, src, "term") if few else join_small(
-        src, vocabulary.select("term", "df", "hot", "idf"), "term", materialize=False)
+    t = join_small(vocabulary, src, "term") if few else join_hashed(
+        src, vocabulary.select("term", "df", "hot", "idf"), "term")
     c = (F.col("tf") >= o.min_term_frequency) & (F.col("df") >= o.min_doc_frequency)
     if o.max_doc_frequency is not None:
         c &= F.col("df") <= o.max_doc_frequency

@@ -110,13 +110,13 @@ def pruned_postings(index: SearchIndex, field: str, wanted: DataFrame, rows: pa.
         rows = held(terms.select("term", "hot", "tpart", "rpart"))[1]
         if rows is None:
             return p
-    known = {r["term"]: r for r in rows.select(["term", "hot", "tpart", "rpart"]).to_pylist()}
 
     def one_of(column: str, values) -> Column:
         return F.col(column).isin(sorted(set(values)))
 
-    if len(known) > LITERAL_TERMS:
-        return p.where(one_of("tpart", (r["tpart"] for r in known.values())))
+    if pa.compute.count_distinct(rows["term"]).as_py() > LITERAL_TERMS:
+        return p.where(one_of("tpart", pa.compute.unique(rows["tpart"]).to_pylist()))
+    known = {r["term"]: r for r in rows.select(["term", "hot", "tpart", "rpart"]).to_pylist()}
     hot = [r for r in known.values() if r["hot"]]
     rare = [r for r in known.values() if not r["hot"]]
     columns = ["field", "term", "doc_id", "tf", "dl", "positions"]
